@@ -8,7 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .html_text import extract_pages
 from .packing import pack
+from .quality import quality
+from .toxicity import toxicity
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
