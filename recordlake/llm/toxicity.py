@@ -5,17 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HASH_KEY, Words, discard, held_out, mix, slices, stored
+from .common import HASH_KEY, Words, as_binary, discard, held_out, mix, slices, stored
 from .labelled import FOLDS, MAX_ROWS, sample
 
-BITS = 20
+BITS = 22
 SHARDS = 8
-BLOCK = 1 << 16
+BLOCK = 1 << 18
+#: Sampled documents that a feature must occur in to be learned.
+MIN_DOCS = 3
 #: Punctuation that is cut off both ends of a word.
 EDGE = ".,;:!?\"'`()[]{}<>*&%$#|~^-_/\\"
 _U = np.uint64
@@ -26,11 +29,11 @@ _SALTS = (_U(0), _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F))
 class Ftrl:
     """alpha and beta set the rate of a coordinate, alpha / (beta + sqrt(sum of squared gradients)); l1 and l2 the penalty."""
 
-    alpha: float = 0.15
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 0.5
-    rounds: int = 2
+    l1: float = 2.0
+    l2: float = 0.1
+    rounds: int = 5
     batch: int = 32
 
 
@@ -41,8 +44,6 @@ def features(texts: pa.Array, bits: int = BITS, kept: np.ndarray | None = None)
     """
     w = Words(texts)
     vocab = pc.utf8_trim(pc.utf8_lower(w.vocab), EDGE)
-    import pandas as pd
-
     h = pd.util.hash_array(vocab.to_numpy(zero_copy_only=False), hash_key=HASH_KEY, categorize=False)[w.codes]
     row = w.rows()
     found = []
@@ -62,81 +63,117 @@ def features(texts: pa.Array, bits: int = BITS, kept: np.ndarray | None = None)
 
 
 def weights(z: np.ndarray, n: np.ndarray, p: Ftrl) -> np.ndarray:
-    """The weights that state z and n stand for; coordinate 0 of the last slot, the bias, is not shrunk."""
+    """The weights that state z and n stand for."""
     return np.where(np.abs(z) <= p.l1, 0.0, -(z - np.sign(z) * p.l1) / ((p.beta + np.sqrt(n)) / p.alpha + p.l2))
 
 
-def learn(texts: pa.Array, labels: np.ndarray, z: np.ndarray, n: np.ndarray, p: Ftrl, bits: int = BITS) -> None:
-    """One pass over the rows in mini-batches, changing z and n in place. The last coordinate is the bias."""
+def learn(rows: list[np.ndarray], labels: np.ndarray, z: np.ndarray, n: np.ndarray, p: Ftrl) -> None:
+    """One pass over rows of coordinates in mini-batches, changing z and n in place. The last coordinate is the bias."""
     bias = len(z) - 1
-    for at, part in slices(texts):
-        row, f = features(part, bits)
-        starts = np.searchsorted(row, np.arange(0, len(part) + p.batch, p.batch))
-        for b in range(0, len(part), p.batch):
-            lo, hi = starts[b // p.batch], starts[b // p.batch + 1]
-            y = labels[at + b : at + min(b + p.batch, len(part))]
-            r, (u, inv) = row[lo:hi] - b, np.unique(np.append(f[lo:hi], bias), return_inverse=True)
-            w = weights(z[u], n[u], p)
-            inv, inv_bias = inv[:-1], inv[-1]
-            s = np.bincount(r, w[inv], len(y)) + w[inv_bias]
-            err = 1 / (1 + np.exp(-np.clip(s, -30, 30))) - y
-            g = np.bincount(inv, err[r], len(u))
-            g2 = np.bincount(inv, err[r] ** 2, len(u))
-            g[inv_bias], g2[inv_bias] = err.sum(), (err**2).sum()
-            sigma = (np.sqrt(n[u] + g2) - np.sqrt(n[u])) / p.alpha
-            z[u] += g - sigma * w
-            n[u] += g2
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Ftrl = Ftrl(), bits: int = BITS, max_rows: int = MAX_ROWS) -> np.ndarray:
-    """Weights of 2 ** bits hashed features and a bias, most of them 0: a vector of fixed size that can be broadcast.
-
-    At most max_rows labelled rows (sample()) are dealt to shards. In each round every shard starts from the common
-    state and passes over its rows; the state moves by the mean change of the shards that met a coordinate.
+    for b in range(0, len(rows), p.batch):
+        part, y = rows[b : b + p.batch], labels[b : b + p.batch]
+        r = np.repeat(np.arange(len(part)), [len(x) for x in part])
+        u, at = np.unique(np.concatenate([*part, [bias]]).astype(np.int64), return_inverse=True)
+        w = weights(z[u], n[u], p)
+        at, at_bias = at[:-1], at[-1]
+        err = 1 / (1 + np.exp(-np.clip(np.bincount(r, w[at], len(part)) + w[at_bias], -30, 30))) - y
+        g, g2 = np.bincount(at, err[r], len(u)), np.bincount(at, err[r] ** 2, len(u))
+        g[at_bias], g2[at_bias] = err.sum(), (err**2).sum()
+        z[u] += g - (np.sqrt(n[u] + g2) - np.sqrt(n[u])) / p.alpha * w
+        n[u] += g2
+
+
+@dataclass(frozen=True)
+class Weights:
+    """The features that have a weight, ascending, their weights, and the bias."""
+
+    bits: int
+    features: np.ndarray
+    values: np.ndarray
+    bias: float
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Ftrl = Ftrl(), bits: int = BITS, max_rows: int = MAX_ROWS, min_docs: int = MIN_DOCS) -> Weights:
+    """Weights learned from at most max_rows labelled rows (sample()), dealt to shards by hash.
+
+    Features in less than min_docs of the rows are left out. In each round every shard starts from the common state
+    and passes over its rows; the state moves by the mean change of the shards that met a coordinate. What comes to
+    the driver, and what is broadcast, has at most 2 ** bits numbers, whatever the input.
     """
     spark = docs.sparkSession
-    rows = stored(sample(docs, labels, label, max_rows, SHARDS), "ftrl-sample")
-    size = (1 << bits) + 1
+
+    def hashed(batches):
+        for batch in batches:
+            for at, part in slices(batch.column(1)):
+                row, f = features(part, bits)
+                bounds = np.searchsorted(row, np.arange(len(part) + 1))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), batch.column(2).slice(at, len(part)), as_binary(f.astype(np.int32), bounds)], ["shard", "label", "features"])
+
+    def counted(t):
+        n = np.zeros(1 << bits, np.int32)
+        for x in t["features"]:
+            n[np.frombuffer(x.as_py(), np.int32)] += 1
+        n = np.minimum(n, 255).astype(np.uint8)
+        at = range(0, len(n), BLOCK)
+        return pa.table({"block": pa.array([i // BLOCK for i in at], pa.int32()), "n": pa.array([n[i : i + BLOCK].tobytes() for i in at], pa.binary())})
+
+    def frequent(t):
+        n = sum(np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in t["n"])
+        kept = np.flatnonzero(n >= min_docs) + t["block"][0].as_py() * BLOCK
+        return pa.table({"kept": pa.array([kept.astype(np.int32).tobytes()], pa.binary())})
+
+    rows = stored(sample(docs, labels, label, max_rows, SHARDS).mapInArrow(hashed, "shard int, label int, features binary"), "ftrl-sample")
+    kept = rows.groupBy("shard").applyInArrow(counted, "block int, n binary").groupBy("block").applyInArrow(frequent, "kept binary").collect()
+    kept = np.sort(np.concatenate([np.frombuffer(r["kept"], np.int32) for r in kept] or [np.empty(0, np.int32)]))
+    size = len(kept) + 1
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(params.rounds):
-        state = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
+        state = spark.sparkContext.broadcast((kept, z.astype(np.float32), n.astype(np.float32)))
 
         def passed(t):
-            z0, n0 = state.value
+            kept, z0, n0 = state.value
             z, n = z0.astype(np.float64), n0.astype(np.float64)
-            learn(t["text"].combine_chunks(), t["label"].to_numpy(), z, n, params, bits)
-            met, dz, dn = (n > n0), (z - z0).astype(np.float32), (n - n0).astype(np.float32)
+            own = []
+            for x in t["features"]:
+                f = np.frombuffer(x.as_py(), np.int32)
+                at = np.searchsorted(kept, f)
+                at[at == len(kept)] = 0
+                own.append(at[kept[at] == f] if len(kept) else at[:0])
+            learn(own, t["label"].to_numpy(), z, n, params)
+            state_parts = (n > n0), (z - z0).astype(np.float32), (n - n0).astype(np.float32)
             at = range(0, size, BLOCK)
-            blobs = [[x[i : i + BLOCK].tobytes() for i in at] for x in (met, dz, dn)]
-            return pa.table({"block": pa.array([i // BLOCK for i in at], pa.int32()), "met": pa.array(blobs[0], pa.binary()), "dz": pa.array(blobs[1], pa.binary()), "dn": pa.array(blobs[2], pa.binary())})
+            return pa.table({"block": pa.array([i // BLOCK for i in at], pa.int32())} | {c: pa.array([x[i : i + BLOCK].tobytes() for i in at], pa.binary()) for c, x in zip(("met", "dz", "dn"), state_parts, strict=True)})
 
         def merged(t):
-            total = [sum(np.frombuffer(x.as_py(), kind).astype(np.float64) for x in t[c]) for c, kind in (("met", np.bool_), ("dz", np.float32), ("dn", np.float32))]
-            by = np.maximum(total[0], 1)
-            return pa.table({"block": t["block"].slice(0, 1), "dz": pa.array([(total[1] / by).astype(np.float32).tobytes()], pa.binary()), "dn": pa.array([(total[2] / by).astype(np.float32).tobytes()], pa.binary())})
+            met, dz, dn = (sum(np.frombuffer(x.as_py(), kind).astype(np.float64) for x in t[c]) for c, kind in (("met", np.bool_), ("dz", np.float32), ("dn", np.float32)))
+            by = np.maximum(met, 1)
+            return pa.table({"block": t["block"].slice(0, 1), "dz": pa.array([(dz / by).astype(np.float32).tobytes()], pa.binary()), "dn": pa.array([(dn / by).astype(np.float32).tobytes()], pa.binary())})
 
         moved = rows.groupBy("shard").applyInArrow(passed, "block int, met binary, dz binary, dn binary").groupBy("block").applyInArrow(merged, "block int, dz binary, dn binary")
-        for r in moved.collect():  # blocks of a vector of fixed size
+        for r in moved.collect():  # blocks of a vector of bounded size
             i = r["block"] * BLOCK
             z[i : i + BLOCK] += np.frombuffer(r["dz"], np.float32)
             n[i : i + BLOCK] += np.frombuffer(r["dn"], np.float32)
         state.destroy()
     discard(rows)
-    return weights(z, n, params).astype(np.float32)
+    w = weights(z, n, params)
+    some = np.flatnonzero(w[:-1])
+    return Weights(bits, kept[some], w[some].astype(np.float32), float(w[-1]))
 
 
-def score(docs: DataFrame, w: np.ndarray, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: Weights, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """doc_id, score, predicted, n_features (those with a weight) of each row, whole text. A null text counts as empty."""
-    bits = (len(w) - 1).bit_length() - 1
-    sent = docs.sparkSession.sparkContext.broadcast(w)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        w = sent.value
-        kept = w[:-1] != 0
+        m = sent.value
+        w = np.zeros(1 << m.bits, np.float32)
+        w[m.features] = m.values
+        kept = w != 0
         for batch in batches:
             for at, part in slices(batch.column(1)):
-                row, f = features(part, bits, kept)
-                s = np.bincount(row, w[f], len(part)) + w[-1]
+                row, f = features(part, m.bits, kept)
+                s = np.bincount(row, w[f], len(part)) + m.bias
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array(1 / (1 + np.exp(-np.clip(s, -30, 30)))), pa.array(np.bincount(row, minlength=len(part)))], ["doc_id", "score", "n_features"])
 
     kind = dict(docs.dtypes)[id_col]
