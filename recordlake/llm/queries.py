@@ -9,11 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .exact_dedup import exact_dedup
 from .html_text import extract_pages
+from .ngram_join import ngram_join
 from .packing import pack
 from .quality import quality
 from .toxicity import toxicity
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
