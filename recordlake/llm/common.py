@@ -17,6 +17,8 @@ SPACE = r"\x20\x09-\x0D"
 #: Bytes of text that are split into words at a time; a longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 HASH_KEY = "recordlake-word1"
+#: Punctuation that plain() cuts off both ends of a word.
+EDGE = ".,;:!?\"'`()[]{}<>*&%$#|~^-_/\\"
 _U = np.uint64
 
 
@@ -102,6 +104,11 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), self.counts)
 
 
+def plain(words: pa.Array) -> pa.Array:
+    """Words in lower case without punctuation at their ends."""
+    return pc.utf8_trim(pc.utf8_lower(words), EDGE)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit hashes (splitmix finaliser)."""
     with np.errstate(over="ignore"):

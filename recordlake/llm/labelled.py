@@ -13,10 +13,10 @@ MAX_ROWS = 20_000
 FOLDS = 5
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, shards: int = 8) -> DataFrame:
-    """shard, text, label of at most max_rows labelled documents out of the held-out fold, the first by a hash of the id.
+def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
+    """text, label of at most max_rows labelled documents out of the held-out fold, the first by a hash of the id.
 
-    A null label is no label; of several labels of a document the largest holds. Null text counts as empty.
+    A null label is no label; of several labels of a document the largest holds. Null text counts as empty; a repeated row is an example again.
     """
     chosen = (
         labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label"))
@@ -26,6 +26,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, shards
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(max_rows)
     )
-    shard = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(shards)).cast("int").alias("shard")
     found = docs.select(F.col("doc_id").alias("_doc"), F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))  # at most max_rows
-    return found.dropDuplicates(["_id"]).select(shard, "text", "label")
+    return found.select("text", "label")

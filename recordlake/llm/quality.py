@@ -183,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
                 x = measures(part)
                 yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(NAMES)).cast(pa.list_(pa.float64())), batch.column(1).slice(at, len(part))], ["x", "label"])
 
-    rows = sample(docs, labels, label, max_rows).select("text", "label").mapInArrow(measured, "x array<double>, label int").toArrow()
+    rows = sample(docs, labels, label, max_rows).mapInArrow(measured, "x array<double>, label int").toArrow()
     x = rows["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(NAMES)) if rows.num_rows else np.zeros((0, len(NAMES)))
     return fit_gam(x, rows["label"].to_numpy().astype(float))
 

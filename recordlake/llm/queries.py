@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .html_text import extract_pages
 from .language_model import language_scores
@@ -17,6 +18,10 @@ from .substring_dedup import cut_repeats
 from .toxicity import toxicity
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
 

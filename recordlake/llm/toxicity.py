@@ -7,11 +7,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HASH_KEY, Words, as_binary, discard, held_out, mix, slices, stored
+from .common import HASH_KEY, Words, as_binary, discard, held_out, mix, plain, slices, stored
 from .labelled import FOLDS, MAX_ROWS, sample
 
 BITS = 22
@@ -19,8 +18,6 @@ SHARDS = 8
 BLOCK = 1 << 18
 #: Sampled documents that a feature must occur in to be learned.
 MIN_DOCS = 3
-#: Punctuation that is cut off both ends of a word.
-EDGE = ".,;:!?\"'`()[]{}<>*&%$#|~^-_/\\"
 _U = np.uint64
 _SALTS = (_U(0), _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F))
 
@@ -43,7 +40,7 @@ def features(texts: pa.Array, bits: int = BITS, kept: np.ndarray | None = None)
     Words are lower-cased and lose punctuation at their ends. kept: a flag for each feature, others are left out.
     """
     w = Words(texts)
-    vocab = pc.utf8_trim(pc.utf8_lower(w.vocab), EDGE)
+    vocab = plain(w.vocab)
     h = pd.util.hash_array(vocab.to_numpy(zero_copy_only=False), hash_key=HASH_KEY, categorize=False)[w.codes]
     row = w.rows()
     found = []
@@ -94,7 +91,7 @@ class Weights:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Ftrl = Ftrl(), bits: int = BITS, max_rows: int = MAX_ROWS, min_docs: int = MIN_DOCS) -> Weights:
-    """Weights learned from at most max_rows labelled rows (sample()), dealt to shards by hash.
+    """Weights learned from at most max_rows labelled rows (sample()), read by SHARDS tasks.
 
     Features in less than min_docs of the rows are left out. In each round every shard starts from the common state
     and passes over its rows; the state moves by the mean change of the shards that met a coordinate. What comes to
@@ -104,52 +101,55 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Ftrl =
 
     def hashed(batches):
         for batch in batches:
-            for at, part in slices(batch.column(1)):
+            for at, part in slices(batch.column(0)):
                 row, f = features(part, bits)
                 bounds = np.searchsorted(row, np.arange(len(part) + 1))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), batch.column(2).slice(at, len(part)), as_binary(f.astype(np.int32), bounds)], ["shard", "label", "features"])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, len(part)), as_binary(f.astype(np.int32), bounds)], ["label", "features"])
 
-    def counted(t):
+    def counted(batches):
         n = np.zeros(1 << bits, np.int32)
-        for x in t["features"]:
-            n[np.frombuffer(x.as_py(), np.int32)] += 1
+        for batch in batches:
+            for x in batch.column(1):
+                n[np.frombuffer(x.as_py(), np.int32)] += 1
         n = np.minimum(n, 255).astype(np.uint8)
         at = range(0, len(n), BLOCK)
-        return pa.table({"block": pa.array([i // BLOCK for i in at], pa.int32()), "n": pa.array([n[i : i + BLOCK].tobytes() for i in at], pa.binary())})
+        yield pa.record_batch({"block": pa.array([i // BLOCK for i in at], pa.int32()), "n": pa.array([n[i : i + BLOCK].tobytes() for i in at], pa.binary())})
 
     def frequent(t):
         n = sum(np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in t["n"])
         kept = np.flatnonzero(n >= min_docs) + t["block"][0].as_py() * BLOCK
         return pa.table({"kept": pa.array([kept.astype(np.int32).tobytes()], pa.binary())})
 
-    rows = stored(sample(docs, labels, label, max_rows, SHARDS).mapInArrow(hashed, "shard int, label int, features binary"), "ftrl-sample")
-    kept = rows.groupBy("shard").applyInArrow(counted, "block int, n binary").groupBy("block").applyInArrow(frequent, "kept binary").collect()
+    rows = stored(sample(docs, labels, label, max_rows).mapInArrow(hashed, "label int, features binary").repartition(SHARDS), "ftrl-sample").coalesce(SHARDS)
+    kept = rows.mapInArrow(counted, "block int, n binary").groupBy("block").applyInArrow(frequent, "kept binary").collect()
     kept = np.sort(np.concatenate([np.frombuffer(r["kept"], np.int32) for r in kept] or [np.empty(0, np.int32)]))
     size = len(kept) + 1
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(params.rounds):
         state = spark.sparkContext.broadcast((kept, z.astype(np.float32), n.astype(np.float32)))
 
-        def passed(t):
+        def passed(batches):
             kept, z0, n0 = state.value
             z, n = z0.astype(np.float64), n0.astype(np.float64)
-            own = []
-            for x in t["features"]:
-                f = np.frombuffer(x.as_py(), np.int32)
-                at = np.searchsorted(kept, f)
-                at[at == len(kept)] = 0
-                own.append(at[kept[at] == f] if len(kept) else at[:0])
-            learn(own, t["label"].to_numpy(), z, n, params)
+            own, y = [], [np.empty(0)]
+            for batch in batches:
+                y.append(batch.column(0).to_numpy())
+                for x in batch.column(1):
+                    f = np.frombuffer(x.as_py(), np.int32)
+                    at = np.searchsorted(kept, f)
+                    at[at == len(kept)] = 0
+                    own.append(at[kept[at] == f].astype(np.int32) if len(kept) else at[:0])
+            learn(own, np.concatenate(y), z, n, params)
             state_parts = (n > n0), (z - z0).astype(np.float32), (n - n0).astype(np.float32)
             at = range(0, size, BLOCK)
-            return pa.table({"block": pa.array([i // BLOCK for i in at], pa.int32())} | {c: pa.array([x[i : i + BLOCK].tobytes() for i in at], pa.binary()) for c, x in zip(("met", "dz", "dn"), state_parts, strict=True)})
+            yield pa.record_batch({"block": pa.array([i // BLOCK for i in at], pa.int32())} | {c: pa.array([x[i : i + BLOCK].tobytes() for i in at], pa.binary()) for c, x in zip(("met", "dz", "dn"), state_parts, strict=True)})
 
         def merged(t):
             met, dz, dn = (sum(np.frombuffer(x.as_py(), kind).astype(np.float64) for x in t[c]) for c, kind in (("met", np.bool_), ("dz", np.float32), ("dn", np.float32)))
             by = np.maximum(met, 1)
             return pa.table({"block": t["block"].slice(0, 1), "dz": pa.array([(dz / by).astype(np.float32).tobytes()], pa.binary()), "dn": pa.array([(dn / by).astype(np.float32).tobytes()], pa.binary())})
 
-        moved = rows.groupBy("shard").applyInArrow(passed, "block int, met binary, dz binary, dn binary").groupBy("block").applyInArrow(merged, "block int, dz binary, dn binary")
+        moved = rows.mapInArrow(passed, "block int, met binary, dz binary, dn binary").groupBy("block").applyInArrow(merged, "block int, dz binary, dn binary")
         for r in moved.collect():  # blocks of a vector of bounded size
             i = r["block"] * BLOCK
             z[i : i + BLOCK] += np.frombuffer(r["dz"], np.float32)
