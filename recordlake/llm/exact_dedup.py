@@ -75,6 +75,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs less the copies: of equal texts the row with the largest id stays, once. All columns are kept."""
-    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id_col].eqNullSafe(F.col("_dropped")), "left_anti").dropDuplicates([id_col, text_col]) if docs.columns else docs
+    """docs less the copies: of equal texts the row with the largest id stays, once. All columns are kept.
+
+    Ids that repeat with different texts are told apart by the hash of the text.
+    """
+    found = stored(exact_dedup(docs, id_col, text_col).select("doc_id", "kept", "text_sha256"), "dedup-found")
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    marked = docs.withColumn("_own", sha)
+    left = marked.join(gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_anti")
+    if not found.filter("kept").groupBy("doc_id", "text_sha256").count().filter("count > 1").isEmpty():
+        left = left.dropDuplicates([id_col, "_own"])
+    return left.drop("_own")

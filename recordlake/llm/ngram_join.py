@@ -226,7 +226,16 @@ def _links(docs: DataFrame, p: Forest, depth: int, id_col: str, text_col: str) -
     return stored(links, "join-links"), sets, rows
 
 
-def drop_near_copies(docs: DataFrame, params: Forest = Forest()) -> DataFrame:
-    """docs with one document of each class: that of the least doc_id. All columns are kept."""
-    extra = ngram_join(docs, params).filter("class_size > 1 and (doc_id is null or doc_id != class_id)").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(extra, docs["doc_id"] == F.col("_dropped"), "left_anti").dropDuplicates(["doc_id"])
+def drop_near_copies(docs: DataFrame, params: Forest = Forest(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each class, and rows that repeat an id and its text once. All columns are kept.
+
+    A document is told by its id and the hash of its text, so null and repeated ids do no harm; of a class the one
+    whose key is least stays.
+    """
+    key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.hex(F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))))
+    marked = docs.withColumn("_key", key)
+    found = stored(ngram_join(marked, params, "_key", text_col).select("doc_id", "class_id"), "near-found")
+    left = marked.join(found.filter("doc_id != class_id").select(F.col("doc_id").alias("_gone")), F.col("_key") == F.col("_gone"), "left_anti")
+    if not found.filter("doc_id = class_id").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        left = left.dropDuplicates(["_key"])
+    return left.drop("_key")

@@ -205,3 +205,17 @@ def quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Dat
     """doc_id, held_out, score, predicted of each document. Without labelled rows every score is 0.5. Null ids are not held out."""
     out = score(docs, fit(docs, labels, max_rows=max_rows))
     return out.select("doc_id", held_out("doc_id", FOLDS).alias("held_out"), "score", "predicted")
+
+
+def drop_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs less those that the model rejects. All columns are kept; a null id is judged by its text like others."""
+    model = fit(docs, labels)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def kept(batches):
+        for batch in batches:
+            ok = np.concatenate([sent.value.score(measures(part)) >= THRESHOLD for _, part in slices(batch.column(at))] or [np.empty(0, bool)])
+            yield batch.filter(pa.array(ok))
+
+    return docs.mapInArrow(kept, docs.schema)

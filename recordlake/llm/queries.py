@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import contaminated
@@ -15,6 +16,7 @@ from .ngram_join import ngram_join
 from .packing import pack
 from .quality import quality
 from .substring_dedup import cut_repeats
+from .token_counts import INSERT, new_rollup
 from .toxicity import toxicity
 
 
@@ -26,6 +28,12 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup = new_rollup(spark)
+    rollup.commit("load", table(spark, sf_dir, "documents").withColumn("op", F.lit(INSERT)))
+    return rollup.totals()
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

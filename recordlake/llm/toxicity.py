@@ -17,7 +17,7 @@ BITS = 22
 SHARDS = 8
 BLOCK = 1 << 18
 #: Sampled documents that a feature must occur in to be learned.
-MIN_DOCS = 3
+MIN_DOCS = 5
 _U = np.uint64
 _SALTS = (_U(0), _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F))
 
@@ -28,7 +28,7 @@ class Ftrl:
 
     alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 2.0
+    l1: float = 1.5
     l2: float = 0.1
     rounds: int = 5
     batch: int = 32
@@ -120,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Ftrl =
         kept = np.flatnonzero(n >= min_docs) + t["block"][0].as_py() * BLOCK
         return pa.table({"kept": pa.array([kept.astype(np.int32).tobytes()], pa.binary())})
 
-    rows = stored(sample(docs, labels, label, max_rows).mapInArrow(hashed, "label int, features binary").repartition(SHARDS), "ftrl-sample").coalesce(SHARDS)
+    rows = stored(sample(docs, labels, label, max_rows).repartition(SHARDS).mapInArrow(hashed, "label int, features binary"), "ftrl-sample").coalesce(SHARDS)
     kept = rows.mapInArrow(counted, "block int, n binary").groupBy("block").applyInArrow(frequent, "kept binary").collect()
     kept = np.sort(np.concatenate([np.frombuffer(r["kept"], np.int32) for r in kept] or [np.empty(0, np.int32)]))
     size = len(kept) + 1
@@ -140,12 +140,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Ftrl =
                     at[at == len(kept)] = 0
                     own.append(at[kept[at] == f].astype(np.int32) if len(kept) else at[:0])
             learn(own, np.concatenate(y), z, n, params)
-            state_parts = (n > n0), (z - z0).astype(np.float32), (n - n0).astype(np.float32)
+            state_parts = (n > n0), (z - z0).astype(np.float16), (n - n0).astype(np.float16)
             at = range(0, size, BLOCK)
             yield pa.record_batch({"block": pa.array([i // BLOCK for i in at], pa.int32())} | {c: pa.array([x[i : i + BLOCK].tobytes() for i in at], pa.binary()) for c, x in zip(("met", "dz", "dn"), state_parts, strict=True)})
 
         def merged(t):
-            met, dz, dn = (sum(np.frombuffer(x.as_py(), kind).astype(np.float64) for x in t[c]) for c, kind in (("met", np.bool_), ("dz", np.float32), ("dn", np.float32)))
+            met, dz, dn = (sum(np.frombuffer(x.as_py(), kind).astype(np.float64) for x in t[c]) for c, kind in (("met", np.bool_), ("dz", np.float16), ("dn", np.float16)))
             by = np.maximum(met, 1)
             return pa.table({"block": t["block"].slice(0, 1), "dz": pa.array([(dz / by).astype(np.float32).tobytes()], pa.binary()), "dn": pa.array([(dn / by).astype(np.float32).tobytes()], pa.binary())})
 
