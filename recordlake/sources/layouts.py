@@ -19,8 +19,9 @@ def read_layout_csv(spark: SparkSession, path: str) -> DataFrame:
     """Rows of layout files as strings with the file's name and dates; cells may hold quoted newlines."""
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     df = df.toDF(*distinct_names(df.columns))
+    plain = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    df = df.withColumns({"layout_file": plain, "pos": F.monotonically_increasing_id()})
     a, b = validity_dates("layout_file")
-    df = df.withColumn("pos", F.monotonically_increasing_id()).withColumn("layout_file", F.col("_metadata.file_name") if "layout_file" not in df.columns else F.col("layout_file"))
     return df.withColumns({"version_from": a, "version_to": b})
 
 

@@ -18,7 +18,7 @@ BATCH_LINES = 50_000
 
 
 def _with_names(df: DataFrame) -> DataFrame:
-    return df.withColumn("file", F.element_at(F.split(F.col("path"), "/"), -1))
+    return df.withColumn("file", F.element_at(F.split(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), "/"), -1))
 
 
 def read_text(spark: SparkSession, path: str, series: str | None = None) -> DataFrame:
