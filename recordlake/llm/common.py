@@ -50,6 +50,13 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or name with underscores before it that no column of df has."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def held_out(doc_id: str | Column, folds: int) -> Column:
     """crc32 of the id as text is 0 modulo folds."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import fresh, stored
 
 #: The directory never has more than 2 ** MAX_DEPTH slots, so it can be broadcast.
 MAX_DEPTH = 12
@@ -80,10 +80,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Ids that repeat with different texts are told apart by the hash of the text.
     """
     found = stored(exact_dedup(docs, id_col, text_col).select("doc_id", "kept", "text_sha256"), "dedup-found")
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    marked = docs.withColumn("_own", sha)
-    left = marked.join(gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_anti")
+    own, of_id, of_sha = (fresh(docs, c) for c in ("_own", "_id", "_sha"))
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(of_id), F.col("text_sha256").alias(of_sha))
+    marked = docs.withColumn(own, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    left = marked.join(gone, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_sha)), "left_anti")
     if not found.filter("kept").groupBy("doc_id", "text_sha256").count().filter("count > 1").isEmpty():
-        left = left.dropDuplicates([id_col, "_own"])
-    return left.drop("_own")
+        left = left.dropDuplicates([id_col, own])
+    return left.drop(own)

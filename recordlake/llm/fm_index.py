@@ -54,16 +54,16 @@ class WaveletMatrix:
 
 
 class FmIndex:
-    """Index of several runs of codes (1 and up), each ended by a symbol of its own that no pattern holds."""
+    """Index of several runs of codes (1 to sigma - 1), each ended by a symbol of its own that no pattern holds."""
 
-    def __init__(self, codes: np.ndarray, bounds: np.ndarray):
+    def __init__(self, codes: np.ndarray, bounds: np.ndarray, sigma: int | None = None):
         runs = len(bounds) - 1
         sizes = np.diff(bounds)
         text = np.insert(codes.astype(np.int64) + runs, bounds[1:], np.arange(runs))
         order = suffix_order(text, int(sizes.max(initial=0)) + 1)
         bwt = text[order - 1]
         bwt = np.where(bwt < runs, 0, bwt - runs)
-        self.sigma = int(codes.max(initial=0)) + 1
+        self.sigma = sigma or int(codes.max(initial=0)) + 1
         self.wavelet = WaveletMatrix(bwt, self.sigma)
         n = np.bincount(bwt, minlength=self.sigma)
         self.starts = np.concatenate([[0], np.cumsum(n)])

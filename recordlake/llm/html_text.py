@@ -24,7 +24,7 @@ MARKS = frozenset(
     " aside rail widget menu menubar nav navbar navigation breadcrumb breadcrumbs toolbar footer masthead header comment comments reply replies disqus respond discussion related recommended share"
     " sharing social follow newsletter subscribe signup login pager pagination contentinfo complementary search".split()
 )
-HOLDS_TEXT = frozenset("p pre td th blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption div section article main body".split())
+HOLDS_TEXT = frozenset("p pre td th blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption div section article main body html".split())
 BASE = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "form": -3.0, "th": -5.0}
 #: A start tag of the key ends an open element of the value, up to the nearest of its bounds.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -145,7 +145,7 @@ def best_nodes(root: Node) -> list[Node]:
         if not text:
             continue
         points = 1 + text.count(",") + min(len(text) / 100, 3)
-        up, share = node.parent if node.tag not in ("div", "section", "article", "main", "body") else node, 1.0
+        up, share = node if node.tag in ("div", "section", "article", "main", "body", "html") else node.parent, 1.0
         while up is not None and share > 0.1:
             up.score += points * share
             scored.append(up)

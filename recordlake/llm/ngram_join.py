@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, as_binary, discard, mix, rolling, slices, stored
+from .common import Words, as_binary, discard, fresh, mix, rolling, slices, stored
 from .graph import components
 
 _U = np.uint64
@@ -233,9 +233,10 @@ def drop_near_copies(docs: DataFrame, params: Forest = Forest(), id_col: str = "
     whose key is least stays.
     """
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.hex(F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))))
-    marked = docs.withColumn("_key", key)
-    found = stored(ngram_join(marked, params, "_key", text_col).select("doc_id", "class_id"), "near-found")
-    left = marked.join(found.filter("doc_id != class_id").select(F.col("doc_id").alias("_gone")), F.col("_key") == F.col("_gone"), "left_anti")
+    own, gone = fresh(docs, "_key"), fresh(docs, "_gone")
+    marked = docs.withColumn(own, key)
+    found = stored(ngram_join(marked, params, own, text_col).select("doc_id", "class_id"), "near-found")
+    left = marked.join(found.filter("doc_id != class_id").select(F.col("doc_id").alias(gone)), F.col(own) == F.col(gone), "left_anti")
     if not found.filter("doc_id = class_id").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        left = left.dropDuplicates(["_key"])
-    return left.drop("_key")
+        left = left.dropDuplicates([own])
+    return left.drop(own)

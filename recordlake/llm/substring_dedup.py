@@ -85,10 +85,9 @@ def search_shard(rows: pa.Table, window: int) -> pa.Table:
     asking = np.flatnonzero(asks)
     found_at: list[list] = [[], [], []]
     if held.any() and len(asking):
-        index = FmIndex(*chosen(held))
+        index = FmIndex(*chosen(held), sigma=len(w.vocab) + 1)
         c, b = chosen(asks)
-        known = np.where(c < index.sigma, c, 0)
-        hit = repeated_windows(index, known, b, window, 2 if own else 1)
+        hit = repeated_windows(index, c, b, window, 2 if own else 1)
         edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
         s, e = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
         seg = np.searchsorted(b, s, side="right") - 1
@@ -125,9 +124,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(r), batch.column(1).take(r), pa.array((first - w.bounds[row]).astype(np.int32)), pa.array(length.astype(np.int32)), pa.array(key), pa.array(content)], ["id", "th", "start", "length", "key", "content"])
 
     places = stored(texts.mapInArrow(placed, f"id {kind}, th long, start int, length int, key long, content long"), "fm-places")
-    shared = places.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key")
-    met = stored(places.join(shared, "key", "left_semi"), "fm-met")
-    discard(places)
+    shared = stored(places.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key"), "fm-keys")
+    met = stored(places.join(shared, "key", "left_semi"), "fm-met")  # of two tables, so that a hot key can be split
+    for old in (places, shared):
+        discard(old)
     one = F.min(F.struct("id", "th", "start")).alias("at")
     kinds = stored(met.groupBy("key", "content", "length").agg(F.count(F.lit(1)).alias("copies"), one), "fm-kinds")
     # keys with a single kind of segment have no other windows; the rest are indexed
