@@ -24,6 +24,8 @@ MARKS = frozenset(
     " aside rail widget menu menubar nav navbar navigation breadcrumb breadcrumbs toolbar footer masthead header comment comments reply replies disqus respond discussion related recommended share"
     " sharing social follow newsletter subscribe signup login pager pagination contentinfo complementary search".split()
 )
+#: Words that make a class name a state of its element.
+STATES = frozenset("has no without with is not open closed enabled disabled free".split())
 HOLDS_TEXT = frozenset("p pre td th blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption div section article main body html".split())
 BASE = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "form": -3.0, "th": -5.0}
 #: A start tag of the key ends an open element of the value, up to the nearest of its bounds.
@@ -35,6 +37,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_COMMENT = re.compile(r"""["'\s](?:comment|reply)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -48,8 +51,14 @@ class Node:
         self.chars = self.linked = 0
 
 
-def _marked(attrs: str) -> bool:
-    return any(w.lower() in MARKS for m in _MARK.finditer(attrs) for w in _WORD.findall(m[1] or m[2] or m[3] or ""))
+def _marked(attrs: str, inside: bool) -> bool:
+    """A class, id or role says that the element is no main text; has-comments and the like say nothing of the kind."""
+    for m in _MARK.finditer(attrs):
+        for name in (m[1] or m[2] or m[3] or "").split():
+            words = [w.lower() for w in _WORD.findall(name)]
+            if words and words[0] not in STATES and words[-1] not in STATES and any(w in MARKS and not (inside and w in ("header", "masthead")) for w in words):
+                return True
+    return False
 
 
 def parse(html: str) -> Node:
@@ -94,7 +103,7 @@ def parse(html: str) -> Node:
             continue
         at = open_[-1]
         inside = any(x.tag in ("article", "main") for x in open_)
-        gone = at.gone or tag in DROPPED or (tag == "header" and not inside) or (tag not in ("body", "article", "main") and _marked(m[4]))
+        gone = at.gone or tag in DROPPED or (tag == "header" and not inside) or (tag not in ("body", "main") and _marked(m[4], inside) and (tag != "article" or _COMMENT.search(m[4]) is not None))
         node = Node(tag, at, gone)
         at.kids.append(node)
         if tag not in VOID and not m[4].rstrip().endswith("/"):

@@ -227,6 +227,8 @@ def test_html():
     assert html_text.extract(page).count("Sentence number") == 5 and "link text" not in html_text.extract(page)
     siblings = f"<body><div>{body}</div><div>{body}</div><div><a href=x>{'l' * 300}</a></div></body>"
     assert html_text.extract(siblings).count("Sentence number") == 10 and "lll" not in html_text.extract(siblings)
+    marked = "<body class='comments-open'><article class='post has-comments'><div class='article-header'><h1>T</h1></div><p>Text, here.</p><article class='comment'><p>reader</p></article></article></body>"
+    assert html_text.extract(marked) == "T\n\nText, here."
     assert html_text.extract("<p>a < b &amp; c > d</p><script>x") == "a < b & c > d"
 
 
