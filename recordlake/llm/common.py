@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def one_thread(spark: SparkSession) -> None:
+    """Matrix products in a task use one thread, since tasks fill the cores already; a setting of the session's own holds."""
+    spark.sparkContext.environment.setdefault("OMP_NUM_THREADS", "1")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, as in tests, a new local one."""
     path = spark.conf.get("spark.checkpoint.dir", None)

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, as_binary, discard, fresh, mix, rolling, slices, stored
+from .common import Words, as_binary, discard, fresh, mix, one_thread, rolling, slices, stored
 from .graph import components
 
 _U = np.uint64
@@ -140,6 +140,7 @@ def ngram_join(docs: DataFrame, params: Forest = Forest(), id_col: str = "doc_id
     found show which recall the prefix length gives; if it is below the target the prefixes are shortened by another
     value and the search is done again.
     """
+    one_thread(docs.sparkSession)
     depth = params.depth()
     while True:
         links, sets, rows = _links(docs, params, depth, id_col, text_col)
