@@ -147,7 +147,7 @@ def test_language_model_is_normalised_and_learns():
     m = language_model.start(unigram, 16)
     for turn in range(3):
         m = language_model.train(m, key, n, unigram, 400, turn)
-    norms = m.norms()
+    norms = m.norms(np.arange(k))
     every = np.arange(k)
     for c2, c1 in ((0, 1), (3, 3)):
         p = 10 ** m.log10(norms, np.full(k, c2), np.full(k, c1), every)
