@@ -70,6 +70,13 @@ def group_type_bijection(rows: DataFrame, file: str = "file", record_type: str =
     return out.withColumn("redundant", (F.col("n_groups") == 1) | ((F.col("groups_per_type") == 1) & (F.col("types_per_group") == 1)))
 
 
+def without_redundant_groups(rows: DataFrame, file: str = "file", record_type: str = "record_type") -> DataFrame:
+    """rows with group_id null in files where it says nothing of its own: one group, or one for each record type."""
+    flags = group_type_bijection(rows, file, record_type).select(F.col(file).alias("_file"), "redundant")
+    out = rows.join(flags, F.col(file).eqNullSafe(F.col("_file")), "left")
+    return out.withColumn("group_id", F.when(~F.col("redundant"), F.col("group_id"))).drop("_file", "redundant")
+
+
 def clean_layout(rows: DataFrame, source_cols: list[str], item: str = "item", name: str = "field_name", element: str | None = None, file: str = "file", pos: str = "pos", drop_auto_headers: bool = True) -> DataFrame:
     """A layout table as extracted, cleaned: labels with digits, groups, no length rows, record types for whole groups."""
     texts = [name] + ([element] if element else [])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import dates, names, pic, text
-from .operators import coverage, frequency, layout, ledger, parse, profile
+from .operators import coverage, frequency, layout, ledger, parse, profile, report
 from .operators.parse import Field
 from .plans import jobs
 from .sources import layouts, lines, links
@@ -253,11 +253,12 @@ def drop_empty_rows(spark, sf_dir):
     return layout.drop_empty_rows(rows, ["field_name", "status"]).select("pos")
 
 
-@query(
-    f"""SELECT g.file, n_groups, coalesce(groups_per_type, 0) AS groups_per_type, types_per_group, n_groups = 1 OR (coalesce(groups_per_type, 0) = 1 AND types_per_group = 1) AS redundant FROM
+BIJECTION_SQL = f"""SELECT g.file, n_groups, coalesce(groups_per_type, 0) AS groups_per_type, types_per_group, n_groups = 1 OR (coalesce(groups_per_type, 0) = 1 AND types_per_group = 1) AS redundant FROM
         (SELECT file, count(*) AS n_groups, max(t) AS types_per_group FROM (SELECT file, group_id, count(DISTINCT code) AS t FROM {GROUPED_SQL} GROUP BY 1, 2) GROUP BY 1) g LEFT JOIN
         (SELECT file, max(n) AS groups_per_type FROM (SELECT file, code, count(DISTINCT group_id) AS n FROM {GROUPED_SQL} WHERE code IS NOT NULL GROUP BY 1, 2) GROUP BY 1) t ON g.file = t.file"""
-)
+
+
+@query(BIJECTION_SQL)
 def group_type_bijection(spark, sf_dir):
     return layout.group_type_bijection(grouped_rows(spark, sf_dir))
 
@@ -273,6 +274,21 @@ def layout_clean(spark, sf_dir):
     return layout.clean_layout(rows.unionByName(junk), ["field_name"]).select("file", "pos", "group_id", "record_type")
 
 
+@query(f"SELECT group_id, code AS record_type, count(*) AS n FROM {GROUPED_SQL} GROUP BY 1, 2")
+def value_counts(spark, sf_dir):
+    return report.value_counts(grouped_rows(spark, sf_dir), ["group_id", "record_type"])
+
+
+@query(f"SELECT file, pos FROM {LAY_SQL} QUALIFY row_number() OVER (PARTITION BY file ORDER BY pos) <= 5")
+def first_rows(spark, sf_dir):
+    return report.first_rows(layout_rows(spark, sf_dir), ["file"], ["pos"], 5).select("file", "pos")
+
+
+@query(f"SELECT pos, CASE WHEN redundant THEN NULL ELSE group_id END AS group_id FROM {GROUPED_SQL} JOIN ({BIJECTION_SQL}) USING (file)")
+def drop_group_ids(spark, sf_dir):
+    return layout.without_redundant_groups(grouped_rows(spark, sf_dir)).select("pos", "group_id")
+
+
 VERSIONS_SQL = """(SELECT r_regionkey AS region, 'old' AS version, NULL::DATE AS a, (DATE '1997-01-31' + to_months(r_regionkey::INT))::DATE AS b FROM region UNION ALL
     SELECT r_regionkey, 'mid', (DATE '1997-01-31' + to_months(r_regionkey::INT) + INTERVAL 1 DAY)::DATE, DATE '1999-06-30' FROM region UNION ALL SELECT r_regionkey, 'new', DATE '1999-06-01', NULL FROM region)"""
 
@@ -474,6 +490,13 @@ def month_coverage(spark, sf_dir):
     return out.withColumns({"min_start": day("min_start"), "max_end": day("max_end")})
 
 
+@query(f"SELECT series, count(*) AS attempted, count(*) FILTER (WHERE hit) AS obtained, count(*) FILTER (WHERE NOT hit) AS missed FROM {MISS_SQL} GROUP BY ROLLUP (series)")
+def manifest_rollup(spark, sf_dir):
+    expected, have = expected_with_links(spark, sf_dir)
+    linked = have.select(F.element_at(F.split("href", "/"), -1).alias("file_name"), F.lit(True).alias("linked")).distinct()
+    return report.manifest_counts(expected.join(linked, "file_name", "left").withColumn("hit", F.col("linked").isNotNull()))
+
+
 # Formats ------------------------------------------------------------------------------------------------------------
 
 FLAGS = ("max_length", "begin_end", "fmt", "description", "definition", "remarks", "element", "item")

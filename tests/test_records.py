@@ -145,3 +145,15 @@ def test_long_parse_and_work_list(spark):
 def test_scratch_is_new(spark):
     assert scratch(spark, "a") != scratch(spark, "a")
     assert lines.MEMBERS == (".txt", ".dat", ".csv")
+
+
+def test_reports(spark, tmp_path):
+    from recordlake.operators import report
+
+    df = spark.createDataFrame([("a", True, ["x", "y"]), ("a", False, []), ("b", True, None)], "series string, hit boolean, l array<string>")
+    got = {r["series"]: (r["attempted"], r["obtained"], r["missed"]) for r in report.manifest_counts(df).collect()}
+    assert got == {"a": (2, 1, 1), "b": (1, 1, 0), None: (3, 2, 1)}
+    report.write_report(df, f"{tmp_path}/r")
+    back = spark.read.option("header", True).csv(f"{tmp_path}/r")
+    assert sorted(r["l"] or "" for r in back.collect()) == ["", "", "x; y"]
+    assert [r["name"] for r in report.by_count(spark.createDataFrame([("b", 1), ("a", 1), ("c", 2)], "name string, n long")).collect()] == ["c", "a", "b"]
