@@ -141,11 +141,6 @@ def rolling(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def packed(values: np.ndarray, bounds: np.ndarray, kind=None) -> pa.Array:
-    """A list array over values."""
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values) if kind is None else pa.array(values, kind))
-
-
 def as_binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Runs of values as raw bytes, one binary per run."""
     values = np.ascontiguousarray(values)
