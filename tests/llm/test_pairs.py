@@ -181,6 +181,19 @@ def test_decontaminate(spark, tmp_path):
     assert left.columns == docs.columns and {200, 201, 202, 203}.isdisjoint({r["doc_id"] for r in left.collect()})
 
 
+def test_decontaminate_many_items(spark, tmp_path):
+    """Recall does not fall with the number of items, or with what stands around them."""
+    rng = np.random.default_rng(7)
+    take = lambda n, low, high: " ".join(f"w{k}" for k in rng.integers(low, high, n))
+    items = [(k, take(30, 0, 6000)) for k in range(1500)]
+    items += [(1500 + k, take(32, 6000, 6040)) for k in range(3)]  # common words
+    planted = items[:1500:7] + items[1500:]
+    rows = [(k, f"{take(70, 0, 6000)} {t} {take(70, 0, 6000)}") for k, t in planted]
+    rows += [(2000 + k, take(180, 0, 6000)) for k in range(50)] + [(3000 + k, take(300, 6000, 6040)) for k in range(60)]
+    got = decontaminate.contaminated(table(spark, tmp_path, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["item_id"]) for r in got if r["doc_id"] < 3000) == Counter({(k, k): 1 for k, _ in planted})
+
+
 def test_common_length():
     assert decontaminate.common_length(list("abcbdab"), list("bdcaba")) == 4
     assert decontaminate.common_length([], list("ab")) == 0
