@@ -194,6 +194,16 @@ def test_decontaminate_many_items(spark, tmp_path):
     assert Counter((r["doc_id"], r["item_id"]) for r in got if r["doc_id"] < 3000) == Counter({(k, k): 1 for k, _ in planted})
 
 
+def test_drop_contaminated_keys(spark, tmp_path):
+    """A contaminated text under a null or repeated id takes no other text with it."""
+    a = bench_rows()[0][1]
+    clean = [(None, "clean under a null id"), (None, "clean under a null id"), (None, None), (7, "clean under seven"), (7, ""), (8, "clean")]
+    docs = table(spark, tmp_path, [*clean, (None, "before " + a), (7, a + " after"), (7, a + " after"), (9, a)])
+    left = decontaminate.drop_contaminated(docs, spark.createDataFrame(bench_rows(), "item_id long, text string"))
+    assert left.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter(clean)
+
+
 def test_common_length():
     assert decontaminate.common_length(list("abcbdab"), list("bdcaba")) == 4
     assert decontaminate.common_length([], list("ab")) == 0
