@@ -18,12 +18,24 @@ BLOCK = frozenset(
 DROPPED = frozenset(
     "head title script style noscript template nav footer aside form button select option textarea input iframe object embed svg math canvas audio video dialog menu".split()
 )
-#: Words of a class, id or role that mark the same.
+#: Words of a class, id or role that mark the same; how they count is said at _judge.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted cookie cookies consent gdpr notice notices alert popup modal overlay sidebar"
     " aside rail widget menu menubar nav navbar navigation breadcrumb breadcrumbs toolbar footer masthead header comment comments reply replies disqus respond discussion related recommended share"
     " sharing social follow newsletter subscribe signup login pager pagination contentinfo complementary search".split()
 )
+#: Of these, words that prose is named by too: their elements go only if they are mostly links.
+COMMON = frozenset(
+    "aside banner consent discussion notice notices alert overlay rail widget menu navigation header masthead reply replies respond related recommended share sharing social follow"
+    " promo promotion promoted search".split()
+)
+COMMENTS = frozenset("comment comments reply replies disqus respond discussion".split())
+#: Points that a marked element loses, and the share of a page's text with which it stays: it is what the page is in.
+MARK_POINTS = 25.0
+MOST, MOST_COMMENTS = 0.5, 0.8
+#: Elements whose ids are anchors, made from titles; the first are text and go for a class of marks alone.
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre figcaption".split())
+ANCHORED = TEXT | {"section"}
 #: Words that make a class name a state of its element.
 STATES = frozenset("has no without with is not open closed enabled disabled free".split())
 HOLDS_TEXT = frozenset("p pre td th blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption div section article main body html".split())
@@ -36,29 +48,38 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
-_MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _COMMENT = re.compile(r"""["'\s](?:comment|reply)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "gone", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "kids", "gone", "marks", "score", "chars", "linked")
 
     def __init__(self, tag: str, parent: Node | None, gone: bool):
         self.tag, self.parent, self.gone = tag, parent, gone
         self.kids: list[Node | str] = []
+        self.marks: set[str] = set()
         self.score = BASE.get(tag, 0.0)
         self.chars = self.linked = 0
 
 
-def _marked(attrs: str, inside: bool) -> bool:
-    """A class, id or role says that the element is no main text; has-comments and the like say nothing of the kind."""
+def _marks(tag: str, attrs: str, inside: bool) -> set[str]:
+    """Words of a class, id or role by which the element may be no main text; has-comments and the like say nothing.
+
+    inside: within an article or main. There, and for text, an id is an anchor and a class counts if all of it is marks.
+    """
+    out: set[str] = set()
     for m in _MARK.finditer(attrs):
-        for name in (m[1] or m[2] or m[3] or "").split():
+        if m[1].lower() == "id" and (inside or tag in ANCHORED):
+            continue
+        for name in (m[2] or m[3] or m[4] or "").split():
             words = [w.lower() for w in _WORD.findall(name)]
-            if words and words[0] not in STATES and words[-1] not in STATES and any(w in MARKS and not (inside and w in ("header", "masthead")) for w in words):
-                return True
-    return False
+            if words and words[0] not in STATES and words[-1] not in STATES:
+                own = {w for w in words if w in MARKS and not (inside and w in ("header", "masthead"))}
+                if len(own) == len(set(words)) or not (inside or tag in TEXT):
+                    out |= own
+    return out
 
 
 def parse(html: str) -> Node:
@@ -103,8 +124,9 @@ def parse(html: str) -> Node:
             continue
         at = open_[-1]
         inside = any(x.tag in ("article", "main") for x in open_)
-        gone = at.gone or tag in DROPPED or (tag == "header" and not inside) or (tag not in ("body", "main") and _marked(m[4], inside) and (tag != "article" or _COMMENT.search(m[4]) is not None))
-        node = Node(tag, at, gone)
+        node = Node(tag, at, at.gone or tag in DROPPED or (tag == "header" and not inside))
+        if tag not in ("body", "main") and (tag != "article" or _COMMENT.search(m[4]) is not None):
+            node.marks = _marks(tag, m[4], inside)
         at.kids.append(node)
         if tag not in VOID and not m[4].rstrip().endswith("/"):
             open_.append(node)
@@ -134,10 +156,10 @@ def _own_text(node: Node) -> str:
     return " ".join("".join(out).split())
 
 
-def best_nodes(root: Node) -> list[Node]:
-    """The container of the main text and the siblings that belong to it, in page order."""
-    nodes = list(_walk(root))
+def _count(nodes: list[tuple[Node, bool]]) -> None:
+    """Characters of each node, and those of them in links."""
     for node, linked in reversed(nodes):  # children before parents
+        node.chars = node.linked = 0
         for k in node.kids:
             if isinstance(k, str):
                 n = len(k.strip())
@@ -146,6 +168,24 @@ def best_nodes(root: Node) -> list[Node]:
             elif not k.gone:
                 node.chars += k.chars
                 node.linked += k.linked
+
+
+def _judge(nodes: list[tuple[Node, bool]], total: int) -> None:
+    """Marked elements go, or lose points if prose has such names too; what holds most of the page is the page's frame."""
+    for node, _ in nodes:
+        if node.marks and node.chars <= (MOST_COMMENTS if node.marks & COMMENTS else MOST) * total:
+            node.gone = not node.marks <= COMMON or 2 * node.linked > node.chars
+            node.score -= MARK_POINTS
+
+
+def best_nodes(root: Node) -> list[Node]:
+    """The container of the main text and the siblings that belong to it, in page order."""
+    nodes = list(_walk(root))
+    _count(nodes)
+    if any(n.marks for n, _ in nodes):
+        _judge(nodes, root.chars)
+        nodes = list(_walk(root))
+        _count(nodes)
     scored = []
     for node, _ in nodes:
         if node.tag not in HOLDS_TEXT:

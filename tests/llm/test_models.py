@@ -232,6 +232,17 @@ def test_html():
     assert html_text.extract("<p>a < b &amp; c > d</p><script>x") == "a < b & c > d"
 
 
+def test_html_marks_in_names_of_prose():
+    """A word of a class or id does not take prose, or the whole page, away; menus and the like still go."""
+    prose = lambda k: f"<p>Part {k}, a sentence with commas, and a length that counts for something in the sum.</p>"
+    inner = f'{prose(1)}<h2 id="social-effects">Social effects</h2>{prose(2)}<p class="notice-period">Notice period, three months.</p><section id="discussion"><h2>Discussion</h2>{prose(3)}</section><div class="search-results">{prose(4)}</div>'
+    links = '<div class="related">' + "<a href=x>other page</a> " * 9 + '</div><div class="ad">Buy now</div>'
+    for page in (f"<article>{inner}{links}</article>", f"<div>{inner}{links}</div>", f'<div class="main-sidebar-layout"><div>{inner}{links}</div></div>', f'<div id="search">{inner}{links}</div><p>x</p>'):
+        got = html_text.extract(f"<body>{page}</body>")
+        assert [f"Part {k}," in got for k in (1, 2, 3, 4)] == [True] * 4
+        assert all(x in got for x in ("Social effects", "Notice period", "Discussion")) and "other page" not in got and "Buy" not in got
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (None, "v", "", "x"), (1, "u", PAGE, "x"), (3, "w", "<p>" + "long, text " * 50000, "x")]
     got = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
