@@ -23,40 +23,62 @@ def suffix_order(codes: np.ndarray, longest: int) -> np.ndarray:
     return order
 
 
+class Bits:
+    """A bit vector with ranks. Its 64-bit words are stored once each, with a code at each place, where that is shorter,
+    as in the long runs that a BWT has; counts stand at every eighth word, and from there in 16 bits."""
+
+    def __init__(self, bit: np.ndarray):
+        words = np.packbits(np.append(bit, np.zeros(128 - len(bit) % 64, bool)), bitorder="little").view(np.uint64)
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
+        self.far = ones[:-1:8].copy()
+        self.near = (ones[:-1] - np.repeat(self.far, 8)[: len(words)]).astype(np.uint16)
+        some, code = np.unique(words, return_inverse=True)
+        kind = np.uint8 if len(some) <= 1 << 8 else np.uint16 if len(some) <= 1 << 16 else np.uint32
+        self.code = None
+        if 8 * len(some) + np.dtype(kind).itemsize * len(words) < 8 * len(words):
+            words, self.code = some, code.astype(kind)
+        self.words = words
+
+    def nbytes(self) -> int:
+        return self.words.nbytes + self.far.nbytes + self.near.nbytes + (0 if self.code is None else self.code.nbytes)
+
+    def ones(self, i: np.ndarray) -> np.ndarray:
+        """Ones before each place."""
+        word = i >> 6
+        low = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
+        own = self.words[word if self.code is None else self.code[word]]
+        return self.far[word >> 3] + self.near[word] + np.bitwise_count(own & low)
+
+
 class WaveletMatrix:
-    """Ranks of symbols in a sequence: a bit vector for each bit of a symbol, with counts at every 64th place."""
+    """Ranks of symbols in a sequence: a bit vector for each bit of a symbol."""
 
     def __init__(self, symbols: np.ndarray, sigma: int):
         self.levels = max(1, int(sigma - 1).bit_length())
-        self.words, self.before, self.zeros = [], [], []
+        self.bits, self.zeros = [], []
         s = symbols.astype(np.int64)
         for level in range(self.levels - 1, -1, -1):
             bit = ((s >> level) & 1).astype(bool)
-            packed = np.packbits(np.append(bit, np.zeros(128 - len(bit) % 64, bool)), bitorder="little").view(np.uint64)
-            self.words.append(packed)
-            self.before.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)]))
+            self.bits.append(Bits(bit))
             self.zeros.append(int(len(bit) - bit.sum()))
             s = np.concatenate([s[~bit], s[bit]])
-        self.first: np.ndarray | None = None
-
-    def _ones(self, level: int, i: np.ndarray) -> np.ndarray:
-        word = i >> 6
-        low = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[level][word] + np.bitwise_count(self.words[level][word] & low)
 
     def descend(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
         """Place of i after all levels on the way of symbol c; descend(c, i) - descend(c, 0) is the rank of c before i."""
         for k in range(self.levels):
             one = (c >> (self.levels - 1 - k)) & 1 == 1
-            ones = self._ones(k, i)
+            ones = self.bits[k].ones(i)
             i = np.where(one, self.zeros[k] + ones, i - ones)
         return i
 
 
 class FmIndex:
-    """Index of several runs of codes (1 to sigma - 1), each ended by a symbol of its own that no pattern holds."""
+    """Index of several runs of codes (1 to sigma - 1), each ended by a symbol of its own that no pattern holds.
 
-    def __init__(self, codes: np.ndarray, bounds: np.ndarray, sigma: int | None = None):
+    weights: how often each run is there; it is indexed once and counted so often.
+    """
+
+    def __init__(self, codes: np.ndarray, bounds: np.ndarray, sigma: int | None = None, weights: np.ndarray | None = None):
         runs = len(bounds) - 1
         sizes = np.diff(bounds)
         text = np.insert(codes.astype(np.int64) + runs, bounds[1:], np.arange(runs))
@@ -68,9 +90,15 @@ class FmIndex:
         n = np.bincount(bwt, minlength=self.sigma)
         self.starts = np.concatenate([[0], np.cumsum(n)])
         self.n = len(text)
+        run = np.repeat(np.arange(runs), sizes + 1)[order]
+        self.times = np.concatenate([[0], np.cumsum(np.ones(runs, np.int64)[run] if weights is None else weights[run])])
         every = np.arange(self.sigma)
         self.zero = self.wavelet.descend(every, np.zeros(self.sigma, np.int64))
 
+    def count(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """How often the patterns of these suffix ranges occur."""
+        return self.times[hi] - self.times[lo]
+
     def extend(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix ranges of the patterns with symbol c put before them."""
         base = self.starts[c] - self.zero[c]
@@ -93,7 +121,7 @@ def repeated_windows(index: FmIndex, codes: np.ndarray, bounds: np.ndarray, size
     starts, ends = [], []
     while len(live):
         l1, h1 = index.extend(codes[base[live] + pos[live] - 1].astype(np.int64), lo[live], hi[live])
-        ok = h1 - l1 >= least
+        ok = index.count(l1, h1) >= least
         on = live[ok]
         lo[on], hi[on] = l1[ok], h1[ok]
         pos[on] -= 1

@@ -17,8 +17,10 @@ from .fm_index import FmIndex, repeated_windows
 WINDOW = 35
 #: Words of the pieces whose hashes deal windows to shards.
 PIECE = 8
-#: Words that one index holds; a shard of more is indexed and searched in parts.
+#: Words that one index holds, about.
 SHARD_WORDS = 1_000_000
+#: Words of different segments under one key beyond which its windows are dealt by their own hashes.
+HOT_WORDS = 1 << 18
 _U = np.uint64
 _PLACE = 26
 
@@ -68,43 +70,76 @@ def _content(h: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray
 
 
 def search_shard(rows: pa.Table, window: int) -> pa.Table:
-    """(key, content, first, last): runs of repeated windows of the segments that ask, as places in them.
+    """(key, content, first, last): runs of windows of the shard's segments that occur more than once, as places in them.
 
-    rows: text of segments, whether they are in the index and whether they ask. In the shard's own part an asking
-    segment is in the index itself, and a window of it is repeated if it occurs twice there, else if it occurs at all.
+    Each segment is in the index once, with the number of its copies as weight, and streams through it backward.
     """
     w = Words(rows["text"].combine_chunks())
-    held, asks = rows["held"].to_numpy(zero_copy_only=False), rows["asks"].to_numpy(zero_copy_only=False)
-    own = bool((held & asks).any()) or rows["part_i"][0].as_py() == rows["part_j"][0].as_py()
-    codes = w.codes.astype(np.int64) + 1
-    counts = w.counts
-
-    def chosen(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return codes[np.repeat(flag, counts)], np.concatenate([[0], np.cumsum(counts[flag])])
-
-    asking = np.flatnonzero(asks)
-    found_at: list[list] = [[], [], []]
-    if held.any() and len(asking):
-        index = FmIndex(*chosen(held), sigma=len(w.vocab) + 1)
-        c, b = chosen(asks)
-        hit = repeated_windows(index, c, b, window, 2 if own else 1)
-        edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
-        s, e = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
-        seg = np.searchsorted(b, s, side="right") - 1
-        found_at = [asking[seg], s - b[seg], e - b[seg]]
-    who = pa.array(np.asarray(found_at[0], np.int64))
-    return pa.table({"key": rows["key"].take(who), "content": rows["content"].take(who), "first": pa.array(np.asarray(found_at[1], np.int32)), "last": pa.array(np.asarray(found_at[2], np.int32))})
-
-
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, piece: int = PIECE, shard_words: int = SHARD_WORDS) -> DataFrame:
+    codes, bounds = w.codes.astype(np.int64) + 1, w.bounds
+    index = FmIndex(codes, bounds, sigma=len(w.vocab) + 1, weights=rows["copies"].to_numpy())
+    hit = repeated_windows(index, codes, bounds, window, 2)
+    edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
+    s, e = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+    seg = np.searchsorted(bounds, s, side="right") - 1
+    who = pa.array(seg)
+    return pa.table({"key": rows["key"].take(who), "content": rows["content"].take(who), "first": pa.array((s - bounds[seg]).astype(np.int32)), "last": pa.array((e - bounds[seg]).astype(np.int32))})
+
+
+def _quoted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted (key, content, copies, id, th, start, length) with the words of the text there, one row for each (key, content)."""
+    kind = dict(texts.dtypes)["id"]
+    lists = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("start", "length", "key", "content", "copies")).alias("s")).withColumnsRenamed({"id": "_id", "th": "_th"})
+    taken = texts.join(lists, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("id", "th", "text", "s")
+
+    def quoted(batches):
+        for batch in batches:
+            for at, part in slices(batch.column(2)):
+                w = Words(part)
+                own = batch.column(3).slice(at, len(part))
+                row = pc.list_parent_indices(own).to_numpy()
+                s = own.flatten()
+                start, length = (s.field(c).to_numpy() for c in ("start", "length"))
+                begin = w.bounds[row] + start
+                take = np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum()) if len(row) else np.empty(0, np.int64)
+                words = w.vocab.take(pa.array(w.codes[take]))
+                text = pc.binary_join(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(length)]).astype(np.int32), words), " ")
+                ids = (batch.column(c).slice(at, len(part)).take(pa.array(row)) for c in (0, 1))
+                yield pa.RecordBatch.from_arrays([s.field("key"), s.field("content"), s.field("copies"), *ids, s.field("start"), text], ["key", "content", "copies", "id", "th", "start", "text"])
+
+    return taken.mapInArrow(quoted, f"key long, content long, copies long, id {kind}, th long, start int, text string").dropDuplicates(["key", "content"])
+
+
+def _windows(quotes: DataFrame, window: int) -> DataFrame:
+    """The windows of segments: (key, content) are two hashes of a window, (of_key, of_content, offset) where it is, and a place in a text."""
+    kind = dict(quotes.dtypes)["id"]
+
+    def cut(batches):
+        for batch in batches:
+            for at, part in slices(batch.column(6)):
+                w = Words(part)
+                h = w.hashes()[w.codes]
+                row, one = w.rows(), rolling(h, window)
+                two = rolling(mix(h), window)
+                at_ = np.flatnonzero(row[: len(one)] == row[window - 1 :]) if len(one) else np.empty(0, np.int64)
+                own = pa.array(row[at_])
+                offset = (at_ - w.bounds[row[at_]]).astype(np.int32)
+                key, content, copies, id_, th, start = (batch.column(k).slice(at, len(part)).take(own) for k in range(6))
+                yield pa.RecordBatch.from_arrays([pa.array(one[at_].view(np.int64)), pa.array(two[at_].view(np.int64)), key, content, pa.array(offset), copies, id_, th, pc.add(start, pa.array(offset))], ["key", "content", "of_key", "of_content", "offset", "copies", "id", "th", "start"])
+
+    return quotes.select("key", "content", "copies", "id", "th", "start", "text").mapInArrow(cut, f"key long, content long, of_key long, of_content long, offset int, copies long, id {kind}, th long, start int")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, piece: int = PIECE, shard_words: int = SHARD_WORDS, hot_words: int = HOT_WORDS) -> DataFrame:
     """doc_id, text_hash, spans: for each document with repeated windows the runs of words that they cover.
 
     1. Every window of each text goes to the key of its least piece. Keys that occur once are done with.
-    2. Segments of the same key and words are merged; those that occur more than once are repeated as a whole.
-    3. Shards of keys are indexed (FmIndex), with every different segment once. Each segment that occurs once streams
-       through the index of its shard by backward search, which yields the windows of it that occur elsewhere.
+    2. Segments of the same key and words are merged, with the number of their copies.
+    3. Shards of keys are indexed (FmIndex), every different segment once and weighted by its copies. Each segment
+       streams through the index of its shard by backward search, which yields the windows of it that occur again.
     4. Runs of repeated windows return to all places of their segments.
-    A shard of more than shard_words is split into parts by content, and each part streams through the index of each.
+    Hashes only say which windows meet in an index. A key whose segments have more than hot_words, such as a passage
+    within many different texts, would fill an index alone: the windows of its segments are dealt by their own hashes
+    instead, those that occur once are done with, and the others are indexed and searched as segments of one window.
     """
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("th"), F.col(text_col).alias("text"))
@@ -128,49 +163,27 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     met = stored(places.join(shared, "key", "left_semi"), "fm-met")  # of two tables, so that a hot key can be split
     for old in (places, shared):
         discard(old)
-    one = F.min(F.struct("id", "th", "start")).alias("at")
-    kinds = stored(met.groupBy("key", "content", "length").agg(F.count(F.lit(1)).alias("copies"), one), "fm-kinds")
-    # keys with a single kind of segment have no other windows; the rest are indexed
-    mixed = kinds.groupBy("key").agg(F.sum("length").alias("words"), F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("key", "words")
-    total = mixed.agg(F.sum("words")).first()[0] or 0
-    shards = max(1, math.ceil(total / shard_words))
-    wanted = kinds.join(mixed, "key").select("at.id", "at.th", F.struct("at.start", "length", "key", "content", "copies", "words").alias("s"))
-    wanted = wanted.groupBy("id", "th").agg(F.collect_list("s").alias("s"))
-    wanted = wanted.withColumnsRenamed({"id": "_id", "th": "_th"})
-    taken = texts.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "s")
-
-    def quoted(batches):
-        for batch in batches:
-            for at, part in slices(batch.column(0)):
-                w = Words(part)
-                flat = pa.ListArray.from_arrays(w.bounds.astype(np.int32), w.vocab.take(pa.array(w.codes)))
-                lists = batch.column(1).slice(at, len(part))
-                row = pc.list_parent_indices(lists).to_numpy()
-                s = lists.flatten()
-                start, length = (s.field(c).to_numpy() for c in ("start", "length"))
-                begin = w.bounds[row] + start
-                take = np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum()) if len(row) else np.empty(0, np.int64)
-                words = flat.values.take(pa.array(take))
-                text = pc.binary_join(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(length)]).astype(np.int32), words), " ")
-                yield pa.RecordBatch.from_arrays([s.field("key"), s.field("content"), s.field("copies"), s.field("words"), text], ["key", "content", "copies", "words", "text"])
-
-    quotes = taken.mapInArrow(quoted, "key long, content long, copies long, words long, text string").dropDuplicates(["key", "content"])
-    parts = F.ceil(F.col("words") / shard_words).cast("int")
-    mine = F.pmod(F.xxhash64("content"), parts).cast("int")
-    quotes = quotes.withColumn("parts", parts).withColumn("mine", mine).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    big = F.col("parts") > 1
-    pairs = F.when(big, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0)))
-    quotes = quotes.withColumn("other", F.explode(pairs))
-    asks = F.col("copies") == 1  # those of more copies are repeated anyway
-    group = F.when(big, F.col("key")).otherwise(F.col("shard")).alias("shard")
-    index_side = quotes.select(group, "key", "content", "text", F.col("mine").alias("part_i"), F.col("other").alias("part_j"), F.lit(True).alias("held"), (asks & (F.col("mine") == F.col("other"))).alias("asks"))
-    ask_side = quotes.filter(asks & (F.col("mine") != F.col("other"))).select(group, "key", "content", "text", F.col("other").alias("part_i"), F.col("mine").alias("part_j"), F.lit(False).alias("held"), F.lit(True).alias("asks"))
-    dealt = index_side.unionAll(ask_side)
-    found = dealt.groupBy("shard", "part_i", "part_j").applyInArrow(lambda t: search_shard(t, window), "key long, content long, first int, last int")
-    whole = kinds.filter("copies > 1").select("key", "content", F.lit(0).alias("first"), (F.col("length") - window).alias("last"))
-    spans = stored(found.unionAll(whole), "fm-spans")
-    back = met.join(spans, ["key", "content"])
-    spans_of = back.groupBy("id", "th").agg(F.collect_list(F.struct((F.col("start") + F.col("first")).alias("from"), (F.col("start") + F.col("last") + window).alias("to"))).alias("spans"))
+    kinds = met.groupBy("key", "content", "length").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "th", "start")).alias("at"))
+    kinds = stored(kinds.select("key", "content", "length", "copies", "at.*"), "fm-kinds")
+    by_key = kinds.groupBy("key").agg(F.sum("length").alias("words"))
+    hot = stored(by_key.filter(F.col("words") > hot_words).select("key"), "fm-hot")
+    plain, windows, dealt = kinds, None, None
+    if not hot.isEmpty():
+        plain = kinds.join(hot, "key", "left_anti")
+        windows = stored(_windows(_quoted(texts, kinds.join(hot, "key", "left_semi")), window), "fm-windows")
+        again = windows.groupBy("key", "content").agg(F.sum("copies").alias("copies"), F.min(F.struct("id", "th", "start")).alias("at")).filter("copies > 1")
+        dealt = _quoted(texts, again.select("key", "content", F.lit(window).alias("length"), "copies", "at.*"))
+    total = plain.agg(F.sum("length")).first()[0] or 0
+    shards = F.pmod(F.xxhash64("key"), F.lit(max(1, math.ceil(total / shard_words))))
+    quotes = _quoted(texts, plain)
+    search = lambda q: q.select(shards.alias("shard"), "key", "content", "copies", "text").groupBy("shard").applyInArrow(lambda t: search_shard(t, window), "key long, content long, first int, last int")
+    found = search(quotes)
+    if dealt is not None:
+        own = search(dealt).select("key", "content").join(windows, ["key", "content"])
+        found = found.unionAll(own.select(F.col("of_key").alias("key"), F.col("of_content").alias("content"), F.col("offset").alias("first"), F.col("offset").alias("last")))
+    spans = stored(found, "fm-spans")
+    back = met.join(spans, ["key", "content"]).select("id", "th", (F.col("start") + F.col("first")).alias("from"), (F.col("start") + F.col("last") + window).alias("to")).distinct()
+    spans_of = back.groupBy("id", "th").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     return spans_of.withColumnsRenamed({"id": "doc_id", "th": "text_hash"})
 
 
