@@ -2,76 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, stored
 
-#: The directory never has more than 2 ** MAX_DEPTH slots, so it can be broadcast.
-MAX_DEPTH = 12
-#: Distinct keys that a bucket holds before it is split.
+#: Texts that a bucket holds before it is split.
 BUCKET_KEYS = 4096
+#: The directory has at most 2 ** TOP_BITS pages; a page has a number for each of its slots.
+TOP_BITS = 12
+#: Bits beyond those that buckets of even size need, to which a bucket can be split.
+SLACK = 6
+
 
+def _slot(bits: int) -> Column:
+    """The first bits of a key."""
+    return F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
 
-def grow_directory(keys_by_slot: dict[int, int], bucket_keys: int, max_depth: int) -> tuple[int, list[tuple[int, int, int]]]:
-    """Depth of the directory, and a (slot, bucket, local depth) for each of its slots.
 
-    keys_by_slot counts distinct keys by the first max_depth bits of their hash. A bucket with more than bucket_keys
-    is split by its next bit, and the directory doubles when a bucket is deeper than it. A bucket at max_depth is
-    split no more: its keys chain.
+class Directory:
+    """Where the bucket of a key is: pages of local depths, by the first bits of the key, and within a page by the next.
+
+    The directory doubles, from one slot, as long as a bucket has more than bucket_keys of the keys and so is split by
+    its next bit. It is a table: sums by prefix say for each slot at which depth its bucket is no longer too full.
+    Equal keys cannot be split; they chain. It has a number for about each bucket_keys / 2 keys, which are broadcast.
     """
-    depth, done, open_ = 0, [], [(0, 0)]  # (prefix, local depth)
-    while open_:
-        prefix, local = open_.pop()
-        low, high = prefix << (max_depth - local), (prefix + 1) << (max_depth - local)
-        if local == max_depth or sum(n for s, n in keys_by_slot.items() if low <= s < high) <= bucket_keys:
-            done.append((low, local))
-            depth = max(depth, local)
-        else:
-            open_ += [(2 * prefix + 1, local + 1), (2 * prefix, local + 1)]
-    slots = []
-    for bucket, (low, local) in enumerate(sorted(done)):
-        first = low >> (max_depth - depth)
-        slots += [(s, bucket, local) for s in range(first, first + (1 << (depth - local)))]
-    return depth, slots
-
-
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_keys: int = BUCKET_KEYS, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256, bucket of each row: texts are equal when their bytes are.
-
-    The key is a 64-bit hash of the text. A first pass counts distinct keys by leading bits; from these counts, at
-    most 2 ** max_depth, the directory grows by doubling until no bucket holds more than bucket_keys. The second pass
-    groups rows by (bucket, key, text): rows of a key whose bytes differ become chained entries of their own, and
-    copies are merged before the shuffle, so that a text with any number of copies costs a row per map task. Owner
-    tasks hold ranges of keys and write them to the shared folder; every row then looks its entry up.
+
+    def __init__(self, keys: DataFrame, bucket_keys: int = BUCKET_KEYS, top_bits: int = TOP_BITS):
+        spark = keys.sparkSession
+        total = keys.count()
+        fine = min(60, math.ceil(math.log2(total / bucket_keys)) + SLACK) if total > bucket_keys else 0
+        counts = keys.groupBy(_slot(fine).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+        prefixes = counts.select("slot", "n", F.explode(F.sequence(F.lit(0), F.lit(fine))).alias("local"))
+        prefixes = stored(prefixes.withColumn("prefix", F.expr(f"shiftrightunsigned(slot, {fine} - local)")), "dedup-prefixes")
+        fits = prefixes.groupBy("local", "prefix").agg(F.sum("n").alias("total")).filter((F.col("total") <= bucket_keys) | (F.col("local") == fine))
+        slots = stored(prefixes.join(fits, ["local", "prefix"]).groupBy("slot").agg(F.min("local").alias("local")), "dedup-slots")
+        self.depth = slots.agg(F.max("local")).first()[0] or 0
+        self.top = min(self.depth, top_bits)
+        self.page_bits = self.depth - self.top
+        own = slots.groupBy(F.shiftrightunsigned("slot", fine - self.depth).alias("slot")).agg(F.min("local").alias("local"))
+        every = spark.range(1 << self.depth).withColumnRenamed("id", "slot").join(own, "slot", "left")
+        page = F.transform(F.array_sort(F.collect_list(F.struct("slot", F.coalesce("local", F.lit(self.depth)).alias("local")))), lambda x: x["local"])
+        self.pages = stored(every.groupBy(F.shiftrightunsigned("slot", self.page_bits).alias("page_no")).agg(page.alias("page")), "dedup-directory")
+
+    def located(self, keys: DataFrame) -> DataFrame:
+        """keys with bucket, which the directory says: the prefix of the key at the depth of its bucket, after a 1."""
+        found = keys.withColumn("page_no", _slot(self.top)).join(F.broadcast(self.pages), "page_no")  # at most 2 ** top_bits pages
+        place = F.when(F.lit(self.page_bits == 0), F.lit(0)).otherwise(F.shiftrightunsigned("h", 64 - max(self.depth, 1)).bitwiseAND(F.lit((1 << self.page_bits) - 1)))
+        found = found.withColumn("_local", F.get("page", place.cast("int")))
+        bucket = F.when(F.col("_local") == 0, F.lit(1)).otherwise(F.expr("shiftleft(1L, _local) | shiftrightunsigned(h, 64 - _local)"))
+        return found.withColumn("bucket", bucket.cast("long")).drop("page_no", "page", "_local")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_keys: int = BUCKET_KEYS, top_bits: int = TOP_BITS, hash_bits: int = 64) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256, bucket, chain of each row: texts are equal when their bytes are.
+
+    The key is a hash of the text, its first hash_bits bits. Copies are merged before the only shuffle that texts go
+    through, by key and bytes, so that a text with any number of copies costs a row per map task. The Directory grows
+    over the keys of the distinct texts; owner tasks hold ranges of buckets and write them, chained by key, as files of
+    the index. Every row then looks its key up: the directory says the bucket, the bucket's file the chain. A chain of
+    one entry is the row's own, since the row is in the index; in longer chains, where keys collide, bytes are compared.
 
     A null text counts as empty. A null id is less than any other; rows of null ids only have keep_id null and say
-    kept. Rows that repeat an id and its text are one document given again and get equal rows. Other columns are not
-    read. No rows give no rows.
+    kept. Rows that repeat an id and its text are one document given again and get equal rows. Very long texts are
+    compared whole. Other columns are not read, whatever their names. No rows give no rows.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    hashed = rows.withColumn("h", F.xxhash64("text"))
-    entries = stored(hashed.select("doc_id", "h", F.unhex(F.sha2("text", 256)).alias("sha")), "dedup-entries")
-    slot = lambda bits: F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
-    by_slot = entries.select("h").distinct().groupBy(slot(max_depth).alias("slot")).count()
-    depth, slots = grow_directory({r["slot"]: r["count"] for r in by_slot.collect()}, bucket_keys, max_depth)  # at most 2 ** max_depth rows
-    directory = F.broadcast(spark.createDataFrame(slots, "slot long, bucket int, local_depth int"))
-    chains = (
-        hashed.withColumn("slot", slot(depth))
-        .join(directory, "slot")
-        .groupBy("bucket", "h", "text")
-        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("bucket", "h", F.unhex(F.sha2("text", 256)).alias("sha"), "keep_id", "group_size")
-    )
+    key = F.xxhash64("text") if hash_bits == 64 else F.shiftleft(F.shiftrightunsigned(F.xxhash64("text"), 64 - hash_bits), 64 - hash_bits)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", key)
+    merged = rows.groupBy("h", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    merged = stored(merged.select("h", F.unhex(F.sha2("text", 256)).alias("sha"), "keep_id", "group_size"), "dedup-texts")
+    directory = Directory(merged.select("h"), bucket_keys, top_bits)
     owners = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    index = chains.repartitionByRange(owners, "bucket", "h").withColumn("chain", F.row_number().over(Window.partitionBy("bucket", "h").orderBy("sha")))
+    chained = Window.partitionBy("bucket", "h")
+    index = directory.located(merged).repartitionByRange(owners, "bucket", "h")
+    index = index.withColumns({"chain": F.row_number().over(chained.orderBy("sha")), "length": F.count(F.lit(1)).over(chained)})
     index = stored(index, "dedup-index")
-    found = entries.join(index, ["h", "sha"])
-    return found.select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "bucket", "chain"
-    )
+    met = directory.located(rows.select("doc_id", "h")).join(index, ["bucket", "h"])
+    out = ("doc_id", "keep_id", "group_size", "sha", "bucket", "chain")
+    collided = index.filter("length > 1")
+    texts = rows.join(collided.select("h").distinct(), "h", "left_semi").select("h", "text").distinct()  # the bytes of those that collide
+    entries = texts.withColumn("sha", F.unhex(F.sha2("text", 256))).join(collided, ["h", "sha"]).drop("bucket")
+    told = directory.located(rows.join(entries, ["h", "text"]))
+    found = met.filter("length = 1").select(*out).unionAll(told.select(*out))
+    return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "bucket", "chain")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
