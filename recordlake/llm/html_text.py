@@ -24,11 +24,14 @@ MARKS = frozenset(
     " aside rail widget menu menubar nav navbar navigation breadcrumb breadcrumbs toolbar footer masthead header comment comments reply replies disqus respond discussion related recommended share"
     " sharing social follow newsletter subscribe signup login pager pagination contentinfo complementary search".split()
 )
-#: Of these, words that prose is named by too: their elements go only if they are mostly links.
+#: Of these, words that prose is named by too: their elements go only if they are mostly links or hold no sentence.
 COMMON = frozenset(
     "aside banner consent discussion notice notices alert overlay rail widget menu navigation header masthead reply replies respond related recommended share sharing social follow"
     " promo promotion promoted search".split()
 )
+#: Of these again, words that name a box of no article, where they are all of a class or id.
+NOTICES = frozenset("notice notices alert consent banner overlay promo promotion promoted".split())
+BOX = "a notice by all of its name"
 COMMENTS = frozenset("comment comments reply replies disqus respond discussion".split())
 #: Points that a marked element loses, and the share of a page's text with which it stays: it is what the page is in.
 MARK_POINTS = 25.0
@@ -36,6 +39,7 @@ MOST, MOST_COMMENTS = 0.5, 0.8
 #: Elements whose ids are anchors, made from titles; the first are text and go for a class of marks alone.
 TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre figcaption".split())
 ANCHORED = TEXT | {"section"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words that make a class name a state of its element.
 STATES = frozenset("has no without with is not open closed enabled disabled free".split())
 HOLDS_TEXT = frozenset("p pre td th blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption div section article main body html".split())
@@ -43,25 +47,28 @@ BASE = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "pre": 3.0, "
 #: A start tag of the key ends an open element of the value, up to the nearest of its bounds.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(script|style|textarea|noscript|template)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+#: A start or end tag; a quote counts after an equals sign. The loose form, for markup whose quotes do not end, ends at the next >.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+)>""")
+_LOOSE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>")
+_NAMED = re.compile(r"</?[a-zA-Z]")
+#: Elements whose contents are no markup, and where they end.
+_RAW = {t: re.compile(rf"</{t}\s*+>", re.I) for t in ("script", "style", "textarea", "noscript", "template")}
+_STOP = re.compile(r"[.!?…](?:[\s\"'”’)]|$)")
 _MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _COMMENT = re.compile(r"""["'\s](?:comment|reply)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "gone", "marks", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "kids", "gone", "inside", "marks", "score", "chars", "linked", "stops")
 
     def __init__(self, tag: str, parent: Node | None, gone: bool):
         self.tag, self.parent, self.gone = tag, parent, gone
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
         self.kids: list[Node | str] = []
         self.marks: set[str] = set()
         self.score = BASE.get(tag, 0.0)
-        self.chars = self.linked = 0
+        self.chars = self.linked = self.stops = 0
 
 
 def _marks(tag: str, attrs: str, inside: bool) -> set[str]:
@@ -77,61 +84,102 @@ def _marks(tag: str, attrs: str, inside: bool) -> set[str]:
             words = [w.lower() for w in _WORD.findall(name)]
             if words and words[0] not in STATES and words[-1] not in STATES:
                 own = {w for w in words if w in MARKS and not (inside and w in ("header", "masthead"))}
-                if len(own) == len(set(words)) or not (inside or tag in TEXT):
+                whole = len(own) == len(set(words))
+                if whole or not (inside or tag in TEXT):
                     out |= own
+                if whole and own & NOTICES:
+                    out.add(BOX)
     return out
 
 
+def _tokens(html: str):
+    """(text, tag, whether it ends, attributes) of runs of text and of tags, in one pass however the markup is broken.
+
+    Comments, declarations and what scripts and the like hold are left out. Where no > is left, the rest is text; a
+    comment or script that does not end takes the rest.
+    """
+    at = text = 0
+    tag = _TAG
+    while (lt := html.find("<", at)) >= 0:
+        end = None
+        if html.startswith("<!--", lt):
+            stop = html.find("-->", lt + 4)
+            end, name = (stop + 3 if stop >= 0 else len(html)), None
+        elif html.startswith(("<!", "<?"), lt):
+            stop = html.find(">", lt)
+            if stop < 0:
+                break
+            end, name = stop + 1, None
+        elif _NAMED.match(html, lt):
+            m = tag.match(html, lt)
+            if m is None:
+                if html.find(">", lt) < 0:
+                    break
+                tag = _LOOSE  # read to the end in vain once, and never again
+                m = tag.match(html, lt)
+            end, name, shut, attrs = m.end(), m[2].lower(), bool(m[1]), m[3]
+        if end is None:
+            at = lt + 1
+            continue
+        if lt > text:
+            yield html[text:lt], None, False, ""
+        if name:
+            if not shut and name in _RAW:
+                stop = _RAW[name].search(html, end)
+                end = stop.end() if stop else len(html)
+            else:
+                yield "", name, shut, attrs
+        at = text = end
+    if text < len(html):
+        yield html[text:], None, False, ""
+
+
 def parse(html: str) -> Node:
-    """A tree that closes what authors leave open: paragraphs at the next block, items at the next item."""
+    """A tree that closes what authors leave open: paragraphs at the next block, items at the next item.
+
+    Where elements of a tag and blocks are open is kept by place, so that no step searches the open ones.
+    """
     root = Node("html", None, False)
-    at, open_, last = root, [root], 0
+    open_: list[Node] = [root]
+    at: dict[str, list[int]] = {}
+    blocks: list[int] = []
 
     def shut(k: int) -> None:
-        del open_[k:]
-
-    for m in _TOKEN.finditer(html):
-        if m.start() > last:
-            open_[-1].kids.append(_html.unescape(html[last : m.start()]))
-        last = m.end()
-        tag = (m[3] or "").lower()
-        if not tag:
+        while len(open_) > k:
+            tag = open_.pop().tag
+            at[tag].pop()
+            if tag in BLOCK:
+                blocks.pop()
+
+    nearest = lambda tags: max((at[t][-1] for t in tags if at.get(t)), default=0)
+    for text, tag, ends, attrs in _tokens(html):
+        if tag is None:
+            open_[-1].kids.append(_html.unescape(text))
             continue
-        if m[2]:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag == tag:
-                    shut(k)
-                    break
-                if tag not in BLOCK and open_[k].tag in BLOCK:
-                    break
+        if ends:
+            k = nearest((tag,))
+            if k and (tag in BLOCK or not blocks or k > blocks[-1]):
+                shut(k)
             continue
-        if tag in BLOCK:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag == "p":
-                    shut(k)
-                    break
-                if open_[k].tag in BLOCK:
-                    break
+        if tag in BLOCK and blocks and open_[blocks[-1]].tag == "p":
+            shut(blocks[-1])
         if tag in CLOSES:
-            ends, bounds = CLOSES[tag]
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag in bounds:
-                    break
-                if open_[k].tag in ends:
-                    shut(k)
-                    break
-        if tag in ("html", "body") and (tag == "html" or any(x.tag == "body" for x in open_)):
+            mine, bounds = (nearest(x) for x in CLOSES[tag])
+            if mine > bounds:
+                shut(mine)
+        if tag == "html" or (tag == "body" and at.get("body")):
             continue
-        at = open_[-1]
-        inside = any(x.tag in ("article", "main") for x in open_)
-        node = Node(tag, at, at.gone or tag in DROPPED or (tag == "header" and not inside))
-        if tag not in ("body", "main") and (tag != "article" or _COMMENT.search(m[4]) is not None):
-            node.marks = _marks(tag, m[4], inside)
-        at.kids.append(node)
-        if tag not in VOID and not m[4].rstrip().endswith("/"):
+        up = open_[-1]
+        node = Node(tag, up, up.gone or tag in DROPPED)
+        node.gone = node.gone or (tag == "header" and not node.inside)
+        if tag not in ("body", "main") and (tag != "article" or _COMMENT.search(attrs) is not None):
+            node.marks = _marks(tag, attrs, node.inside)
+        up.kids.append(node)
+        if tag not in VOID and not attrs.rstrip().endswith("/"):
+            at.setdefault(tag, []).append(len(open_))
+            if tag in BLOCK:
+                blocks.append(len(open_))
             open_.append(node)
-    if last < len(html):
-        open_[-1].kids.append(_html.unescape(html[last:]))
     return root
 
 
@@ -157,24 +205,26 @@ def _own_text(node: Node) -> str:
 
 
 def _count(nodes: list[tuple[Node, bool]]) -> None:
-    """Characters of each node, and those of them in links."""
+    """Characters of each node, those of them in links, and ends of sentences."""
     for node, linked in reversed(nodes):  # children before parents
-        node.chars = node.linked = 0
+        node.chars = node.linked = node.stops = 0
         for k in node.kids:
             if isinstance(k, str):
                 n = len(k.strip())
                 node.chars += n
                 node.linked += n if linked else 0
+                node.stops += len(_STOP.findall(k))
             elif not k.gone:
                 node.chars += k.chars
                 node.linked += k.linked
+                node.stops += k.stops
 
 
 def _judge(nodes: list[tuple[Node, bool]], total: int) -> None:
     """Marked elements go, or lose points if prose has such names too; what holds most of the page is the page's frame."""
     for node, _ in nodes:
         if node.marks and node.chars <= (MOST_COMMENTS if node.marks & COMMENTS else MOST) * total:
-            node.gone = not node.marks <= COMMON or 2 * node.linked > node.chars
+            node.gone = not node.marks <= COMMON or 2 * node.linked > node.chars or not node.stops
             node.score -= MARK_POINTS
 
 
@@ -214,15 +264,14 @@ def best_nodes(root: Node) -> list[Node]:
     if best.parent is None or best.tag in ("body", "html"):
         return [best]
     least = max(10.0, 0.2 * worth(best))
-    kept = []
-    for k in best.parent.kids:
-        if isinstance(k, str) or k.gone:
-            continue
+    kept: list[Node] = []
+    for k in reversed([k for k in best.parent.kids if isinstance(k, Node) and not k.gone]):
         like = k.tag == best.tag and worth(k) >= least
-        prose = k.tag == "p" and k.chars > 80 and density(k) < 0.25
-        if k is best or like or prose:
+        said = k.tag in ("p", "blockquote") and not k.marks and density(k) < 0.25 and (k.chars > 80 or k.stops > 0)
+        heads = k.tag in HEADINGS and not k.marks and density(k) < 0.25 and bool(kept) and k.chars > 0  # of what comes next
+        if k is best or like or said or heads:
             kept.append(k)
-    return kept
+    return kept[::-1]
 
 
 def extract(html: str | None) -> str:
