@@ -14,23 +14,22 @@ from .common import HASH_KEY, Words, as_binary, discard, held_out, mix, plain, s
 from .labelled import FOLDS, MAX_ROWS, sample
 
 BITS = 22
-SHARDS = 8
-BLOCK = 1 << 18
-#: Sampled documents that a feature must occur in to be learned.
-MIN_DOCS = 5
 _U = np.uint64
 _SALTS = (_U(0), _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F))
 
 
 @dataclass(frozen=True)
 class Ftrl:
-    """alpha and beta set the rate of a coordinate, alpha / (beta + sqrt(sum of squared gradients)); l1 and l2 the penalty."""
+    """alpha and beta set the rate of a coordinate, alpha / (beta + sqrt(sum of squared gradients)); l1 and l2 the penalty.
+
+    A gradient is at most 1, so a feature of a single document stays without a weight if l1 is at least passes.
+    """
 
     alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.5
+    l1: float = 5.0
     l2: float = 0.1
-    rounds: int = 5
+    passes: int = 5
     batch: int = 32
 
 
@@ -90,75 +89,41 @@ class Weights:
     bias: float
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Ftrl = Ftrl(), bits: int = BITS, max_rows: int = MAX_ROWS, min_docs: int = MIN_DOCS) -> Weights:
-    """Weights learned from at most max_rows labelled rows (sample()), read by SHARDS tasks.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Ftrl = Ftrl(), bits: int = BITS, max_rows: int = MAX_ROWS) -> Weights:
+    """Weights learned from at most max_rows labelled rows (sample()).
 
-    Features in less than min_docs of the rows are left out. In each round every shard starts from the common state
-    and passes over its rows; the state moves by the mean change of the shards that met a coordinate. What comes to
-    the driver, and what is broadcast, has at most 2 ** bits numbers, whatever the input.
+    Texts are hashed to features by many tasks. The method is an online one: a single task passes over the features of
+    the sample, in an order that a hash of the text gives, and sends the weights that are not 0. Its state has 2 ** bits
+    coordinates, its rows are at most max_rows, whatever the input.
     """
-    spark = docs.sparkSession
 
     def hashed(batches):
         for batch in batches:
             for at, part in slices(batch.column(0)):
                 row, f = features(part, bits)
                 bounds = np.searchsorted(row, np.arange(len(part) + 1))
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, len(part)), as_binary(f.astype(np.int32), bounds)], ["label", "features"])
+                own = (batch.column(c).slice(at, len(part)) for c in (1, 2))
+                yield pa.RecordBatch.from_arrays([*own, as_binary(f.astype(np.int32), bounds)], ["label", "place", "features"])
 
-    def counted(batches):
-        n = np.zeros(1 << bits, np.int32)
+    def learned(batches):
+        z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
+        own, y = [], [np.empty(0)]
         for batch in batches:
-            for x in batch.column(1):
-                n[np.frombuffer(x.as_py(), np.int32)] += 1
-        n = np.minimum(n, 255).astype(np.uint8)
-        at = range(0, len(n), BLOCK)
-        yield pa.record_batch({"block": pa.array([i // BLOCK for i in at], pa.int32()), "n": pa.array([n[i : i + BLOCK].tobytes() for i in at], pa.binary())})
-
-    def frequent(t):
-        n = sum(np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in t["n"])
-        kept = np.flatnonzero(n >= min_docs) + t["block"][0].as_py() * BLOCK
-        return pa.table({"kept": pa.array([kept.astype(np.int32).tobytes()], pa.binary())})
-
-    rows = stored(sample(docs, labels, label, max_rows).repartition(SHARDS).mapInArrow(hashed, "label int, features binary"), "ftrl-sample").coalesce(SHARDS)
-    kept = rows.mapInArrow(counted, "block int, n binary").groupBy("block").applyInArrow(frequent, "kept binary").collect()
-    kept = np.sort(np.concatenate([np.frombuffer(r["kept"], np.int32) for r in kept] or [np.empty(0, np.int32)]))
-    size = len(kept) + 1
-    z, n = np.zeros(size), np.zeros(size)
-    for _ in range(params.rounds):
-        state = spark.sparkContext.broadcast((kept, z.astype(np.float32), n.astype(np.float32)))
-
-        def passed(batches):
-            kept, z0, n0 = state.value
-            z, n = z0.astype(np.float64), n0.astype(np.float64)
-            own, y = [], [np.empty(0)]
-            for batch in batches:
-                y.append(batch.column(0).to_numpy())
-                for x in batch.column(1):
-                    f = np.frombuffer(x.as_py(), np.int32)
-                    at = np.searchsorted(kept, f)
-                    at[at == len(kept)] = 0
-                    own.append(at[kept[at] == f].astype(np.int32) if len(kept) else at[:0])
+            y.append(batch.column(0).to_numpy())
+            own += [np.frombuffer(x.as_py(), np.int32) for x in batch.column(1)]
+        for _ in range(params.passes):
             learn(own, np.concatenate(y), z, n, params)
-            state_parts = (n > n0), (z - z0).astype(np.float16), (n - n0).astype(np.float16)
-            at = range(0, size, BLOCK)
-            yield pa.record_batch({"block": pa.array([i // BLOCK for i in at], pa.int32())} | {c: pa.array([x[i : i + BLOCK].tobytes() for i in at], pa.binary()) for c, x in zip(("met", "dz", "dn"), state_parts, strict=True)})
-
-        def merged(t):
-            met, dz, dn = (sum(np.frombuffer(x.as_py(), kind).astype(np.float64) for x in t[c]) for c, kind in (("met", np.bool_), ("dz", np.float16), ("dn", np.float16)))
-            by = np.maximum(met, 1)
-            return pa.table({"block": t["block"].slice(0, 1), "dz": pa.array([(dz / by).astype(np.float32).tobytes()], pa.binary()), "dn": pa.array([(dn / by).astype(np.float32).tobytes()], pa.binary())})
-
-        moved = rows.mapInArrow(passed, "block int, met binary, dz binary, dn binary").groupBy("block").applyInArrow(merged, "block int, dz binary, dn binary")
-        for r in moved.collect():  # blocks of a vector of bounded size
-            i = r["block"] * BLOCK
-            z[i : i + BLOCK] += np.frombuffer(r["dz"], np.float32)
-            n[i : i + BLOCK] += np.frombuffer(r["dn"], np.float32)
-        state.destroy()
+        w = weights(z, n, params)
+        some = np.flatnonzero(w)
+        yield pa.record_batch({"feature": pa.array(some.astype(np.int32)), "weight": pa.array(w[some])})
+
+    rows = sample(docs, labels, label, max_rows).select("text", "label", F.xxhash64("text", "label").alias("place"))
+    rows = stored(rows.mapInArrow(hashed, "label int, place long, features binary"), "ftrl-sample")
+    got = rows.coalesce(1).sortWithinPartitions("place").select("label", "features").mapInArrow(learned, "feature int, weight double").collect()  # at most 2 ** bits
     discard(rows)
-    w = weights(z, n, params)
-    some = np.flatnonzero(w[:-1])
-    return Weights(bits, kept[some], w[some].astype(np.float32), float(w[-1]))
+    of = {r["feature"]: r["weight"] for r in sorted(got)}
+    bias = of.pop(1 << bits, 0.0)
+    return Weights(bits, np.array(list(of), np.int32), np.array(list(of.values()), np.float32), bias)
 
 
 def score(docs: DataFrame, model: Weights, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -184,7 +149,9 @@ def score(docs: DataFrame, model: Weights, id_col: str = "doc_id", text_col: str
 def toxicity(docs: DataFrame, labels: DataFrame, params: Ftrl = Ftrl(), max_rows: int = MAX_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted, n_features of each document. Without labelled rows every score is 0.5.
 
-    Null ids are scored and not held out; repeated rows are scored each. Other columns are not read.
+    Null and empty texts have the score of the bias alone; very long texts are scored whole, in slices. Null ids are
+    scored and not held out; repeated rows are scored each. Other columns are not read, whatever their names. No rows
+    give no rows.
     """
     out = score(docs, fit(docs, labels, "toxic", params, max_rows=max_rows))
     return out.select("doc_id", held_out("doc_id", FOLDS).alias("held_out"), "score", "predicted", "n_features")
