@@ -44,7 +44,7 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, ...], bin_cost: int) ->
 
     def laid(room: int) -> int:
         total, taken = 0, {}
-        for _ in range(24):
+        while room:
             k = bisect_left(sizes, room + 1) - 1
             while k >= 0 and left[sizes[k]] - taken.get(sizes[k], 0) <= 0:
                 k -= 1
@@ -87,7 +87,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None,
     length is an expression over docs, by default word_count("text"); a row of null or no length counts as 1 token. A
     document longer than the largest capacity is cut into pieces of that size and a rest. Pieces are dealt by hash to
     shards of about shard_pieces, which are packed apart from each other, so a source or group of any size spreads
-    evenly. bin_id is shard.bin. Repeated ids and null ids are packed as rows of their own. No rows give no rows.
+    evenly. bin_id is shard.bin. Repeated ids and null ids are packed as rows of their own. Only what length
+    reads is read of the other columns, whatever their names. No rows give no rows.
     """
     if not capacities or min(capacities) < 1:
         raise ValueError("capacities are positive")
