@@ -23,8 +23,8 @@ DIM = 32
 #: Slots for the hashed contexts of each order of the spelling model, and its orders.
 SLOTS, ORDERS = 1 << 12, 5
 ROUNDS = 4
-BATCH, NOISE = 512, 64
-RATE = 0.15
+BATCH, NOISE = 1024, 64
+RATE = 0.08
 #: Examples that a task trains on in a round, about, by words and by bytes; and the least examples in all, for which a
 #: small corpus is passed over again, up to PASSES times.
 SHARD, SHARD_BYTES, LEAST, PASSES = 1 << 19, 1 << 20, 1 << 21, 4
@@ -89,14 +89,14 @@ class Lbl:
             gh = gd[:, None] * qw + gf @ qz
             self._move(self.q, rows, np.concatenate([w, z]), np.concatenate([gd[:, None] * h, gf.T @ h]))
             self._move(self.b, rows + k, np.concatenate([w, z]), np.concatenate([gd, gf.sum(0)]))
-            self._move(self.r, 0, f.ravel(), np.repeat(gh, f.shape[1], axis=0))
+            self._move(self.r, 0, f.ravel(), gh, f.shape[1])
 
-    def _move(self, to: np.ndarray, base: int, at: np.ndarray, g: np.ndarray) -> None:
-        """A step against the gradient g of the rows at, with a rate for each row by its squared gradients so far."""
+    def _move(self, to: np.ndarray, base: int, at: np.ndarray, g: np.ndarray, each: int = 1) -> None:
+        """A step against the gradient g, a row of it for each rows at, with a rate for each by its squared gradients so far."""
         order = np.argsort(at, kind="stable")
         at = at[order]
         first = np.flatnonzero(np.diff(at, prepend=-1))
-        g, at = np.add.reduceat(g[order], first, axis=0), at[first]
+        g, at = np.add.reduceat(g[order // each], first, axis=0), at[first]
         size = (g * g).mean(1) if g.ndim == 2 else g * g
         self.seen[base + at] += size
         rate = (RATE / np.sqrt(self.seen[base + at])).astype(np.float32)
@@ -294,17 +294,20 @@ class LanguageModel:
         counts = training.mapInArrow(counted, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
         self.counts = stored(counts.withColumn("round", F.pmod(F.xxhash64("word"), F.lit(ROUNDS)).cast("int")), "lm-counts")
         self.n, self.v = (int(x or 0) for x in self.counts.agg(F.sum("c"), F.count(F.lit(1))).first())
-        words, c = self._head()
+        words, c, _ = self._head()
         self.head = words, c.astype(np.int64)
         self.own = pa.array([END, *[x for x in words.slice(0, WORDS).to_pylist() if x != END][: WORDS - 1]], pa.string())
         self.kinds, unigram = self._kinds()
         self.speller = Speller(self._spelling(), self.kinds, self.own)
-        self.unseen = self._unseen()
+        bare, (self.counts, self.unseen) = self.counts, self._spell()
+        discard(bare)
+        words, c, self.head_p = self._head()
+        self.head = words, c.astype(np.int64)
         self.unigram, self.model = unigram, self._in_context(training, unigram)
         self.norms = self._norms()
 
-    def _head(self) -> tuple[pa.Array, np.ndarray]:
-        """The most frequent words and their counts, descending; at most HEAD, cut between steps of the logarithm of the count.
+    def _head(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The most frequent words, their counts, descending, and log shares, once there are any; at most HEAD, cut between steps of the logarithm of the count.
 
         A count for each step finds the cut, so that no task sorts the vocabulary.
         """
@@ -316,8 +319,8 @@ class LanguageModel:
                 break
             least = r["step"]
         got = self.counts.filter(step >= least) if least is not None else self.counts.limit(0)
-        got = got.select("word", "c").toArrow().sort_by([("c", "descending"), ("word", "ascending")])  # at most HEAD rows
-        return got["word"].combine_chunks(), got["c"].to_numpy()
+        got = got.select("word", "c", "p" if "p" in got.columns else F.lit(0.0).alias("p")).toArrow().sort_by([("c", "descending"), ("word", "ascending")])  # at most HEAD rows
+        return got["word"].combine_chunks(), got["c"].to_numpy(), got["p"].to_numpy()
 
     def _kinds(self) -> tuple[np.ndarray, np.ndarray]:
         """(kind of each pair of first bytes, -1 where it has none; share of each class among the tokens)."""
@@ -368,22 +371,23 @@ class LanguageModel:
 
         return _rounds(tail.select("word", "c", "round"), Lbl.start(256 + (ORDERS - 1) * SLOTS, unigram), total, SHARD_BYTES, drawn, unigram)
 
-    def _unseen(self) -> np.ndarray:
-        """Log of the share of each kind that the spellings of its training words leave over."""
+    def _spell(self) -> tuple[DataFrame, np.ndarray]:
+        """(the table of counts with the log share of each word in its kind, log of what the words of a kind leave over)."""
         own, sent = self.own, self.spark.sparkContext.broadcast(self.speller)
 
-        def summed(batches):
-            n = np.zeros(KINDS)
+        def spelled(batches):
             for batch in batches:
-                p, kind = sent.value.log_share(batch.column(0).filter(pc.invert(pc.is_in(batch.column(0), own))))
-                n += np.bincount(kind, np.exp(p), KINDS)
-            yield pa.record_batch({"kind": pa.array(range(KINDS), pa.int32()), "p": pa.array(n)})
+                tail = pc.invert(pc.is_in(batch.column(0), own))
+                p, kind = np.zeros(len(batch)), np.full(len(batch), -1)
+                at = np.flatnonzero(tail.to_numpy(zero_copy_only=False))
+                p[at], kind[at] = sent.value.log_share(batch.column(0).take(pa.array(at)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p), pa.array(kind.astype(np.int32))], ["word", "c", "p", "kind"])
 
+        counts = stored(self.counts.select("word", "c").mapInArrow(spelled, "word string, c long, p double, kind int"), "lm-spelled")
         seen = np.zeros(KINDS)
-        for r in self.counts.select("word").mapInArrow(summed, "kind int, p double").groupBy("kind").agg(F.sum("p").alias("p")).collect():
+        for r in counts.filter("kind >= 0").groupBy("kind").agg(F.sum(F.exp("p")).alias("p")).collect():  # KINDS rows
             seen[r["kind"]] = r["p"]
-        sent.destroy()
-        return np.log(np.maximum(1 - seen, 1e-9))
+        return counts.drop("kind"), np.log(np.maximum(1 - seen, 1e-9))
 
     def _in_context(self, training: DataFrame, unigram: np.ndarray) -> Lbl:
         """The model of classes in context, trained on every token."""
@@ -432,34 +436,32 @@ class LanguageModel:
         """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row.
 
         score comes from the two models alone. Counts are for base_score, n_known, and whether a word is seen; words
-        beyond the head are gathered by document and joined with the table of counts. Their rows carry the spelling's
-        share as p and that of an unseen word as base.
+        beyond the head are gathered by document and joined with the table of counts, which has the shares of their
+        spellings. Their rows carry the share of an unseen word as p.
         """
         spark = self.spark
-        sent = spark.sparkContext.broadcast((self.model, self.norms, self.speller, self.own, self.unseen, *self.head))
+        sent = spark.sparkContext.broadcast((self.model, self.norms, self.kinds, self.own, self.unseen, *self.head, self.head_p))
         total = self.n + SMOOTH * (self.v + 1)
         kind = dict(docs.dtypes)[self.id_col]
 
         def scored(batches):
-            model, norms, speller, own, unseen, words, c = sent.value
+            model, norms, kinds, own, unseen, words, c, head_p = sent.value
             k = len(model.q)
             for batch in batches:
                 for at, part in slices(batch.column(2)):
                     vocab, codes, bounds = _tokens(part)
                     found = pc.index_in(vocab, words)
                     known = found.is_valid().to_numpy(zero_copy_only=False)
-                    n = np.where(known, c[pc.fill_null(found, 0).to_numpy(zero_copy_only=False)] if len(c) else 0, 0)
-                    cls = _classes(vocab, own, speller.kinds)
-                    spelled = np.zeros(len(vocab))
-                    tail = np.flatnonzero(cls < KINDS)
-                    spelled[tail] = speller.log_share(vocab.take(pa.array(tail)))[0]
+                    found = pc.fill_null(found, 0).to_numpy(zero_copy_only=False)
+                    n, spelled = (np.where(known, x[found] if len(x) else 0, 0) for x in (c, head_p))
+                    cls = _classes(vocab, own, kinds)
                     w = cls[codes]
                     c2, c1 = _contexts(w, bounds, KINDS)
                     p = np.empty(len(w))
                     for i in range(0, len(w), 1 << 16):
                         j = slice(i, i + (1 << 16))
                         p[j] = np.einsum("nd,nd->n", model.r[c1[j]] + model.r[k + c2[j]], model.q[w[j]]) + model.b[w[j]] - norms[c2[j], c1[j]]
-                    p = (p + np.where(known, spelled, 0.0)[codes]) / np.log(10)
+                    p = (p + spelled[codes]) / np.log(10)
                     base = np.where(known, np.log10((n + SMOOTH) / total), 0.0)
                     add = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  each text has its end token
                     ids = batch.column(0).slice(at, len(part)), batch.column(1).slice(at, len(part))
@@ -469,15 +471,15 @@ class LanguageModel:
                     row = np.repeat(np.arange(m), np.diff(bounds))[rare]
                     key, times = np.unique(row * len(vocab) + codes[rare], return_counts=True)
                     row, word = pa.array(key // len(vocab)), pa.array(key % len(vocab))
-                    say = pa.array(spelled / np.log(10)).take(word), pa.array(unseen[np.minimum(cls, KINDS - 1)] / np.log(10)).take(word)
-                    yield pa.RecordBatch.from_arrays([ids[0].take(row), ids[1].take(row), vocab.take(word), pa.array(times), pa.nulls(len(key), pa.int64()), say[1], say[0]], names)
+                    other = pa.array(unseen[np.minimum(cls, KINDS - 1)] / np.log(10)).take(word)
+                    yield pa.RecordBatch.from_arrays([ids[0].take(row), ids[1].take(row), vocab.take(word), pa.array(times), pa.nulls(len(key), pa.int64()), pa.nulls(len(key), pa.float64()), other], names)
 
         names = ["row", "doc_id", "word", "n", "known", "base", "p"]
         rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(self.id_col).alias("doc_id"), F.col(self.text_col).alias("text"))
         rows = stored(rows.mapInArrow(scored, f"row long, doc_id {kind}, word string, n long, known long, base double, p double"), "lm-scores")
         share = F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + F.lit(SMOOTH)) / F.lit(total))
-        rare = rows.filter(F.col("word").isNotNull()).join(self.counts, "word", "left")
-        rare = rare.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("r_known"), F.sum(share).alias("r_base"), F.sum(F.col("n") * F.when(F.col("c") > 0, F.col("p")).otherwise(F.col("base"))).alias("r_p"))
+        rare = rows.filter(F.col("word").isNotNull()).join(self.counts.select("word", "c", (F.col("p") / F.lit(math.log(10))).alias("share")), "word", "left")
+        rare = rare.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("r_known"), F.sum(share).alias("r_base"), F.sum(F.col("n") * F.coalesce("share", "p")).alias("r_p"))
         out = rows.filter(F.col("word").isNull()).join(rare, "row", "left")
         zero = lambda c: F.coalesce(c, F.lit(0))
         return out.select(
