@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .text import col
 
+# The notations that are understood
 _TEXT, _INT, _DEC = r"^X(?:\((\d+)\))?$", r"^9\((\d+)\)$", r"^9\((\d+)\)v9\((\d+)\)$"
 
 
@@ -31,14 +32,14 @@ def parse_pic(notation: str | Column) -> Column:
 def convert_value(raw: str | Column, info: Column) -> Column:
     """struct(text, whole, number): the value in the slot of its type; a raw value without a known type is text.
 
-    A number that does not parse is null. An implied point divides by the power of ten.
+    A number that does not parse is null. An implied point divides by the power of ten; up to 38 digits are read.
     """
     r, kind = col(raw), F.coalesce(info["dtype"], F.lit("string"))
-    whole = r.try_cast("bigint")
+    whole, digits = r.try_cast("bigint"), r.try_cast(T.DecimalType(38, 0))
     return F.struct(
         F.when(kind == "string", r).alias("text"),
         F.when(kind == "Int64", whole).alias("whole"),
-        F.when(kind == "float64", whole.cast("double") / F.pow(F.lit(10.0), info["decimals"])).alias("number"),
+        F.when(kind == "float64", digits.cast("double") / F.pow(F.lit(10.0), info["decimals"])).alias("number"),
     )
 
 
@@ -89,7 +90,7 @@ def typed(raw: str | Column, notation: str | None, exact: bool = False) -> Colum
         scale = int(notation.rpartition("(")[2].rstrip(") "))
         if exact:
             return (r.try_cast(T.DecimalType(38, 0)) / F.lit(10**scale)).cast(kind)
-        return r.try_cast("bigint").cast("double") / F.lit(float(10**scale))
+        return r.try_cast(T.DecimalType(38, 0)).cast("double") / F.lit(float(10**scale))
     return r.try_cast(kind)
 
 

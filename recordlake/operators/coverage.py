@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import MONTHS, clamp_end, month_label, months_between, period_suffix
+from ..functions.dates import FORMATS, MONTHS, clamp_end, month_label, months_between, period_end
 
 
 def covered_months(ranges: DataFrame, series: str = "series", start: str = "start", end: str = "end") -> DataFrame:
@@ -37,37 +37,58 @@ def coverage(ranges: DataFrame, as_of, series: str = "series", start: str = "sta
     An open end is taken as as_of, so that the report does not drift.
     """
     r = ranges.select(series, start, clamp_end(end, as_of).alias(end)).dropDuplicates()
-    base = r.groupBy(series).agg(F.min(start).alias("min_start"), F.max(end).alias("max_end"), F.count(F.lit(1)).alias("n_ranges"))
-    expected, covered = expected_months(r, series, start, end), covered_months(r, series, start, end)
-    gaps = gap_periods(missing_months(expected, covered, series), series)
-    labels = gaps.groupBy(series).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("gap_start", month_label("gap_start", "gap_end").alias("l")))), lambda x: x["l"]), "; ").alias("gaps"), F.sum("n_months").alias("missing"))
-    n = expected.groupBy(series).agg(F.count(F.lit(1)).alias("expected"))
-    out = base.join(n, series).join(labels, series, "left")
-    miss = F.coalesce("missing", F.lit(0))
+    index = lambda d: F.year(d) * 12 + F.month(d)
+    # one pass over the ranges of a series by start: a gap lies between the last month covered so far and the next start
+    before = Window.partitionBy(series).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
+    some = r.withColumn("_touch", F.trunc(start, "month") <= F.trunc(end, "month"))
+    some = some.withColumn("_last", F.max(F.when(F.col("_touch"), F.trunc(end, "month"))).over(before))
+    begin = F.when(F.col("_touch"), F.trunc(start, "month"))
+    gap = F.when(F.col("_touch") & (index(begin) > index("_last") + 1), F.struct(F.add_months("_last", 1).alias("a"), F.add_months(begin, -1).alias("b")))
+    found = some.withColumn("_gap", gap).groupBy(series).agg(
+        F.min(start).alias("min_start"), F.max(end).alias("max_end"), F.count(F.lit(1)).alias("n_ranges"),
+        F.array_sort(F.collect_list("_gap")).alias("_gaps"), F.sum(F.coalesce(index(F.col("_gap.b")) - index(F.col("_gap.a")) + 1, F.lit(0))).alias("inner"),
+        F.min(begin).alias("_low"), F.max(F.when(F.col("_touch"), F.trunc(end, "month"))).alias("_high"),
+    )
+    expected = F.greatest(index("max_end") - index("min_start") + 1, F.lit(0))
+    # ranges that end before they start touch no month, but widen what is expected
+    outer = F.array(F.struct(F.trunc("min_start", "month").alias("a"), F.add_months(F.coalesce("_low", F.add_months(F.trunc("max_end", "month"), 1)), -1).alias("b")), F.struct(F.add_months("_high", 1).alias("a"), F.trunc("max_end", "month").alias("b")))
+    gaps = F.array_sort(F.concat("_gaps", F.filter(outer, lambda g: g["a"] <= g["b"])))
+    found = found.withColumn("_gaps", gaps).withColumn("expected", expected.cast("long")).filter("expected > 0")
+    miss = F.aggregate("_gaps", F.lit(0).cast("long"), lambda n, g: n + index(g["b"]) - index(g["a"]) + 1)
+    told = F.array_join(F.transform("_gaps", lambda g: month_label(g["a"], g["b"])), "; ")
+    out = found.withColumns({"missing": miss, "gaps": F.when(F.size("_gaps") > 0, told).otherwise(F.lit("None"))})
     return out.select(
-        series, "min_start", "max_end", "n_ranges", "expected", (F.col("expected") - miss).alias("covered"), miss.alias("missing"),
-        F.round((F.col("expected") - miss) * 100.0 / F.col("expected"), 1).alias("coverage_pct"), (miss > 0).alias("has_gaps"), F.coalesce("gaps", F.lit("None")).alias("gaps"),
+        series, "min_start", "max_end", "n_ranges", "expected", (F.col("expected") - F.col("missing")).alias("covered"), "missing",
+        F.round((F.col("expected") - F.col("missing")) * 100.0 / F.col("expected"), 1).alias("coverage_pct"), (F.col("missing") > 0).alias("has_gaps"), "gaps",
     )
 
 
 def expected_files(catalog: DataFrame, as_of) -> DataFrame:
-    """series, step, day, file_name: the files that a series should have from its first date to its last or to as_of."""
-    out = None
-    for frequency, months in MONTHS.items():
-        for fmt in ("%Y%m", "%Y%m%d"):
-            own = catalog.filter((F.col("frequency") == frequency) & (F.col("date_format") == fmt))
-            end = F.coalesce("max_date", as_of)
-            days = F.when(F.col("min_date") <= end, F.sequence("min_date", end, F.expr(f"interval {months} month"))).otherwise(F.array().cast("array<date>"))
-            rows = own.select("series", "extension", F.posexplode(days).alias("step", "day"))
-            name = F.concat("series", F.lit("_"), period_suffix("day", fmt, frequency), F.lit("."), "extension")
-            rows = rows.select("series", "step", "day", name.alias("file_name"))
-            out = rows if out is None else out.unionAll(rows)
-    return out
-
-
-def missing_files(expected: DataFrame, links: DataFrame, href: str = "href") -> DataFrame:
-    """Expected files that no link ends with."""
-    have = links.select(F.element_at(F.split(href, "/"), -1).alias("file_name")).distinct()
+    """series, step, day, file_name: the files that a series should have from its first date to its last or to as_of.
+
+    A frequency or a date format that is not known is an error where its series is read, not a series without files.
+    """
+    own = lambda table: F.coalesce(*[F.when(F.col("frequency") == f, F.lit(x)) for f, x in table.items()])
+    months = F.coalesce(own(MONTHS), F.raise_error(F.concat(F.lit("unknown frequency: "), F.coalesce("frequency", F.lit("null")))).cast("int"))
+    end = F.coalesce("max_date", as_of)
+    days = F.when(F.col("min_date") <= end, F.sequence("min_date", end, F.make_ym_interval(F.lit(0), months))).otherwise(F.array().cast("array<date>"))
+    rows = catalog.select("series", "extension", "frequency", "date_format", F.posexplode(days).alias("step", "day"))
+    last = F.coalesce(*[F.when(F.col("frequency") == f, period_end("day", f)) for f in MONTHS])
+    suffix = F.coalesce(*[F.when(F.col("date_format") == name, F.date_format(last, java)) for _, name, java in FORMATS], F.raise_error(F.concat(F.lit("unknown date format: "), F.coalesce("date_format", F.lit("null")))).cast("string"))
+    return rows.select("series", "step", "day", F.concat("series", F.lit("_"), suffix, F.lit("."), "extension").alias("file_name"))
+
+
+def missing_files(expected: DataFrame, links: DataFrame, href: str = "href", within: bool = False) -> DataFrame:
+    """Expected files that no link ends with; within: that no link holds as a part, in a query too.
+
+    For the second form links are cut at the signs between their parts, and file names are looked up among the parts,
+    so that no link meets every file.
+    """
+    if within:
+        pieces = F.split(href, r"[/?=&#;\s\"']+")
+        have = links.select(F.explode(pieces).alias("file_name")).filter("file_name != ''").distinct()
+    else:
+        have = links.select(F.element_at(F.split(href, "/"), -1).alias("file_name")).distinct()
     return expected.join(have, "file_name", "left_anti")
 
 

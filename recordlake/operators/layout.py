@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import record_type_code
 from ..functions.text import item_number, item_prefix, one_line
+from .profile import format_rule
 
 LENGTH_ROW = "Length of Record"
 
@@ -77,18 +80,34 @@ def without_redundant_groups(rows: DataFrame, file: str = "file", record_type: s
     return out.withColumn("group_id", F.when(~F.col("redundant"), F.col("group_id"))).drop("_file", "redundant")
 
 
-def clean_layout(rows: DataFrame, source_cols: list[str], item: str = "item", name: str = "field_name", element: str | None = None, file: str = "file", pos: str = "pos", drop_auto_headers: bool = True) -> DataFrame:
-    """A layout table as extracted, cleaned: labels with digits, groups, no length rows, record types for whole groups."""
+def clean_layout(
+    rows: DataFrame, source_cols: list[str], item: str = "item", name: str = "field_name", element: str | None = None, file: str = "file", pos: str = "pos", drop_auto_headers: bool = True,
+    grouping: bool = True, record_types: bool = True, drop_redundant: bool = False,
+) -> DataFrame:
+    """A layout table as extracted, cleaned, by steps that can be left out.
+
+    Texts come on one line and made-up headers go. grouping: labels with digits, groups of items, no length rows, and
+    the groups that speak of record types. record_types: the type that a row states, for its whole group if there are
+    groups. drop_redundant: group ids that say nothing of their own are null.
+    """
     texts = [name] + ([element] if element else [])
     df = rows.withColumns({c: one_line(c) for c in texts})
     if drop_auto_headers:
         df = drop_auto_rows(df, item)
-    df = df.withColumn("item_no", item_number(item)).filter("item_no is not null")
-    df = item_groups(df, file, pos)
-    df = drop_empty_rows(drop_length_rows(df, name), source_cols)
-    df = retain_groups(df, texts, file)
-    code = F.coalesce(*[record_type_code(c) for c in texts])
-    return propagate_types(df.withColumn("record_type", code), file, pos)
+    if grouping:
+        df = item_groups(df.withColumn("item_no", item_number(item)).filter("item_no is not null"), file, pos)
+        df = drop_empty_rows(drop_length_rows(df, name), source_cols)
+        df = retain_groups(df, texts, file)
+    if record_types:
+        df = df.withColumn("record_type", stated_type(*texts))
+        df = propagate_types(df, file, pos) if grouping else df
+        df = without_redundant_groups(df, file) if grouping and drop_redundant else df
+    return df
+
+
+def stated_type(*texts: str) -> Column:
+    """The record type that the first of the columns that states one states."""
+    return F.coalesce(*[record_type_code(c) for c in texts])
 
 
 def with_offsets(layout: DataFrame, by: list[str], pos: str = "pos", length: str = "length") -> DataFrame:
@@ -106,18 +125,37 @@ def item_order(layout: DataFrame, by: list[str], item: str = "item") -> DataFram
 def version_for(files: DataFrame, versions: DataFrame, series: str = "series", day: str = "day", latest_only: bool = True) -> DataFrame:
     """files with the layout version valid on their day: from and to count, a null bound is open.
 
-    versions is metadata, a row for each layout file, and is broadcast. Where versions overlap the latest holds, and
-    overlap says so.
+    Where versions overlap the latest holds, and overlap says so. versions is metadata, a row for each layout file: it
+    is cut into spans of days that do not overlap, so that a file meets at most one, and files are joined as they are,
+    each row once; the spans are broadcast if they are few.
     """
     v = versions.withColumnRenamed(series, "_s")
-    ok = (F.col(series) == F.col("_s")) & (F.col("version_from").isNull() | (F.col("version_from") <= F.col(day))) & (F.col("version_to").isNull() | (F.col(day) <= F.col("version_to")))
     if not latest_only:
-        return files.join(F.broadcast(v), ok, "left").drop("_s")
-    cols = [c for c in v.columns if c != "_s"]
-    keys = files.columns
-    met = files.join(F.broadcast(v), ok, "left").groupBy(*keys)
-    best = met.agg(F.max_by(F.struct(*cols), F.coalesce("version_from", F.lit("0001-01-01").cast("date"))).alias("v"), (F.count("_s") > 1).alias("overlap"))
-    return best.select(*keys, "v.*", "overlap")
+        ok = (F.col(series) == F.col("_s")) & (F.col("version_from").isNull() | (F.col("version_from") <= F.col(day))) & (F.col("version_to").isNull() | (F.col(day) <= F.col("version_to")))
+        return files.join(_if_few(v), ok, "left").drop("_s")
+    spans = _if_few(version_spans(v, "_s"))
+    ok = (F.col(series) == F.col("_s")) & (F.col("_start") <= F.col(day)) & (F.col(day) < F.col("_end"))
+    return files.join(spans, ok, "left").drop("_s", "_start", "_end").withColumn("overlap", F.coalesce("overlap", F.lit(False)))
+
+
+#: Rows of metadata that are broadcast; more are joined by shuffle.
+FEW_ROWS = 100_000
+
+
+def _if_few(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.limit(FEW_ROWS + 1).count() <= FEW_ROWS else rows
+
+
+def version_spans(versions: DataFrame, series: str = "series") -> DataFrame:
+    """versions with _start, _end (not in it) and overlap: spans of days of each series on which the same version holds."""
+    first, last = F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date")
+    v = versions.withColumns({"_a": F.coalesce("version_from", first), "_b": F.when(F.col("version_to").isNull(), last).otherwise(F.date_add("version_to", 1))})
+    points = v.select(F.col(series).alias("_p"), F.explode(F.array("_a", "_b")).alias("_start")).distinct()
+    points = points.withColumn("_end", F.lead("_start").over(Window.partitionBy("_p").orderBy("_start"))).filter(F.col("_end").isNotNull())
+    cols = versions.columns
+    met = points.join(v, (F.col("_p") == F.col(series)) & (F.col("_a") <= F.col("_start")) & (F.col("_start") < F.col("_b")))
+    best = met.groupBy("_p", "_start", "_end").agg(F.max_by(F.struct(*cols), F.struct("_a", *[c for c in cols if c != series])).alias("v"), (F.count(F.lit(1)) > 1).alias("overlap"))
+    return best.select("v.*", "_start", "_end", "overlap")
 
 
 def reconcile(layouts: DataFrame, versions: list[str], version: str = "version", order: str = "version_order", name: str = "field_name") -> DataFrame:
@@ -127,6 +165,11 @@ def reconcile(layouts: DataFrame, versions: list[str], version: str = "version",
 
 
 def layout_profile(layout: DataFrame, by: str = "series", record_type: str = "record_type") -> DataFrame:
-    """Rows, record types and their list for each series."""
+    """Rows, record types and their list for each series; the columns that it uses, in their order, and its format."""
     types = F.array_join(F.array_sort(F.collect_set(record_type)), ",")
-    return layout.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(record_type).alias("n_types"), types.alias("record_types"))
+    skip = {by, record_type, "pos", "layout_file", "version_from", "version_to"}
+    used = {c: F.count(F.col(f"`{c}`")) > 0 for c in layout.columns if c not in skip}
+    has = lambda *names: functools.reduce(lambda a, b: a | b, [used[n] for n in names if n in used], F.lit(False))
+    columns = F.array_join(F.filter(F.array(*[F.when(u, F.lit(c)) for c, u in used.items()]) if used else F.array().cast("array<string>"), lambda x: x.isNotNull()), ",")
+    fmt = format_rule(has("Max Length", "max_length"), has("Format", "format"), has("Begin", "begin"), has("End", "end"))
+    return layout.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(record_type).alias("n_types"), types.alias("record_types"), columns.alias("column_names"), fmt.alias("format"))

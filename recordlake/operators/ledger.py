@@ -17,9 +17,12 @@ def run_summary(ledger: DataFrame, by: str = "series") -> DataFrame:
 
 
 def records_by_type(ledger: DataFrame) -> DataFrame:
-    """Records by series and type, with totals where the type is null."""
+    """Records by series and type, with totals: level is 0 for a type of a series, 1 for a series, 3 for all.
+
+    A null type is a type like others, and told from a total by the level.
+    """
     ok = ledger.filter("status = 'success'")
-    return ok.rollup("series", "record_type").agg(F.sum("n").alias("records"))
+    return ok.rollup("series", "record_type").agg(F.sum("n").alias("records"), F.grouping_id().cast("int").alias("level"))
 
 
 def to_do(found: DataFrame, ledger: DataFrame, on: list[str]) -> DataFrame:

@@ -79,11 +79,21 @@ def _named(cut: list[Column], names: list[str], fields: list[Field], typed_value
     return [(typed(c, f.notation, exact) if typed_values else c).alias(n) for c, n, f in zip(cut, names, fields, strict=True)]
 
 
-def delimited_long(lines: DataFrame, layout: DataFrame, delimiter: str = "|", keep: tuple[str, ...] = ()) -> DataFrame:
-    """A row for each field that a line has: keep, pos, field_name, value. The first part of a line is its record type.
+def delimited_long(lines: DataFrame, layout: DataFrame, delimiter: str = "|", keep: tuple[str, ...] = (), names: list[str] | None = None) -> DataFrame:
+    """A row for each field that a line has: record_type, pos, keep, value, field_name. The first part of a line is its record type.
 
-    layout: record_type, pos (from 0), field_name; it has as many rows as the layouts have fields and is broadcast.
+    layout: record_type, pos (from 0), field_name; names: the fields that are wanted. The layout has as many rows as the
+    layouts have fields; it is collected and becomes an array of places for each record type, so that only the fields
+    that are wanted are taken out of a line, without a join.
     """
-    parts = lines.select(*keep, F.split(LINE, r"\Q" + delimiter + r"\E", -1).alias("_p"))
-    rows = parts.select(*keep, F.get("_p", F.lit(0)).alias("record_type"), F.posexplode("_p").alias("pos", "value"))
-    return rows.join(layout, ["record_type", "pos"])
+    if names is not None:
+        layout = layout.filter(F.col("field_name").isin(names))
+    places: dict[str, list[Column]] = {}
+    for r in layout.select("record_type", "pos", "field_name").orderBy("record_type", "pos").collect():
+        places.setdefault(r["record_type"], []).append(F.struct(F.lit(r["pos"]).alias("pos"), F.lit(r["field_name"]).alias("field_name")))
+    parts = lines.select(*keep, F.split(LINE, r"\Q" + delimiter + r"\E", -1).alias("_p")).withColumn("record_type", F.get("_p", F.lit(0)))
+    wanted = F.array().cast("array<struct<pos:int,field_name:string>>")
+    for code, fields in places.items():
+        wanted = F.when(F.col("record_type") == code, F.array(*fields)).otherwise(wanted)
+    rows = parts.select("*", F.explode(wanted).alias("_f")).filter(F.col("_f.pos") < F.size("_p"))
+    return rows.select("record_type", F.col("_f.pos").alias("pos"), *keep, F.get("_p", F.col("_f.pos")).alias("value"), F.col("_f.field_name").alias("field_name"))

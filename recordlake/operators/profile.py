@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,6 +14,7 @@ def format_rule(max_length: Column, fmt: Column, begin: Column, end: Column) ->
 def format_score(max_length: Column, begin_end: Column, fmt: Column, description: Column, definition: Column, remarks: Column, element: Column, item: Column) -> tuple[Column, Column, Column]:
     """(score, prediction, indicators) from the columns that a layout has."""
     both, alone = description & definition, remarks & ~(description | definition)
+    # Weights and what they are called
     terms = [
         (max_length, 3, "Max Length column"), (begin_end, -3, "Begin/End columns"), (fmt, 2, "Format column"), (both, 1, "Description/Definition columns"),
         (alone, -1, "Remarks column only"), (element, 1, "Data Element naming"), (~element & item, -1, "Data Item naming"),
@@ -26,6 +27,7 @@ def format_score(max_length: Column, begin_end: Column, fmt: Column, description
 def delimiter_hints(text: Column, label: str) -> Column:
     """What a layout's own words say about its delimiter; None if nothing."""
     low = F.lower(text)
+    # What is looked for and how it is told
     hints = [
         (low.contains("delimit"), f"'{label}' mentions delimiter"),
         (low.contains("fixed") & low.contains("width"), f"'{label}' mentions fixed width"),
@@ -34,3 +36,13 @@ def delimiter_hints(text: Column, label: str) -> Column:
     ]
     found = F.concat_ws("; ", *[F.when(c, F.lit(t)) for c, t in hints])
     return F.when(found == "", F.lit("None")).otherwise(found)
+
+
+def layout_hints(layout: DataFrame, by: str = "series", pos: str = "pos", columns: tuple[str, ...] = ("Format", "Description", "Definition", "Remarks"), first: int = 10) -> DataFrame:
+    """by, hints: delimiter_hints of each text column of a series' layout, over its first rows that have a value there."""
+    out = []
+    for c in (c for c in columns if c in layout.columns):
+        top = F.slice(F.array_sort(F.collect_list(F.when(F.col(f"`{c}`").isNotNull(), F.struct(pos, F.col(f"`{c}`").alias("t"))))), 1, first)
+        out.append(F.nullif(delimiter_hints(F.array_join(F.transform(top, lambda x: x["t"]), " "), c), F.lit("None")))
+    told = F.concat_ws("; ", *out) if out else F.lit("")
+    return layout.groupBy(by).agg(F.when(told == "", F.lit("None")).otherwise(told).alias("hints"))

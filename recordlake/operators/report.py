@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def manifest_counts(manifest: DataFrame, by: str = "series", hit: str = "hit") -> DataFrame:
-    """attempted, obtained and missed of each series, and of all where the series is null."""
+    """attempted, obtained and missed of each series (level 0) and of all (level 1)."""
     got = F.count_if(F.col(hit))
-    return manifest.rollup(by).agg(F.count(F.lit(1)).alias("attempted"), got.alias("obtained"), (F.count(F.lit(1)) - got).alias("missed"))
+    return manifest.rollup(by).agg(F.count(F.lit(1)).alias("attempted"), got.alias("obtained"), (F.count(F.lit(1)) - got).alias("missed"), F.grouping_id().cast("int").alias("level"))
 
 
 def value_counts(rows: DataFrame, cols: list[str]) -> DataFrame:

@@ -1,12 +1,15 @@
-"""Jobs over a series: stage its drops, transform them by layout, keep a ledger."""
+"""Jobs over series: stage their drops, transform them by the layout versions of their periods, keep a ledger."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import period_date
+from ..operators.layout import layout_profile, version_for
 from ..operators.ledger import LEDGER, to_do
 from ..operators.parse import Field, delimited, fixed_width
 from ..sources.lines import read_staged, read_text, read_zip, stage
@@ -26,28 +29,43 @@ def layout_fields(layout: DataFrame) -> dict[str | None, list[Field]]:
     return out
 
 
+def chosen(series: list[str], include: list[str] | None = None, exclude: list[str] | None = None) -> list[str]:
+    """The series that a run is about: all, or those included, less those excluded, each once."""
+    return [s for s in dict.fromkeys(series) if (include is None or s in include) and s not in (exclude or [])]
+
+
 def stage_series(spark: SparkSession, source: str, staged: str, series: str, done: DataFrame | None = None) -> DataFrame:
     """Stage the drops of a series that the ledger does not say are done; the ledger of this run is returned.
 
-    A file without lines is a failure.
+    A file without lines is a failure, and so is an archive that breaks off anywhere; of these nothing is staged.
     """
-    lines = read_text(spark, source, series).unionByName(read_zip(spark, source, series).select("file", "text_content"))
+    zipped = read_zip(spark, source, series)
+    broken = zipped.filter(F.col("error").isNotNull()).groupBy("file").agg(F.min("error").alias("error"))
+    lines = read_text(spark, source, series).unionByName(zipped.filter(F.col("error").isNull()).select("file", "text_content"))
     drops = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"{series}_*.[tTzZ][xXiI][tTpP]").load(source)
-    found = drops.select(F.element_at(F.split("path", "/"), -1).alias("file"))
+    found = drops.select(F.element_at(F.split("path", "/"), -1).alias("file")).filter(F.lower("file").rlike(r"\.(txt|zip)$"))
     skipped = spark.createDataFrame([], "file string")
     if done is not None:
         new = to_do(found, done.filter(F.col("series") == series), ["file"])
         skipped = found.join(new, "file", "left_anti")
         lines, found = lines.join(new, "file", "left_semi"), new
+    lines = lines.join(broken, "file", "left_anti")
     stage(lines, staged, series)
     n = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    ran = found.join(n, "file", "left").select("file", F.when(F.col("n") > 0, F.lit("success")).otherwise("failed").alias("status"), F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n").isNull(), F.lit("no lines")).alias("error"))
+    ran = found.join(n, "file", "left").join(broken, "file", "left")
+    ran = ran.select("file", F.when(F.col("n") > 0, F.lit("success")).otherwise("failed").alias("status"), F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n").isNull(), F.coalesce("error", F.lit("no lines"))).alias("error"))
     all_ = ran.unionByName(skipped.select("file", F.lit("skipped").alias("status"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("error")))
     return all_.select(F.lit(series).alias("series"), "file", F.lit(None).cast("string").alias("record_type"), "status", "n", "error")
 
 
+def stage_all(spark: SparkSession, source: str, staged: str, series: list[str], include: list[str] | None = None, exclude: list[str] | None = None, done: DataFrame | None = None) -> DataFrame:
+    """stage_series for each series of the catalog that is chosen; one ledger of all."""
+    ran = [stage_series(spark, source, staged, s, done) for s in chosen(series, include, exclude)]
+    return reduce(DataFrame.unionByName, ran, spark.createDataFrame([], LEDGER))
+
+
 def transform_series(spark: SparkSession, staged: str, clean: str, series: str, layouts: dict[str | None, list[Field]], fmt: str, delimiter: str = "|", typed_values: bool = False, record_types: list[str] | None = None) -> DataFrame:
-    """Parse the staged lines of a series, a scan and a write for each record type, partitioned by period; returns the ledger.
+    """Parse the staged lines of a series by one layout, a write for each record type, partitioned by period; returns the ledger.
 
     Records are counted while they are written. Requested record types that the layout does not have are left out.
     """
@@ -59,8 +77,7 @@ def transform_series(spark: SparkSession, staged: str, clean: str, series: str,
         if fmt == UNKNOWN:
             rows.append((series, None, code, "failed", 0, "unknown format"))
             continue
-        kw = {"record_type": code, "typed_values": typed_values, "keep": ("period",)}
-        out = fixed_width(lines, fields, **kw) if fmt == FIXED_WIDTH else delimited(lines, fields, delimiter=delimiter, **kw)
+        out = _parsed(lines, fields, code, fmt, delimiter, typed_values, ("period",))
         seen = Observation()
         out = out.observe(seen, F.count(F.lit(1)).alias("n"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(f"{clean}/{series}/record_type={code or 'ALL'}")
@@ -68,6 +85,82 @@ def transform_series(spark: SparkSession, staged: str, clean: str, series: str,
     return spark.createDataFrame(rows, LEDGER)
 
 
+def _parsed(lines: DataFrame, fields: list[Field], code: str | None, fmt: str, delimiter: str, typed_values: bool, keep: tuple[str, ...]) -> DataFrame:
+    kw = {"record_type": code, "typed_values": typed_values, "keep": keep}
+    return fixed_width(lines, fields, **kw) if fmt == FIXED_WIDTH else delimited(lines, fields, delimiter=delimiter, **kw)
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    """The rows of all parts by name; a column whose types differ is text."""
+    kinds: dict[str, set[str]] = {}
+    for p in parts:
+        for c, k in p.dtypes:
+            kinds.setdefault(c, set()).add(k)
+    mixed = [c for c, k in kinds.items() if len(k) > 1]
+    same = [p.withColumns({c: F.col(f"`{c}`").cast("string") for c in mixed if c in p.columns}) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)
+
+
+def transform_versions(
+    spark: SparkSession, staged: str, clean: str, series: str, layout: DataFrame, date_format: str = "%Y%m", fmt: str | None = None, delimiter: str = "|", typed_values: bool = False,
+    record_types: list[str] | None = None, done: DataFrame | None = None,
+) -> DataFrame:
+    """Parse the staged lines of a series, each file by the layout version that is valid on its period's date.
+
+    layout: the rows of all versions of the series (version, version_from, version_to, record_type, ordinal, field_name,
+    length, notation, and the columns that tell its format). Periods and versions are metadata and are collected: the
+    plan has a select for each version and record type, which reads the partitions of the version's periods only. What
+    versions give for a record type is put together by name and written under clean/series/record_type=, by period and
+    file. The ledger that is returned has a row for each file and record type: files of a period that no version holds
+    for, or of a version in no known format, are failures; those that done says are done are skipped.
+    """
+    lines = read_staged(spark, staged).filter(F.col("series") == series)
+    files = lines.select("file", "period").distinct().withColumn("day", period_date("period", date_format)).withColumn("series", F.lit(series))
+    versions = layout.select(F.lit(series).alias("series"), "version", "version_from", "version_to").distinct()
+    valid = version_for(files, versions).select("file", "period", "version").collect()  # a row for each file of the series
+    formats = {r["version"]: fmt or r["format"] for r in layout_profile(layout, "version").select("version", "format").collect()}
+    fields = {v: layout_fields(layout.filter(F.col("version") == v)) for v in sorted({r["version"] for r in valid if r["version"] is not None})}
+    codes = [c for c in dict.fromkeys(c for by in fields.values() for c in by) if record_types is None or c in record_types]
+    past = {(r["file"], r["record_type"]) for r in done.filter((F.col("series") == series) & (F.col("status") == "success")).select("file", "record_type").distinct().collect()} if done is not None else set()
+    ledger: list[tuple] = [(series, r["file"], None, "failed", 0, "no layout for the period") for r in valid if r["version"] is None]
+    for code in codes:
+        parts, ran = [], []
+        for v, by in fields.items():
+            own = [r for r in valid if r["version"] == v and code in by]
+            ledger += [(series, r["file"], code, "skipped", 0, None) for r in own if (r["file"], code) in past]
+            own = [r for r in own if (r["file"], code) not in past]
+            if formats.get(v) not in (DELIMITED, FIXED_WIDTH):
+                ledger += [(series, r["file"], code, "failed", 0, "unknown format") for r in own]
+            elif own:
+                mine = lines.filter(F.col("period").isin(sorted({r["period"] for r in own})) & F.col("file").isin([r["file"] for r in own]))
+                parts.append(_parsed(mine, by[code], code, formats[v], delimiter, typed_values, ("period", "file")))
+                ran += own
+        if not parts:
+            continue
+        path = f"{clean}/{series}/record_type={code or 'ALL'}"
+        out = _together(parts)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period", "file").parquet(path)
+        counted = spark.read.schema("period string, file string").option("basePath", path).parquet(path)
+        n = {r["file"]: r["count"] for r in counted.filter(F.col("file").isin([r["file"] for r in ran])).groupBy("file").count().collect()}
+        ledger += [(series, r["file"], code, "success", n.get(r["file"], 0), None) for r in ran]
+    return spark.createDataFrame(ledger, LEDGER)
+
+
+def transform_all(spark: SparkSession, staged: str, clean: str, layouts: DataFrame, include: list[str] | None = None, exclude: list[str] | None = None, done: DataFrame | None = None, **options) -> DataFrame:
+    """transform_versions for each series of layouts (which has the column series) that is chosen; one ledger of all."""
+    series = sorted(r[0] for r in layouts.select("series").filter(F.col("series").isNotNull()).distinct().collect())
+    ran = [transform_versions(spark, staged, clean, s, layouts.filter(F.col("series") == s), done=done, **options) for s in chosen(series, include, exclude)]
+    return reduce(DataFrame.unionByName, ran, spark.createDataFrame([], LEDGER))
+
+
+def run_series(spark: SparkSession, source: str, staged: str, clean: str, series: str, layout: DataFrame, staging: bool = True, done: DataFrame | None = None, **options) -> tuple[list[tuple[str, str]], dict[str, DataFrame]]:
+    """Stage a series, then transform it: (status of each step, up to the first that fails; the ledger of each that ran)."""
+    ledgers: dict[str, DataFrame] = {}
+    steps = [("stage", lambda: ledgers.update(stage=stage_series(spark, source, staged, series, done)))] if staging else []
+    steps.append(("transform", lambda: ledgers.update(transform=transform_versions(spark, staged, clean, series, layout, done=done, **options))))
+    return run_steps(steps), ledgers
+
+
 def run_steps(steps: list[tuple[str, Callable[[], object]]]) -> list[tuple[str, str]]:
     """(step, success or the error) of each step, up to the first that fails."""
     out = []

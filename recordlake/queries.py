@@ -132,8 +132,8 @@ def delimited_ragged(spark, sf_dir):
 )
 def delimited_long(spark, sf_dir):
     rows = spark.createDataFrame([("LL", i, f.name) for i, f in enumerate(DELIM)], "record_type string, pos int, field_name string")
-    got = parse.delimited_long(pipe_lines(spark, sf_dir, True), rows)
-    return got.filter(F.col("field_name").isin("Flag", "Status")).groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    got = parse.delimited_long(pipe_lines(spark, sf_dir, True), rows, names=["Flag", "Status"])
+    return got.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Notation -----------------------------------------------------------------------------------------------------------
@@ -185,10 +185,14 @@ def pic_augment(spark, sf_dir):
     return pic.augment(rows).groupBy("dtype").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"SELECT name, {KIND_SQL} AS dtype FROM (SELECT p_brand AS name, arg_max(notation, p_partkey) AS n FROM {PARSED_SQL} GROUP BY 1) g, LATERAL (SELECT * FROM {PARSED_SQL} q WHERE q.notation = g.n LIMIT 1)")
+@query(
+    f"""SELECT p_brand AS name, CASE WHEN d1 <> '' THEN 'double' WHEN i <> '' AND i::INT > 18 THEN 'decimal(' || least(i::INT, 38) || ',0)' WHEN i <> '' THEN 'bigint' ELSE 'string' END AS dtype
+        FROM {PARSED_SQL} QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey DESC) = 1"""
+)
 def dtype_map(spark, sf_dir):
-    last = notations(spark, sf_dir).groupBy(F.col("p_brand").alias("name")).agg(F.max_by("notation", "p_partkey").alias("notation"))
-    return last.select("name", pic.parse_pic("notation")["dtype"].alias("dtype"))
+    rows = notations(spark, sf_dir).groupBy("p_brand").agg(F.min_by("notation", "p_partkey").alias("first"), F.max_by("notation", "p_partkey").alias("last")).collect()  # a row for each brand
+    schema = pic.dtype_map([(None, "X"), *[(r["p_brand"], r["first"]) for r in rows], *[(r["p_brand"], r["last"]) for r in rows]])
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "name string, dtype string")
 
 
 # Layout tables ------------------------------------------------------------------------------------------------------
@@ -332,9 +336,15 @@ def layout_reconcile(spark, sf_dir):
     return layout.reconcile(rows, ["F", "O", "P"])
 
 
-@query("SELECT (o_custkey % 100)::INT AS series, count(*) AS n_rows, count(DISTINCT o_orderstatus) AS n_types, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS record_types FROM orders GROUP BY 1")
+@query(
+    """SELECT s AS series, count(*) AS n_rows, count(DISTINCT o_orderstatus) AS n_types, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS record_types,
+              CASE WHEN s % 3 = 0 THEN 'Item,Max Length,Format' WHEN s % 3 = 1 THEN 'Item,Begin,End' ELSE 'Item' END AS column_names, CASE s % 3 WHEN 0 THEN 'DELIMITED' WHEN 1 THEN 'FIXED_WIDTH' ELSE 'UNKNOWN' END AS format
+       FROM (SELECT *, (o_custkey % 100)::INT AS s FROM orders) GROUP BY s"""
+)
 def layout_profile(spark, sf_dir):
-    rows = read(spark, sf_dir, "orders").select((F.col("o_custkey") % 100).cast("int").alias("series"), F.col("o_orderstatus").alias("record_type"))
+    s = (F.col("o_custkey") % 100).cast("int")
+    own = lambda k, name: F.when(s % 3 == k, F.col("o_orderkey").cast("string")).alias(name)
+    rows = read(spark, sf_dir, "orders").select(s.alias("series"), F.col("o_orderstatus").alias("record_type"), F.col("o_orderkey").cast("string").alias("Item"), own(0, "Max Length"), own(0, "Format"), own(1, "Begin"), own(1, "End"))
     return layout.layout_profile(rows)
 
 
@@ -490,7 +500,7 @@ def month_coverage(spark, sf_dir):
     return out.withColumns({"min_start": day("min_start"), "max_end": day("max_end")})
 
 
-@query(f"SELECT series, count(*) AS attempted, count(*) FILTER (WHERE hit) AS obtained, count(*) FILTER (WHERE NOT hit) AS missed FROM {MISS_SQL} GROUP BY ROLLUP (series)")
+@query(f"SELECT series, count(*) AS attempted, count(*) FILTER (WHERE hit) AS obtained, count(*) FILTER (WHERE NOT hit) AS missed, GROUPING(series)::INT AS level FROM {MISS_SQL} GROUP BY ROLLUP (series)")
 def manifest_rollup(spark, sf_dir):
     expected, have = expected_with_links(spark, sf_dir)
     linked = have.select(F.element_at(F.split("href", "/"), -1).alias("file_name"), F.lit(True).alias("linked")).distinct()
@@ -499,7 +509,7 @@ def manifest_rollup(spark, sf_dir):
 
 # Formats ------------------------------------------------------------------------------------------------------------
 
-FLAGS = ("max_length", "begin_end", "fmt", "description", "definition", "remarks", "element", "item")
+FLAGS = ("max_length", "begin_end", "fmt", "description", "definition", "remarks", "element", "item", "end_only")
 FLAGS_SQL = "(SELECT p_partkey, " + ", ".join(f"(p_partkey // {2**i}) % 2 = 1 AS {f}" for i, f in enumerate(FLAGS)) + " FROM part)"
 
 
@@ -507,9 +517,9 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", *[(F.expr(f"(p_partkey div {2**i}) % 2") == 1).alias(f) for i, f in enumerate(FLAGS)])
 
 
-@query(f"SELECT p_partkey, CASE WHEN max_length AND fmt THEN 'DELIMITED' WHEN begin_end AND item THEN 'FIXED_WIDTH' ELSE 'UNKNOWN' END AS format FROM {FLAGS_SQL}")
+@query(f"SELECT p_partkey, CASE WHEN max_length AND fmt THEN 'DELIMITED' WHEN begin_end THEN 'FIXED_WIDTH' ELSE 'UNKNOWN' END AS format FROM {FLAGS_SQL}")
 def format_detect(spark, sf_dir):
-    return flags(spark, sf_dir).select("p_partkey", profile.format_rule(F.col("max_length"), F.col("fmt"), F.col("begin_end"), F.col("item")).alias("format"))
+    return flags(spark, sf_dir).select("p_partkey", profile.format_rule(F.col("max_length"), F.col("fmt"), F.col("begin_end"), F.col("begin_end") | F.col("end_only")).alias("format"))
 
 
 SCORE_SQL = f"""(SELECT *, CASE WHEN max_length THEN 3 ELSE 0 END - CASE WHEN begin_end THEN 3 ELSE 0 END + CASE WHEN fmt THEN 2 ELSE 0 END + CASE WHEN description AND definition THEN 1 ELSE 0 END
@@ -522,7 +532,7 @@ SCORE_SQL = f"""(SELECT *, CASE WHEN max_length THEN 3 ELSE 0 END - CASE WHEN be
         CASE WHEN remarks AND NOT (description OR definition) THEN 'Remarks column only' END, CASE WHEN element THEN 'Data Element naming' END, CASE WHEN NOT element AND item THEN 'Data Item naming' END) AS indicators FROM {SCORE_SQL}"""
 )
 def format_score(spark, sf_dir):
-    score, predicted, indicators = profile.format_score(*[F.col(f) for f in FLAGS])
+    score, predicted, indicators = profile.format_score(*[F.col(f) for f in FLAGS[:8]])
     return flags(spark, sf_dir).select("p_partkey", score.alias("score"), predicted.alias("predicted"), indicators.alias("indicators"))
 
 
@@ -573,6 +583,8 @@ def drop_files(spark: SparkSession, sf_dir: str, name: str, rows: Column | None
     return path
 
 
+#: Lines of a month's archive, at most about.
+ARCHIVE_LINES = 200_000
 LINE_SQL = "'P' || lpad(o_orderkey::VARCHAR, 10, '0') || rpad(o_orderstatus, 3, ' ') || strftime(o_orderdate, '%Y%m%d') || lpad(round(o_totalprice * 100)::BIGINT::VARCHAR, 15, '0')"
 
 
@@ -590,9 +602,11 @@ def stage_zip(spark, sf_dir):
             z.writestr("readme.md", "not records")
         return pd.DataFrame({"path": [f"/drops/ord_{pdf['period'].iloc[0]}.zip"], "content": [raw.getvalue()]})
 
-    rows = order_lines(spark, sf_dir, "o_orderdate").withColumn("period", F.date_format("o_orderdate", "yyyyMM"))
-    archives = rows.select("period", "text_content").groupBy("period").applyInPandas(packed, "path string, content binary")
-    return lines.unzip(archives).groupBy("file", "member").agg(F.count(F.lit(1)).alias("n"), F.max("text_content").alias("last"))
+    rows = order_lines(spark, sf_dir, "o_orderkey", "o_orderdate").withColumn("period", F.date_format("o_orderdate", "yyyyMM"))
+    parts = max(1, -(-rows.count() // ARCHIVE_LINES))  # a month is so many archives of one name that none grows with the table
+    dealt = rows.select("period", F.pmod(F.xxhash64("o_orderkey"), F.lit(parts)).alias("part"), "text_content")
+    archives = dealt.groupBy("period", "part").applyInPandas(packed, "path string, content binary")
+    return lines.unzip(archives).filter(F.col("error").isNull()).groupBy("file", "member").agg(F.count(F.lit(1)).alias("n"), F.max("text_content").alias("last"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name || ' é' ELSE p_name || ' é' END AS line FROM part")
@@ -620,9 +634,9 @@ def ledger_rollup(spark, sf_dir):
     return ledger.run_summary(ledger_rows(spark, sf_dir)).withColumn("success_rate", F.col("success_rate").cast("double"))
 
 
-@query(f"SELECT series, record_type, sum(n)::BIGINT AS records FROM {LEDGER_SQL} WHERE status = 'success' GROUP BY ROLLUP (series, record_type)")
+@query(f"SELECT series, t AS record_type, sum(n)::BIGINT AS records, GROUPING(series, t)::INT AS level FROM (SELECT *, nullif(record_type, '5-LOW') AS t FROM {LEDGER_SQL} WHERE status = 'success') GROUP BY ROLLUP (series, t)")
 def records_by_type(spark, sf_dir):
-    return ledger.records_by_type(ledger_rows(spark, sf_dir))
+    return ledger.records_by_type(ledger_rows(spark, sf_dir).withColumn("record_type", F.nullif("record_type", F.lit("5-LOW"))))
 
 
 @query(f"SELECT series, file FROM {LEDGER_SQL} WHERE status <> 'success'")
@@ -658,3 +672,158 @@ def incremental_ingest(spark, sf_dir):
         ingest(spark, path, target, checkpoint, "part", [Field("Record_Type", 1), *[Field(f.name.replace(" ", "_"), f.length) for f in ORDER[1:]]], "P", glob="part-*")
     got = spark.read.parquet(target)
     return got.groupBy(F.col("Status").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("Order_Key").alias("n_keys"))
+
+
+# Layout files, versions and whole series ----------------------------------------------------------------------------
+
+
+def layout_folders(spark: SparkSession, sf_dir: str, together: bool = False) -> dict[str, str]:
+    """Layouts of two series as CSV files with headers of their own, from parts; a third folder is not there."""
+    base, p = scratch(spark, "layouts"), read(spark, sf_dir, "part")
+    name = F.concat("p_name", F.when(F.col("p_partkey") % 5 == 0, F.lit("\n(more)")).otherwise(F.lit("")))
+    size, label = F.col("p_size").cast("string"), F.concat(F.lit("P-"), F.col("p_partkey").cast("string")).alias("Item")
+    fixed = p.filter("p_size % 2 = 0").select(label, name.alias("Data Item"), size.alias("Length"), F.lit("X").alias("Remarks"))
+    piped = p.filter("p_size % 2 = 1").select(label, name.alias("Data Element"), F.lit("Text").alias("Type"), size.alias("Max Length"), F.col("p_brand").alias("Format"))
+    for series, rows in (("fixed", fixed), ("piped", piped)):
+        rows.write.mode("append").option("header", True).option("escape", '"').csv(base if together else f"{base}/{series}")
+    return {"all": base} if together else {"fixed": f"{base}/fixed", "piped": f"{base}/piped", "none": f"{base}/none"}
+
+
+FILES_SQL = """(SELECT CASE WHEN p_size % 2 = 0 THEN 'fixed' ELSE 'piped' END AS series, 'P-' || p_partkey AS item, p_name || CASE WHEN p_partkey % 5 = 0 THEN chr(10) || '(more)' ELSE '' END AS field_name, p_size AS length,
+    CASE WHEN p_size % 2 = 0 THEN 'X' ELSE p_brand END AS notation, CASE WHEN p_size % 2 = 1 THEN 'Text' END AS type FROM part)"""
+
+
+@query(f"SELECT item, field_name, length, notation, type FROM {FILES_SQL}")
+def layout_files(spark, sf_dir):
+    rows = layouts.canonical(layouts.read_layout_csv(spark, layout_folders(spark, sf_dir, True)["all"]))
+    return rows.select(F.col("Item").alias("item"), "field_name", "length", "notation", F.col("Type").alias("type"))
+
+
+@query(f"SELECT series, item, field_name, length, notation FROM {FILES_SQL}")
+def combine_layouts(spark, sf_dir):
+    return layouts.combine_layouts(spark, layout_folders(spark, sf_dir)).select("series", F.col("Item").alias("item"), "field_name", "length", "notation")
+
+
+@query(
+    f"""SELECT 'types' AS step, pos, code AS record_type, NULL::INT AS group_id FROM {LAY_SQL} UNION ALL SELECT 'groups', pos, NULL, group_id FROM (SELECT *, max(m) OVER (PARTITION BY file, group_id) AS g, max(m) OVER (PARTITION BY file) AS f
+        FROM (SELECT *, {MENTION_SQL} AS m FROM {GROUPED_SQL} WHERE field_name IS DISTINCT FROM 'Length of Record' AND field_name IS NOT NULL)) WHERE g = 1 OR f = 0"""
+)
+def clean_flags(spark, sf_dir):
+    rows = layout_rows(spark, sf_dir).withColumn("item", F.concat(F.lit("P"), F.col("item_no").cast("string"))).drop("item_no")
+    types = layout.clean_layout(rows, ["field_name"], grouping=False).select(F.lit("types").alias("step"), "pos", "record_type", F.lit(None).cast("int").alias("group_id"))
+    groups = layout.clean_layout(rows, ["field_name"], record_types=False).select(F.lit("groups").alias("step"), "pos", F.lit(None).cast("string").alias("record_type"), "group_id")
+    return types.unionAll(groups)
+
+
+@query(f"SELECT pos, coalesce(a, b) AS code FROM (SELECT o_orderkey AS pos, {CODE_SQL} AS a, CASE WHEN o_orderstatus = 'F' THEN 'F' END AS b FROM orders)")
+def stated_type(spark, sf_dir):
+    rows = layout_rows(spark, sf_dir).withColumn("element", F.when(F.col("status") == "F", F.lit("Record Type = F")).otherwise(F.lit("Record Type")))
+    return rows.select("pos", layout.stated_type("field_name", "element").alias("code"))
+
+
+@query(f"SELECT name, n FROM (SELECT trim(n) AS name, count(*) AS n FROM (SELECT {RAWNAME_SQL} AS n FROM part) GROUP BY 1) ORDER BY n DESC, name LIMIT 50")
+def names_by_count(spark, sf_dir):
+    return report.by_count(frequency.name_counts(raw_names(spark, sf_dir), ["n"])).limit(50)  # a top-k report
+
+
+@query(f"SELECT series, coverage_pct, has_gaps FROM ({SQL['month_coverage']}) ORDER BY has_gaps, coverage_pct DESC, series LIMIT 100")
+def coverage_order(spark, sf_dir):
+    out = coverage.coverage(ranges(spark, sf_dir), F.lit("2001-08-01").cast("date"))
+    return report.by_coverage(out).limit(100).select("series", "coverage_pct", "has_gaps")  # a top-k report
+
+
+@query(f"SELECT p_partkey AS series, score, predicted FROM ({SQL['format_score']}) ORDER BY predicted, score DESC, series LIMIT 100")
+def format_order(spark, sf_dir):
+    score, predicted, _ = profile.format_score(*[F.col(f) for f in FLAGS[:8]])
+    rows = flags(spark, sf_dir).select(F.col("p_partkey").alias("series"), score.alias("score"), predicted.alias("predicted"))
+    return report.by_format(rows).limit(100)  # a top-k report
+
+
+@query("SELECT o_orderstatus AS status, count(*)::VARCHAR AS n, string_agg(DISTINCT o_orderpriority, '; ' ORDER BY o_orderpriority) AS priorities FROM orders GROUP BY 1")
+def report_csv(spark, sf_dir):
+    path = scratch(spark, "report")
+    rows = read(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("o_orderpriority")).alias("priorities"))
+    report.write_report(rows, path)
+    return spark.read.option("header", True).csv(path)
+
+
+@query("SELECT o_orderkey, strftime(CASE WHEN o_orderkey % 3 = 0 THEN date_trunc('month', o_orderdate) WHEN o_orderkey % 3 = 1 THEN o_orderdate END, '%Y-%m-%d') AS day FROM orders")
+def file_periods(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 3
+    month, whole = (F.concat(F.lit("a_b_"), F.date_format("o_orderdate", f), F.lit(".txt")) for f in ("yyyyMM", "yyyyMMdd"))
+    found = F.when(k == 0, dates.file_period(month, F.lit("a_b"), "%Y%m")).when(k == 1, dates.file_period(whole, F.lit("a_b"), "%Y%m%d")).otherwise(dates.file_period(F.lit("a_b_x.txt"), F.lit("a_b"), "%Y%m"))
+    return o.select("o_orderkey", day(found).alias("day"))
+
+
+@query("SELECT n_name AS series, strftime(make_date(2000 + n_nationkey, 1 + n_nationkey % 12, 1), '%Y-%m-%d') AS min_date, CASE WHEN n_nationkey % 2 = 0 THEN 'quarterly' ELSE 'monthly' END AS frequency, r_name AS description FROM nation JOIN region ON n_regionkey = r_regionkey")
+def series_entries(spark, sf_dir):
+    rows = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).collect()  # a catalog, which is read on the driver
+    entries = {r["n_name"]: {"min_date": f"{2000 + r['n_nationkey']}{1 + r['n_nationkey'] % 12:02d}", "extension": "zip", "date_format": "%Y%m", "description": r["r_name"], **({"frequency": "quarterly"} if r["n_nationkey"] % 2 == 0 else {})} for r in rows}
+    return layouts.read_catalog(spark, entries).select("series", day("min_date").alias("min_date"), "frequency", "description")
+
+
+@query(
+    """SELECT s AS series, coalesce(string_agg(h, '; ' ORDER BY h), 'None') AS hints FROM (SELECT s, max(CASE WHEN r <= 10 AND o % 29 = 0 THEN '''Format'' mentions delimiter' END) AS a, max(CASE WHEN r <= 10 AND o % 31 = 0 THEN '''Remarks'' mentions pipe delimiter' END) AS b
+       FROM (SELECT (o_custkey % 40)::INT AS s, row_number() OVER (PARTITION BY o_custkey % 40 ORDER BY o_orderkey) AS r, o_orderkey AS o FROM orders) GROUP BY 1) UNPIVOT INCLUDE NULLS (h FOR k IN (a, b)) GROUP BY 1"""
+)
+def layout_hints(spark, sf_dir):
+    k = F.col("o_orderkey")
+    rows = read(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % 40).cast("int").alias("series"), k.alias("pos"), F.when(k % 29 == 0, F.lit("Delimited")).otherwise(F.lit("x")).alias("Format"), F.when(k % 31 == 0, F.lit("a | b")).otherwise(F.lit("x")).alias("Remarks")
+    )
+    return profile.layout_hints(rows)
+
+
+CHANGE = "1998-01-01"
+
+
+def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of a layout for orders: from the change on, date and status have changed places and there is a total record."""
+    old = [("P", i + 1, f.name, f.length, f.notation) for i, f in enumerate(ORDER)]
+    new = [("P", i + 1, ORDER[k].name, ORDER[k].length, ORDER[k].notation) for i, k in enumerate((0, 1, 3, 2, 4))] + [("Z", 1, "Record Type", 1, "X"), ("Z", 2, "Order Key", 10, "9(10)")]
+    rows = [("V1", None, "1997-12-31", *r) for r in old] + [("V2", CHANGE, "2099-12-31", *r) for r in new]
+    lay = spark.createDataFrame(rows, "version string, a string, b string, record_type string, ordinal int, field_name string, length int, notation string")
+    at = lay.withColumns({"version_from": F.col("a").cast("date"), "version_to": F.col("b").cast("date"), "Begin": F.col("ordinal"), "End": F.col("ordinal")})
+    return at.drop("a", "b")
+
+
+def stage_versions(spark: SparkSession, sf_dir: str) -> str:
+    """Order lines by month, in the layout of their time, as staged files ord_<month>.txt; a third of the later ones have a total record too."""
+    staged = scratch(spark, "staged")
+    key, status, amount = number("o_orderkey", 0, 10), F.rpad("o_orderstatus", 3, " "), number("o_totalprice", 2, 15)
+    when = F.date_format("o_orderdate", "yyyyMMdd")
+    late = F.col("o_orderdate") >= F.lit(CHANGE).cast("date")
+    line = F.when(late, F.concat(F.lit("P"), key, when, status, amount)).otherwise(F.concat(F.lit("P"), key, status, when, amount))
+    total = F.when(late & (F.col("o_orderkey") % 3 == 0), F.concat(F.lit("Z"), key))
+    name = F.concat(F.lit("ord_"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".txt")).alias("file")
+    rows = read(spark, sf_dir, "orders").select(name, F.explode(F.array_compact(F.array(line, total))).alias("text_content"))
+    lines.stage(rows.repartition("file"), staged, "ord")
+    return staged
+
+
+@query(
+    f"""SELECT 'P' AS record_type, strftime(o_orderdate, '%Y%m') AS period, o_orderstatus AS status, count(*) AS n, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS cents, (max(strftime(o_orderdate, '%Y%m%d')::BIGINT))::BIGINT AS last FROM orders GROUP BY 2, 3
+        UNION ALL SELECT 'Z', strftime(o_orderdate, '%Y%m'), NULL, count(*), NULL, NULL FROM orders WHERE o_orderkey % 3 = 0 AND o_orderdate >= DATE '{CHANGE}' GROUP BY 2"""
+)
+def transform_versions(spark, sf_dir):
+    staged, clean = stage_versions(spark, sf_dir), scratch(spark, "clean")
+    jobs.transform_versions(spark, staged, clean, "ord", order_versions(spark, sf_dir), typed_values=True)
+    one = lambda code: spark.read.parquet(f"{clean}/ord/record_type={code}").withColumns({"record_type": F.lit(code), "period": F.col("period").cast("string")})
+    got = one("P").unionByName(one("Z"), allowMissingColumns=True)
+    cents = F.sum(F.round(F.col("Amount") * 100).cast("bigint")).alias("cents")
+    return got.groupBy("record_type", "period", F.col("Status").alias("status")).agg(F.count(F.lit(1)).alias("n"), cents, F.max("Order Date").alias("last"))
+
+
+@query(
+    f"""WITH m AS (SELECT date_trunc('month', o_orderdate) AS d, count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS z FROM orders GROUP BY 1)
+        SELECT series, record_type, status, count(*) AS files, sum(n)::BIGINT AS records FROM (SELECT 'ord' AS series, 'P' AS record_type, CASE WHEN d < DATE '1997-01-01' THEN 'skipped' ELSE 'success' END AS status,
+        CASE WHEN d < DATE '1997-01-01' THEN 0 ELSE n END AS n FROM m UNION ALL SELECT 'ord', 'Z', 'success', z FROM m WHERE d >= DATE '{CHANGE}') GROUP BY 1, 2, 3"""
+)
+def transform_ledger(spark, sf_dir):
+    staged, clean = stage_versions(spark, sf_dir), scratch(spark, "clean")
+    lay = order_versions(spark, sf_dir).withColumn("series", F.lit("ord"))
+    past = read(spark, sf_dir, "orders").filter(F.col("o_orderdate") < F.lit("1997-01-01").cast("date")).select(F.lit("ord").alias("series"), F.concat(F.lit("ord_"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".txt")).alias("file")).distinct()
+    done = past.withColumns({"record_type": F.lit("P"), "status": F.lit("success")})
+    ran = jobs.transform_all(spark, staged, clean, lay.unionByName(lay.withColumn("series", F.lit("other"))), exclude=["other"], done=done)
+    return ran.groupBy("series", "record_type", "status").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("records"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +16,26 @@ NAMES = {"field_name": ("Data Item", "Data Element"), "length": ("Length", "Max
 CATALOG = "series string, min_date date, max_date date, extension string, date_format string, frequency string, description string"
 
 
-def read_layout_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of layout files as strings with the file's name and dates; cells may hold quoted newlines."""
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    df = df.toDF(*distinct_names(df.columns))
+def read_layout_csv(spark: SparkSession, path: str | list[str], max_columns: int = 64) -> DataFrame:
+    """Rows of layout files as strings with the file's name and dates; cells may hold quoted newlines.
+
+    Each file has a header of its own: its first row says what its columns are, and columns that a file lacks are null.
+    Headers are metadata, and the different ones are collected. Files without rows bring nothing.
+    """
+    cells = [f"_c{k}" for k in range(max_columns)]
+    df = spark.read.schema(", ".join(f"{c} string" for c in cells)).option("multiLine", True).option("escape", '"').csv(path)
     plain = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    df = df.withColumns({"layout_file": plain, "pos": F.monotonically_increasing_id()})
+    df = df.withColumns({"layout_file": plain, "_path": F.col("_metadata.file_path"), "pos": F.monotonically_increasing_id()})
+    first = df.groupBy("_path").agg(F.min("pos").alias("_first"), F.min_by(F.array(*[F.coalesce(c, F.lit("")) for c in cells]), "pos").alias("_header"))  # a file of several lines to a cell is one task's
+    headers = sorted((tuple(c or "" for c in r["_header"]) for r in first.select("_header").distinct().collect()), reverse=True)
+    names = {h: distinct_names(list(h[: max(k + 1 for k, c in enumerate(h) if c)])) for h in headers if any(h)}
+    df = df.join(first, "_path").filter(F.col("pos") > F.col("_first"))
+    said = {h: F.array(*[F.lit(c) for c in h]) for h in names}
+    out = []
+    for name in dict.fromkeys(n for ns in names.values() for n in ns):
+        out.append(F.coalesce(*[F.when(F.col("_header") == said[h], F.col(cells[ns.index(name)])) for h, ns in names.items() if name in ns]).alias(name))
     a, b = validity_dates("layout_file")
-    return df.withColumns({"version_from": a, "version_to": b})
+    return df.select(*out, "layout_file", "pos").withColumns({"version_from": a, "version_to": b})
 
 
 def canonical(layout: DataFrame) -> DataFrame:
@@ -34,8 +47,19 @@ def canonical(layout: DataFrame) -> DataFrame:
     return layout.withColumns(have).withColumn("length", F.col("length").try_cast("int"))
 
 
+def combine_layouts(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+    """The layouts of several series, {series: folder}, canonical and with the series; folders that cannot be read or hold nothing are left out."""
+    out = []
+    for series, path in folders.items():
+        try:
+            out.append(canonical(read_layout_csv(spark, path)).withColumn("series", F.lit(series)))
+        except AnalysisException:  # no such folder
+            continue
+    return union_layouts([t for t in out if not t.isEmpty()])
+
+
 def union_layouts(tables: list[DataFrame]) -> DataFrame:
-    """All rows of layouts with different columns; what a table lacks is null. No tables is an error."""
+    """All rows of layouts with different columns; what a table lacks is null. No tables are an error."""
     if not tables:
         raise ValueError("no layout tables")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

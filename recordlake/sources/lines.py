@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from ..functions.text import decode_line, strip_line_end
 MEMBERS = (".txt", ".dat", ".csv")
 #: Lines that leave the unzipping task at a time.
 BATCH_LINES = 50_000
+#: Files of another encoding that are broadcast; more are joined.
+FEW_FILES = 10_000
 
 
 def _with_names(df: DataFrame) -> DataFrame:
@@ -30,60 +33,71 @@ def read_text(spark: SparkSession, path: str, series: str | None = None) -> Data
     if series:
         reader = reader.option("pathGlobFilter", f"{series}_*.[tT][xX][tT]")
     lines = reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
-    whole = lines.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-    raw = F.col("value").cast("binary")
-    text = F.when(F.col("utf8"), F.col("value")).otherwise(F.decode(raw, "ISO-8859-1"))
-    return _with_names(lines.join(whole, "path")).select("file", strip_line_end(text).alias("text_content"))
+    other = lines.filter(~F.is_valid_utf8("value")).select("path").distinct().withColumn("other", F.lit(True))
+    if other.limit(FEW_FILES + 1).count() <= FEW_FILES:  # lines are not shuffled, and a file is as many tasks as it has splits
+        other = F.broadcast(other)
+    text = F.when(F.col("other"), F.decode(F.col("value").cast("binary"), "ISO-8859-1")).otherwise(F.col("value"))
+    return _with_names(lines.join(other, "path", "left")).select("file", strip_line_end(text).alias("text_content"))
 
 
 def read_zip(spark: SparkSession, path: str, series: str | None = None) -> DataFrame:
-    """unzip() of the archives below path, series_*.zip if a series is given."""
+    """unzip() of the archives below path, series_*.zip in any case if a series is given."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return unzip(reader.option("pathGlobFilter", f"{series}_*.zip" if series else "*.zip").load(path))
+    return unzip(reader.option("pathGlobFilter", f"{series}_*.[zZ][iI][pP]" if series else "*.[zZ][iI][pP]").load(path))
 
 
 def unzip(archives: DataFrame) -> DataFrame:
-    """(file, member, member_no, line_no, text_content) of the text members of archives (path, content).
+    """(file, member, member_no, line_no, text_content, error) of the text members of archives (path, content).
 
     An archive is one task's work, since a zip cannot be split; repartition after it. Members other than MEMBERS are
-    left out. A line that is not UTF-8 is ISO-8859-1. What cannot be opened gives no rows.
+    left out. A line that is not UTF-8 is ISO-8859-1. An archive that cannot be opened, a member that breaks off, and
+    an archive without members give a row with an error and no text.
     """
     files = archives.select("path", "content")
 
     def unzipped(batches):
         for batch in batches:
             for path, content in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
+                name, k = None, 0
                 try:
                     archive = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
-                    continue
-                names = [n for n in archive.namelist() if n.lower().endswith(MEMBERS)]
-                for k, name in enumerate(names):
-                    with archive.open(name) as f:
-                        lines: list[bytes] = []
-                        first = 1
-                        for line in f:
-                            lines.append(line.rstrip(b"\r\n"))
-                            if len(lines) == BATCH_LINES:
+                    names = [n for n in archive.namelist() if n.lower().endswith(MEMBERS)]
+                    for k, name in enumerate(names):
+                        with archive.open(name) as f:
+                            lines: list[bytes] = []
+                            first = 1
+                            for line in f:
+                                lines.append(line.rstrip(b"\r\n"))
+                                if len(lines) == BATCH_LINES:
+                                    yield out(path, name, k, first, lines)
+                                    first, lines = first + len(lines), []
+                            if lines:
                                 yield out(path, name, k, first, lines)
-                                first, lines = first + len(lines), []
-                        if lines:
-                            yield out(path, name, k, first, lines)
+                    if not names:
+                        yield out(path, None, 0, 0, [None], "no text member")
+                except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError) as e:  # what a broken archive raises
+                    yield out(path, name, k, 0, [None], f"{type(e).__name__}: {e}")
 
-    def out(path: str, member: str, k: int, first: int, lines: list[bytes]) -> pa.RecordBatch:
+    def out(path: str, member: str | None, k: int, first: int, lines: list[bytes | None], error: str | None = None) -> pa.RecordBatch:
         n = len(lines)
-        return pa.record_batch({"path": pa.array([path] * n), "member": pa.array([member] * n), "member_no": pa.array([k] * n, pa.int32()), "line_no": pa.array(range(first, first + n), pa.int64()), "line": pa.array(lines, pa.binary())})
+        return pa.record_batch(
+            {
+                "path": pa.array([path] * n), "member": pa.array([member] * n, pa.string()), "member_no": pa.array([k] * n, pa.int32()), "line_no": pa.array(range(first, first + n), pa.int64()),
+                "line": pa.array(lines, pa.binary()), "error": pa.array([error] * n, pa.string()),
+            }
+        )
 
-    lines = files.mapInArrow(unzipped, "path string, member string, member_no int, line_no long, line binary")
-    return _with_names(lines).select("file", "member", "member_no", "line_no", decode_line("line").alias("text_content"))
+    lines = files.mapInArrow(unzipped, "path string, member string, member_no int, line_no long, line binary, error string")
+    return _with_names(lines).select("file", "member", "member_no", "line_no", decode_line("line").alias("text_content"), "error")
 
 
 def stage(lines: DataFrame, path: str, series: str, period: str = "period") -> None:
-    """Write lines partitioned by series and period, the period taken from the file name; periods written again are replaced."""
+    """Write lines partitioned by series, period and file, the period taken from the file name; files written again are replaced."""
     stem = F.regexp_replace("file", r"\.[^.]*$", "")
-    rows = lines.withColumns({"series": F.lit(series), period: F.substring(stem, len(series) + 2, 20)})
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("series", period).parquet(path)
+    rows = lines.select("text_content", F.lit(series).alias("series"), F.substr(stem, F.lit(len(series) + 2)).alias(period), "file")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("series", period, "file").parquet(path)
 
 
-def read_staged(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+def read_staged(spark: SparkSession, path: str, period: str = "period") -> DataFrame:
+    """Staged lines; a period is text, whatever it looks like."""
+    return spark.read.schema(f"text_content string, series string, {period} string, file string").option("basePath", path).parquet(path)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import strip_line_end
+from ..functions.text import decode_line, strip_line_end
 from ..operators.parse import Field, delimited, fixed_width
 
 
 def line_stream(spark: SparkSession, source: str, series: str, files_per_batch: int = 1000, glob: str | None = None) -> DataFrame:
-    """Lines of the text files of a series as they arrive, with the file's name."""
+    """Lines of the text files of a series as they arrive, with the file's name; a line that is not UTF-8 is ISO-8859-1."""
     reader = spark.readStream.option("pathGlobFilter", glob or f"{series}_*").option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(source).select(F.col("_metadata.file_name").alias("file"), strip_line_end("value").alias("text_content"))
+    return reader.text(source).select(F.col("_metadata.file_name").alias("file"), strip_line_end(decode_line("value")).alias("text_content"))
 
 
 def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, series: str, fields: list[Field], record_type: str | None = None, delimiter: str | None = None, glob: str | None = None) -> None:
