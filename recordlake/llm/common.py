@@ -32,9 +32,12 @@ def one_thread(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, as in tests, a new local one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset and Spark runs on this machine alone, a new local one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -16,7 +16,7 @@ from .ngram_join import ngram_join
 from .packing import pack
 from .quality import quality
 from .substring_dedup import cut_repeats
-from .token_counts import INSERT, new_rollup
+from .token_counts import DELETE, INSERT, REVISE, new_rollup
 from .toxicity import toxicity
 
 
@@ -29,8 +29,17 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rollup = new_rollup(spark)
-    rollup.commit("load", table(spark, sf_dir, "documents").withColumn("op", F.lit(INSERT)))
+    """Totals after a load, revised texts, deletes, a batch given twice, and batches that set both right again: those of documents as they are."""
+    rollup, docs = new_rollup(spark), table(spark, sf_dir, "documents")
+    some = lambda k: docs.filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(20)) == k)
+    rollup.commit("load", docs.withColumn("op", F.lit(INSERT)))
+    wrong = some(1).withColumns({"op": F.lit(REVISE), "text": F.concat("text", F.lit(" revised"))})
+    rollup.commit("revise", wrong)
+    rollup.commit("delete", some(2).withColumn("op", F.lit(DELETE)))
+    rollup.commit("revise", wrong)  # it is committed already
+    rollup.compact()
+    right = some(1).withColumn("op", F.lit(REVISE)).unionByName(some(2).withColumn("op", F.lit(INSERT)))
+    rollup.commit("restore", right)
     return rollup.totals()
 
 

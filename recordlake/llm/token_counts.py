@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,12 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 KEYS = ("source", "lang", "tokenizer_version")
 INSERT, DELETE, REVISE = "insert", "delete", "revise"
+#: Parts of a batch's entries, by a hash of the id; a batch reads the parts that its documents are in.
+BUCKETS = 16
+#: Names of batches that stand for others begin so.
+COMPACT = "compact-"
+ENTRIES = "doc_id string, source string, lang string, tokenizer_version string, n_tokens long, sign long, bucket int"
+TOTALS = "source string, lang string, tokenizer_version string, documents long, tokens long"
 
 
 class Tokenizer:
@@ -54,67 +62,105 @@ def count_tokens(docs: DataFrame, tokenizer: Tokenizer, text_col: str = "text")
 
 
 class Rollup:
-    """Totals in a shared folder: entries/<batch> holds a signed row for each change of a document, totals/<batch> their
-    sums by key, commits/<batch> says that both are whole. A reader adds up committed totals; the order is no matter."""
+    """Totals in a shared folder: entries/<batch> holds a signed row for each change of a document, by a hash of its id,
+    totals/<batch> their sums by key, commits/<batch> says that both are whole. A reader adds up committed totals; the
+    order is no matter. One writer at a time; readers need not wait."""
 
-    def __init__(self, spark: SparkSession, path: str, tokenizer: Tokenizer | None = None):
-        self.spark, self.path, self.tokenizer = spark, path.rstrip("/"), tokenizer or Tokenizer()
+    def __init__(self, spark: SparkSession, path: str, tokenizer: Tokenizer | None = None, buckets: int = BUCKETS):
+        self.spark, self.path, self.tokenizer, self.buckets = spark, path.rstrip("/"), tokenizer or Tokenizer(), buckets
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{path}")
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def committed(self) -> list[str]:
+        """Batches whose changes count, also those that compact() has put together."""
         fs, p = self._fs("commits")
         return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
-    def _read(self, kind: str) -> DataFrame | None:
+    def _live(self) -> list[str]:
+        """Batches that are read: the committed ones less those that another one stands for."""
         done = self.committed()
-        return self.spark.read.parquet(*(f"{self.path}/{kind}/{b}" for b in done)) if done else None
+        joint = [b for b in done if b.startswith(COMPACT)]
+        gone = {r["value"] for r in self.spark.read.text([f"{self.path}/commits/{b}" for b in joint]).collect()} if joint else set()
+        return [b for b in done if b not in gone]
+
+    def _read(self, kind: str) -> DataFrame | None:
+        live = self._live()
+        if not live:
+            return None
+        base = f"{self.path}/{kind}"
+        kinds = ENTRIES if kind == "entries" else TOTALS
+        return reduce(DataFrame.unionByName, [self.spark.read.schema(kinds).parquet(f"{base}/{b}") for b in live])
+
+    def _mark(self, batch: str, says: list[str]) -> None:
+        fs, p = self._fs(f"commits/{batch}")
+        out = fs.create(p, True)
+        out.write(bytearray("".join(f"{x}\n" for x in says).encode()))
+        out.close()
+
+    def _write(self, batch: str, entries: DataFrame) -> None:
+        """entries and their totals; what a broken-off run has left under the name is overwritten."""
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")
+        entries.withColumn("bucket", bucket).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/entries/{batch}")
+        sums = self.spark.read.schema(ENTRIES).parquet(f"{self.path}/entries/{batch}").groupBy(*KEYS)
+        sums.agg(F.sum("sign").cast("long").alias("documents"), F.sum(F.col("sign") * F.col("n_tokens")).alias("tokens")).write.mode("overwrite").parquet(f"{self.path}/totals/{batch}")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Apply a batch once: (op, doc_id, source, lang, text), and seq where a document changes more than once.
 
-        insert and revise set what a document counts for, whatever it counted for before; delete takes it back, and
-        says nothing about documents that are not there. Of several changes of a document the last by seq holds, then
-        by text; a null seq is the first. A row without an id is a document of its own and can only be inserted. A
-        batch that is committed already changes nothing and returns False; one that broke off is written anew.
+        insert sets what a document counts for under the tokenizer's version, whatever it counted for under it before;
+        revise does so for a new text, so that its counts under other versions are taken back too; delete takes all of
+        them back, and says nothing about documents that are not there. Of several changes of a document the last by
+        seq holds, then by tokens; a null seq is the first. A row without an id is a document of its own and can only
+        be inserted. Null and empty texts have no tokens, very long ones are counted whole; a null source or lang is a
+        key; other columns are not read. A batch that is committed already changes nothing and returns False; one that
+        broke off is written anew. Only the buckets of entries that the batch's documents are in are read.
         """
-        if not batch or "/" in batch:
-            raise ValueError("a batch has a name without /")
+        if not batch or "/" in batch or batch.startswith((COMPACT, "_", ".")):
+            raise ValueError(f"a batch has a name without / and does not begin with {COMPACT}, _ or .")
         if batch in self.committed():
             return False
         version = self.tokenizer.version
         seq = F.col("seq").cast("long") if "seq" in changes.columns else F.lit(None).cast("long")
-        rows = changes.select(F.coalesce("op", F.lit(INSERT)).alias("op"), "doc_id", "source", "lang", seq.alias("seq"), F.when(F.col("op") == DELETE, None).otherwise(F.col("text")).alias("text"))
+        rows = changes.select(F.coalesce("op", F.lit(INSERT)).alias("op"), F.col("doc_id").cast("string").alias("doc_id"), "source", "lang", seq.alias("seq"), F.when(F.col("op") == DELETE, None).otherwise(F.col("text")).alias("text"))
         rows = stored(count_tokens(rows, self.tokenizer), "rollup-counts")
         last = F.max_by(F.struct("op", "source", "lang", "n_tokens"), F.struct("seq", "n_tokens", "op", "source", "lang")).alias("x")
         keyed = rows.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(last).select("doc_id", "x.*")
         loose = rows.filter(F.col("doc_id").isNull() & (F.col("op") != DELETE)).select("doc_id", "op", "source", "lang", "n_tokens")
-        new = keyed.unionByName(loose).filter(F.col("op") != DELETE).select("doc_id", "source", "lang", F.lit(version).alias("tokenizer_version"), "n_tokens", F.lit(1).alias("sign"))
+        new = keyed.unionByName(loose).filter(F.col("op") != DELETE).select("doc_id", "source", "lang", F.lit(version).alias("tokenizer_version"), "n_tokens", F.lit(1).cast("long").alias("sign"))
         old = self._read("entries")
         if old is not None:  # what these documents count for now is taken back
-            live = old.filter(F.col("doc_id").isNotNull() & (F.col("tokenizer_version") == version)).join(keyed.select("doc_id"), "doc_id", "left_semi")
+            touched = [r[0] for r in keyed.select(F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")).distinct().collect()]  # at most buckets
+            live = old.filter(F.col("bucket").isin(touched) & F.col("doc_id").isNotNull()).join(keyed.select("doc_id", "op"), "doc_id")
+            live = live.filter((F.col("op") != INSERT) | (F.col("tokenizer_version") == version))
             live = live.groupBy("doc_id", *KEYS, "n_tokens").agg(F.sum("sign").alias("s")).filter("s > 0")
-            new = new.unionByName(live.select("doc_id", *KEYS, "n_tokens", F.lit(-1).alias("sign")))
-        new.write.mode("overwrite").parquet(f"{self.path}/entries/{batch}")
-        sums = self.spark.read.schema(new.schema).parquet(f"{self.path}/entries/{batch}").groupBy(*KEYS)
-        sums.agg(F.sum("sign").cast("long").alias("documents"), F.sum(F.col("sign") * F.col("n_tokens")).alias("tokens")).write.mode("overwrite").parquet(f"{self.path}/totals/{batch}")
+            new = new.unionByName(live.select("doc_id", *KEYS, "n_tokens", (-F.col("s")).alias("sign")))
+        self._write(batch, new)
         discard(rows)
-        fs, p = self._fs(f"commits/{batch}")
-        fs.create(p, True).close()
+        self._mark(batch, [])
         return True
 
+    def compact(self) -> str | None:
+        """Put all live batches together: entries that have come to nothing go, totals stay the same. The name of the new batch."""
+        live = self._live()
+        old = self._read("entries")
+        if old is None:
+            return None
+        name = f"{COMPACT}{uuid.uuid4().hex}"
+        net = old.groupBy("doc_id", *KEYS, "n_tokens").agg(F.sum("sign").alias("sign")).filter("sign != 0")
+        self._write(name, net)
+        self._mark(name, live)
+        return name
+
     def totals(self) -> DataFrame:
         """source, lang, tokenizer_version, documents, tokens; keys that have come to nothing are left out."""
         got = self._read("totals")
         if got is None:
-            return self.spark.createDataFrame([], "source string, lang string, tokenizer_version string, documents long, tokens long")
+            return self.spark.createDataFrame([], TOTALS)
         out = got.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
         return out.filter("documents != 0 or tokens != 0")
 
 
 def new_rollup(spark: SparkSession, tokenizer: Tokenizer | None = None) -> Rollup:
-    import uuid
-
     return Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}", tokenizer)
