@@ -73,7 +73,7 @@ def learn(rows: list[np.ndarray], labels: np.ndarray, z: np.ndarray, n: np.ndarr
         w = weights(z[u], n[u], p)
         at, at_bias = at[:-1], at[-1]
         err = 1 / (1 + np.exp(-np.clip(np.bincount(r, w[at], len(part)) + w[at_bias], -30, 30))) - y
-        g, g2 = np.bincount(at, err[r], len(u)), np.bincount(at, err[r] ** 2, len(u))
+        g, g2 = (np.bincount(at, x, len(u)).astype(float) for x in (err[r], err[r] ** 2))  # of no coordinates they would be whole numbers
         g[at_bias], g2[at_bias] = err.sum(), (err**2).sum()
         z[u] += g - (np.sqrt(n[u] + g2) - np.sqrt(n[u])) / p.alpha * w
         n[u] += g2
