@@ -1,7 +1,9 @@
 """Classifiers, language model, token rollups, HTML text and packing."""
 
+import itertools
 import math
 import random
+import time
 import uuid
 import zlib
 from collections import Counter, defaultdict
@@ -9,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from recordlake.llm import html_text, labelled, language_model, packing, quality, token_counts, toxicity
 
@@ -61,6 +64,31 @@ def test_toxicity_without_labels(spark):
     assert toxicity.toxicity(frame(spark, []), label_frame(spark, [(1, 1, 1)])).count() == 0
 
 
+def test_ftrl_against_a_plain_loop():
+    """Coordinate by coordinate, an example at a time."""
+    rng = np.random.default_rng(2)
+    p = toxicity.Ftrl(l1=0.3, batch=1)
+    rows = [np.sort(rng.choice(20, rng.integers(0, 6), replace=False)) for _ in range(200)]
+    y = np.array([float(3 in r or 7 in r) for r in rows])
+    z, n = np.zeros(21), np.zeros(21)
+    toxicity.learn(rows, y, z, n, p)
+    zz, nn = [0.0] * 21, [0.0] * 21
+
+    def weight(i):
+        return 0.0 if abs(zz[i]) <= p.l1 else -(zz[i] - math.copysign(p.l1, zz[i])) / ((p.beta + math.sqrt(nn[i])) / p.alpha + p.l2)
+
+    for r, label in zip(rows, y, strict=True):
+        at = [*r.tolist(), 20]
+        w = [weight(i) for i in at]
+        g = 1 / (1 + math.exp(-sum(w))) - label
+        for i, x in zip(at, w, strict=True):
+            zz[i] += g - (math.sqrt(nn[i] + g * g) - math.sqrt(nn[i])) / p.alpha * x
+            nn[i] += g * g
+    assert z == pytest.approx(zz, abs=1e-9) and n == pytest.approx(nn, abs=1e-9)
+    got = toxicity.weights(z, n, p)
+    assert got[3] > 0.5 and got[7] > 0.5 and (got == 0).any()
+
+
 def test_features_stay_in_their_text():
     row, f = toxicity.features(pa.array(["a b", "b a", None, "a"]), 22)
     by = {i: set(f[row == i].tolist()) for i in range(4)}
@@ -101,6 +129,28 @@ def test_gam_learns_an_interaction():
     assert ((m.score(x) > 0.5) == y).mean() > 0.9 and (0, 1) in m.pairs
 
 
+def test_gam_scores_are_sums_of_bins():
+    rng = np.random.default_rng(1)
+    x = rng.random((400, 4))
+    m = quality.fit_gam(x, (x[:, 0] + x[:, 1] * x[:, 2] > 0.8).astype(float), rounds=8, pair_rounds=5)
+    for row, got in zip(x[:50], m.score(x[:50]), strict=True):
+        bins = [sum(v >= e for e in edges) for v, edges in zip(row, m.edges, strict=True)]
+        s = m.bias + sum(t[b] for t, b in zip(m.tables, bins, strict=True))
+        s += sum(t[m.coarse[i][bins[i]], m.coarse[j][bins[j]]] for (i, j), t in zip(m.pairs, m.pair_tables, strict=True))
+        assert got == pytest.approx(1 / (1 + math.exp(-s)), abs=1e-9)
+
+
+def test_shallow_tree_is_the_best():
+    """Against all ways to cut a row of bins once."""
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        g, h = rng.standard_normal(7), rng.random(7) + 1.0
+        gain = lambda a, b: g[a:b].sum() ** 2 / (h[a:b].sum() + 1.0)
+        best = max(gain(0, k) + gain(k, 7) for k in range(1, 7)) - gain(0, 7)
+        more, cut = quality._best_split(g, h, 1.0)
+        assert max(more, 0) == pytest.approx(max(best, 0)) and (more <= 0 or gain(0, cut) + gain(cut, 7) - gain(0, 7) == pytest.approx(best))
+
+
 def test_sample_is_bounded(spark, tmp_path):
     docs, labels = labelled_rows(n=100)
     d, lab = table(spark, tmp_path, docs), label_frame(spark, labels)
@@ -112,10 +162,86 @@ def lm_tokens(t):
     return [*("".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in WORD.findall(t or "")), None]
 
 
+def lm_log10(m, rows, counts):
+    """Scores of texts, token by token, from the numbers of the models alone."""
+    lbl, spell = m.model, m.speller.model
+    own = {w: language_model.KINDS + k for k, w in enumerate(m.own.to_pylist())}
+
+    def softmax(model, features):
+        s = model.r[features].sum(0) @ model.q.T.astype(float) + model.b
+        return s - np.log(np.exp(s - s.max()).sum()) - s.max()
+
+    def letters(word):
+        raw = word.encode() + b" "
+        out = []
+        for k in range(len(raw)):
+            before = (b" " * language_model.ORDERS + raw[:k])[-language_model.ORDERS :]
+            number = sum(b << (8 * i) for i, b in enumerate(reversed(before)))
+            out.append(softmax(spell, language_model._spelled(np.array([number], np.uint64))[0])[raw[k]])
+        return raw, out
+
+    def kind(word):
+        raw = word.encode() + b" "
+        return max(int(m.kinds[raw[0] << 8 | raw[1]]), 0)
+
+    share = {}
+    for w in [*counts, *own]:
+        if w != " ":
+            raw, p = letters(w)
+            share[w] = math.exp(sum(p[2:] if kind(w) else p))
+    own_mass, pairs = Counter(), 0.0
+    for w in own:
+        if w != " ":
+            own_mass[kind(w)] += share[w]
+    for pair in np.flatnonzero(m.kinds >= 0):
+        if pair >> 8 != 32:
+            a = softmax(spell, language_model._spelled(np.array([0x2020202020], np.uint64))[0])[pair >> 8]
+            b = softmax(spell, language_model._spelled(np.array([0x2020202000 | pair >> 8], np.uint64))[0])[pair & 255]
+            pairs += math.exp(a + b)
+    own_mass[0] += pairs
+    inside = {w: share[w] / (1 - own_mass[kind(w)]) for w in counts if w not in own}
+    unseen = Counter()
+    for w, x in inside.items():
+        unseen[kind(w)] += x
+    out = []
+    for _, t in rows:
+        c2 = c1 = language_model.KINDS
+        total = 0.0
+        for w in [x if x is not None else " " for x in lm_tokens(t)]:
+            c = own.get(w) or kind(w)
+            p = softmax(lbl, np.array([c1, len(lbl.q) + c2]))[c]
+            if w not in own:
+                p += math.log(inside[w] if w in inside else 1 - unseen[c])
+            total += p / math.log(10)
+            c2, c1 = c1, c
+        out.append(total)
+    return out
+
+
+def test_language_model_by_brute_force(spark, tmp_path, monkeypatch):
+    """Scores against sums over tokens in plain Python: classes, spellings, unseen words, and the counts of the base."""
+    monkeypatch.setattr(language_model, "HEAD", 50)
+    rows = [(i, t) for i, t in corpus(7, 40) if len(t or "") < 3000]
+    docs = table(spark, tmp_path, rows)
+    m = language_model.LanguageModel(docs)
+    m.own = m.own.slice(0, 30)  # words beyond these are spelled
+    m.kinds[m.kinds > 3] = -1
+    m.speller = language_model.Speller(m.speller.model, m.kinds, m.own)
+    m.counts, m.unseen = m._spell()
+    m.head_p = m._head()[2]
+    m.norms = m._norms()
+    got = {(r["doc_id"], r["n_tokens"], round(r["base_score"], 6)): r["score"] for r in m.score(docs).collect()}
+    counts = Counter(t for i, x in rows if not out_fold(i, 10) for t in lm_tokens(x) if t is not None)
+    want = lm_log10(m, rows, counts)
+    n, v = sum(len(lm_tokens(x)) for i, x in rows if not out_fold(i, 10)), len(counts) + 1
+    ends = sum(not out_fold(i, 10) for i, _ in rows)
+    for (i, t), score in zip(rows, want, strict=True):
+        base = sum(math.log10(((ends if k is None else counts[k]) + 0.1) / (n + 0.1 * (v + 1))) for k in lm_tokens(t))
+        assert got[(i, len(lm_tokens(t)), round(base, 6))] == pytest.approx(score, rel=1e-3, abs=1e-3)
+
+
 def test_language_model_base(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(language_model, "HEAD", 50)
-    monkeypatch.setattr(language_model, "CLASSES", 20)
-    monkeypatch.setattr(language_model, "STEPS", 20)
     rows = corpus(7, 40)
     got = language_model.language_scores(table(spark, tmp_path, rows)).collect()
     c = Counter(t for i, x in rows if not out_fold(i, 10) for t in lm_tokens(x))
@@ -143,17 +269,33 @@ def test_language_model_is_normalised_and_learns():
     for _ in range(20000):
         seq.append(int(after[seq[-1]]) if rng.random() < 0.9 else int(rng.integers(k)))
     seq = np.array(seq)
-    key, n = np.unique((seq[:-2] * k + seq[1:-1]) * k + seq[2:], return_counts=True)
-    m = language_model.start(unigram, 16)
-    for turn in range(3):
-        m = language_model.train(m, key, n, unigram, 400, turn)
-    norms = m.norms(np.arange(k))
-    every = np.arange(k)
-    for c2, c1 in ((0, 1), (3, 3)):
-        p = 10 ** m.log10(norms, np.full(k, c2), np.full(k, c1), every)
-        assert p.sum() == pytest.approx(1, abs=1e-4)
-    score = m.log10(norms, seq[:-2], seq[1:-1], seq[2:]).mean()
-    assert score > math.log10(1 / k) + 0.4
+    f = np.stack([seq[1:-1], k + seq[:-2]], 1)
+    m = language_model.Lbl.start(2 * k, unigram, 16)
+    for _ in range(6):
+        m.train(f, seq[2:], unigram, rng)
+    s = m.r[f].sum(1) @ m.q.T + m.b - m.norms(f)[:, None]
+    assert np.exp(s).sum(1) == pytest.approx(np.ones(len(f)), abs=1e-4)
+    assert s[np.arange(len(f)), seq[2:]].mean() / math.log(10) > math.log10(1 / k) + 0.4
+    back = m.like(m.flat())
+    assert all((getattr(m, x) == getattr(back, x)).all() for x in ("r", "q", "b", "seen"))
+
+
+def test_spelling_adds_up():
+    """Over a small alphabet, the words of a kind up to a length and what is longer have probability 1."""
+    rng = np.random.default_rng(1)
+    unigram = np.full(256, 1e-12)
+    unigram[[97, 98, 32]] = [0.3, 0.2, 0.5]
+    model = language_model.Lbl.start(256 + (language_model.ORDERS - 1) * language_model.SLOTS, unigram / unigram.sum())
+    model.q += rng.standard_normal(model.q.shape).astype(np.float32) * 0.1
+    kinds = np.full(1 << 16, -1)
+    kinds[97 << 8 | 98] = 1
+    own = pa.array([" ", "ab", "ba"])
+    s = language_model.Speller(model, kinds, own)
+    every = ["".join(x) for n in range(1, 13) for x in itertools.product("ab", repeat=n)]
+    p, kind = s.log_share(pa.array([w for w in every if w not in ("ab", "ba")]))
+    mass = np.bincount(kind, np.exp(p), language_model.KINDS)
+    first = np.exp(s._bits(np.array([0x2020202020], np.uint64), np.array([32])))[0]  # the empty word, which is none
+    assert mass[1] == pytest.approx(1, abs=0.02) and mass[0] + first / np.exp(s.lost[0]) == pytest.approx(1, abs=0.02)
 
 
 def test_language_model_empty(spark):
@@ -192,6 +334,39 @@ def test_rollup(spark, tmp_path, tokenizer):
         r.commit("a/b", first)
 
 
+def test_rollup_versions_and_compaction(spark, tmp_path, tokenizer):
+    """Deletes and revised texts reach the counts of every tokenizer version; totals outlive compaction."""
+    r = token_counts.Rollup(spark, f"file://{tmp_path}/{uuid.uuid4().hex}", tokenizer)
+    schema = "op string, doc_id long, source string, lang string, text string"
+    batch = lambda rows: spark.createDataFrame(rows, schema)
+    r.commit("one", batch([("insert", k, "a", "en", "x" * k) for k in range(1, 6)] + [(None, None, "a", "en", "xx")]))
+    (tmp_path / "other.tiktoken").write_bytes(tokenizer.raw)
+    newer = token_counts.Rollup(spark, r.path, token_counts.Tokenizer(str(tmp_path / "other.tiktoken"), PATTERN))
+    newer.commit("two", batch([("insert", k, "a", "en", "x" * k) for k in range(1, 4)]))
+    total = lambda: {x["tokenizer_version"].partition("-")[0]: (x["documents"], x["tokens"]) for x in r.totals().collect()}
+    assert total() == {"bytes": (6, 17), "other": (3, 6)}
+    newer.commit("three", batch([("delete", 1, None, None, None), ("revise", 2, "a", "en", "xxxx")]))
+    assert total() == {"bytes": (4, 14), "other": (2, 7)}
+    before = total()
+    assert r.compact().startswith(token_counts.COMPACT) and total() == before
+    assert not r.commit("two", batch([])) and len(r._live()) == 1
+    r.commit("four", batch([("delete", 3, None, None, None), ("delete", 3, None, None, None)]))
+    assert total() == {"bytes": (3, 11), "other": (1, 4)} and r.compact() and total() == {"bytes": (3, 11), "other": (1, 4)}
+    with pytest.raises(ValueError):
+        r.commit("compact-x", batch([]))
+
+
+def test_rollup_documents_by_sql(spark, tmp_path, tokenizer):
+    rows = corpus(13)
+    docs = table(spark, tmp_path, rows)
+    r = token_counts.Rollup(spark, f"file://{tmp_path}/{uuid.uuid4().hex}", tokenizer)
+    r.commit("load", docs.withColumn("op", F.lit("insert")))
+    docs.createOrReplaceTempView("rolled")
+    want = spark.sql("SELECT source, lang, count(DISTINCT doc_id) + count_if(doc_id IS NULL) AS documents FROM rolled GROUP BY 1, 2").collect()
+    assert {(x["source"], x["lang"], x["documents"]) for x in r.totals().collect()} == {tuple(x) for x in want}
+    assert sum(x["tokens"] for x in r.totals().collect()) == sum(len((t or "").encode()) for i, t in set(rows))
+
+
 def test_rollup_after_a_crash(spark, tmp_path, tokenizer):
     r = token_counts.Rollup(spark, f"file://{tmp_path}/{uuid.uuid4().hex}", tokenizer)
     rows = spark.createDataFrame([("insert", 1, "a", "en", "abc")], "op string, doc_id long, source string, lang string, text string")
@@ -243,6 +418,33 @@ def test_html_marks_in_names_of_prose():
         assert all(x in got for x in ("Social effects", "Notice period", "Discussion")) and "other page" not in got and "Buy" not in got
 
 
+def test_html_prose_and_boxes():
+    prose = "<p>Part, a sentence with commas, and a length that counts for something in the sum. More of it.</p>"
+    page = f"<article>{prose}<section class='related-work'><h2>Work</h2>{prose}</section><div class='discussion'>{prose}</div><div class='notice'><p>We use cookies, and more of them than is right.</p></div></article>"
+    got = html_text.extract(page)
+    assert got.count("Part,") == 3 and "Work" in got and "cookies" not in got
+    page = f"<body><h1>Title</h1><p>Short lead.</p><div>{prose * 4}</div><div class='sidebar'>{prose}</div><p>Menu</p><div class=alert>{prose}</div></body>"
+    got = html_text.extract(page)
+    assert got.startswith("Title\n\nShort lead.\n\nPart,") and got.count("Part,") == 4 and "Menu" not in got
+
+
+@pytest.mark.parametrize("part", ["<a '", "<a ", "<b>x", "<!x", "<a '>'", '<a ="', "<p>x</i>", "<i><p><b>", "<li><b>", "<div><p>a", "</b", "<script>"])
+def test_html_broken_markup_takes_linear_time(part):
+    took = []
+    for n in (50_000, 400_000):
+        html = part * (n // len(part))
+        began = time.process_time()
+        html_text.extract(html)
+        took.append(time.process_time() - began)
+    assert took[1] < 5 and took[1] < 30 * took[0] + 0.2
+
+
+def test_html_broken_quotes():
+    assert html_text.extract("<p>one</p><p title='x>two</p>") == "one\n\ntwo"
+    assert html_text.extract("<p>one<a href=\"it's\">two</a></p><p>three</p>") == "onetwo\n\nthree"
+    assert html_text.extract("<p>x < y and <3 <p>z") == "x < y and <3\n\nz"
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (None, "v", "", "x"), (1, "u", PAGE, "x"), (3, "w", "<p>" + "long, text " * 50000, "x")]
     got = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
@@ -282,6 +484,38 @@ def test_packing(spark, tmp_path):
     assert packing.pack(frame(spark, [])).count() == 0
 
 
+def plain_best_fit(lengths, capacity):
+    """Bins of one capacity, longest first, by looking through all open bins."""
+    room, out = [], {}
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        fits = [b for b in range(len(room)) if room[b] >= lengths[i]]
+        if fits:
+            b = min(fits, key=lambda b: room[b])
+        else:
+            b = len(room)
+            room.append(capacity)
+        room[b] -= lengths[i]
+        out[i] = room[b]
+    return len(room), out
+
+
+def test_best_fit_against_a_plain_one():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        n = rng.integers(1, 101, 200)
+        bins, offsets, caps = packing.best_fit(n, (100,), 0)
+        count, left = plain_best_fit(n.tolist(), 100)
+        assert len(caps) == count
+        assert all(100 - offsets[i] - n[i] == left[i] for i in range(len(n)))
+
+
+def test_capacity_is_of_least_cost():
+    """Many short pieces of different lengths fill a large sequence; all of them count when it is opened."""
+    n = np.arange(1, 60)
+    bins, _, caps = packing.best_fit(np.concatenate([n, n]), (64, 4096), 16)
+    assert caps == [4096] and len(set(bins.tolist())) == 1
+
+
 def test_best_fit_wastes_little():
     rng = np.random.default_rng(0)
     n = rng.integers(1, 1500, 4000)

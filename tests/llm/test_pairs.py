@@ -1,20 +1,24 @@
 """Exact dedup, n-gram join, substring dedup and decontamination against brute force."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from recordlake.llm import decontaminate, exact_dedup, fm_index, ngram_join, substring_dedup
 from recordlake.llm.graph import components
 
-from .helpers import WORD, corpus, frame, table
+from .helpers import WORD, corpus, frame, table, words
 
 
-def test_exact_dedup(spark, tmp_path):
+@pytest.mark.parametrize("options", [{}, {"bucket_keys": 4}, {"bucket_keys": 3, "top_bits": 2}, {"bucket_keys": 8, "hash_bits": 4}])
+def test_exact_dedup(spark, tmp_path, options):
+    """One bucket, many, pages of many slots, and keys that collide so that chains hold several texts."""
     rows = corpus()
-    got = exact_dedup.exact_dedup(table(spark, tmp_path, rows), bucket_keys=4, max_depth=6).collect()
     groups = defaultdict(list)
     for i, t in rows:
         groups[t or ""].append(i)
@@ -23,8 +27,10 @@ def test_exact_dedup(spark, tmp_path):
         keep = max((i for i in ids if i is not None), default=None)
         for i in ids:
             want[(i, keep, len(ids), i == keep, hashlib.sha256(t.encode()).hexdigest())] += 1
+    got = exact_dedup.exact_dedup(table(spark, tmp_path, rows), **options).collect()
     assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in got) == want
-    assert len({r["bucket"] for r in got}) > 4
+    assert (len({r["bucket"] for r in got}) > 4) == ("bucket_keys" in options)
+    assert (max(r["chain"] for r in got) > 1) == ("hash_bits" in options)
 
 
 def test_drop_copies_keeps_columns(spark, tmp_path):
@@ -35,12 +41,44 @@ def test_drop_copies_keeps_columns(spark, tmp_path):
     assert len(texts) == len(set(texts)) == len({t or "" for _, t in corpus()})
 
 
-def test_directory_grows():
-    depth, slots = exact_dedup.grow_directory({0: 5, 1: 5, 2: 1, 7: 1}, 5, 3)
-    assert depth == 3 and [b for _, b, _ in slots] == [0, 1, 2, 2, 3, 3, 3, 3]
-    depth, slots = exact_dedup.grow_directory({3: 100}, 5, 3)
-    assert depth == 3 and len(slots) == 8
-    assert exact_dedup.grow_directory({}, 5, 3) == (0, [(0, 0, 0)])
+def brute_directory(keys, most, fine):
+    """(bucket of each key) by splitting full buckets by their next bit."""
+    out, open_ = {}, [(0, 0, list(keys))]
+    while open_:
+        prefix, local, own = open_.pop()
+        if len(own) <= most or local == fine:
+            out |= dict.fromkeys(own, (1 << local) | prefix)
+        else:
+            bit = lambda k, local=local: (k >> (63 - local)) & 1
+            open_ += [(2 * prefix + b, local + 1, [k for k in own if bit(k) == b]) for b in (0, 1)]
+    return out
+
+
+@pytest.mark.parametrize("top_bits", [12, 3])
+def test_directory_grows(spark, top_bits):
+    rng = np.random.default_rng(4)
+    keys = [int(x) for x in rng.integers(-(1 << 63), (1 << 63) - 1, 300)] + [int(x) for x in rng.integers(0, 1 << 55, 60)]  # a crowd under one prefix
+    table_ = spark.createDataFrame([(k,) for k in keys], "h long")
+    d = exact_dedup.Directory(table_, 5, top_bits)
+    got = {r["h"]: r["bucket"] for r in d.located(table_).collect()}
+    fine = int(np.ceil(np.log2(len(keys) / 5))) + exact_dedup.SLACK
+    want = brute_directory([k % (1 << 64) for k in keys], 5, fine)
+    assert {k % (1 << 64): b for k, b in got.items()} == want
+    assert d.depth > 8 and d.pages.count() == 1 << min(top_bits, d.depth)
+    assert exact_dedup.Directory(table_.limit(0)).depth == 0
+
+
+def test_lookups_go_through_the_directory(spark, tmp_path, monkeypatch):
+    docs = table(spark, tmp_path, corpus())
+    found, calls = exact_dedup.Directory.located, []
+
+    def wrong(self, keys):  # sends the rows that look up elsewhere than the entries
+        calls.append(keys)
+        out = found(self, keys)
+        return out if len(calls) == 1 else out.withColumn("bucket", out["bucket"] + 1000)
+
+    monkeypatch.setattr(exact_dedup.Directory, "located", wrong)
+    assert exact_dedup.exact_dedup(docs, bucket_keys=4).count() == 0
 
 
 def brute_links(rows):
@@ -88,18 +126,47 @@ def test_drop_near_copies(spark, tmp_path):
     assert got.count() == len(set(roots))
 
 
-def test_forest_recall():
-    p = ngram_join.Forest()
-    d = p.depth()
-    assert p.chance(0.8, d) >= p.recall > p.chance(0.8, d + 1)
-    rng = np.random.default_rng(0)
-    met = 0
-    for _ in range(120):
-        common, a, b = rng.integers(1 << 62, size=80), rng.integers(1 << 62, size=10), rng.integers(1 << 62, size=10)
-        s = [np.unique(np.concatenate([common, x]).astype(np.uint64)) for x in (a, b)]
-        keys = ngram_join._prefixes(np.concatenate(s), np.array([0, 90, 180]), p, d)
-        met += bool((keys[0] == keys[1]).any())
-    assert met >= 0.97 * 120
+def test_common_prefix():
+    pack = lambda v: [sum(x << (12 * (4 - k)) for k, x in enumerate(v[i : i + 5])) for i in (0, 5)]
+    a, b = list(range(10)), [*range(7), 99, 8, 9]
+    assert ngram_join.common_prefix(np.array([pack(a), pack(a)]), np.array([pack(b), pack(a)])).tolist() == [7, 10]
+
+
+def near_pairs(rng, n, shared, own):
+    """Texts whose word 5-grams have a Jaccard similarity of about (shared - 4) / (shared + 2 * own)."""
+    rows = []
+    for k in range(n):
+        body = words(rng, shared, 50000)
+        for side in (0, 1):
+            rows.append((2 * k + side, " ".join([*body, *(f"x{k}.{side}.{j}" for j in range(own))])))
+    return rows
+
+
+@pytest.mark.parametrize(("own", "shortens"), [(10, True), (0, False)])
+def test_forest_shortens_prefixes(spark, tmp_path, monkeypatch, own, shortens):
+    """Pairs just above the threshold make prefixes shorter; copies do not. Recall against brute force."""
+    rows = near_pairs(random.Random(1), 150, 90, own)
+    if not own:
+        rows = [(i, t + f" end{i % 2}") for i, t in rows]
+    seen = []
+    linked = ngram_join._linked
+    monkeypatch.setattr(ngram_join, "_linked", lambda *a: seen.append(linked(*a)) or seen[-1])
+    p = ngram_join.Forest(trees=8, recall=0.98)
+    got = {r["doc_id"]: r["n_links"] for r in ngram_join.ngram_join(table(spark, tmp_path, rows), p).collect()}
+    want = dict(zip((i for i, _ in rows), brute_links(rows)[0], strict=True))
+    assert sum(got.values()) >= 0.95 * sum(want.values()) > 0 and all(got[i] <= want[i] for i in want)
+    assert (seen[0][1] < p.longest - p.step) == shortens
+
+
+def test_links_of_null_ids(spark, tmp_path):
+    """Many rows without an id: each meets what its own text is like, not every other."""
+    rng = random.Random(3)
+    bodies = [words(rng, 60, 3000) for _ in range(40)]
+    rows = [(None, " ".join(b)) for b in bodies] + [(None, " ".join([*b, "tail"])) for b in bodies[:10]] + [(None, " ".join(bodies[0]))] * 5
+    got = Counter(r["n_links"] for r in ngram_join.ngram_join(table(spark, tmp_path, rows)).collect())
+    assert got == Counter(brute_links(rows)[0])
+    plan = ngram_join._links(table(spark, tmp_path, rows), ngram_join.Forest(), "doc_id", "text")[0]._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def brute_repeats(rows, size):
@@ -119,9 +186,10 @@ def brute_repeats(rows, size):
     return out
 
 
-@pytest.mark.parametrize("shard_words", [1_000_000, 300])
-def test_substring_dedup(spark, tmp_path, monkeypatch, shard_words):
-    monkeypatch.setattr(substring_dedup.repeated_passages, "__defaults__", ("doc_id", "text", 35, 8, shard_words))
+@pytest.mark.parametrize(("shard_words", "hot_words"), [(1_000_000, 1 << 18), (300, 1 << 18), (1_000_000, 100)])
+def test_substring_dedup(spark, tmp_path, monkeypatch, shard_words, hot_words):
+    """One shard, many, and keys so full that their windows are dealt one by one."""
+    monkeypatch.setattr(substring_dedup.repeated_passages, "__defaults__", ("doc_id", "text", 35, 8, shard_words, hot_words))
     rows = corpus(3)
     got = substring_dedup.cut_repeats(table(spark, tmp_path, rows)).collect()
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == brute_repeats(rows, 35)
@@ -130,6 +198,41 @@ def test_substring_dedup(spark, tmp_path, monkeypatch, shard_words):
         assert sum(s["to"] - s["from"] for s in r["spans"] or []) == r["n_removed"]
 
 
+def test_repeats_come_from_the_index(spark, tmp_path, monkeypatch):
+    """Without what backward search finds nothing goes, copies neither."""
+    rows = [(1, " ".join(f"a{k}" for k in range(50))), (2, " ".join(f"a{k}" for k in range(50))), (3, "x " * 80)]
+    docs = table(spark, tmp_path, rows)
+    assert sum(r["n_removed"] for r in substring_dedup.cut_repeats(docs).collect()) == 180
+    search = substring_dedup.search_shard
+    assert search(pa.table({"key": [1], "content": [1], "copies": [1], "text": [rows[0][1]]}), 35).num_rows == 0
+    assert search(pa.table({"key": [1], "content": [1], "copies": [2], "text": [rows[0][1]]}), 35).to_pylist() == [{"key": 1, "content": 1, "first": 0, "last": 15}]
+
+
+def test_rows_given_again_and_again(spark):
+    """What repeated rows carry does not grow with their number."""
+    t = " ".join(f"a{k}" for k in range(90))
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(t).alias("text"))
+    spans = substring_dedup.repeated_passages(rows).collect()
+    assert len(spans) == 1 and len(spans[0]["spans"]) < 30
+    got = substring_dedup.cut_repeats(rows).groupBy("n_words", "n_removed").count().collect()
+    assert [tuple(r) for r in got] == [(90, 90, 3000)]
+
+
+def test_bits():
+    rng = np.random.default_rng(3)
+    for bit in (rng.random(1000) < 0.5, np.repeat(rng.random(40) < 0.5, 500), np.zeros(0, bool), np.ones(64, bool)):
+        b = fm_index.Bits(bit)
+        assert (b.ones(np.arange(len(bit) + 1)) == np.concatenate([[0], np.cumsum(bit)])).all()
+    assert fm_index.Bits(np.repeat(rng.random(400) < 0.5, 5000)).nbytes() < 2_000_000 / 8
+
+
+def test_weights_of_runs():
+    codes, bounds = np.array([1, 2, 3, 1, 2, 4]), np.array([0, 3, 6])
+    index = fm_index.FmIndex(codes, bounds, weights=np.array([3, 1]))
+    assert fm_index.repeated_windows(index, codes, bounds, 2, 2).tolist() == [True, True, False, True, False, False]
+    assert fm_index.repeated_windows(index, codes, bounds, 2, 4).tolist() == [True, False, False, True, False, False]
+
+
 def test_fm_index():
     rng = np.random.default_rng(1)
     for _ in range(30):
@@ -194,6 +297,41 @@ def test_decontaminate_many_items(spark, tmp_path):
     assert Counter((r["doc_id"], r["item_id"]) for r in got if r["doc_id"] < 3000) == Counter({(k, k): 1 for k, _ in planted})
 
 
+def test_decontaminate_paraphrases(spark, tmp_path):
+    """Recall of items told in other words: some are replaced, left out or put in, as far as an item still counts as told."""
+    rng = random.Random(5)
+    items = [(k, " ".join(words(rng, 40, 4000))) for k in range(300)]
+
+    def told(text):
+        out = []
+        for x in text.split():
+            u = rng.random()
+            out += [f"syn{rng.randrange(500)}"] if u < 0.08 else [] if u < 0.14 else [x, f"more{rng.randrange(500)}"] if u < 0.22 else [x]
+        return " ".join(out)
+
+    rows, counts = [], set()
+    for k, t in items[::2]:
+        text = f"{' '.join(words(rng, 50, 4000))} {told(t)} {' '.join(words(rng, 50, 4000))}"
+        rows.append((k, text))
+        if decontaminate.common_length(t.split(), text.split()) >= 0.8 * 40:
+            counts.add(k)
+    got = decontaminate.contaminated(table(spark, tmp_path, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in got}
+    assert len(counts) > 100 and len({(k, k) for k in counts} & found) >= 0.97 * len(counts)
+    assert all(a == b for a, b in found)
+
+
+def test_spaces_of_the_corpus_miss_nothing(spark, tmp_path):
+    """Latent spaces of sampled windows find what complete spaces find, also where they hold next to nothing of a passage."""
+    rng = random.Random(6)
+    items = spark.createDataFrame([(k, " ".join(words(rng, 30, 900))) for k in range(60)], "item_id long, text string")
+    rows = [(i, t) for i, t in corpus(6, 80)] + [(5000 + r["item_id"], "before " + r["text"] + " after") for r in items.collect()[::3]]
+    docs = table(spark, tmp_path, rows)
+    pairs = lambda **o: Counter((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, items, decontaminate.Search(**o)).collect())
+    want = pairs(sample=0)
+    assert sum(want.values()) >= 20 and want == pairs() == pairs(rank=24, weight=2.0) == pairs(rank=24, held=0.2)
+
+
 def test_drop_contaminated_keys(spark, tmp_path):
     """A contaminated text under a null or repeated id takes no other text with it."""
     a = bench_rows()[0][1]
