@@ -1,8 +1,11 @@
 import zipfile
+from collections import Counter
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
+from recordlake.functions import pic
 from recordlake.operators import coverage, layout, ledger, parse
 from recordlake.operators.parse import Field
 from recordlake.plans import jobs
@@ -119,6 +122,124 @@ def test_stage_and_transform(spark, tmp_path):
     assert {r["file"]: r["status"] for r in done.collect()}["s_202101.zip"] == "skipped"
 
 
+def test_staging_keeps_what_other_files_of_the_period_gave(spark, tmp_path):
+    """A period that comes as text and later as an archive, and a period of many characters."""
+    src, staged = tmp_path / "src", str(tmp_path / "staged")
+    src.mkdir()
+    (src / "x_202401.txt").write_text("Habcd\n")
+    (src / "x_a_period_that_is_longer_than_twenty.txt").write_text("Hlong\n")
+    first = jobs.stage_series(spark, str(src), staged, "x")
+    done = spark.createDataFrame(first.collect(), first.schema)
+    with zipfile.ZipFile(src / "x_202401.ZIP", "w") as z:
+        z.writestr("a.txt", "Hefgh\n")
+    second = {r["file"]: r["status"] for r in jobs.stage_series(spark, str(src), staged, "x", done).collect()}
+    assert second["x_202401.ZIP"] == "success" and second["x_202401.txt"] == "skipped"
+    got = sorted((r["text_content"], r["period"]) for r in lines.read_staged(spark, staged).collect())
+    assert got == [("Habcd", "202401"), ("Hefgh", "202401"), ("Hlong", "a_period_that_is_longer_than_twenty")]
+    jobs.stage_series(spark, str(src), staged, "x")  # again, and nothing twice
+    assert lines.read_staged(spark, staged).count() == 3
+
+
+def test_broken_archives_are_failures(spark, tmp_path):
+    """A member with a bad checksum, an archive without members: no lines of theirs, and the rest goes on."""
+    src = tmp_path / "src"
+    src.mkdir()
+    with zipfile.ZipFile(src / "s_1.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("a.txt", "Hgood\n" * 50)
+        z.writestr("b.txt", "Hbroken\n" * 50)
+    raw = (src / "s_1.zip").read_bytes()
+    (src / "s_1.zip").write_bytes(raw.replace(b"Hbroken\nHbroken", b"Hbr0ken\nHbroken", 1))
+    with zipfile.ZipFile(src / "s_2.zip", "w") as z:
+        z.writestr("a.pdf", "no")
+    with zipfile.ZipFile(src / "s_3.zip", "w") as z:
+        z.writestr("a.dat", "Hok\n")
+    got = {r["file"]: (r["status"], r["n"], r["error"]) for r in jobs.stage_series(spark, str(src), f"{tmp_path}/staged", "s").collect()}
+    assert got["s_1.zip"][:2] == ("failed", 0) and "CRC" in got["s_1.zip"][2]
+    assert got["s_2.zip"] == ("failed", 0, "no text member") and got["s_3.zip"] == ("success", 1, None)
+    assert [r["text_content"] for r in lines.read_staged(spark, f"{tmp_path}/staged").collect()] == ["Hok"]
+
+
+def version_rows(spark):
+    old = [("V1", None, date(2021, 1, 31), "H", i + 1, f.name, f.length, f.notation) for i, f in enumerate(H)]
+    new = [("V2", date(2021, 2, 1), None, "H", i + 1, *x) for i, x in enumerate([("Record Type", 1, "X"), ("Count", 3, "9(3)"), ("File Name", 4, "X(4)")])]
+    lay = spark.createDataFrame(old + new, "version string, version_from date, version_to date, record_type string, ordinal int, field_name string, length int, notation string")
+    return lay.withColumns({"series": F.lit("s"), "Begin": F.lit("1"), "End": F.lit("2")})
+
+
+def test_run_series_by_version(spark, tmp_path):
+    """Each file by the layout of its time; what is done is skipped; files without a layout and unknown formats fail."""
+    src, staged, clean = tmp_path / "src", str(tmp_path / "staged"), str(tmp_path / "clean")
+    src.mkdir()
+    (src / "s_202101.txt").write_text("Habcdxx012\nZ\n")
+    (src / "s_202102.txt").write_text("H034efgh\n")
+    (src / "s_junk.txt").write_text("H034efgh\n")
+    steps, ledgers = jobs.run_series(spark, str(src), staged, clean, "s", version_rows(spark), typed_values=True)
+    assert steps == [("stage", "success"), ("transform", "success")]
+    ran = ledgers["transform"]
+    assert {(r["file"], r["record_type"], r["status"], r["n"]) for r in ran.collect()} == {("s_202101.txt", "H", "success", 1), ("s_202102.txt", "H", "success", 1), ("s_junk.txt", None, "failed", 0)}
+    got = spark.read.parquet(f"{clean}/s/record_type=H").select("File Name", "Count")
+    assert sorted(rows_of(got)) == [("abcd", 12), ("efgh", 34)]
+    done = spark.createDataFrame(ran.collect(), ran.schema)
+    again = jobs.transform_all(spark, staged, clean, version_rows(spark), include=["s"], done=done)
+    assert Counter(r["status"] for r in again.collect()) == {"skipped": 2, "failed": 1}
+    assert jobs.transform_all(spark, staged, clean, version_rows(spark), exclude=["s"]).count() == 0
+    unknown = jobs.transform_versions(spark, staged, clean, "s", version_rows(spark).drop("Begin", "End"))
+    assert Counter(r["error"] for r in unknown.collect()) == {"unknown format": 2, "no layout for the period": 1}
+    steps, _ = jobs.run_series(spark, str(tmp_path / "nowhere"), staged, clean, "s", version_rows(spark))
+    assert len(steps) == 1 and steps[0][1].startswith("failed")
+    assert jobs.layout_fields(version_rows(spark).filter("version = 'V2'"))["H"][1] == Field("Count", 3, "9(3)")
+    all_ = jobs.stage_all(spark, str(src), str(tmp_path / "staged2"), ["s", "t", "s"], exclude=["t"])
+    assert Counter(r["series"] for r in all_.collect()) == {"s": 3}
+
+
+def test_headers_of_their_own(spark, tmp_path):
+    """Layout files with different headers in a folder, one without rows, and a folder that is not there."""
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "f (Sep 2013 - Present).csv").write_text("Item,Data Item,Begin,End,Length,Remarks\n1,Record Type,1,1,1,X\n2,Name,2,5,4,X(4)\n")
+    (tmp_path / "a" / "g.csv").write_text('Item,Data Element,Type,Max Length,Format\n1,"A\nB",Text,7,9(7)\n')
+    (tmp_path / "a" / "h.csv").write_text("Item,Data Item,Length,Remarks\n")
+    got = layouts.canonical(layouts.read_layout_csv(spark, str(tmp_path / "a")))
+    assert sorted(rows_of(got.select("field_name", "length", "notation", "Begin", "Type")), key=str) == sorted([("Record Type", 1, "X", "1", None), ("Name", 4, "X(4)", "2", None), ("A\nB", 7, "9(7)", None, "Text")], key=str)
+    both = layouts.combine_layouts(spark, {"s": str(tmp_path / "a"), "t": str(tmp_path / "b")})
+    assert both.select("series", "field_name").distinct().count() == 3
+
+
+def test_versions_keep_rows_that_repeat(spark):
+    """Equal rows of files stay; a shorter version inside a longer one holds while it is valid."""
+    files = spark.createDataFrame([("a", date(2014, 1, 1))] * 2 + [("a", date(2014, 7, 1)), ("a", None), (None, date(2014, 1, 1))], "series string, day date")
+    versions = spark.createDataFrame([("a", "long", None, None), ("a", "short", date(2013, 6, 1), date(2014, 2, 1))], "series string, version string, version_from date, version_to date")
+    got = Counter((r["series"], r["version"], r["overlap"]) for r in layout.version_for(files, versions).collect())
+    assert got == {("a", "short", True): 2, ("a", "long", False): 1, ("a", None, False): 1, (None, None, False): 1}
+
+
+def test_totals_are_told_from_nulls(spark):
+    rows = [("a", None, "success", 3), ("a", "P", "success", 4), (None, "P", "success", 1)]
+    got = {(r["series"], r["record_type"], r["level"]): r["records"] for r in ledger.records_by_type(spark.createDataFrame(rows, "series string, record_type string, status string, n long")).collect()}
+    assert got == {("a", None, 0): 3, ("a", "P", 0): 4, ("a", None, 1): 7, (None, "P", 0): 1, (None, None, 1): 1, (None, None, 3): 8}
+
+
+def test_expected_files_say_what_they_do_not_know(spark):
+    row = lambda fmt, freq: spark.createDataFrame([("s", date(2024, 1, 1), date(2024, 3, 1), "zip", fmt, freq)], "series string, min_date date, max_date date, extension string, date_format string, frequency string")
+    day = F.lit("2024-05-01").cast("date")
+    assert [r["file_name"] for r in coverage.expected_files(row("%Y-%m-%d", "monthly"), day).orderBy("step").collect()] == ["s_2024-01-31.zip", "s_2024-02-29.zip", "s_2024-03-31.zip"]
+    for bad in (row("%Y-%m-%d", "weekly"), row("%d.%m", "monthly")):
+        with pytest.raises(Exception, match="unknown"):
+            coverage.expected_files(bad, day).collect()
+
+
+def test_missing_files_within_links(spark):
+    expected = spark.createDataFrame([("s_1.zip",), ("s_2.zip",), ("s_3.zip",)], "file_name string")
+    hrefs = spark.createDataFrame([("/d/s_1.zip",), ("/get?file=s_2.zip&x=1",)], "href string")
+    assert [r[0] for r in coverage.missing_files(expected, hrefs, within=True).collect()] == ["s_3.zip"]
+    assert {r[0] for r in coverage.missing_files(expected, hrefs).collect()} == {"s_2.zip", "s_3.zip"}
+
+
+def test_long_numbers(spark):
+    df = spark.createDataFrame([("9" * 17 + "25",)], "v string")
+    got = df.select(pic.convert_value("v", pic.parse_pic(F.lit("9(17)v9(2)"))).alias("c"), pic.typed("v", "9(17)v9(2)").alias("t"), pic.typed("v", "9(17)v9(2)", True).alias("e")).first()
+    assert got["c"]["number"] == got["t"] == 1e17 and str(got["e"]) == "9" * 17 + ".25"
+
+
 def test_steps_stop_at_first_failure():
     assert jobs.run_steps([("a", lambda: 1), ("b", lambda: 1 / 0), ("c", lambda: 1)]) == [("a", "success"), ("b", "failed: ZeroDivisionError")]
 
@@ -151,8 +272,8 @@ def test_reports(spark, tmp_path):
     from recordlake.operators import report
 
     df = spark.createDataFrame([("a", True, ["x", "y"]), ("a", False, []), ("b", True, None)], "series string, hit boolean, l array<string>")
-    got = {r["series"]: (r["attempted"], r["obtained"], r["missed"]) for r in report.manifest_counts(df).collect()}
-    assert got == {"a": (2, 1, 1), "b": (1, 1, 0), None: (3, 2, 1)}
+    got = {(r["series"], r["level"]): (r["attempted"], r["obtained"], r["missed"]) for r in report.manifest_counts(df).collect()}
+    assert got == {("a", 0): (2, 1, 1), ("b", 0): (1, 1, 0), (None, 1): (3, 2, 1)}
     report.write_report(df, f"{tmp_path}/r")
     back = spark.read.option("header", True).csv(f"{tmp_path}/r")
     assert sorted(r["l"] or "" for r in back.collect()) == ["", "", "x; y"]
