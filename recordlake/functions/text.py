@@ -10,14 +10,18 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: The characters that Unicode calls white space.
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(chr(k) for k in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: str | Column) -> Column:
     """White space off both ends, Unicode's too."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def strip_line_end(c: str | Column) -> Column:
     """CR and LF off the end of a line, however many."""
-    return F.regexp_replace(col(c), r"[\r\n]+$", "")
+    return F.rtrim(col(c), F.lit("\r\n"))
 
 
 def one_line(c: str | Column) -> Column:
@@ -26,7 +30,7 @@ def one_line(c: str | Column) -> Column:
 
 
 def safe_file_name(c: str | Column) -> Column:
-    """Characters that file systems refuse become underscores."""
+    """Characters that file systems refuse (fixed values) become underscores."""
     return F.regexp_replace(col(c), r'[\\/*?:"<>|]', "_")
 
 
