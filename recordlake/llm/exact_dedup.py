@@ -13,6 +13,8 @@ from .common import fresh, stored
 BUCKET_KEYS = 4096
 #: The directory has at most 2 ** TOP_BITS pages; a page has a number for each of its slots.
 TOP_BITS = 12
+#: Entries of chains of more than one that are broadcast; more are joined by shuffle.
+FEW_CHAINED = 10_000
 #: Bits beyond those that buckets of even size need, to which a bucket can be split.
 SLACK = 6
 
@@ -82,11 +84,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     index = stored(index, "dedup-index")
     met = directory.located(rows.select("doc_id", "h")).join(index, ["bucket", "h"])
     out = ("doc_id", "keep_id", "group_size", "sha", "bucket", "chain")
+    found = met.filter("length = 1").select(*out)
     collided = index.filter("length > 1")
-    texts = rows.join(collided.select("h").distinct(), "h", "left_semi").select("h", "text").distinct()  # the bytes of those that collide
-    entries = texts.withColumn("sha", F.unhex(F.sha2("text", 256))).join(collided, ["h", "sha"]).drop("bucket")
-    told = directory.located(rows.join(entries, ["h", "text"]))
-    found = met.filter("length = 1").select(*out).unionAll(told.select(*out))
+    few = collided.limit(FEW_CHAINED + 1).count()
+    if few:  # the bytes of the texts whose keys collide, which are so few that they can mostly be sent to where the rows are
+        sent = F.broadcast if few <= FEW_CHAINED else lambda x: x
+        texts = rows.join(sent(collided.select("h").distinct()), "h", "left_semi")
+        entries = texts.select("h", "text").distinct().withColumn("sha", F.unhex(F.sha2("text", 256))).join(sent(collided), ["h", "sha"]).drop("bucket")
+        found = found.unionAll(directory.located(texts.join(entries, ["h", "text"])).select(*out))
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "bucket", "chain")
 
 
