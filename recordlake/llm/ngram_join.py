@@ -314,7 +314,7 @@ def drop_near_copies(docs: DataFrame, params: Forest = Forest(), id_col: str = "
     """docs with one document of each class, and rows that repeat an id and its text once. All columns are kept.
 
     A document is told by its id and the hash of its text, so null and repeated ids do no harm; of a class the one
-    whose key is least stays.
+    whose key is least stays. Null and empty texts are like nothing and stay. No rows give no rows.
     """
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.hex(F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))))
     own, gone = fresh(docs, "_key"), fresh(docs, "_gone")

@@ -202,7 +202,12 @@ def score(docs: DataFrame, model: Gam, id_col: str = "doc_id", text_col: str = "
 
 
 def quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """doc_id, held_out, score, predicted of each document. Without labelled rows every score is 0.5. Null ids are not held out."""
+    """doc_id, held_out, score, predicted of each document.
+
+    Without labelled rows every score is 0.5. A null text counts as empty, and all empty texts have one score; very long
+    ones are measured whole. Null ids are scored and not held out; rows that repeat are scored each. Other columns are
+    not read, whatever their names. No rows give no rows.
+    """
     out = score(docs, fit(docs, labels, max_rows=max_rows))
     return out.select("doc_id", held_out("doc_id", FOLDS).alias("held_out"), "score", "predicted")
 

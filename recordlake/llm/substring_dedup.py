@@ -192,7 +192,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A window is repeated if its word sequence also starts anywhere else, in the same text too; windows are judged on
     the input. Kept words are joined by one space. A null text has no words; repeated rows repeat each other; a null id
-    is an id like others. spans holds [from, to) in words, ascending and apart, empty where nothing goes.
+    is an id like others. spans holds [from, to) in words, ascending and apart, empty where nothing goes. Very long texts
+    are cut into segments like others; other columns are not read, whatever their names. No rows give no rows.
     """
     kind = dict(docs.dtypes)[id_col]
     found = repeated_passages(docs, id_col, text_col, window).withColumnsRenamed({"doc_id": "_id", "text_hash": "_th"})
