@@ -59,6 +59,9 @@ _COMMENT = re.compile(r"""["'\s](?:comment|reply)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+_NO_MARKS: frozenset[str] = frozenset()
+
+
 class Node:
     __slots__ = ("tag", "parent", "kids", "gone", "inside", "marks", "score", "chars", "linked", "stops")
 
@@ -66,7 +69,7 @@ class Node:
         self.tag, self.parent, self.gone = tag, parent, gone
         self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
         self.kids: list[Node | str] = []
-        self.marks: set[str] = set()
+        self.marks: set[str] | frozenset[str] = _NO_MARKS
         self.score = BASE.get(tag, 0.0)
         self.chars = self.linked = self.stops = 0
 
@@ -101,26 +104,23 @@ def _tokens(html: str):
     at = text = 0
     tag = _TAG
     while (lt := html.find("<", at)) >= 0:
-        end = None
-        if html.startswith("<!--", lt):
-            stop = html.find("-->", lt + 4)
-            end, name = (stop + 3 if stop >= 0 else len(html)), None
-        elif html.startswith(("<!", "<?"), lt):
-            stop = html.find(">", lt)
-            if stop < 0:
+        if html[lt + 1 : lt + 2] in ("!", "?"):
+            comment = html.startswith("<!--", lt)
+            stop = html.find("-->", lt + 4) if comment else html.find(">", lt)
+            if stop < 0 and not comment:
                 break
-            end, name = stop + 1, None
-        elif _NAMED.match(html, lt):
+            end, name = (stop + (3 if comment else 1) if stop >= 0 else len(html)), None
+        else:
             m = tag.match(html, lt)
             if m is None:
+                if not _NAMED.match(html, lt):
+                    at = lt + 1
+                    continue
                 if html.find(">", lt) < 0:
                     break
                 tag = _LOOSE  # read to the end in vain once, and never again
                 m = tag.match(html, lt)
-            end, name, shut, attrs = m.end(), m[2].lower(), bool(m[1]), m[3]
-        if end is None:
-            at = lt + 1
-            continue
+            end, name, shut, attrs = m.end(), m[2].lower(), m[1] != "", m[3]
         if lt > text:
             yield html[text:lt], None, False, ""
         if name:
@@ -157,7 +157,8 @@ def parse(html: str) -> Node:
             open_[-1].kids.append(_html.unescape(text))
             continue
         if ends:
-            k = nearest((tag,))
+            mine = at.get(tag)
+            k = mine[-1] if mine else 0
             if k and (tag in BLOCK or not blocks or k > blocks[-1]):
                 shut(k)
             continue
@@ -172,7 +173,7 @@ def parse(html: str) -> Node:
         up = open_[-1]
         node = Node(tag, up, up.gone or tag in DROPPED)
         node.gone = node.gone or (tag == "header" and not node.inside)
-        if tag not in ("body", "main") and (tag != "article" or _COMMENT.search(attrs) is not None):
+        if attrs and tag not in ("body", "main") and (tag != "article" or _COMMENT.search(attrs) is not None):
             node.marks = _marks(tag, attrs, node.inside)
         up.kids.append(node)
         if tag not in VOID and not attrs.rstrip().endswith("/"):
@@ -189,7 +190,9 @@ def _walk(root: Node):
     while stack:
         node, linked = stack.pop()
         yield node, linked
-        stack += [(k, linked or k.tag == "a") for k in reversed(node.kids) if isinstance(k, Node) and not k.gone]
+        for k in reversed(node.kids):
+            if k.__class__ is Node and not k.gone:
+                stack.append((k, linked or k.tag == "a"))
 
 
 def _own_text(node: Node) -> str:
