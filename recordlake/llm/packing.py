@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE, stored
+from .token_counts import Tokenizer, count_tokens
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 #: Cost of a sequence besides its length, in tokens: what a shorter one must save.
@@ -114,3 +115,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None,
 
     kind = dict(sized.dtypes)["doc_id"]
     return dealt.groupBy("shard").applyInPandas(packed, f"doc_id {kind}, piece long, start long, n_tokens int, bin_id string, bin_offset long, bin_capacity int, bin_used long")
+
+
+def pack_tokens(docs: DataFrame, tokenizer: Tokenizer | None = None, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """pack() by the tokens of a tokenizer, and an end for each document; null and empty texts are the end alone."""
+    counted = count_tokens(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), tokenizer or Tokenizer())
+    return pack(counted, length=F.col("n_tokens") + 1, **options)

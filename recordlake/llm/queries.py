@@ -13,7 +13,7 @@ from .exact_dedup import exact_dedup
 from .html_text import extract_pages
 from .language_model import language_scores
 from .ngram_join import ngram_join
-from .packing import pack
+from .packing import pack_tokens
 from .quality import quality
 from .substring_dedup import cut_repeats
 from .token_counts import DELETE, INSERT, REVISE, new_rollup
@@ -68,7 +68,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack_tokens(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -484,6 +484,19 @@ def test_packing(spark, tmp_path):
     assert packing.pack(frame(spark, [])).count() == 0
 
 
+def test_packing_by_tokens(spark, tmp_path, tokenizer):
+    """With a tokenizer of bytes a document is as long as its bytes and an end."""
+    rows = corpus(11, 20)
+    got = packing.pack_tokens(table(spark, tmp_path, rows), tokenizer, capacities=(256, 1024)).collect()
+    check_bins(got, (256, 1024))
+    have, want = Counter(), Counter()
+    for r in got:
+        have[r["doc_id"]] += r["n_tokens"]
+    for i, t in rows:
+        want[i] += len((t or "").encode()) + 1
+    assert have == want
+
+
 def plain_best_fit(lengths, capacity):
     """Bins of one capacity, longest first, by looking through all open bins."""
     room, out = [], {}
