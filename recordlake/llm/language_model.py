@@ -87,16 +87,23 @@ class Lbl:
             gd = -1 / (1 + np.exp(np.clip(data, -30, 30)))
             gf = 1 / (1 + np.exp(-np.clip(fake, -30, 30)))
             gh = gd[:, None] * qw + gf @ qz
-            self._move(self.q, rows, np.concatenate([w, z]), np.concatenate([gd[:, None] * h, gf.T @ h]))
-            self._move(self.b, rows + k, np.concatenate([w, z]), np.concatenate([gd, gf.sum(0)]))
-            self._move(self.r, 0, f.ravel(), gh, f.shape[1])
+            wz = self._order(np.concatenate([w, z]))
+            self._move(self.q, rows, wz, np.concatenate([gd[:, None] * h, gf.T @ h]))
+            self._move(self.b, rows + k, wz, np.concatenate([gd, gf.sum(0)]))
+            self._move(self.r, 0, self._order(f.ravel()), gh, f.shape[1])
 
-    def _move(self, to: np.ndarray, base: int, at: np.ndarray, g: np.ndarray, each: int = 1) -> None:
-        """A step against the gradient g, a row of it for each rows at, with a rate for each by its squared gradients so far."""
-        order = np.argsort(at, kind="stable")
+    @staticmethod
+    def _order(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order of places by what they are, where each one begins in it, which ones)."""
+        order = np.argsort(at.astype(np.uint16), kind="stable")  # rows are fewer than 2 ** 16, which are sorted by radix
         at = at[order]
         first = np.flatnonzero(np.diff(at, prepend=-1))
-        g, at = np.add.reduceat(g[order // each], first, axis=0), at[first]
+        return order, first, at[first]
+
+    def _move(self, to: np.ndarray, base: int, places: tuple[np.ndarray, np.ndarray, np.ndarray], g: np.ndarray, each: int = 1) -> None:
+        """A step against the gradient g, a row of it for each places, with a rate for each by its squared gradients so far."""
+        order, first, at = places
+        g = np.add.reduceat(g[order // each], first, axis=0)
         size = (g * g).mean(1) if g.ndim == 2 else g * g
         self.seen[base + at] += size
         rate = (RATE / np.sqrt(self.seen[base + at])).astype(np.float32)
