@@ -58,6 +58,11 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Shuffle files of finished work are removed once the driver's collector finds that nothing refers to them; it looks now."""
+    spark._jvm.System.gc()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """name, or name with underscores before it that no column of df has."""
     while name in df.columns:

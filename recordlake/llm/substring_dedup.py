@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, discard, mix, rolling, slices, stored
+from .common import Words, discard, mix, released, rolling, slices, stored
 from .fm_index import FmIndex, repeated_windows
 
 WINDOW = 35
@@ -163,6 +163,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     met = stored(places.join(shared, "key", "left_semi"), "fm-met")  # of two tables, so that a hot key can be split
     for old in (places, shared):
         discard(old)
+    released(docs.sparkSession)
     kinds = met.groupBy("key", "content", "length").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "th", "start")).alias("at"))
     kinds = stored(kinds.select("key", "content", "length", "copies", "at.*"), "fm-kinds")
     by_key = kinds.groupBy("key").agg(F.sum("length").alias("words"))
@@ -182,6 +183,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         own = search(dealt).select("key", "content").join(windows, ["key", "content"])
         found = found.unionAll(own.select(F.col("of_key").alias("key"), F.col("of_content").alias("content"), F.col("offset").alias("first"), F.col("offset").alias("last")))
     spans = stored(found, "fm-spans")
+    for old in (kinds, hot, *([windows] if windows is not None else [])):
+        discard(old)
+    released(docs.sparkSession)
     back = met.join(spans, ["key", "content"]).select("id", "th", (F.col("start") + F.col("first")).alias("from"), (F.col("start") + F.col("last") + window).alias("to")).distinct()
     spans_of = back.groupBy("id", "th").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     return spans_of.withColumnsRenamed({"id": "doc_id", "th": "text_hash"})
