@@ -12,6 +12,7 @@ from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .html_text import extract_pages
 from .language_model import language_scores
+from .merkle import manifest_proofs
 from .ngram_join import ngram_join
 from .packing import pack_tokens
 from .quality import quality
@@ -71,14 +72,58 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_tokens(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_proofs(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+#: unsigned crc32 of decimal digits, byte by byte with the table of its polynomial.
+CRC_TABLE_SQL = """SELECT list(list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS tab
+    FROM (SELECT unnest(range(256))::BIGINT AS k)"""
+
+
+def crc_sql(digits: str) -> str:
+    steps = f"list_prepend(4294967295::BIGINT, list_transform(string_split({digits}, ''), lambda x: ascii(x)::BIGINT))"
+    return f"xor(list_reduce({steps}, lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def merkle_sql(levels: int = 8, group_levels: int = 3) -> str:
+    """The manifest level by level: nodes, the runs that they are in, and digests folded along the runs. Up to 8 ** levels rows of a language."""
+    part = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [
+        f"crc AS ({CRC_TABLE_SQL})",
+        f"d AS (SELECT doc_id, lang, {leaf('text')} AS h, CASE WHEN {crc_sql('doc_id::VARCHAR')} % 3 = 0 THEN {leaf(lower)} END AS bad FROM documents, crc)",
+        "p0 AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i, coalesce(bad, h) AS c, '' AS s FROM d)",
+        "t0 AS (SELECT lang AS g, i, h FROM p0)",
+    ]
+
+    def climb(t: str, p: str, g: str, k: int, out_t: str, out_p: str) -> None:
+        """The level above t, and the paths of p with what the run adds."""
+        ctes.append(f"{out_t}r AS (SELECT g, i // 8 AS i, string_agg(h, '' ORDER BY i) AS run, sum(count(*)) OVER (PARTITION BY g) AS n FROM {t} GROUP BY 1, 2)")
+        ctes.append(f"{out_t} AS (SELECT g, i, CASE WHEN n = 1 THEN run ELSE sha256(run) END AS h FROM {out_t}r)")
+        j = f"(i >> {3 * k})"
+        left, right = f"substr(run, 1, 64 * ({j} % 8)::INT)", f"substr(run, 64 * ({j} % 8)::INT + 65)"
+        ctes.append(f"{out_p} AS (SELECT p.* REPLACE (CASE WHEN n = 1 THEN c ELSE sha256({left} || c || {right}) END AS c, CASE WHEN n = 1 THEN s ELSE s || {left} || {right} END AS s) FROM (SELECT *, {j} // 8 AS up FROM {p}) p JOIN {out_t}r r ON p.up = r.i AND p.{g} IS NOT DISTINCT FROM r.g)".replace("p.*", "p.* EXCLUDE (up)").replace("(i >>", "(p.i >>").replace("(SELECT *, (p.i >>", "(SELECT *, (i >>"))
+
+    for k in range(levels):
+        climb(f"t{k}", f"p{k}", "lang", k, f"t{k + 1}", f"p{k + 1}")
+    ctes.append(f"q0 AS (SELECT p.* REPLACE (l.i AS i), l.h AS subroot, true AS every FROM p{levels} p JOIN (SELECT g, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i FROM t{levels}) l ON p.lang IS NOT DISTINCT FROM l.g)")
+    ctes.append("u0 AS (SELECT DISTINCT true AS g, i, subroot AS h FROM q0)")
+    for k in range(group_levels):
+        climb(f"u{k}", f"q{k}", "every", k, f"u{k + 1}", f"q{k + 1}")
+    return f"WITH {', '.join(ctes)} SELECT doc_id, q.h AS leaf, subroot, u.h AS root, sha256(s) AS proof_sha256, c AS folded_root, c = u.h AS verified FROM q{group_levels} q, u{group_levels} u"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op9_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+        "op12_merkle_manifest": merkle_sql(),
     }
