@@ -249,7 +249,7 @@ class Manifest:
         """
         above, levels = self.root(), self.levels
         none = F.array().cast("array<binary>")
-        tops = paths(self.top, "all", self.rounds[0].sparkSession.range(1).select(F.lit(0).alias("all"), none.alias("lefts"), none.alias("rights")), (), levels)
+        tops = paths(self.top, "all", self.rounds[0].sparkSession.range(1).select(F.col("id").cast("int").alias("all"), none.alias("lefts"), none.alias("rights")), (), levels)
 
         def groups(batches):
             for batch in batches:

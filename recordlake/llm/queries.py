@@ -15,6 +15,7 @@ from .language_model import language_scores
 from .merkle import manifest_proofs
 from .ngram_join import ngram_join
 from .packing import pack_tokens
+from .prefix_trie import conversation_trie
 from .quality import quality
 from .substring_dedup import cut_repeats
 from .token_counts import DELETE, INSERT, REVISE, new_rollup
@@ -76,6 +77,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_proofs(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"), rebuilt=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
@@ -126,4 +131,19 @@ def oracle_sql() -> dict[str, str]:
                    doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
         "op12_merkle_manifest": merkle_sql(),
+        "op13_prefix_trie": f"""
+            WITH crc AS ({CRC_TABLE_SQL}),
+            t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) - 1 AS i FROM
+                (SELECT conv_id, turn, strlen(coalesce(text, '')) AS size, substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS id FROM conversations WHERE conv_id IS NOT NULL)),
+            c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {crc_sql('conv_id::VARCHAR')} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t), crc),
+            r AS (SELECT c.conv_id, 0 AS part, i, id, size FROM c JOIN t ON t.conv_id = base WHERE i < h UNION ALL SELECT conv_id, 1, i, id, size FROM c JOIN t USING (conv_id) WHERE i >= h),
+            s AS (SELECT c.conv_id, coalesce(list(id ORDER BY part, i) FILTER (id IS NOT NULL), []) AS ids, coalesce(list(size ORDER BY part, i) FILTER (id IS NOT NULL), []) AS sizes FROM c LEFT JOIN r USING (conv_id) GROUP BY 1),
+            p AS (SELECT conv_id, ids, d, array_to_string(ids[1:d], '') AS p, array_to_string(ids[1:d - 1], '') AS up, coalesce(sizes[d], 0) AS size, len(ids) = d AS ends FROM (SELECT *, unnest(range(len(ids) + 1)) AS d FROM s)),
+            n AS (SELECT d, p, any_value(CASE WHEN d > 0 THEN up END) AS up, any_value(ids) AS ids, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY 1, 2),
+            k AS (SELECT up AS p, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY 1),
+            a AS (SELECT unnest(list_transform(range(d + 1), lambda x: array_to_string(ids[1:x], ''))) AS p, n_children IS NULL AS leaf, (n_convs - 1) * size AS saved FROM n LEFT JOIN k USING (p)),
+            b AS (SELECT p, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM a GROUP BY 1)
+            SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+            FROM n LEFT JOIN n u ON n.up = u.p LEFT JOIN k ON k.p = n.p JOIN b ON b.p = n.p""",
     }
