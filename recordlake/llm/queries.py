@@ -12,6 +12,7 @@ from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .html_text import extract_pages
 from .language_model import language_scores
+from .license_scan import STRIDE, clauses, scan_licenses
 from .merkle import manifest_proofs
 from .ngram_join import ngram_join
 from .packing import pack_tokens
@@ -73,6 +74,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_proofs(table(spark, sf_dir, "documents"))
 
@@ -124,12 +129,34 @@ def merkle_sql(levels: int = 8, group_levels: int = 3) -> str:
     return f"WITH {', '.join(ctes)} SELECT doc_id, q.h AS leaf, subroot, u.h AS root, sha256(s) AS proof_sha256, c AS folded_root, c = u.h AS verified FROM q{group_levels} q, u{group_levels} u"
 
 
+def license_sql() -> str:
+    """Phrases by position, and every block of every document against every clause, word by word."""
+    wanted = clauses()
+    rows = ", ".join(f"({k}, '{c.label}', {len(c.words)}, {c.need}, '{w}')" for k, c in enumerate(wanted) for w in c.words)
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        c AS (SELECT * FROM (VALUES {rows}) AS x(clause, label, n, need, word)),
+        t AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+        base AS (SELECT r, p, CASE WHEN word = 'mit' AND next = 'license' THEN 'mit' WHEN word = 'apache' AND next = 'license' THEN 'apache' WHEN word = 'general' AND next = 'public' AND later = 'license' THEN 'gpl' END AS label
+            FROM (SELECT *, lead(word) OVER o AS next, lead(word, 2) OVER o AS later FROM t WINDOW o AS (PARTITION BY r ORDER BY p)) WHERE label IS NOT NULL),
+        b AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY 1),
+        m AS (SELECT r, p // {STRIDE} - back AS block, word FROM t, (VALUES (0), (1)) AS x(back) WHERE p // {STRIDE} >= back),
+        o AS (SELECT r, block, clause, label, count(DISTINCT word) / any_value(n) AS held FROM m JOIN c USING (word) GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT word) >= any_value(need)),
+        l AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM base UNION ALL SELECT r, label FROM o) GROUP BY 1),
+        s AS (SELECT r, max(held) AS best FROM o GROUP BY 1)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+            CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+        FROM d LEFT JOIN b USING (r) LEFT JOIN l USING (r) LEFT JOIN s USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op9_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+        "op11_license_scan": license_sql(),
         "op12_merkle_manifest": merkle_sql(),
         "op13_prefix_trie": f"""
             WITH crc AS ({CRC_TABLE_SQL}),
