@@ -42,12 +42,17 @@ def standard_name(c: str | Column) -> Column:
     return F.when(F.lower(flat).contains("filler"), F.lit("Filler")).when(flat.startswith("Record Type"), F.lit("Record Type")).otherwise(out)
 
 
+def unused(name: str, used: set[str]) -> str:
+    """name, or name_1, name_2 ...: the first that is not used yet, whatever the case; it is used from now on."""
+    new, k = name, 0
+    while new.lower() in used:
+        k += 1
+        new = f"{name}_{k}"
+    used.add(new.lower())
+    return new
+
+
 def distinct_names(names: list[str]) -> list[str]:
-    """Headers on one line with single spaces; the second of a name gets _1, the third _2."""
-    out, seen = [], {}
-    for n in names:
-        n = " ".join(n.replace("\r", " ").replace("\n", " ").split())
-        k = seen.get(n, 0)
-        seen[n] = k + 1
-        out.append(f"{n}_{k}" if k else n)
-    return out
+    """Headers on one line with single spaces; of equal names, whatever their case, the later ones get _1, _2 ..., and no name twice."""
+    used: set[str] = set()
+    return [unused(" ".join(n.replace("\r", " ").replace("\n", " ").split()), used) for n in names]

@@ -3,101 +3,157 @@
 from __future__ import annotations
 
 import io
-import zipfile
-import zlib
+import uuid
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import decode_line, strip_line_end
+from .archives import MEMBERS, SCHEMA, can_open, members, read_member, zip_lines
+from .commits import FEW_PARTS, Commits, counted
+
+__all__ = ["MEMBERS", "encoded_lines", "read_staged", "read_text", "read_zip", "stage", "staged_files", "unzip"]
 
-#: Extensions of archive members that hold records.
-MEMBERS = (".txt", ".dat", ".csv")
-#: Lines that leave the unzipping task at a time.
-BATCH_LINES = 50_000
 #: Files of another encoding that are broadcast; more are joined.
 FEW_FILES = 10_000
+#: Where the errors of archives lie among staged lines; no series has this name.
+BROKEN_SERIES = "__broken__"
+
+
+def file_name(path: Column) -> Column:
+    """Name of a file from its path or link, without escapes."""
+    return F.element_at(F.split(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "/"), -1)
 
 
-def _with_names(df: DataFrame) -> DataFrame:
-    return df.withColumn("file", F.element_at(F.split(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), "/"), -1))
+def _raw_text(spark: SparkSession, path: str | list[str], series: str | None) -> DataFrame:
+    """(path, value) of text files, bytes as they are."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    if series:
+        reader = reader.option("pathGlobFilter", f"{series}_*.[tT][xX][tT]")
+    return reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
 
 
 def read_text(spark: SparkSession, path: str, series: str | None = None) -> DataFrame:
     """(file, text_content) of text files, series_*.txt in any case if a series is given. Empty lines stay.
 
-    A file that is not UTF-8 from end to end is ISO-8859-1 as a whole.
+    A file that is not UTF-8 from end to end is ISO-8859-1 as a whole, so files are read once to see that. stage_series
+    reads them once, by encoded_lines, and only those found bad again.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
-    if series:
-        reader = reader.option("pathGlobFilter", f"{series}_*.[tT][xX][tT]")
-    lines = reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
+    lines = _raw_text(spark, path, series)
     other = lines.filter(~F.is_valid_utf8("value")).select("path").distinct().withColumn("other", F.lit(True))
     if other.limit(FEW_FILES + 1).count() <= FEW_FILES:  # lines are not shuffled, and a file is as many tasks as it has splits
         other = F.broadcast(other)
     text = F.when(F.col("other"), F.decode(F.col("value").cast("binary"), "ISO-8859-1")).otherwise(F.col("value"))
-    return _with_names(lines.join(other, "path", "left")).select("file", strip_line_end(text).alias("text_content"))
+    return lines.join(other, "path", "left").select(file_name(F.col("path")).alias("file"), strip_line_end(text).alias("text_content"))
+
+
+def encoded_lines(spark: SparkSession, path: str | list[str], series: str | None = None, other: bool = False) -> DataFrame:
+    """(file, text_content, invalid) of text files read as UTF-8, or as ISO-8859-1; invalid says that a line is no UTF-8."""
+    lines = _raw_text(spark, path, series)
+    text = F.decode(F.col("value").cast("binary"), "ISO-8859-1") if other else F.col("value")
+    return lines.select(file_name(F.col("path")).alias("file"), strip_line_end(text).alias("text_content"), (F.lit(False) if other else ~F.is_valid_utf8("value")).alias("invalid"))
 
 
-def read_zip(spark: SparkSession, path: str, series: str | None = None) -> DataFrame:
-    """unzip() of the archives below path, series_*.zip in any case if a series is given."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return unzip(reader.option("pathGlobFilter", f"{series}_*.[zZ][iI][pP]" if series else "*.[zZ][iI][pP]").load(path))
+def drops(spark: SparkSession, path: str, series: str | None = None) -> DataFrame:
+    """(path, file, source) of text files and archives: source says which state of the file it is. Contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"{series or ''}{'_' if series else ''}*.[tTzZ][xXiI][tTpP]").load(path)
+    source = F.sha2(F.concat_ws("|", "path", F.col("length").cast("string"), F.col("modificationTime").cast("string")), 256)
+    return found.select("path", file_name(F.col("path")).alias("file"), source.alias("source")).filter(F.lower("file").rlike(r"\.(txt|zip)$"))
 
 
-def unzip(archives: DataFrame) -> DataFrame:
-    """(file, member, member_no, line_no, text_content, error) of the text members of archives (path, content).
+def read_zip(spark: SparkSession, path: str, series: str | None = None, sure: bool = False, only: list[str] | None = None) -> DataFrame:
+    """(file, member, member_no, line_no, text_content, error) of the text members of archives, series_*.zip if a series is given.
 
-    An archive is one task's work, since a zip cannot be split; repartition after it. Members other than MEMBERS are
-    left out. A line that is not UTF-8 is ISO-8859-1. An archive that cannot be opened, a member that breaks off, and
-    an archive without members give a row with an error and no text.
+    Members are dealt over tasks and read by ranges, where pyarrow can open the archives; else a task reads an archive as
+    a whole, which a cell must hold. sure: of a broken member no lines come at all, at the price of reading it twice.
+    only: paths of the archives that are wanted.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"{series}_*.[zZ][iI][pP]" if series else "*.[zZ][iI][pP]").load(path)
+    paths = [r["path"] for r in found.select("path").collect()] if only is None else only  # a row for each archive
+    if all(can_open(p) for p in paths[:1]):
+        return _named(zip_lines(spark, paths, sure))
+    return unzip(found if only is None else found.filter(F.col("path").isin(only)), sure)
+
+
+def unzip(archives: DataFrame, sure: bool = False) -> DataFrame:
+    """read_zip() of archives that cells hold (path, content), a task each.
+
+    Members other than MEMBERS are left out. A line that is not UTF-8 is ISO-8859-1. An archive that cannot be opened, a
+    member that breaks off, and an archive without members give a row with an error and no text.
     """
-    files = archives.select("path", "content")
 
     def unzipped(batches):
         for batch in batches:
-            for path, content in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
-                name, k = None, 0
-                try:
-                    archive = zipfile.ZipFile(io.BytesIO(content))
-                    names = [n for n in archive.namelist() if n.lower().endswith(MEMBERS)]
-                    for k, name in enumerate(names):
-                        with archive.open(name) as f:
-                            lines: list[bytes] = []
-                            first = 1
-                            for line in f:
-                                lines.append(line.rstrip(b"\r\n"))
-                                if len(lines) == BATCH_LINES:
-                                    yield out(path, name, k, first, lines)
-                                    first, lines = first + len(lines), []
-                            if lines:
-                                yield out(path, name, k, first, lines)
-                    if not names:
-                        yield out(path, None, 0, 0, [None], "no text member")
-                except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError) as e:  # what a broken archive raises
-                    yield out(path, name, k, 0, [None], f"{type(e).__name__}: {e}")
-
-    def out(path: str, member: str | None, k: int, first: int, lines: list[bytes | None], error: str | None = None) -> pa.RecordBatch:
-        n = len(lines)
-        return pa.record_batch(
-            {
-                "path": pa.array([path] * n), "member": pa.array([member] * n, pa.string()), "member_no": pa.array([k] * n, pa.int32()), "line_no": pa.array(range(first, first + n), pa.int64()),
-                "line": pa.array(lines, pa.binary()), "error": pa.array([error] * n, pa.string()),
-            }
-        )
-
-    lines = files.mapInArrow(unzipped, "path string, member string, member_no int, line_no long, line binary, error string")
-    return _with_names(lines).select("file", "member", "member_no", "line_no", decode_line("line").alias("text_content"), "error")
-
-
-def stage(lines: DataFrame, path: str, series: str, period: str = "period") -> None:
-    """Write lines partitioned by series, period and file, the period taken from the file name; files written again are replaced."""
+            for path, content in zip(*(batch.column(k) for k in (0, 1)), strict=True):
+                file = io.BytesIO(content.as_py())
+                for m in members(path.as_py(), file):
+                    yield from read_member(file, m, sure)
+
+    return _named(archives.select("path", "content").mapInArrow(unzipped, SCHEMA))
+
+
+def _named(lines: DataFrame) -> DataFrame:
+    return lines.select(file_name(F.col("path")).alias("file"), "member", "member_no", "line_no", decode_line("line").alias("text_content"), "error")
+
+
+def stage(lines: DataFrame, path: str, series: str, period: str = "period", attempted: DataFrame | None = None, strict: bool = True) -> dict[str, tuple[int, str | None]]:
+    """Write lines by series, period and file, the period taken from the file name: {file: (lines, error)}.
+
+    lines: file, text_content, and maybe error and invalid. The files that are attempted (file, source), by default those
+    that have lines, are replaced as wholes by what they have now, be it nothing. Rows with an error are no lines; strict:
+    a file with one has none. Where a line is invalid, the file's error says so, and none of it is there. Lines are
+    counted by the job that writes them. A write that breaks off changes nothing.
+    """
+    spark = lines.sparkSession
+    for c, kind in (("error", "string"), ("invalid", "boolean")):
+        if c not in lines.columns:
+            lines = lines.withColumn(c, F.lit(None).cast(kind))
+    batch = uuid.uuid4().hex
+    if attempted is None:
+        attempted = lines.select("file").distinct().withColumn("source", F.lit(batch))
+    files = sorted(attempted.select("file", "source").dropDuplicates(["file"]).collect())  # a row for each file
+    code = {r["file"]: k for k, r in enumerate(files)}
+    known = spark.createDataFrame([(f, k) for f, k in code.items()], "file string, code int")
+    rows = lines.join(F.broadcast(known) if len(files) <= FEW_PARTS else known, "file")
+    kind = F.when(F.col("error").isNotNull(), 1).when(F.coalesce("invalid", F.lit(False)), 2).otherwise(0)
+    rows, counts = counted(rows.withColumn("code", F.col("code") * 3 + kind), "code", 3 * len(files))
     stem = F.regexp_replace("file", r"\.[^.]*$", "")
-    rows = lines.select("text_content", F.lit(series).alias("series"), F.substr(stem, F.lit(len(series) + 2)).alias(period), "file")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("series", period, "file").parquet(path)
+    rows = rows.select(F.coalesce("error", "text_content").alias("text_content"), F.when(F.col("error").isNotNull(), F.lit(BROKEN_SERIES)).otherwise(F.lit(series)).alias("series"), F.substr(stem, F.lit(len(series) + 2)).alias(period), "file")
+    at = f"{path}/batch={batch}"
+    rows.write.partitionBy("series", period, "file").parquet(at)
+    n = counts()
+    errors: dict[str, str] = {}
+    if any(n.get(3 * k + 1) for k in code.values()):
+        bad = spark.read.schema(f"text_content string, series string, {period} string, file string").option("basePath", at).parquet(f"{at}/series={BROKEN_SERIES}")
+        errors = {r["file"]: r["e"] for r in bad.groupBy("file").agg(F.min("text_content").alias("e")).collect()}  # a row for each broken file
+    out: dict[str, tuple[int, str | None]] = {}
+    for f, k in code.items():
+        whole = not n.get(3 * k + 2) and not (strict and f in errors)
+        out[f] = (n.get(3 * k, 0) if whole else 0, "not UTF-8" if n.get(3 * k + 2) else errors.get(f))
+    written = sum(bool(n.get(3 * k, 0) + n.get(3 * k + 2, 0)) for k in code.values())
+    kept = [(series, _period(r["file"], series), r["file"], out[r["file"]][0], r["source"]) for r in files if out[r["file"]][0]]
+    entries = spark.createDataFrame(kept, "series string, period string, file string, n long, source string")
+    gone = spark.createDataFrame([(f, [series], None) for f in code], "file string, wanted array<string>, known array<string>")
+    Commits(spark, path, "series").commit(batch, entries, gone, written=written)
+    return out
+
+
+def _period(file: str, series: str) -> str:
+    return file.rpartition(".")[0][len(series) + 1 :] if "." in file else file[len(series) + 1 :]
 
 
 def read_staged(spark: SparkSession, path: str, period: str = "period") -> DataFrame:
-    """Staged lines; a period is text, whatever it looks like."""
-    return spark.read.schema(f"text_content string, series string, {period} string, file string").option("basePath", path).parquet(path)
+    """Staged lines, of each file those of its newest commit; a period is text, whatever it looks like."""
+    table = Commits(spark, path, "series")
+    at = table.latest()
+    if at["snapshot"] is None:
+        raise FileNotFoundError(f"nothing is staged at {path}")
+    rows = spark.read.schema(f"text_content string, batch string, series string, {period} string, file string").option("basePath", path).parquet(*[f"{path}/batch={b}" for b, _ in at["batches"]]) if at["batches"] else None
+    if rows is None:
+        return spark.createDataFrame([], f"text_content string, series string, {period} string, file string")
+    return table.alive(rows.filter(F.col("series") != BROKEN_SERIES), at, ("series", "file")).drop("batch")
+
+
+def staged_files(spark: SparkSession, path: str, series: str) -> DataFrame:
+    """file, period, n, source of the staged files of a series, without a look at their lines."""
+    return Commits(spark, path, "series").entries().filter(F.col("series") == series).select("file", "period", "n", "source")

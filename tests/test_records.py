@@ -241,7 +241,7 @@ def test_long_numbers(spark):
 
 
 def test_steps_stop_at_first_failure():
-    assert jobs.run_steps([("a", lambda: 1), ("b", lambda: 1 / 0), ("c", lambda: 1)]) == [("a", "success"), ("b", "failed: ZeroDivisionError")]
+    assert jobs.run_steps([("a", lambda: 1), ("b", lambda: 1 / 0), ("c", lambda: 1)]) == [("a", "success"), ("b", "failed: ZeroDivisionError: division by zero")]
 
 
 def test_ingest_once(spark, tmp_path):
