@@ -34,6 +34,14 @@ def period_date(text: str | Column, fmt: str) -> Column:
     return F.try_to_timestamp(col(text), F.lit(java)).cast("date")
 
 
+def known_date(text: str | Column) -> Column:
+    """Date of a text in the first of FORMATS that it is in; null for null or empty, and an error for what is in none."""
+    c = F.trim(col(text))
+    found = F.coalesce(*[F.when(c.rlike(p), F.try_to_timestamp(c, F.lit(java)).cast("date")) for p, _, java in FORMATS])
+    none = c.isNull() | (c == "")
+    return F.when(~none, F.coalesce(found, F.raise_error(F.concat(F.lit("not a date: "), c)).cast("date")))
+
+
 def period_end(d: str | Column, frequency: str, first: bool = False) -> Column:
     """First or last day of the month, quarter or year of a date."""
     start = F.date_trunc(UNITS[frequency], col(d)).cast("date")

@@ -46,6 +46,7 @@ def convert_value(raw: str | Column, info: Column) -> Column:
 def validate_value(raw: str | Column, info: Column) -> Column:
     """struct(is_valid, error_message) of a raw value under its notation."""
     r = col(raw)
+    # What is said of a value
     error = (
         F.when(info.isNull(), F.lit("No format information provided"))
         .when(r.isNull(), F.lit("Value must be a string"))

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.names import record_type_code
+from ..functions.names import distinct_names, record_type_code
 from ..functions.text import item_number, item_prefix, one_line
 from .profile import format_rule
 
@@ -82,15 +82,17 @@ def without_redundant_groups(rows: DataFrame, file: str = "file", record_type: s
 
 def clean_layout(
     rows: DataFrame, source_cols: list[str], item: str = "item", name: str = "field_name", element: str | None = None, file: str = "file", pos: str = "pos", drop_auto_headers: bool = True,
-    grouping: bool = True, record_types: bool = True, drop_redundant: bool = False,
+    grouping: bool = True, record_types: bool = True, drop_redundant: bool = False, headers: bool = False,
 ) -> DataFrame:
     """A layout table as extracted, cleaned, by steps that can be left out.
 
-    Texts come on one line and made-up headers go. grouping: labels with digits, groups of items, no length rows, and
+    headers: column names come on one line with single spaces, and repeated ones get numbers; the columns that are named
+    here are then meant by their new names. Texts come on one line and made-up headers go. grouping: labels with digits, groups of items, no length rows, and
     the groups that speak of record types. record_types: the type that a row states, for its whole group if there are
     groups. drop_redundant: group ids that say nothing of their own are null.
     """
     texts = [name] + ([element] if element else [])
+    rows = rows.toDF(*distinct_names(rows.columns)) if headers else rows
     df = rows.withColumns({c: one_line(c) for c in texts})
     if drop_auto_headers:
         df = drop_auto_rows(df, item)
@@ -132,8 +134,8 @@ def version_for(files: DataFrame, versions: DataFrame, series: str = "series", d
     v = versions.withColumnRenamed(series, "_s")
     if not latest_only:
         ok = (F.col(series) == F.col("_s")) & (F.col("version_from").isNull() | (F.col("version_from") <= F.col(day))) & (F.col("version_to").isNull() | (F.col(day) <= F.col("version_to")))
-        return files.join(_if_few(v), ok, "left").drop("_s")
-    spans = _if_few(version_spans(v, "_s"))
+        return files.join(if_few(v), ok, "left").drop("_s")
+    spans = if_few(version_spans(v, "_s"))
     ok = (F.col(series) == F.col("_s")) & (F.col("_start") <= F.col(day)) & (F.col(day) < F.col("_end"))
     return files.join(spans, ok, "left").drop("_s", "_start", "_end").withColumn("overlap", F.coalesce("overlap", F.lit(False)))
 
@@ -142,7 +144,8 @@ def version_for(files: DataFrame, versions: DataFrame, series: str = "series", d
 FEW_ROWS = 100_000
 
 
-def _if_few(rows: DataFrame) -> DataFrame:
+def if_few(rows: DataFrame) -> DataFrame:
+    """rows, marked to be broadcast if a count says that they are few."""
     return F.broadcast(rows) if rows.limit(FEW_ROWS + 1).count() <= FEW_ROWS else rows
 
 

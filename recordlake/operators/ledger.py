@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .layout import if_few
+
 LEDGER = "series string, file string, record_type string, status string, n long, error string"
 
 
@@ -34,4 +36,4 @@ def work_list(files: DataFrame, types: DataFrame, requested: list[str] | None =
     """Files by the record types of their series; requested codes that a series does not know are left out."""
     if requested is not None:
         types = types.filter(F.col("record_type").isin(requested))
-    return files.join(F.broadcast(types), "series")
+    return files.join(if_few(types), "series")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,9 +40,16 @@ def delimiter_hints(text: Column, label: str) -> Column:
 
 def layout_hints(layout: DataFrame, by: str = "series", pos: str = "pos", columns: tuple[str, ...] = ("Format", "Description", "Definition", "Remarks"), first: int = 10) -> DataFrame:
     """by, hints: delimiter_hints of each text column of a series' layout, over its first rows that have a value there."""
-    out = []
-    for c in (c for c in columns if c in layout.columns):
-        top = F.slice(F.array_sort(F.collect_list(F.when(F.col(f"`{c}`").isNotNull(), F.struct(pos, F.col(f"`{c}`").alias("t"))))), 1, first)
-        out.append(F.nullif(delimiter_hints(F.array_join(F.transform(top, lambda x: x["t"]), " "), c), F.lit("None")))
-    told = F.concat_ws("; ", *out) if out else F.lit("")
-    return layout.groupBy(by).agg(F.when(told == "", F.lit("None")).otherwise(told).alias("hints"))
+    have = [c for c in columns if c in layout.columns]
+    w = Window.partitionBy(by).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = layout.select(by, pos, *[F.col(f"`{c}`").alias(f"_t{k}") for k, c in enumerate(have)])
+    seen = seen.withColumns({f"_n{k}": F.count(f"_t{k}").over(w) for k in range(len(have))})
+    kept = seen.withColumns({f"_t{k}": F.when(F.col(f"_n{k}") <= first, F.col(f"_t{k}")) for k in range(len(have))})
+    start = F.row_number().over(Window.partitionBy(by).orderBy(pos)) == 1  # a series without values stays
+    kept = kept.withColumn("_keep", start | F.coalesce(*[F.col(f"_t{k}") for k in range(len(have))], F.lit(None).cast("string")).isNotNull()).filter("_keep") if have else kept
+    told = []
+    for k, c in enumerate(have):
+        texts = F.transform(F.array_sort(F.collect_list(F.when(F.col(f"_t{k}").isNotNull(), F.struct(pos, F.col(f"_t{k}").alias("t"))))), lambda x: x["t"])  # of the first rows
+        told.append(F.nullif(delimiter_hints(F.array_join(texts, " "), c), F.lit("None")))
+    hints = F.concat_ws("; ", *told) if told else F.lit("")
+    return kept.groupBy(by).agg(F.when(hints == "", F.lit("None")).otherwise(hints).alias("hints"))

@@ -18,7 +18,7 @@ from ..functions.kinds import common_types
 from ..operators.layout import layout_profile, version_for
 from ..operators.ledger import LEDGER, to_do
 from ..operators.parse import ALL, LINE, Field, Layout, by_type, placed_columns
-from ..sources.commits import FEW_PARTS, Commits, counted
+from ..sources.commits import FEW_PARTS, Commits, counted, local_frame
 from ..sources.lines import drops, encoded_lines, read_staged, read_zip, stage, staged_files
 
 DELIMITED, FIXED_WIDTH, UNKNOWN = "DELIMITED", "FIXED_WIDTH", "UNKNOWN"
@@ -69,20 +69,20 @@ def stage_series(spark: SparkSession, source: str, staged: str, series: str, don
         parts.append(read_zip(spark, source, series, sure=not strict, only=zips).select("file", LINE, F.lit(False).alias("invalid"), "error"))
     out: dict[str, tuple[int, str | None]] = {}
     if parts:
-        attempted = spark.createDataFrame([(r["file"], r["source"]) for r in every], "file string, source string")
+        attempted = local_frame(spark, [(r["file"], r["source"]) for r in every], "file string, source string")
         out = stage(reduce(DataFrame.unionByName, parts), staged, series, attempted=attempted, strict=strict)
         bad = [r for r in every if out[r["file"]][1] == "not UTF-8"]
         if bad:
-            again = spark.createDataFrame([(r["file"], r["source"]) for r in bad], "file string, source string")
+            again = local_frame(spark, [(r["file"], r["source"]) for r in bad], "file string, source string")
             out |= stage(encoded_lines(spark, [r["path"] for r in bad], other=True), staged, series, attempted=again)
     rows = [(series, f, None, "success" if n else "failed", n, error if error or n else "no lines") for f, (n, error) in out.items()]
-    return spark.createDataFrame([*rows, *((series, f, None, "skipped", 0, None) for f in skipped)], LEDGER)
+    return local_frame(spark, [*rows, *((series, f, None, "skipped", 0, None) for f in skipped)], LEDGER)
 
 
 def stage_all(spark: SparkSession, source: str, staged: str, series: list[str], include: list[str] | None = None, exclude: list[str] | None = None, done: DataFrame | None = None, **options) -> DataFrame:
     """stage_series for each series of the catalog that is chosen; one ledger of all."""
     ran = [stage_series(spark, source, staged, s, done, **options) for s in chosen(series, include, exclude)]
-    return reduce(DataFrame.unionByName, ran, spark.createDataFrame([], LEDGER))
+    return reduce(DataFrame.unionByName, ran, local_frame(spark, [], LEDGER))
 
 
 @dataclass(frozen=True)
@@ -124,7 +124,7 @@ def transform_lines(lines: DataFrame, files: list[File], layouts: dict[str, Layo
     parts = []
     for v in sorted({f.version for f in files}):
         own = [(f.name, k * len(codes), list(f.wanted)) for k, f in enumerate(files) if f.version == v]
-        table = spark.createDataFrame(own, "file string, _at int, _wanted array<string>")
+        table = local_frame(spark, own, "file string, _at int, _wanted array<string>")
         mine = lines.filter(F.col("period").isin(sorted({f.period for f in files if f.version == v}))).join(F.broadcast(table) if len(own) <= FEW_PARTS else table, "file")
         need = {c for f in files if f.version == v for c in f.wanted}
         layout = {c: fields for c, fields in layouts[v].items() if (c or ALL) in need}
@@ -136,8 +136,8 @@ def transform_lines(lines: DataFrame, files: list[File], layouts: dict[str, Layo
     n = counts()
     out = {(f.name, c): n.get(k * len(codes) + codes.index(c), 0) for k, f in enumerate(files) for c in f.wanted}
     of = lambda f, c: _fingerprint(f, None if c == ALL else c, layouts[f.version][None if c == ALL else c], formats[f.version], options)
-    entries = spark.createDataFrame([(c, f.period, f.name, out[f.name, c], of(f, c)) for f in files for c in f.wanted], "record_type string, period string, file string, n long, source string")
-    gone = spark.createDataFrame([(f.name, list(f.wanted), [c or ALL for c in layouts[f.version]] if full else None) for f in files], "file string, wanted array<string>, known array<string>")
+    entries = [(c, f.period, f.name, out[f.name, c], of(f, c)) for f in files for c in f.wanted]
+    gone = [(f.name, list(f.wanted), [c or ALL for c in layouts[f.version]] if full else None) for f in files]
     said = {c: [[p.name, p.column, p.kind.simpleString()] for p in own] for c, own in columns.items()}
     Commits(spark, clean, "record_type").commit(batch, entries, gone, said, stream)
     return out
@@ -172,8 +172,7 @@ def read_clean(spark: SparkSession, clean: str, series: str, record_type: str |
         have = {name.lower(): (column, kind) for name, column, kind in json.loads(own)}
         schema = ", ".join(f"`{c}` {k}" for c, k in have.values()) + ", batch string, period string, file string"
         rows = spark.read.schema(schema).option("basePath", f"{path}/record_type={code}").parquet(*[f"{path}/record_type={code}/batch={b}" for b in of])
-        rows = table.alive(rows, at, ("file",)) if len({f for f in of}) else rows
-        parts.append(rows.select(*[(F.col(f"`{have[k][0]}`").cast(kind) if k in have else F.lit(None).cast(kind)).alias(name) for k, (name, kind) in target.items()], "period", "file"))
+        parts.append(table.alive(rows, at, ("file",), code).select(*[(F.col(f"`{have[k][0]}`").cast(kind) if k in have else F.lit(None).cast(kind)).alias(name) for k, (name, kind) in target.items()], "period", "file"))
     if not parts:
         return spark.createDataFrame([], T.StructType([*[T.StructField(n, k) for n, k in target.values()], T.StructField("period", T.StringType()), T.StructField("file", T.StringType())]))
     return reduce(DataFrame.unionByName, parts)
@@ -192,13 +191,13 @@ def transform_series(spark: SparkSession, staged: str, clean: str, series: str,
     """
     wanted = [c for c in layouts if record_types is None or c in record_types]
     if fmt == UNKNOWN or not wanted:
-        return spark.createDataFrame([(series, None, c, "failed", 0, "unknown format") for c in wanted], LEDGER)
+        return local_frame(spark, [(series, None, c, "failed", 0, "unknown format") for c in wanted], LEDGER)
     files = [File(r["file"], r["period"], "", r["source"], tuple(c or ALL for c in wanted)) for r in staged_files(spark, staged, series).collect()]
     n: dict[tuple[str, str], int] = {}
     if files:
         lines = read_staged(spark, staged).filter(F.col("series") == series)
         n = transform_lines(lines, files, {"": layouts}, {"": fmt}, f"{clean}/{series}", Options(delimiter, typed_values), record_types is None)
-    return spark.createDataFrame([(series, None, c, "success", sum(k for (_, t), k in n.items() if t == (c or ALL)), None) for c in wanted], LEDGER)
+    return local_frame(spark, [(series, None, c, "success", sum(k for (_, t), k in n.items() if t == (c or ALL)), None) for c in wanted], LEDGER)
 
 
 def transform_versions(
@@ -239,14 +238,14 @@ def transform_versions(
         lines = read_staged(spark, staged).filter(F.col("series") == series)
         n = transform_lines(lines, todo, layouts, formats, path, options, record_types is None)
         ledger += [(series, f, None if c == ALL else c, "success", k, None) for (f, c), k in n.items()]
-    return spark.createDataFrame(ledger, LEDGER)
+    return local_frame(spark, ledger, LEDGER)
 
 
 def transform_all(spark: SparkSession, staged: str, clean: str, layouts: DataFrame, include: list[str] | None = None, exclude: list[str] | None = None, done: DataFrame | None = None, **options) -> DataFrame:
     """transform_versions for each series of layouts (which has the column series) that is chosen; one ledger of all."""
     series = sorted(r[0] for r in layouts.select("series").filter(F.col("series").isNotNull()).distinct().collect())
     ran = [transform_versions(spark, staged, clean, s, layouts.filter(F.col("series") == s), done=done, **options) for s in chosen(series, include, exclude)]
-    return reduce(DataFrame.unionByName, ran, spark.createDataFrame([], LEDGER))
+    return reduce(DataFrame.unionByName, ran, local_frame(spark, [], LEDGER))
 
 
 def run_series(spark: SparkSession, source: str, staged: str, clean: str, series: str, layout: DataFrame, staging: bool = True, done: DataFrame | None = None, **options) -> tuple[list[tuple[str, str]], dict[str, DataFrame]]:

@@ -16,7 +16,7 @@ from .operators.parse import Field
 from .plans import jobs
 from .sources import layouts, lines, links
 from .sources.scratch import scratch
-from .streaming.ingest import ingest
+from .streaming.ingest import ingest, ingest_versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -657,9 +657,9 @@ def pipeline_series(spark, sf_dir):
     rows = order_lines(spark, sf_dir, "o_orderdate").select(F.concat(F.lit("ord_"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".txt")).alias("file"), "text_content")
     lines.stage(rows, staged, "ord")
     jobs.transform_series(spark, staged, clean, "ord", {"P": ORDER}, jobs.FIXED_WIDTH, typed_values=True)
-    got = spark.read.option("basePath", f"{clean}/ord").parquet(f"{clean}/ord")
+    got = jobs.read_clean(spark, clean, "ord", "P")
     cents = F.sum(F.round(F.col("Amount") * 100).cast("bigint")).alias("cents")
-    return got.groupBy(F.col("record_type"), F.col("period").cast("string").alias("period")).agg(F.count(F.lit(1)).alias("n"), cents)
+    return got.groupBy(F.col("Record Type").alias("record_type"), "period").agg(F.count(F.lit(1)).alias("n"), cents)
 
 
 @query("SELECT o_orderstatus AS status, count(*) AS n, count(DISTINCT o_orderkey) AS n_keys FROM orders GROUP BY 1")
@@ -802,6 +802,11 @@ def stage_versions(spark: SparkSession, sf_dir: str) -> str:
     return staged
 
 
+def clean_types(spark: SparkSession, clean: str) -> DataFrame:
+    one = lambda code: jobs.read_clean(spark, clean, "ord", code).withColumn("record_type", F.lit(code))
+    return one("P").unionByName(one("Z"), allowMissingColumns=True)
+
+
 @query(
     f"""SELECT 'P' AS record_type, strftime(o_orderdate, '%Y%m') AS period, o_orderstatus AS status, count(*) AS n, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS cents, (max(strftime(o_orderdate, '%Y%m%d')::BIGINT))::BIGINT AS last FROM orders GROUP BY 2, 3
         UNION ALL SELECT 'Z', strftime(o_orderdate, '%Y%m'), NULL, count(*), NULL, NULL FROM orders WHERE o_orderkey % 3 = 0 AND o_orderdate >= DATE '{CHANGE}' GROUP BY 2"""
@@ -809,8 +814,7 @@ def stage_versions(spark: SparkSession, sf_dir: str) -> str:
 def transform_versions(spark, sf_dir):
     staged, clean = stage_versions(spark, sf_dir), scratch(spark, "clean")
     jobs.transform_versions(spark, staged, clean, "ord", order_versions(spark, sf_dir), typed_values=True)
-    one = lambda code: spark.read.parquet(f"{clean}/ord/record_type={code}").withColumns({"record_type": F.lit(code), "period": F.col("period").cast("string")})
-    got = one("P").unionByName(one("Z"), allowMissingColumns=True)
+    got = clean_types(spark, clean)
     cents = F.sum(F.round(F.col("Amount") * 100).cast("bigint")).alias("cents")
     return got.groupBy("record_type", "period", F.col("Status").alias("status")).agg(F.count(F.lit(1)).alias("n"), cents, F.max("Order Date").alias("last"))
 
@@ -827,3 +831,158 @@ def transform_ledger(spark, sf_dir):
     done = past.withColumns({"record_type": F.lit("P"), "status": F.lit("success")})
     ran = jobs.transform_all(spark, staged, clean, lay.unionByName(lay.withColumn("series", F.lit("other"))), exclude=["other"], done=done)
     return ran.groupBy("series", "record_type", "status").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("records"))
+
+
+# Reruns, changes and streams of whole series --------------------------------------------------------------------------
+
+
+def version_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, o_orderkey, line, total): stage_versions' lines, total null where there is no total record."""
+    key, status, amount = number("o_orderkey", 0, 10), F.rpad("o_orderstatus", 3, " "), number("o_totalprice", 2, 15)
+    when = F.date_format("o_orderdate", "yyyyMMdd")
+    late = F.col("o_orderdate") >= F.lit(CHANGE).cast("date")
+    line = F.when(late, F.concat(F.lit("P"), key, when, status, amount)).otherwise(F.concat(F.lit("P"), key, status, when, amount))
+    total = F.when(late & (F.col("o_orderkey") % 3 == 0), F.concat(F.lit("Z"), key))
+    name = F.concat(F.lit("ord_"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".txt"))
+    return read(spark, sf_dir, "orders").select(name.alias("file"), "o_orderkey", line.alias("line"), total.alias("total"))
+
+
+def both_lines(rows: DataFrame) -> DataFrame:
+    return rows.select("file", F.explode(F.array_compact(F.array("line", "total"))).alias("text_content")).repartition("file")
+
+
+@query(
+    """SELECT 'P' AS record_type, strftime(o_orderdate, '%Y%m') AS period, count(*) AS n, (max(o_orderkey))::BIGINT AS last FROM orders WHERE o_orderkey % 2 = 0 OR o_orderdate < DATE '1996-01-01' GROUP BY 2"""
+)
+def restage_replaces(spark, sf_dir):
+    """Staged and transformed twice: from 1996 on, the second time half of the lines are gone and all total records."""
+    staged, clean = scratch(spark, "staged"), scratch(spark, "clean")
+    rows, lay = version_lines(spark, sf_dir), order_versions(spark, sf_dir)
+    lines.stage(both_lines(rows), staged, "ord")
+    jobs.transform_versions(spark, staged, clean, "ord", lay, typed_values=True)
+    late = rows.filter(F.col("file") >= "ord_199601")
+    files = late.select("file").distinct().withColumn("source", F.lit("again"))
+    lines.stage(both_lines(late.filter("o_orderkey % 2 = 0").withColumn("total", F.lit(None).cast("string"))), staged, "ord", attempted=files)
+    jobs.transform_versions(spark, staged, clean, "ord", lay, typed_values=True, changed_only=True)
+    return clean_types(spark, clean).groupBy("record_type", "period").agg(F.count(F.lit(1)).alias("n"), F.max("Order Key").alias("last"))
+
+
+@query(
+    f"""WITH m AS (SELECT date_trunc('month', o_orderdate) AS d, count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS z FROM orders GROUP BY 1)
+        SELECT record_type, status, count(*) AS files, sum(n)::BIGINT AS records FROM (SELECT 'P' AS record_type, CASE WHEN d < DATE '{CHANGE}' THEN 'skipped' ELSE 'success' END AS status, CASE WHEN d < DATE '{CHANGE}' THEN 0 ELSE n END AS n FROM m
+        UNION ALL SELECT 'Z', 'skipped', 0 FROM m WHERE d >= DATE '{CHANGE}') GROUP BY 1, 2"""
+)
+def changed_layout(spark, sf_dir):
+    """A layout whose second version gets a wider amount: only what that version says of that record type runs again."""
+    staged, clean = stage_versions(spark, sf_dir), scratch(spark, "clean")
+    lay = order_versions(spark, sf_dir)
+    jobs.transform_versions(spark, staged, clean, "ord", lay, typed_values=True)
+    changed = lay.withColumn("notation", F.when((F.col("version") == "V2") & (F.col("field_name") == "Amount"), F.lit("9(12)v9(3)")).otherwise(F.col("notation")))
+    ran = jobs.transform_versions(spark, staged, clean, "ord", changed, typed_values=True, changed_only=True)
+    return ran.groupBy("record_type", "status").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("records"))
+
+
+@query(
+    f"""SELECT 'decimal(16,3)' AS kind, o_orderstatus AS status, count(*) AS n, (sum(CASE WHEN o_orderdate >= DATE '{CHANGE}' THEN round(o_totalprice * 100)::BIGINT ELSE round(o_totalprice * 100)::BIGINT * 10 END))::BIGINT AS thousandths FROM orders GROUP BY 2"""
+)
+def common_types(spark, sf_dir):
+    """An amount of two decimals in one version and of three in the other is one column of both."""
+    staged, clean = stage_versions(spark, sf_dir), scratch(spark, "clean")
+    lay = order_versions(spark, sf_dir)
+    lay = lay.withColumn("notation", F.when((F.col("version") == "V2") & (F.col("field_name") == "Amount"), F.lit("9(12)v9(3)")).otherwise(F.col("notation")))
+    jobs.transform_versions(spark, staged, clean, "ord", lay, typed_values=True, exact=True, record_types=["P"])
+    got = jobs.read_clean(spark, clean, "ord", "P")
+    kind = F.lit(dict(got.dtypes)["Amount"]).alias("kind")
+    return got.groupBy(kind, F.col("Status").alias("status")).agg(F.count(F.lit(1)).alias("n"), (F.sum("Amount") * 1000).cast("bigint").alias("thousandths"))
+
+
+def named_drops(spark: SparkSession, rows: DataFrame, name: str) -> str:
+    """Rows (file, value) as text files of these names in a shared folder."""
+    path, jvm = scratch(spark, name), spark._jvm
+    rows.repartition("file").sortWithinPartitions("file").write.partitionBy("file").text(path)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, "file=*/part-*")):  # a file for each name
+        fs.rename(s.getPath(), jvm.org.apache.hadoop.fs.Path(p, s.getPath().getParent().getName().removeprefix("file=")))
+        fs.delete(s.getPath().getParent(), True)
+    return path
+
+
+def monthly_drops(spark: SparkSession, sf_dir: str) -> str:
+    """Files of the series ord, every second month's in capitals, and of a series whose name begins like it."""
+    rows = version_lines(spark, sf_dir)
+    name = F.when(F.substring("file", 9, 2).cast("int") % 2 == 0, F.replace(F.col("file"), F.lit(".txt"), F.lit(".TXT"))).otherwise(F.col("file"))
+    own = rows.select(name.alias("file"), F.explode(F.array_compact(F.array("line", "total"))).alias("value"))
+    other = rows.filter("o_orderkey % 10 = 0").select(F.replace(F.col("file"), F.lit("ord_"), F.lit("ordx_")).alias("file"), F.lit("other").alias("value"))
+    return named_drops(spark, own.unionAll(other), "drops")
+
+
+DROPS_SQL = f"""(SELECT 'ord_' || strftime(o_orderdate, '%Y%m') || CASE WHEN month(o_orderdate) % 2 = 0 THEN '.TXT' ELSE '.txt' END AS file, count(*) + count(*) FILTER (WHERE o_orderkey % 3 = 0 AND o_orderdate >= DATE '{CHANGE}') AS n,
+    min(o_orderdate) AS d FROM orders GROUP BY 1)"""
+
+
+@query(f"SELECT file, CASE WHEN d < DATE '1995-01-01' THEN 'skipped' ELSE 'success' END AS status, CASE WHEN d < DATE '1995-01-01' THEN 0 ELSE n END AS n FROM {DROPS_SQL}")
+def stage_ledger(spark, sf_dir):
+    """The drops of a series as its name says, in small and large letters, less those that are done."""
+    source, staged = monthly_drops(spark, sf_dir), scratch(spark, "staged")
+    done = read(spark, sf_dir, "orders").filter("o_orderdate < '1995-01-01'").select(F.concat(F.lit("ord_"), F.date_format("o_orderdate", "yyyyMM"), F.when(F.month("o_orderdate") % 2 == 0, F.lit(".TXT")).otherwise(F.lit(".txt"))).alias("file")).distinct()
+    ran = jobs.stage_all(spark, source, staged, ["ord"], done=done.withColumns({"series": F.lit("ord"), "status": F.lit("success")}))
+    return ran.select("file", "status", "n")
+
+
+@query(f"SELECT 'stage' AS step, 'success' AS status, (SELECT sum(n) FROM {DROPS_SQL})::BIGINT AS records UNION ALL SELECT 'transform', 'success', (SELECT sum(n) FROM {DROPS_SQL})::BIGINT UNION ALL SELECT 'rows', 'P', count(*) FROM orders")
+def run_pipeline(spark, sf_dir):
+    """Drops to rows: the status of each step, what its ledger counts, and the rows that are there."""
+    source, staged, clean = monthly_drops(spark, sf_dir), scratch(spark, "staged"), scratch(spark, "clean")
+    steps, ledgers = jobs.run_series(spark, source, staged, clean, "ord", order_versions(spark, sf_dir))
+    out = [ledgers[step].agg(F.lit(step).alias("step"), F.lit(status).alias("status"), F.sum("n").alias("records")) for step, status in steps]
+    rows = jobs.read_clean(spark, clean, "ord", "P").agg(F.lit("rows").alias("step"), F.lit("P").alias("status"), F.count(F.lit(1)).alias("records"))
+    return out[0].unionAll(out[1]).unionAll(rows)
+
+
+@query(
+    f"""SELECT 'P' AS record_type, strftime(o_orderdate, '%Y%m') AS period, o_orderstatus AS status, count(*) AS n, (max(strftime(o_orderdate, '%Y%m%d')::BIGINT))::BIGINT AS last FROM orders GROUP BY 2, 3
+        UNION ALL SELECT 'Z', strftime(o_orderdate, '%Y%m'), NULL, count(*), NULL FROM orders WHERE o_orderkey % 3 = 0 AND o_orderdate >= DATE '{CHANGE}' GROUP BY 2"""
+)
+def stream_versions(spark, sf_dir):
+    """Drops as a stream, each by the layout of its time; a second run finds what has come since, and the rest is not read again."""
+    source, clean, checkpoint = monthly_drops(spark, sf_dir), scratch(spark, "clean"), scratch(spark, "checkpoint")
+    for _ in range(2):
+        ingest_versions(spark, source, clean, checkpoint, "ord", order_versions(spark, sf_dir), options=jobs.Options(typed_values=True))
+    return clean_types(spark, clean).groupBy("record_type", "period", F.col("Status").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.max("Order Date").alias("last"))
+
+
+@query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 9 < 7 THEN strftime(CASE o_orderkey % 9 WHEN 5 THEN date_trunc('month', o_orderdate) ELSE o_orderdate END, '%Y-%m-%d') END AS day FROM orders")
+def known_dates(spark, sf_dir):
+    k = F.col("o_orderkey") % 9
+    value = F.when(k == 7, F.lit(""))
+    for i, (_, _, java) in enumerate(dates.FORMATS):
+        value = value.when(k == i, F.date_format("o_orderdate", java))
+    return read(spark, sf_dir, "orders").select("o_orderkey", day(dates.known_date(value)).alias("day"))
+
+
+@query("SELECT p_partkey, replace(p_name, ' ', ' ') || ' a  b' AS name FROM part")
+def names_on_one_line(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", text.one_line(F.concat("p_name", F.lit("\na\r\nb"))).alias("name"))
+
+
+@query("SELECT p_partkey, p_size AS item_no FROM part WHERE p_partkey % 4 <> 0")
+def labels_with_digits(spark, sf_dir):
+    label = F.when(F.col("p_partkey") % 4 == 0, F.lit("Item")).otherwise(F.concat(F.lit("LR-"), F.lpad(F.col("p_size").cast("string"), 3, "0"), F.lit(" of 9")))
+    return read(spark, sf_dir, "part").select("p_partkey", text.item_number(label).alias("item_no")).filter("item_no IS NOT NULL")
+
+
+WIDE = [f"c{k}" for k in range(77)] + ["A", "A", "A_1"]
+
+
+@query("SELECT p_partkey::VARCHAR AS c0, p_name AS c76, p_brand AS a, p_type AS a_1, p_size::VARCHAR AS a_1_1, 80 AS columns FROM part")
+def wide_layout(spark, sf_dir):
+    """Eighty columns, of which the last three are called A, A and A_1."""
+    path, p = scratch(spark, "wide"), read(spark, sf_dir, "part")
+    value = {0: F.col("p_partkey").cast("string"), 76: F.col("p_name"), 77: F.col("p_brand"), 78: F.col("p_type"), 79: F.col("p_size").cast("string")}
+    cells = [value.get(k, F.lit(str(k))) for k in range(len(WIDE))]
+    body = p.select(F.spark_partition_id().alias("part"), F.concat_ws(",", *cells).alias("value")).groupBy("part").agg(F.array_join(F.collect_list("value"), "\n").alias("value"))
+    body.select(F.concat(F.lit(",".join(WIDE) + "\n"), "value").alias("value")).write.text(path)  # a layout is a file
+    got = layouts.read_layout_csv(spark, path)
+    n = len([c for c in got.columns if c not in ("layout_file", "pos", "version_from", "version_to")])
+    return got.select("c0", "c76", F.col("A").alias("a"), F.col("A_1").alias("a_1"), F.col("A_1_1").alias("a_1_1"), F.lit(n).alias("columns"))

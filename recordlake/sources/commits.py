@@ -11,10 +11,13 @@ from __future__ import annotations
 import json
 import uuid
 
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from py4j.protocol import Py4JJavaError
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows of snapshots that are broadcast; more are joined by shuffle.
 FEW_PARTS = 100_000
@@ -22,6 +25,14 @@ FEW_PARTS = 100_000
 TRIES = 20
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows of the driver as a table of the plan itself, without Python workers."""
+    kind = T._parse_datatype_string(schema)
+    arrow = to_arrow_schema(kind)
+    columns = list(zip(*rows, strict=True)) if rows else [() for _ in arrow]
+    return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), kind)
+
+
 class Conflict(Exception):
     """Others have committed first, again and again."""
 
@@ -78,26 +89,25 @@ class Commits:
         """batch, batch_size, part, period, file, n, source of each partition: what holds it, its rows and what it was made of."""
         at = at or self.latest()
         if at["snapshot"] is None:
-            return self.spark.createDataFrame([], self.schema)
+            return local_frame(self.spark, [], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/_snapshots/{at['snapshot']}")
 
     def columns(self, batch: str) -> dict:
         return self._get(f"{self.path}/_columns/{batch}")
 
-    def commit(self, batch: str, entries: DataFrame, replaced: DataFrame, columns: dict | None = None, stream: tuple[str, int] | None = None, written: int = 0) -> int:
-        """The number under which a batch's partitions are there. entries: part, period, file, n, source.
+    def commit(self, batch: str, entries: list[tuple], replaced: list[tuple], columns: dict | None = None, stream: tuple[str, int] | None = None, written: int = 0) -> int:
+        """The number under which a batch's partitions are there. entries: (part, period, file, n, source), metadata of the driver.
 
-        replaced: file, wanted, known: partitions of the file go if their part is in wanted, or not in known (a null list
+        replaced: (file, wanted, known): partitions of the file go if their part is in wanted, or not in known (a null list
         of known spares the parts that wanted does not name). With a stream's name and batch id a batch is committed once.
         written: partitions that the batch's folder has, if it has more than entries.
         """
         if columns is not None:
             self._put(f"{self.path}/_columns/{batch}", columns)
-        new = entries.select(F.lit(batch).alias("batch"), self.part, "period", "file", F.col("n").cast("long").alias("n"), "source")
-        size = new.count()
-        new = new.withColumn("batch_size", F.lit(max(size, written)).cast("long")).select(*[c.split()[0] for c in self.schema.split(", ")])
-        few = replaced.limit(FEW_PARTS + 1).count() <= FEW_PARTS
-        gone = F.broadcast(replaced) if few else replaced
+        size = max(len(entries), written)
+        new = local_frame(self.spark, [(batch, size, *e) for e in entries], self.schema)
+        gone = local_frame(self.spark, replaced, "file string, wanted array<string>, known array<string>")
+        gone = F.broadcast(gone) if len(replaced) <= FEW_PARTS else gone
         for _ in range(TRIES):
             at = self.latest()
             if stream and at["streams"].get(stream[0], -1) >= stream[1]:
@@ -106,19 +116,20 @@ class Commits:
             hit = F.array_contains("wanted", F.col(self.part)) | ~F.array_contains("known", F.col(self.part))
             kept = old.filter(F.col("wanted").isNull() | ~F.coalesce(hit, F.lit(False))).drop("wanted", "known")
             name = f"{at['number'] + 1:012d}-{uuid.uuid4().hex}"
-            kept.unionByName(new).coalesce(max(1, (size + 1) // FEW_PARTS)).write.parquet(f"{self.path}/_snapshots/{name}")
+            kept.unionByName(new).coalesce(max(1, len(entries) // FEW_PARTS)).write.parquet(f"{self.path}/_snapshots/{name}")
             counts = self.spark.read.schema(self.schema).parquet(f"{self.path}/_snapshots/{name}").groupBy("batch").agg(F.count(F.lit(1)).alias("c"), F.first("batch_size").alias("size")).collect()  # a row for each batch
             said = {"number": at["number"] + 1, "snapshot": name, "batches": [[r["batch"], r["c"] == r["size"]] for r in sorted(counts)], "streams": at["streams"] | ({stream[0]: stream[1]} if stream else {})}
             if self._put(f"{self.path}/_commits/{said['number']:012d}", said):
                 return said["number"]
         raise Conflict(self.path)
 
-    def alive(self, rows: DataFrame, at: dict, keys: tuple[str, ...]) -> DataFrame:
-        """rows (with the column batch) of the partitions that a commit names."""
+    def alive(self, rows: DataFrame, at: dict, keys: tuple[str, ...], part: str | None = None) -> DataFrame:
+        """rows (with the column batch) of the partitions that a commit names; part: that of all rows, if they do not say it."""
         rows = rows.filter(F.col("batch").isin([b for b, _ in at["batches"]]))
         if all(whole for _, whole in at["batches"]):
             return rows
-        have = self.entries(at).select("batch", *keys).distinct()
+        have = self.entries(at)
+        have = (have if part is None else have.filter(F.col(self.part) == part)).select("batch", *keys).distinct()
         few = have.limit(FEW_PARTS + 1).count() <= FEW_PARTS
         return rows.join(F.broadcast(have) if few else have, ["batch", *keys], "left_semi")
 

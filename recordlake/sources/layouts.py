@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import validity_dates
+from ..functions.dates import known_date, validity_dates
 from ..functions.names import distinct_names
 
 #: Columns of the layout headers, by the column that they mean here; the first that has a value holds, row by row.
@@ -16,28 +19,55 @@ NAMES = {"field_name": ("Data Item", "Data Element"), "length": ("Length", "Max
 CATALOG = "series string, min_date date, max_date date, extension string, date_format string, frequency string, description string"
 
 
-def read_layout_csv(spark: SparkSession, path: str | list[str], max_columns: int = 64) -> DataFrame:
+def read_layout_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Rows of layout files as strings with the file's name and dates; cells may hold quoted newlines.
 
-    Each file has a header of its own: its first row says what its columns are, and columns that a file lacks are null.
-    Headers are metadata, and the different ones are collected. Files without rows bring nothing.
+    Each file has a header of its own: its first row says what its columns are, however many; names that repeat, in
+    whatever case, get numbers, and columns that a file lacks are null. Headers are metadata, and the different ones are
+    collected. Files without rows bring nothing. A row with more cells than its header has names is an error.
     """
-    cells = [f"_c{k}" for k in range(max_columns)]
-    df = spark.read.schema(", ".join(f"{c} string" for c in cells)).option("multiLine", True).option("escape", '"').csv(path)
-    plain = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    df = df.withColumns({"layout_file": plain, "_path": F.col("_metadata.file_path"), "pos": F.monotonically_increasing_id()})
-    first = df.groupBy("_path").agg(F.min("pos").alias("_first"), F.min_by(F.array(*[F.coalesce(c, F.lit("")) for c in cells]), "pos").alias("_header"))  # a file of several lines to a cell is one task's
-    headers = sorted((tuple(c or "" for c in r["_header"]) for r in first.select("_header").distinct().collect()), reverse=True)
-    names = {h: distinct_names(list(h[: max(k + 1 for k, c in enumerate(h) if c)])) for h in headers if any(h)}
-    df = df.join(first, "_path").filter(F.col("pos") > F.col("_first"))
-    said = {h: F.array(*[F.lit(c) for c in h]) for h in names}
+
+    def parsed(batches):
+        for batch in batches:
+            for file, text in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
+                records = [r for r in csv.reader(io.StringIO(text, newline="")) if any(r)]
+                header = _trimmed(records[0]) if records else []
+                cells = [_trimmed(r) for r in records[1:]]
+                for k, r in enumerate(cells):
+                    if len(r) > len(header):
+                        raise ValueError(f"{file}: record {k + 2} has {len(r)} cells, its header {len(header)}")
+                n = len(cells)
+                texts = pa.list_(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([file] * n, pa.string()), pa.array(range(n), pa.int64()), pa.array([header] * n, texts), pa.array([[c or None for c in r] for r in cells], texts)], ["layout_file", "_no", "_header", "_cells"])
+
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    whole = spark.read.text(path, wholetext=True).select(name.alias("layout_file"), F.col("value"))  # a layout is some hundred rows
+    df = whole.mapInArrow(parsed, "layout_file string, _no long, _header array<string>, _cells array<string>").withColumn("pos", F.monotonically_increasing_id())
+    headers = sorted((tuple(r["_header"]) for r in df.select("_header").distinct().collect()), reverse=True)
+    names = {h: distinct_names(list(h)) for h in headers}
+    which = F.lit(-1)
+    for k, h in enumerate(headers):
+        which = F.when(F.col("_header") == F.array(*[F.lit(c) for c in h]).cast("array<string>"), k).otherwise(which)
+    df = df.withColumn("_which", which)
+    spelled: dict[str, str] = {}
+    for n in (n for ns in names.values() for n in ns):
+        spelled.setdefault(n.lower(), n)
     out = []
-    for name in dict.fromkeys(n for ns in names.values() for n in ns):
-        out.append(F.coalesce(*[F.when(F.col("_header") == said[h], F.col(cells[ns.index(name)])) for h, ns in names.items() if name in ns]).alias(name))
+    for key, n in spelled.items():
+        at = [(k, [x.lower() for x in names[h]].index(key)) for k, h in enumerate(headers) if key in {x.lower() for x in names[h]}]
+        out.append(F.coalesce(*[F.when(F.col("_which") == k, F.get("_cells", F.lit(i))) for k, i in at]).alias(n))
     a, b = validity_dates("layout_file")
     return df.select(*out, "layout_file", "pos").withColumns({"version_from": a, "version_to": b})
 
 
+def _trimmed(cells: list[str]) -> list[str]:
+    """Cells without the empty ones at the end."""
+    n = len(cells)
+    while n and not cells[n - 1]:
+        n -= 1
+    return cells[:n]
+
+
 def canonical(layout: DataFrame) -> DataFrame:
     """layout with field_name, length, notation and definition coalesced from whichever headers it has."""
     have = {}
@@ -66,10 +96,11 @@ def union_layouts(tables: list[DataFrame]) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, series: dict[str, dict]) -> DataFrame:
-    """The series catalog from parsed entries {series: {min_date, ...}}; dates are text in the entry's own date_format."""
+    """The series catalog from parsed entries {series: {min_date, ...}}; dates are text in any of the FORMATS.
+
+    A date that is in none of them is an error when its series is read, not a series without files.
+    """
     fields = ("min_date", "max_date", "extension", "date_format", "frequency", "description")
     rows = [(k, *(None if v.get(f) is None else str(v.get(f)) for f in fields)) for k, v in series.items()]
     df = spark.createDataFrame(rows, "series string, min_date string, max_date string, extension string, date_format string, frequency string, description string")
-    digits = lambda c: F.regexp_replace(c, "[^0-9]", "")
-    day = lambda c: F.coalesce(*[F.try_to_timestamp(digits(c), F.lit(f)).cast("date") for f in ("yyyyMMdd", "yyyyMM")])
-    return df.withColumns({"min_date": day("min_date"), "max_date": day("max_date"), "frequency": F.coalesce("frequency", F.lit("monthly"))})
+    return df.withColumns({"min_date": known_date("min_date"), "max_date": known_date("max_date"), "frequency": F.coalesce("frequency", F.lit("monthly"))})

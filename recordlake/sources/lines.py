@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import decode_line, strip_line_end
 from .archives import MEMBERS, SCHEMA, can_open, members, read_member, zip_lines
-from .commits import FEW_PARTS, Commits, counted
+from .commits import FEW_PARTS, Commits, counted, local_frame
 
 __all__ = ["MEMBERS", "encoded_lines", "read_staged", "read_text", "read_zip", "stage", "staged_files", "unzip"]
 
@@ -57,8 +57,12 @@ def encoded_lines(spark: SparkSession, path: str | list[str], series: str | None
 def drops(spark: SparkSession, path: str, series: str | None = None) -> DataFrame:
     """(path, file, source) of text files and archives: source says which state of the file it is. Contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"{series or ''}{'_' if series else ''}*.[tTzZ][xXiI][tTpP]").load(path)
-    source = F.sha2(F.concat_ws("|", "path", F.col("length").cast("string"), F.col("modificationTime").cast("string")), 256)
-    return found.select("path", file_name(F.col("path")).alias("file"), source.alias("source")).filter(F.lower("file").rlike(r"\.(txt|zip)$"))
+    state = found.select("path", F.col("length").cast("string").alias("size"), F.col("modificationTime").cast("string").alias("time"))
+    every = local_frame(spark, [(p,) for p in found.inputFiles()], "path string")  # empty files too, which the source has no rows for
+    plain = lambda c: F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    rows = every.withColumn("_p", plain(F.col("path"))).join(state.withColumn("_p", plain(F.col("path"))).drop("path"), "_p", "left")
+    source = F.sha2(F.concat_ws("|", "_p", F.coalesce("size", F.lit("0")), F.coalesce("time", F.lit(""))), 256)
+    return rows.select("path", file_name(F.col("path")).alias("file"), source.alias("source")).filter(F.lower("file").rlike(r"\.(txt|zip)$"))
 
 
 def read_zip(spark: SparkSession, path: str, series: str | None = None, sure: bool = False, only: list[str] | None = None) -> DataFrame:
@@ -113,7 +117,7 @@ def stage(lines: DataFrame, path: str, series: str, period: str = "period", atte
         attempted = lines.select("file").distinct().withColumn("source", F.lit(batch))
     files = sorted(attempted.select("file", "source").dropDuplicates(["file"]).collect())  # a row for each file
     code = {r["file"]: k for k, r in enumerate(files)}
-    known = spark.createDataFrame([(f, k) for f, k in code.items()], "file string, code int")
+    known = local_frame(spark, list(code.items()), "file string, code int")
     rows = lines.join(F.broadcast(known) if len(files) <= FEW_PARTS else known, "file")
     kind = F.when(F.col("error").isNotNull(), 1).when(F.coalesce("invalid", F.lit(False)), 2).otherwise(0)
     rows, counts = counted(rows.withColumn("code", F.col("code") * 3 + kind), "code", 3 * len(files))
@@ -132,9 +136,7 @@ def stage(lines: DataFrame, path: str, series: str, period: str = "period", atte
         out[f] = (n.get(3 * k, 0) if whole else 0, "not UTF-8" if n.get(3 * k + 2) else errors.get(f))
     written = sum(bool(n.get(3 * k, 0) + n.get(3 * k + 2, 0)) for k in code.values())
     kept = [(series, _period(r["file"], series), r["file"], out[r["file"]][0], r["source"]) for r in files if out[r["file"]][0]]
-    entries = spark.createDataFrame(kept, "series string, period string, file string, n long, source string")
-    gone = spark.createDataFrame([(f, [series], None) for f in code], "file string, wanted array<string>, known array<string>")
-    Commits(spark, path, "series").commit(batch, entries, gone, written=written)
+    Commits(spark, path, "series").commit(batch, kept, [(f, [series], None) for f in code], written=written)
     return out
 
 
@@ -150,7 +152,7 @@ def read_staged(spark: SparkSession, path: str, period: str = "period") -> DataF
         raise FileNotFoundError(f"nothing is staged at {path}")
     rows = spark.read.schema(f"text_content string, batch string, series string, {period} string, file string").option("basePath", path).parquet(*[f"{path}/batch={b}" for b, _ in at["batches"]]) if at["batches"] else None
     if rows is None:
-        return spark.createDataFrame([], f"text_content string, series string, {period} string, file string")
+        return local_frame(spark, [], f"text_content string, series string, {period} string, file string")
     return table.alive(rows.filter(F.col("series") != BROKEN_SERIES), at, ("series", "file")).drop("batch")
 
 

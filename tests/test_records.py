@@ -5,13 +5,13 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from recordlake.functions import pic
+from recordlake.functions import kinds, pic
 from recordlake.operators import coverage, layout, ledger, parse
 from recordlake.operators.parse import Field
 from recordlake.plans import jobs
-from recordlake.sources import layouts, lines
+from recordlake.sources import archives, commits, layouts, lines
 from recordlake.sources.scratch import scratch
-from recordlake.streaming.ingest import ingest
+from recordlake.streaming.ingest import ingest, ingest_versions
 
 H = [Field("Record Type", 1, "X"), Field("File Name", 4, "X(4)"), Field("Filler", 2), Field("Count", 3, "9(3)")]
 
@@ -278,3 +278,293 @@ def test_reports(spark, tmp_path):
     back = spark.read.option("header", True).csv(f"{tmp_path}/r")
     assert sorted(r["l"] or "" for r in back.collect()) == ["", "", "x; y"]
     assert [r["name"] for r in report.by_count(spark.createDataFrame([("b", 1), ("a", 1), ("c", 2)], "name string, n long")).collect()] == ["c", "a", "b"]
+
+
+def simple_lines(spark, rows):
+    return spark.createDataFrame(rows, "file string, text_content string")
+
+
+TWO = {"P": [Field("Record Type", 1), Field("Key", 3, "9(3)")], "Z": [Field("Record Type", 1), Field("Key", 3, "9(3)"), Field("Note", 2)]}
+
+
+def two_versions(spark, notation=("9(3)", "9(3)")):
+    rows = []
+    for v, a, b, note in (("V1", None, date(2021, 1, 31), notation[0]), ("V2", date(2021, 2, 1), None, notation[1])):
+        for code, fields in TWO.items():
+            rows += [(v, a, b, code, i + 1, f.name, f.length, note if f.name == "Key" else f.notation, "1", "2") for i, f in enumerate(fields)]
+    return spark.createDataFrame(rows, "version string, version_from date, version_to date, record_type string, ordinal int, field_name string, length int, notation string, Begin string, End string")
+
+
+def test_a_rerun_replaces_also_by_nothing(spark, tmp_path):
+    """Fewer lines of a type, none of it, an empty file: what was there goes, and counts are those of the new rows."""
+    staged, clean = str(tmp_path / "staged"), str(tmp_path / "clean")
+    lay = two_versions(spark)
+    lines.stage(simple_lines(spark, [("s_202101.txt", x) for x in ("P001", "Z00111", "Z00222")] + [("s_202102.txt", "P009")]), staged, "s")
+    ran = {(r["file"], r["record_type"]): r["n"] for r in jobs.transform_versions(spark, staged, clean, "s", lay).collect()}
+    assert ran == {("s_202101.txt", "P"): 1, ("s_202101.txt", "Z"): 2, ("s_202102.txt", "P"): 1, ("s_202102.txt", "Z"): 0}
+    lines.stage(simple_lines(spark, [("s_202101.txt", "P001")]), staged, "s")
+    ran = {(r["file"], r["record_type"]): r["n"] for r in jobs.transform_versions(spark, staged, clean, "s", lay).collect()}
+    assert ran[("s_202101.txt", "Z")] == 0 and jobs.read_clean(spark, clean, "s", "Z").count() == 0
+    assert sorted(r["file"] for r in jobs.read_clean(spark, clean, "s", "P").collect()) == ["s_202101.txt", "s_202102.txt"]
+    empty = spark.createDataFrame([("s_202102.txt", "x")], "file string, source string")
+    assert lines.stage(simple_lines(spark, []), staged, "s", attempted=empty) == {"s_202102.txt": (0, None)}
+    assert [r["file"] for r in lines.read_staged(spark, staged).collect()] == ["s_202101.txt"]
+    assert jobs.read_clean(spark, clean, "s", "Z", number=1).count() == 2  # older commits can be read until they are cleared away
+
+
+def test_a_write_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    staged = str(tmp_path / "staged")
+    lines.stage(simple_lines(spark, [("s_1.txt", "old"), ("s_2.txt", "two")]), staged, "s")
+    with monkeypatch.context() as m:
+        m.setattr(commits.Commits, "_put", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            lines.stage(simple_lines(spark, [("s_1.txt", "new"), ("s_1.txt", "newer")]), staged, "s")
+    assert sorted(r["text_content"] for r in lines.read_staged(spark, staged).collect()) == ["old", "two"]
+    assert lines.stage(simple_lines(spark, [("s_1.txt", "new")]), staged, "s") == {"s_1.txt": (1, None)}
+    table = commits.Commits(spark, staged, "series")
+    assert sorted(r["text_content"] for r in lines.read_staged(spark, staged).collect()) == ["new", "two"]
+    assert len(table.vacuum(1)) == 1  # of the write that broke off; the first batch still holds s_2
+    assert sorted(r["text_content"] for r in lines.read_staged(spark, staged).collect()) == ["new", "two"]
+
+
+def test_of_two_commits_one_is_told(spark, tmp_path, monkeypatch):
+    """Another commit between the look and the rename: both are there in the end."""
+    table, put, other = commits.Commits(spark, str(tmp_path / "t"), "series"), commits.Commits._put, []
+
+    def late(self, path, content):
+        if "_commits" in path and not other:
+            other.append(1)
+            commits.Commits(spark, str(tmp_path / "t"), "series").commit("b", [("s", "1", "s_1", 5, "x")], [("s_1", ["s"], None)])
+        return put(self, path, content)
+
+    monkeypatch.setattr(commits.Commits, "_put", late)
+    assert table.commit("a", [("s", "2", "s_2", 7, "x")], [("s_2", ["s"], None)]) == 2
+    assert sorted((r["file"], r["n"], r["batch"]) for r in table.entries().collect()) == [("s_1", 5, "b"), ("s_2", 7, "a")]
+
+
+def test_one_scan_for_all_record_types(spark, tmp_path):
+    """Two versions read the partitions of their own periods, each once; columns that clash keep their types."""
+    staged, clean = str(tmp_path / "staged"), str(tmp_path / "clean")
+    lines.stage(simple_lines(spark, [(f"s_20210{m}.txt", x) for m in (1, 2, 3) for x in ("P001", "Z002ab", "Qxxxxx")]), staged, "s")
+    seen, write = [], parse.by_type
+
+    def spied(rows, *a, **k):
+        seen.append(sorted(f.rpartition("/file=")[2].partition("/")[0] for f in rows.inputFiles()))
+        return write(rows, *a, **k)
+
+    jobs.by_type, keep = spied, jobs.by_type
+    try:
+        jobs.transform_versions(spark, staged, clean, "s", two_versions(spark), typed_values=True)
+    finally:
+        jobs.by_type = keep
+    plans = [r for r in seen]
+    assert len(plans) == 2  # a select for each version, for all record types
+    z = jobs.read_clean(spark, clean, "s", "Z")
+    assert z.columns == ["Record Type", "Key", "Note", "period", "file"] and sorted((r["Key"], r["Note"]) for r in z.collect()) == [(2, "ab")] * 3
+    assert jobs.read_clean(spark, clean, "s", "P").columns == ["Record Type", "Key", "period", "file"]
+    lay = {"P": [Field("Record Type", 1), Field("Amount", 3, "9(3)")], "Z": [Field("Record Type", 1), Field("AMOUNT", 3, "X(3)")]}
+    placed = parse.placed_columns([lay], typed_values=True)
+    assert [p.column for p in placed["P"]] == ["Record Type", "Amount"] and [p.column for p in placed["Z"]] == ["Record Type", "AMOUNT (Z)"]
+    got = parse.by_type(spark.createDataFrame([("P012",), ("Zabc",), ("PP",)], "text_content string"), lay, placed, typed_values=True).collect()
+    assert [(r["record_type"], r["Amount"], r["AMOUNT (Z)"]) for r in got] == [("P", 12, None), ("Z", None, "abc"), ("P", None, None)]
+
+
+def test_scan_of_a_version_is_pruned(spark, tmp_path):
+    staged = str(tmp_path / "staged")
+    lines.stage(simple_lines(spark, [(f"s_20210{m}.txt", "P001") for m in (1, 2, 3)]), staged, "s")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 100_000)
+    rows = lines.read_staged(spark, staged).filter(F.col("period").isin(["202102"]))
+    plan = rows._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "202102" in plan.partition("PartitionFilters")[2].partition("PushedFilters")[0]
+    assert rows.count() == 1
+
+
+def test_lines_of_several_record_types(spark):
+    """A code that is the beginning of another, delimiters, a layout without record types, and fields that a line lacks."""
+    lay = {"H": [Field("Record Type"), Field("a")], "HH": [Field("Record Type"), Field("b"), Field("c")], None: [Field("x"), Field("y")]}
+    placed = parse.placed_columns([lay])
+    got = parse.by_type(spark.createDataFrame([("H|1",), ("HH|2",), ("T|3",)], "text_content string"), lay, placed, delimiter="|").collect()
+    assert Counter((r["record_type"], r["a"], r["b"], r["c"], r["y"]) for r in got) == Counter({("H", "1", None, None, None): 1, ("HH", None, "2", None, None): 1, ("ALL", None, None, None, "1"): 1, ("ALL", None, None, None, "2"): 1, ("ALL", None, None, None, "3"): 1})
+    assert parse.disambiguated([Field("A"), Field("A"), Field("A_1"), Field("a")]) == ["A", "A_1", "A_1_1", "a_2"]
+
+
+def test_types_that_hold_both(spark, tmp_path):
+    """Decimals of two versions, and a column that another batch knows as text."""
+    from pyspark.sql import types as T
+
+    d, common = T.DecimalType, kinds.common_type
+    assert common(d(15, 2), d(17, 4)) == d(17, 4) and common(d(15, 2), d(12, 4)) == d(17, 4) and common(d(38, 0), d(10, 5)) == T.StringType()
+    assert common(T.LongType(), d(5, 2)) == d(21, 2) and common(T.DoubleType(), T.LongType()) == T.DoubleType() and common(T.IntegerType(), T.LongType()) == T.LongType()
+    assert common(T.DateType(), T.DateType()) == T.DateType() and common(T.DateType(), T.TimestampType()) == T.TimestampType() and common(T.DateType(), T.LongType()) == T.StringType()
+    staged, clean = str(tmp_path / "staged"), str(tmp_path / "clean")
+    lines.stage(simple_lines(spark, [("s_202101.txt", "P123"), ("s_202102.txt", "P456")]), staged, "s")
+    jobs.transform_versions(spark, staged, clean, "s", two_versions(spark, ("9(2)v9(1)", "9(1)v9(2)")), typed_values=True, exact=True)
+    got = jobs.read_clean(spark, clean, "s", "P")
+    assert dict(got.dtypes)["Key"] == "decimal(4,2)" and sorted(str(r["Key"]) for r in got.collect()) == ["12.30", "4.56"]
+    lines.stage(simple_lines(spark, [("s_202102.txt", "Px y")]), staged, "s")
+    jobs.transform_versions(spark, staged, clean, "s", two_versions(spark, ("9(2)v9(1)", "X(3)")), typed_values=True, exact=True, changed_only=True)
+    got = jobs.read_clean(spark, clean, "s", "P")
+    assert dict(got.dtypes)["Key"] == "string" and sorted(r["Key"] for r in got.collect()) == ["12.30", "x y"]
+
+
+def test_only_what_changed(spark, tmp_path):
+    """A changed cell of one version, a changed file, other options: just what depends on them runs again."""
+    staged, clean = str(tmp_path / "staged"), str(tmp_path / "clean")
+    src = tmp_path / "src"
+    src.mkdir()
+    for m in (1, 2):
+        (src / f"s_20210{m}.txt").write_text("P001\nZ002ab\n")
+
+    def status(lay, **options):
+        return {(r["file"][2:8], r["record_type"]): r["status"] for r in jobs.transform_versions(spark, staged, clean, "s", lay, changed_only=True, **options).collect()}
+
+    jobs.stage_series(spark, str(src), staged, "s")
+    assert set(status(two_versions(spark)).values()) == {"success"}
+    assert set(status(two_versions(spark)).values()) == {"skipped"}
+    assert {r["status"] for r in jobs.stage_series(spark, str(src), staged, "s", changed_only=True).collect()} == {"skipped"}
+    changed = two_versions(spark).withColumn("length", F.when((F.col("version") == "V2") & (F.col("field_name") == "Note"), 1).otherwise(F.col("length")))
+    assert status(changed) == {("202101", "P"): "skipped", ("202101", "Z"): "skipped", ("202102", "P"): "skipped", ("202102", "Z"): "success"}
+    assert sorted(r["Note"] for r in jobs.read_clean(spark, clean, "s", "Z").collect()) == ["a", "ab"]
+    (src / "s_202101.txt").write_text("P001\nP002\n")
+    assert {r["file"]: r["status"] for r in jobs.stage_series(spark, str(src), staged, "s", changed_only=True).collect()} == {"s_202101.txt": "success", "s_202102.txt": "skipped"}
+    assert {k for k, v in status(changed).items() if v == "success"} == {("202101", "P"), ("202101", "Z")}
+    assert set(status(changed, typed_values=True).values()) == {"success"}
+
+
+def test_counts_come_out_of_the_write(spark):
+    """More codes than a histogram takes, codes without rows, and codes that many tasks share."""
+    df = spark.range(0, 20_000, 1, 7).withColumn("code", (F.col("id") % 600).cast("int")).filter("code <> 5")
+    rows, counts = commits.counted(df, "code", 700, chunk=64)
+    rows.write.format("noop").mode("overwrite").save()
+    assert counts() == {k: len(range(k, 20_000, 600)) for k in range(600) if k != 5}
+
+
+def test_texts_are_read_again_only_if_they_are_not_utf8(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "s_1.txt").write_bytes("é\n".encode() + b"bad\xe9\n")
+    (src / "s_2.txt").write_bytes("é\n\n".encode())
+    (src / "s_3.txt").write_bytes(b"")
+    got = {r["file"]: (r["status"], r["n"], r["error"]) for r in jobs.stage_series(spark, str(src), f"{tmp_path}/staged", "s").collect()}
+    assert got == {"s_1.txt": ("success", 2, None), "s_2.txt": ("success", 2, None), "s_3.txt": ("failed", 0, "no lines")}
+    assert sorted(r["text_content"] for r in lines.read_staged(spark, f"{tmp_path}/staged").collect()) == sorted(["", "badé", "é", "Ã©"])
+
+
+def test_members_over_tasks(spark, tmp_path):
+    """Several members are several tasks; a broken member fails alone; nothing is staged of it, in either mode."""
+    import numpy as np
+
+    raw = np.random.default_rng(0).integers(97, 122, 200_000, np.uint8).tobytes()
+    with zipfile.ZipFile(tmp_path / "s_1.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for k in range(5):
+            z.writestr(f"{k}.txt", b"".join(raw[i : i + 50] + b"\r\n" for i in range(k, 100_000, 50)))
+        z.writestr("no.pdf", "x")
+    with zipfile.ZipFile(tmp_path / "s_2.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("a.txt", "Hgood\n" * 50)
+        z.writestr("b.txt", "Hbroken\n" * 50)
+        z.writestr("c.txt", "Hlast")
+    broken = tmp_path / "s_2.zip"
+    broken.write_bytes(broken.read_bytes().replace(b"Hbroken\nHbroken", b"Hbr0ken\nHbroken", 1))
+    df = archives.zip_lines(spark, [f"file:{tmp_path}/s_1.zip", f"file:{tmp_path}/s_2.zip"], sure=True, task_bytes=50_000)
+    assert df.rdd.getNumPartitions() >= 5
+    got = Counter((r["path"][-7:], r["member"], r["error"] is not None) for r in df.collect())
+    assert got == Counter({("s_1.zip", f"{k}.txt", False): 2000 for k in range(5)} | {("s_2.zip", "a.txt", False): 50, ("s_2.zip", "b.txt", True): 1, ("s_2.zip", "c.txt", False): 1})
+    held = lines.unzip(spark.read.format("binaryFile").load(f"{tmp_path}/s_2.zip"), sure=True)
+    assert Counter(r["member"] for r in held.collect()) == {"a.txt": 50, "b.txt": 1, "c.txt": 1}
+    ran = {r["file"]: (r["status"], r["n"], bool(r["error"])) for r in jobs.stage_series(spark, str(tmp_path), f"{tmp_path}/a", "s", strict=False).collect()}
+    assert ran == {"s_1.zip": ("success", 10_000, False), "s_2.zip": ("success", 51, True)}
+    assert lines.read_staged(spark, f"{tmp_path}/a").filter("file = 's_2.zip'").count() == 51
+    ran = {r["file"]: (r["status"], r["n"]) for r in jobs.stage_series(spark, str(tmp_path), f"{tmp_path}/b", "s").collect()}
+    assert ran == {"s_1.zip": ("success", 10_000), "s_2.zip": ("failed", 0)}
+    assert lines.read_staged(spark, f"{tmp_path}/b").select("file").distinct().count() == 1
+
+
+def test_a_member_of_more_than_two_gigabytes():
+    """A stored member of three gigabytes that no one holds: it is read in chunks, and checked to its end."""
+    line = b"x" * ((1 << 20) - 1) + b"\n"
+    n = 3000
+
+    class Fake:
+        """A local header, n times a line, and nothing else."""
+
+        at, most = 0, 0
+
+        def seek(self, at, whence=0):
+            self.at = at
+
+        def read(self, k):
+            self.most = max(self.most, k)
+            if self.at < 30:
+                out = (b"PK\x03\x04" + bytes(26))[self.at : self.at + k]
+            else:
+                lo = (self.at - 30) % len(line)
+                out = (line[lo:] + line)[:k] if self.at - 30 < n * len(line) else b""
+            self.at += len(out)
+            return out
+
+    crc = 0
+    import zlib
+
+    for _ in range(n):
+        crc = zlib.crc32(line, crc)
+    file = Fake()
+    member = archives.Member("p", "m.txt", 0, 0, n * len(line), n * len(line), crc)
+    count = 0
+    for batch in archives.read_member(file, member, False):
+        assert batch.nbytes < 2 * archives.BATCH_BYTES and batch.column("error").null_count == batch.num_rows
+        count += batch.num_rows
+    assert count == n and n * len(line) > 1 << 31 and file.most <= archives.CHUNK
+    wrong = archives.Member("p", "m.txt", 0, 0, 5 * len(line), 5 * len(line), 1)
+    assert [b.column("error")[0].as_py() for b in archives.read_member(Fake(), wrong, True)] == ["BadZipFile: Bad CRC-32 for file 'm.txt'"]
+
+
+def test_stream_over_layout_versions(spark, tmp_path, monkeypatch):
+    """Files of two versions, a run that dies between write and commit, files that come later: each line once."""
+    src, clean, ck = tmp_path / "in", str(tmp_path / "clean"), str(tmp_path / "ck")
+    src.mkdir()
+    lay, ledgers = version_rows(spark), []
+    run = lambda: ingest_versions(spark, str(src), clean, ck, "s", lay, options=jobs.Options(typed_values=True), files_per_batch=1, on_ledger=lambda df: ledgers.extend(df.collect()))
+    (src / "s_202101.txt").write_text("Habcdxx012\nZ\n")
+    run()
+    (src / "s_202102.txt").write_text("H034efgh\n")
+    (src / "s_junk.txt").write_text("H034efgh\n")
+    with monkeypatch.context() as m:
+        m.setattr(commits.Commits, "commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(Exception, match="killed"):
+            run()
+    run()
+    run()
+    got = jobs.read_clean(spark, clean, "s", "H")
+    assert sorted((r["File Name"], r["Count"], r["period"]) for r in got.collect()) == [("abcd", 12, "202101"), ("efgh", 34, "202102")]
+    assert Counter((r["file"], r["status"], r["n"]) for r in ledgers if r["status"] == "success") == {("s_202101.txt", "success", 1): 1, ("s_202102.txt", "success", 1): 1}
+    assert {r["error"] for r in ledgers if r["file"] == "s_junk.txt"} == {"no layout for the period"}
+
+
+def test_wide_layouts_and_names_that_repeat(spark, tmp_path):
+    names = [f"c{k}" for k in range(77)] + ["A", "A", "A_1"]
+    (tmp_path / "w.csv").write_text(",".join(names) + "\n" + ",".join(str(k) for k in range(80)) + "\n" + "1,2\n")
+    (tmp_path / "x.csv").write_text("a,C0,a\n5,6,7\n")
+    got = layouts.read_layout_csv(spark, str(tmp_path))
+    assert {"c76", "A", "A_1", "A_1_1"} <= set(got.columns) and len(got.columns) == 84
+    rows = {r["layout_file"]: r for r in got.filter("c1 = '1' or layout_file = 'x.csv'").collect()}
+    assert [rows["w.csv"][c] for c in ("c0", "c76", "A", "A_1", "A_1_1")] == ["0", "76", "77", "78", "79"]
+    assert [rows["x.csv"][c] for c in ("A", "c0", "A_1", "c76")] == ["5", "6", "7", None]
+    (tmp_path / "y.csv").write_text("a\n1,2\n")
+    with pytest.raises(Exception, match="record 2 has 2 cells"):
+        layouts.read_layout_csv(spark, str(tmp_path)).collect()
+
+
+def test_catalog_dates(spark):
+    want = {"2024-01-15": 15, "2024/01/15": 15, "01/15/2024": 15, "01-15-2024": 15, "20240115": 15, "202401": 1, "20240115103000": 15}
+    got = layouts.read_catalog(spark, {t: {"min_date": t, "max_date": "", "extension": "zip", "date_format": "%Y%m"} for t in want}).collect()
+    assert {r["series"]: r["min_date"] for r in got} == {t: date(2024, 1, d) for t, d in want.items()} and all(r["max_date"] is None for r in got)
+    for bad in ("2024-02-30", "soon"):
+        with pytest.raises(Exception, match="not a date"):
+            layouts.read_catalog(spark, {"s": {"min_date": bad}}).collect()
+
+
+def test_header_step_of_the_clean(spark):
+    df = spark.createDataFrame([("f", 0, "1", "Record Type = H", "x")], "file string, pos int, item string, `Data\nItem` string, `data  item` string")
+    got = layout.clean_layout(df, ["Data Item"], name="Data Item", headers=True)
+    assert got.columns[:5] == ["file", "pos", "item", "Data Item", "data item_1"] and got.first()["record_type"] == "H"
