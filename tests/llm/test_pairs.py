@@ -41,12 +41,12 @@ def test_drop_copies_keeps_columns(spark, tmp_path):
     assert len(texts) == len(set(texts)) == len({t or "" for _, t in corpus()})
 
 
-def brute_directory(keys, most, fine):
-    """(bucket of each key) by splitting full buckets by their next bit."""
+def brute_directory(keys, most, least):
+    """(bucket of each key) by splitting full buckets by their next bit, and all down to the depth of pages."""
     out, open_ = {}, [(0, 0, list(keys))]
     while open_:
         prefix, local, own = open_.pop()
-        if len(own) <= most or local == fine:
+        if len(own) <= most and local >= least:
             out |= dict.fromkeys(own, (1 << local) | prefix)
         else:
             bit = lambda k, local=local: (k >> (63 - local)) & 1
@@ -54,31 +54,54 @@ def brute_directory(keys, most, fine):
     return out
 
 
-@pytest.mark.parametrize("top_bits", [12, 3])
-def test_directory_grows(spark, top_bits):
+def entries(spark, keys):
+    return spark.createDataFrame([(k, b"x", 1, 1) for k in keys], "h long, sha binary, keep_id long, group_size long")
+
+
+@pytest.mark.parametrize(("most", "bits"), [(5, 0), (5, 3), (1, 2), (400, 0)])
+def test_directory_grows(spark, most, bits):
+    """Buckets are those of plain splitting, however deep a crowd of keys goes; each key is found in its bucket."""
     rng = np.random.default_rng(4)
-    keys = [int(x) for x in rng.integers(-(1 << 63), (1 << 63) - 1, 300)] + [int(x) for x in rng.integers(0, 1 << 55, 60)]  # a crowd under one prefix
-    table_ = spark.createDataFrame([(k,) for k in keys], "h long")
-    d = exact_dedup.Directory(table_, 5, top_bits)
-    got = {r["h"]: r["bucket"] for r in d.located(table_).collect()}
-    fine = int(np.ceil(np.log2(len(keys) / 5))) + exact_dedup.SLACK
-    want = brute_directory([k % (1 << 64) for k in keys], 5, fine)
-    assert {k % (1 << 64): b for k, b in got.items()} == want
-    assert d.depth > 8 and d.pages.count() == 1 << min(top_bits, d.depth)
-    assert exact_dedup.Directory(table_.limit(0)).depth == 0
-
-
-def test_lookups_go_through_the_directory(spark, tmp_path, monkeypatch):
+    keys = [int(x) for x in rng.integers(-(1 << 63), (1 << 63) - 1, 300)] + [int(x) for x in rng.integers(0, 1 << 24, 60)]  # a crowd under one prefix
+    index = exact_dedup.Index(entries(spark, keys), most, bits)
+    got = {r["h"]: r["bucket"] for r in index.look_up(spark.createDataFrame([(k,) for k in keys], "h long")).collect()}
+    assert {k % (1 << 64): b for k, b in got.items()} == brute_directory([k % (1 << 64) for k in keys], most, bits)
+    assert max(b.bit_length() for b in got.values()) - 1 >= (40 if most < 6 else 0)
+    assert index.look_up(spark.createDataFrame([(12345678901234,)], "h long")).count() == 0
+
+
+def test_a_wrong_page_loses_its_keys(spark, tmp_path, monkeypatch):
+    """A page whose directory leads elsewhere: rows of its keys are not found, and no others are lost."""
     docs = table(spark, tmp_path, corpus())
-    found, calls = exact_dedup.Directory.located, []
+    build = exact_dedup.pages
+    want = exact_dedup.exact_dedup(docs, bucket_keys=4, top_bits=3).collect()
 
-    def wrong(self, keys):  # sends the rows that look up elsewhere than the entries
-        calls.append(keys)
-        out = found(self, keys)
-        return out if len(calls) == 1 else out.withColumn("bucket", out["bucket"] + 1000)
+    def wrong(*args):
+        out = build(*args)
+        return out.withColumn("starts", F.when(F.col("page_no") == 5, F.transform("starts", lambda s: s.bitwiseXOR(F.lit(1 << 62)))).otherwise(F.col("starts")))
 
-    monkeypatch.setattr(exact_dedup.Directory, "located", wrong)
-    assert exact_dedup.exact_dedup(docs, bucket_keys=4).count() == 0
+    monkeypatch.setattr(exact_dedup, "pages", wrong)
+    got = exact_dedup.exact_dedup(docs, bucket_keys=4, top_bits=3).collect()
+    page = lambda r: (r["bucket"] >> (r["bucket"].bit_length() - 4)) - 8  # noqa: E731  the first three bits after the leading one
+    assert any(page(r) == 5 for r in want) and Counter(got) == Counter(r for r in want if page(r) != 5)
+
+
+def test_pages_are_read_where_they_lie(spark, tmp_path, monkeypatch):
+    """The index is shuffled once, by its owners; a page that many rows ask for is there several times."""
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 50)
+    rows = [(k, "the same" if k % 2 else f"text {k}") for k in range(400)]
+    docs = table(spark, tmp_path, rows)
+    merged = docs.groupBy(F.xxhash64("text").alias("h")).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).withColumn("sha", F.lit(b"x"))
+    index = exact_dedup.Index(merged, 4, 2)
+    assert index.table.agg(F.max("turn")).first()[0] >= 3 and index.hot.count() >= 1
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = index.look_up(docs.select("doc_id", F.xxhash64("text").alias("h")))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert Counter((r["keep_id"], r["group_size"]) for r in exact_dedup.exact_dedup(docs, bucket_keys=4, top_bits=2).collect())[(399, 200)] == 200
 
 
 def brute_links(rows):
