@@ -16,7 +16,7 @@ BLOCK = frozenset(
 )
 #: Elements that are no main text, whatever they score.
 DROPPED = frozenset(
-    "head title script style noscript template nav footer aside form button select option textarea input iframe object embed svg math canvas audio video dialog menu".split()
+    "head title script style noscript template nav footer aside button select option textarea input iframe object embed svg math canvas audio video dialog menu".split()
 )
 #: Words of a class, id or role that mark the same; how they count is said at _judge.
 MARKS = frozenset(
@@ -33,9 +33,8 @@ COMMON = frozenset(
 NOTICES = frozenset("notice notices alert consent banner overlay promo promotion promoted".split())
 BOX = "a notice by all of its name"
 COMMENTS = frozenset("comment comments reply replies disqus respond discussion".split())
-#: Points that a marked element loses, and the share of a page's text with which it stays: it is what the page is in.
+#: Points that a marked element loses.
 MARK_POINTS = 25.0
-MOST, MOST_COMMENTS = 0.5, 0.8
 #: Elements whose ids are anchors, made from titles; the first are text and go for a class of marks alone.
 TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre figcaption".split())
 ANCHORED = TEXT | {"section"}
@@ -57,13 +56,15 @@ _STOP = re.compile(r"[.!?…](?:[\s\"'”’)]|$)")
 _MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _COMMENT = re.compile(r"""["'\s](?:comment|reply)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: What says of whom a page is.
+_OWNED = re.compile(r"©|\(c\)|copyright|all rights reserved", re.I)
 
 
 _NO_MARKS: frozenset[str] = frozenset()
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "gone", "inside", "marks", "score", "chars", "linked", "stops")
+    __slots__ = ("tag", "parent", "kids", "gone", "inside", "marks", "score", "chars", "linked", "stops", "prose", "tools")
 
     def __init__(self, tag: str, parent: Node | None, gone: bool):
         self.tag, self.parent, self.gone = tag, parent, gone
@@ -72,6 +73,7 @@ class Node:
         self.marks: set[str] | frozenset[str] = _NO_MARKS
         self.score = BASE.get(tag, 0.0)
         self.chars = self.linked = self.stops = 0
+        self.prose, self.tools = 0.0, False
 
 
 def _marks(tag: str, attrs: str, inside: bool) -> set[str]:
@@ -80,6 +82,8 @@ def _marks(tag: str, attrs: str, inside: bool) -> set[str]:
     inside: within an article or main. There, and for text, an id is an anchor and a class counts if all of it is marks.
     """
     out: set[str] = set()
+    if inside and tag in HEADINGS:
+        return out
     for m in _MARK.finditer(attrs):
         if m[1].lower() == "id" and (inside or tag in ANCHORED):
             continue
@@ -172,7 +176,9 @@ def parse(html: str) -> Node:
             continue
         up = open_[-1]
         node = Node(tag, up, up.gone or tag in DROPPED)
-        node.gone = node.gone or (tag == "header" and not node.inside)
+        if node.gone and not up.gone:
+            for k in at.get("header", ()):  # a header with a menu or a search field
+                open_[k].tools = True
         if attrs and tag not in ("body", "main") and (tag != "article" or _COMMENT.search(attrs) is not None):
             node.marks = _marks(tag, attrs, node.inside)
         up.kids.append(node)
@@ -223,22 +229,65 @@ def _count(nodes: list[tuple[Node, bool]]) -> None:
                 node.stops += k.stops
 
 
-def _judge(nodes: list[tuple[Node, bool]], total: int) -> None:
-    """Marked elements go, or lose points if prose has such names too; what holds most of the page is the page's frame."""
+def _points(text: str) -> float:
+    return 1 + text.count(",") + min(len(text) / 100, 3)
+
+
+def _weigh(nodes: list[tuple[Node, bool]]) -> None:
+    """Points of the sentences below each node, less what is in links."""
+    for node, _ in reversed(nodes):
+        node.prose = sum((k.prose for k in node.kids if k.__class__ is Node and not k.gone), 0.0)
+        if node.tag in HOLDS_TEXT and node.stops:
+            text = _own_text(node)
+            if _STOP.search(text):
+                node.prose += _points(text) * (1 - node.linked / node.chars)
+
+
+def _judge(root: Node) -> list[tuple[Node, bool]]:
+    """The nodes that are left once doubtful ones are judged by their points.
+
+    A form, and an element marked like a menu or a notice, goes if the rest of the page has as many points: else it is
+    what the page is in. A header goes if it has links or tools, or is the page's. Comments go last, whatever their
+    points, if any prose is left besides. Of marks that prose has too, elements of sentences stay.
+    """
+
+    def walked() -> list[tuple[Node, bool]]:
+        nodes = list(_walk(root))
+        _count(nodes)
+        _weigh(nodes)
+        return nodes
+
+    prose_marks = lambda n: n.marks <= COMMON and 2 * n.linked <= n.chars and n.stops > 0
+    nodes = walked()
+    weight = lambda n: n.prose if root.prose else float(n.chars)
+    whole = weight(root)
     for node, _ in nodes:
-        if node.marks and node.chars <= (MOST_COMMENTS if node.marks & COMMENTS else MOST) * total:
-            node.gone = not node.marks <= COMMON or 2 * node.linked > node.chars or not node.stops
+        if node.tag == "header" and not node.inside:
+            node.gone = node.tools or node.linked > 0 or node.parent is None or node.parent.tag in ("html", "body")
+        elif node.tag == "form":
+            node.gone = 2 * weight(node) <= whole
+        elif node.marks and not node.marks & COMMENTS and 2 * weight(node) <= whole:
+            node.gone = not prose_marks(node)
             node.score -= MARK_POINTS
+    nodes = walked()
+    said = [n for n, _ in nodes if n.marks & COMMENTS]
+    for node in said:
+        node.gone = not prose_marks(node)
+    if said:
+        nodes = walked()
+        if not root.prose:  # the page is its comments, or they are in a frame that is called so
+            for node in said:
+                node.gone = False
+            nodes = walked()
+    return nodes
 
 
 def best_nodes(root: Node) -> list[Node]:
     """The container of the main text and the siblings that belong to it, in page order."""
     nodes = list(_walk(root))
     _count(nodes)
-    if any(n.marks for n, _ in nodes):
-        _judge(nodes, root.chars)
-        nodes = list(_walk(root))
-        _count(nodes)
+    if any(n.marks or n.tag in ("form", "header") for n, _ in nodes):
+        nodes = _judge(root)
     scored = []
     for node, _ in nodes:
         if node.tag not in HOLDS_TEXT:
@@ -246,7 +295,7 @@ def best_nodes(root: Node) -> list[Node]:
         text = _own_text(node)
         if not text:
             continue
-        points = 1 + text.count(",") + min(len(text) / 100, 3)
+        points = _points(text)
         up, share = node if node.tag in ("div", "section", "article", "main", "body", "html") else node.parent, 1.0
         while up is not None and share > 0.1:
             up.score += points * share
@@ -268,9 +317,10 @@ def best_nodes(root: Node) -> list[Node]:
         return [best]
     least = max(10.0, 0.2 * worth(best))
     kept: list[Node] = []
+    plain = lambda k: k.tag == "div" and not any(x.__class__ is Node and not x.gone and x.tag in BLOCK for x in k.kids) and k.stops > 0 and not _OWNED.search(_own_text(k))  # noqa: E731  a paragraph in a div
     for k in reversed([k for k in best.parent.kids if isinstance(k, Node) and not k.gone]):
         like = k.tag == best.tag and worth(k) >= least
-        said = k.tag in ("p", "blockquote") and not k.marks and density(k) < 0.25 and (k.chars > 80 or k.stops > 0)
+        said = (k.tag in ("p", "blockquote") or plain(k)) and not k.marks and density(k) < 0.25 and (k.chars > 80 or k.stops > 0)
         heads = k.tag in HEADINGS and not k.marks and density(k) < 0.25 and bool(kept) and k.chars > 0  # of what comes next
         if k is best or like or said or heads:
             kept.append(k)
@@ -312,7 +362,8 @@ def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...
     """The columns of keep, text, n_chars (code points) of each page, whole html.
 
     A null or empty html, or one without text outside menus and the like, has text ''. Rows that repeat are extracted
-    each. Broken markup is read as far as it goes; nothing is cut for length.
+    each. Broken markup is read as far as it goes; very long pages are read whole, in linear time. Other columns are not
+    read, whatever their names. No pages give no rows.
     """
 
     def extracted(batches):

@@ -2,11 +2,13 @@
 
 import itertools
 import math
+import os
 import random
 import time
 import uuid
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -428,6 +430,123 @@ def test_html_prose_and_boxes():
     assert got.startswith("Title\n\nShort lead.\n\nPart,") and got.count("Part,") == 4 and "Menu" not in got
 
 
+def sentences(n):
+    return "".join(f"<p>Sentence {k}, with commas, and a length that counts for something in the sum.</p>" for k in range(n))
+
+
+def test_html_forms_comments_and_headers():
+    """A form around the page, a form of tools, comments longer than the post, headers of posts and of pages, short leads."""
+    count = lambda html: html_text.extract(f"<body>{html}</body>").count("Sentence")
+    assert count(f"<form action=x><input type=hidden><div>{sentences(4)}</div><button>go</button></form>") == 4
+    assert html_text.extract(f"<article>{sentences(2)}<form><p>Your name, please. Write it here.</p><input></form></article>").endswith("in the sum.")
+    assert count(f"<div id='post'>{sentences(3)}</div><div id='comments'>{sentences(12)}</div>") == 3
+    assert count(f"<div id='post'>{sentences(3)}</div><div id='comments'>{sentences(12)}</div><div class='sidebar'>{sentences(2)}</div>") == 3
+    assert count(f"<div id='comments'>{sentences(3)}</div>") == 3
+    assert html_text.extract(f"<div class=post><header><h1>Title</h1></header>{sentences(3)}</div>").startswith("Title\n\nSentence 0")
+    for head in ("<header><h1>Site</h1><nav><a href=x>a</a></nav></header>", "<header>Site <input></header>"):
+        assert html_text.extract(f"<body><div class=w>{head}{sentences(3)}</div></body>").startswith("Sentence 0")
+    assert html_text.extract(f"<body><header><h1>Site</h1></header>{sentences(3)}</body>").startswith("Sentence 0")
+    got = html_text.extract(f"<body><div><div>A short lead.</div><div>{sentences(5)}</div><div>That is all.</div><div>© 2020 X. All rights reserved.</div></div></body>")
+    assert got.startswith("A short lead.\n\n") and got.endswith("\n\nThat is all.")
+    assert html_text.extract(f"<article><h2 class='promotion'>On promotion</h2>{sentences(2)}</article>").startswith("On promotion")
+    assert html_text.extract("<div class='main-sidebar-layout'>hello world</div>") == "hello world"
+
+
+class PlainTree(HTMLParser):
+    """Nested (tag, class, children) by the standard parser."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.stack = [("html", "", [])]
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        node = (tag, dict(attrs).get("class") or "", [])
+        self.stack[-1][2].append(node)
+        if tag not in html_text.VOID:
+            self.stack.append(node)
+
+    def handle_endtag(self, tag):
+        if tag in [n[0] for n in self.stack]:
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        self.stack[-1][2].append(data)
+
+
+def plain_extract(html):
+    """Points of paragraphs handed up by recursion; the best container, or the article around it."""
+    gone = html_text.DROPPED | {"form"}
+    scores, texts = {}, {}
+
+    def own(node):
+        return " ".join("".join(k if isinstance(k, str) else "" if k[0] in gone or k[0] in html_text.BLOCK else " " + own(k) + " " for k in node[2]).split())
+
+    def size(node, linked=False):
+        a = b = 0
+        for k in node[2]:
+            if isinstance(k, str):
+                a, b = a + len(k.strip()), b + (len(k.strip()) if linked else 0)
+            elif k[0] not in gone and k[1] != "ad":
+                x, y = size(k, linked or k[0] == "a")
+                a, b = a + x, b + y
+        return a, b
+
+    def walk(node, above):
+        texts[id(node)] = node
+        scores.setdefault(id(node), html_text.BASE.get(node[0], 0.0))
+        if node[0] in html_text.HOLDS_TEXT and own(node):
+            share = 1.0
+            for up in ([node] if node[0] in ("div", "section", "article", "main", "body", "html") else []) + above[::-1]:
+                if share > 0.1:
+                    scores[id(up)] += (1 + own(node).count(",") + min(len(own(node)) / 100, 3)) * share
+                    share /= 2
+        for k in node[2]:
+            if not isinstance(k, str) and k[0] not in gone and k[1] != "ad" and k[0] != "header":
+                walk(k, [*above, node])
+
+    root = PlainTree(html).stack[0]
+    walk(root, [])
+    worth = lambda n: scores[id(n)] * (1 - size(n)[1] / max(size(n)[0], 1))
+    arts = [n for n in texts.values() if n[0] in ("article", "main")]
+    best = max(arts or [n for n in texts.values() if n[0] not in ("html", "a", "p", "li", "ul", "ol")], key=worth)
+    blocks, part = [], []
+
+    def flush():
+        text = " ".join("".join(part).split())
+        part.clear()
+        blocks.extend([text] if text else [])
+
+    def spell(node):
+        for k in node[2]:
+            if isinstance(k, str):
+                part.append(k)
+            elif k[0] not in gone and k[1] != "ad":
+                block = k[0] in html_text.BLOCK
+                if block:
+                    flush()
+                if k[0] == "br":
+                    part.append(" ")
+                spell(k)
+                if block:
+                    flush()
+
+    spell(best)
+    flush()
+    return "\n\n".join(blocks)
+
+
+def test_html_against_a_plain_scorer(spark):
+    path = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    rows = html_text.extract_pages(spark.read.parquet(path)).collect()
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(path).collect()}
+    assert len(rows) == len(pages) and all(r["text"] == plain_extract(pages[r["page_id"]]) for r in rows)
+
+
 @pytest.mark.parametrize("part", ["<a '", "<a ", "<b>x", "<!x", "<a '>'", '<a ="', "<p>x</i>", "<i><p><b>", "<li><b>", "<div><p>a", "</b", "<script>"])
 def test_html_broken_markup_takes_linear_time(part):
     took = []
