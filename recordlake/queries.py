@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .functions import dates, names, pic, text
 from .operators import coverage, frequency, layout, ledger, parse, profile, report
 from .operators.parse import Field
-from .plans import jobs
+from .plans import jobs, reports
 from .sources import layouts, lines, links
 from .sources.scratch import scratch
 from .streaming.ingest import ingest, ingest_versions
@@ -986,3 +986,52 @@ def wide_layout(spark, sf_dir):
     got = layouts.read_layout_csv(spark, path)
     n = len([c for c in got.columns if c not in ("layout_file", "pos", "version_from", "version_to")])
     return got.select("c0", "c76", F.col("A").alias("a"), F.col("A_1").alias("a_1"), F.col("A_1_1").alias("a_1_1"), F.lit(n).alias("columns"))
+
+
+# Links and coverage, further forms -------------------------------------------------------------------------------------
+
+NAMES_SQL = "(SELECT DISTINCT 'p' || (p_partkey % 60) || '_' || p_size || CASE p_partkey % 3 WHEN 0 THEN '.zip' ELSE '' END AS file_name FROM part)"
+HREFS_SQL = "(SELECT '/get?f=p' || (c_custkey % 70) || '_' || (c_custkey % 53) || CASE c_custkey % 2 WHEN 0 THEN '.zip' ELSE '0' END || '&v=' || c_custkey AS href FROM customer)"
+
+
+@query(f"SELECT file_name FROM {NAMES_SQL} n WHERE NOT EXISTS (SELECT 1 FROM {HREFS_SQL} h WHERE contains(h.href, n.file_name))")
+def missing_within_links(spark, sf_dir):
+    """Names of four to ten characters, of which some are parts of others."""
+    k = F.col("p_partkey")
+    name = F.concat(F.lit("p"), (k % 60).cast("string"), F.lit("_"), F.col("p_size").cast("string"), F.when(k % 3 == 0, F.lit(".zip")).otherwise(F.lit("")))
+    c = F.col("c_custkey")
+    href = F.concat(F.lit("/get?f=p"), (c % 70).cast("string"), F.lit("_"), (c % 53).cast("string"), F.when(c % 2 == 0, F.lit(".zip")).otherwise(F.lit("0")), F.lit("&v="), c.cast("string"))
+    expected = read(spark, sf_dir, "part").select(name.alias("file_name")).distinct()
+    return coverage.missing_files(expected, read(spark, sf_dir, "customer").select(href.alias("href")), within=True)
+
+
+@query(f"SELECT page_id, link_no, replace(href, '&amp;', '&') AS href FROM {LINKS_SQL}")
+def parsed_links(spark, sf_dir):
+    return links.parsed_links(read(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "link_no", "href")
+
+
+@query(SQL["month_coverage"])
+def merged_coverage(spark, sf_dir):
+    """Coverage from sets of four parts of the ranges, kept as a table and changed by each."""
+    r = ranges(spark, sf_dir).withColumn("end", dates.clamp_end("end", F.lit("2001-08-01").cast("date")))
+    sets = None
+    for k in range(4):
+        part = coverage.interval_sets(r.filter(F.pmod(F.xxhash64("series", "start"), F.lit(4)) == k))
+        sets = part if sets is None else coverage.merge_sets(sets.unionByName(part))
+        path = scratch(spark, f"coverage{k}")
+        sets.write.parquet(path)
+        sets = spark.read.schema(sets.schema).parquet(path)
+    return coverage.coverage_of(sets).withColumns({"min_start": day("min_start"), "max_end": day("max_end")})
+
+
+@query(
+    f"""SELECT 'formats' AS report, series AS key, CASE series WHEN 'fixed' THEN '-2 FIXED-WIDTH' ELSE '6 DELIMITED' END AS value FROM (SELECT DISTINCT series FROM {FILES_SQL})
+        UNION ALL SELECT 'names', name, n || ' ' || name FROM (SELECT replace(trim(field_name), chr(10), chr(10)) AS name, count(*) AS n FROM {FILES_SQL} GROUP BY 1) WHERE NOT contains(name, '(')
+        UNION ALL SELECT 'profile', series, count(*) || ' ' || CASE series WHEN 'fixed' THEN 'UNKNOWN' ELSE 'DELIMITED' END FROM {FILES_SQL} GROUP BY series"""
+)
+def layout_reports(spark, sf_dir):
+    """Layout files of several series to their reports, in one go."""
+    out = reports.layout_reports(layouts.combine_layouts(spark, layout_folders(spark, sf_dir)), F.lit("2025-08-21").cast("date"))
+    row = lambda report, df, key, *values: df.select(F.lit(report).alias("report"), F.col(key).alias("key"), F.concat_ws(" ", *values).alias("value"))
+    plain = out["names"].filter(~F.col("name").contains("("))
+    return row("formats", out["formats"], "series", "score", "predicted").unionAll(row("names", plain, "name", "n", "name")).unionAll(row("profile", out["profile"], "series", "n_rows", "format"))
