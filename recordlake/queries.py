@@ -16,6 +16,7 @@ from .operators.parse import Field
 from .plans import jobs, reports
 from .sources import layouts, lines, links
 from .sources.scratch import scratch
+from .streaming import misses
 from .streaming.ingest import ingest, ingest_versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1035,3 +1036,20 @@ def layout_reports(spark, sf_dir):
     row = lambda report, df, key, *values: df.select(F.lit(report).alias("report"), F.col(key).alias("key"), F.concat_ws(" ", *values).alias("value"))
     plain = out["names"].filter(~F.col("name").contains("("))
     return row("formats", out["formats"], "series", "score", "predicted").unionAll(row("names", plain, "name", "n", "name")).unionAll(row("profile", out["profile"], "series", "n_rows", "format"))
+
+
+@query(
+    f"""WITH m AS (SELECT *, min(CASE WHEN misses >= 6 THEN step END) OVER (PARTITION BY series) AS stop FROM {MISS_SQL})
+        SELECT series, (max(step) + 1)::INT AS steps, (count(*) FILTER (WHERE hit))::INT AS hits, max(stop) AS stop, (arg_max(misses, step) FILTER (WHERE stop IS NULL OR step <= stop))::INT AS misses FROM m GROUP BY 1"""
+)
+def stream_misses(spark, sf_dir):
+    """Miss runs of all series as a stream with state: files arrive in three parts, out of order."""
+    expected, have = expected_with_links(spark, sf_dir)
+    linked = have.select(F.element_at(F.split("href", "/"), -1).alias("file_name"), F.lit(True).alias("linked")).distinct()
+    rows = expected.join(linked, "file_name", "left").select("series", "step", F.col("linked").isNotNull().alias("hit"), F.pmod(F.xxhash64("file_name"), F.lit(3)).alias("part"))
+    source, target, checkpoint = (scratch(spark, n) for n in ("arrivals", "misses", "checkpoint"))
+    for k in (2, 0, 1):
+        rows.filter(F.col("part") == k).drop("part").write.mode("append").parquet(source)
+        arrived = spark.readStream.schema("series string, step int, hit boolean").parquet(source)
+        misses.run_miss_status(arrived, 6, target, checkpoint)
+    return misses.newest_status(spark.read.schema(f"{misses.STATUS}, batch int").parquet(target))
