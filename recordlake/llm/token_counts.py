@@ -9,7 +9,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import discard, shared_dir, slices, stored
@@ -19,11 +19,14 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 KEYS = ("source", "lang", "tokenizer_version")
 INSERT, DELETE, REVISE = "insert", "delete", "revise"
-#: Parts of a batch's entries, by a hash of the id; a batch reads the parts that its documents are in.
-BUCKETS = 16
+#: Entries of a batch's part, about. A batch has as many parts, by a hash of the id, as a power of two makes of them; what
+#: a later batch reads of it are the parts that its documents are in.
+PART_ENTRIES = 1 << 16
+#: Batches that are read before the next commit puts them together.
+MOST_BATCHES = 64
 #: Names of batches that stand for others begin so.
 COMPACT = "compact-"
-ENTRIES = "doc_id string, source string, lang string, tokenizer_version string, n_tokens long, sign long, bucket int"
+ENTRIES = "doc_id string, source string, lang string, tokenizer_version string, n_tokens long, sign long, parts int, bucket int"
 TOTALS = "source string, lang string, tokenizer_version string, documents long, tokens long"
 
 
@@ -66,8 +69,8 @@ class Rollup:
     totals/<batch> their sums by key, commits/<batch> says that both are whole. A reader adds up committed totals; the
     order is no matter. One writer at a time; readers need not wait."""
 
-    def __init__(self, spark: SparkSession, path: str, tokenizer: Tokenizer | None = None, buckets: int = BUCKETS):
-        self.spark, self.path, self.tokenizer, self.buckets = spark, path.rstrip("/"), tokenizer or Tokenizer(), buckets
+    def __init__(self, spark: SparkSession, path: str, tokenizer: Tokenizer | None = None, part_entries: int = PART_ENTRIES):
+        self.spark, self.path, self.tokenizer, self.part_entries = spark, path.rstrip("/"), tokenizer or Tokenizer(), part_entries
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{path}")
@@ -99,10 +102,26 @@ class Rollup:
         out.write(bytearray("".join(f"{x}\n" for x in says).encode()))
         out.close()
 
-    def _write(self, batch: str, entries: DataFrame) -> None:
-        """entries and their totals; what a broken-off run has left under the name is overwritten."""
-        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")
-        entries.withColumn("bucket", bucket).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/entries/{batch}")
+    def _parts(self) -> list[int]:
+        """Into how many parts the batches that are read are dealt; powers of two."""
+        fs, p = self._fs("entries")
+        live = set(self._live())
+        found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(p, "*/parts=*")) or []
+        return sorted({int(s.getPath().getName().partition("=")[2]) for s in found if s.getPath().getParent().getName() in live})
+
+    def _touched(self, keyed: DataFrame, n: int) -> Column:
+        """Whether an entry is in a part that documents of keyed, of n rows, are in."""
+        counts = self._parts()
+        if not counts or n >= counts[-1]:  # a row for each part would name them all
+            return F.lit(True)
+        own = [r[0] for r in keyed.select(F.pmod(F.xxhash64("doc_id"), F.lit(counts[-1])).cast("int")).distinct().collect()]  # fewer than parts
+        return reduce(lambda a, b: a | b, [(F.col("parts") == c) & F.col("bucket").isin(sorted({k % c for k in own})) for c in counts])
+
+    def _write(self, batch: str, entries: DataFrame, n: int) -> None:
+        """entries, about n, and their totals; what a broken-off run has left under the name is overwritten."""
+        parts = 1 << max(0, (max(n, 1) - 1) // self.part_entries).bit_length()
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
+        entries.withColumns({"parts": F.lit(parts), "bucket": bucket}).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("parts", "bucket").parquet(f"{self.path}/entries/{batch}")
         sums = self.spark.read.schema(ENTRIES).parquet(f"{self.path}/entries/{batch}").groupBy(*KEYS)
         sums.agg(F.sum("sign").cast("long").alias("documents"), F.sum(F.col("sign") * F.col("n_tokens")).alias("tokens")).write.mode("overwrite").parquet(f"{self.path}/totals/{batch}")
 
@@ -115,12 +134,15 @@ class Rollup:
         seq holds, then by tokens; a null seq is the first. A row without an id is a document of its own and can only
         be inserted. Null and empty texts have no tokens, very long ones are counted whole; a null source or lang is a
         key; other columns are not read. A batch that is committed already changes nothing and returns False; one that
-        broke off is written anew. Only the buckets of entries that the batch's documents are in are read.
+        broke off is written anew. Only the parts of entries that the batch's documents are in are read. Where
+        MOST_BATCHES are read, they are put together first.
         """
         if not batch or "/" in batch or batch.startswith((COMPACT, "_", ".")):
             raise ValueError(f"a batch has a name without / and does not begin with {COMPACT}, _ or .")
         if batch in self.committed():
             return False
+        if len(self._live()) >= MOST_BATCHES:
+            self.compact()
         version = self.tokenizer.version
         seq = F.col("seq").cast("long") if "seq" in changes.columns else F.lit(None).cast("long")
         rows = changes.select(F.coalesce("op", F.lit(INSERT)).alias("op"), F.col("doc_id").cast("string").alias("doc_id"), "source", "lang", seq.alias("seq"), F.when(F.col("op") == DELETE, None).otherwise(F.col("text")).alias("text"))
@@ -130,13 +152,13 @@ class Rollup:
         loose = rows.filter(F.col("doc_id").isNull() & (F.col("op") != DELETE)).select("doc_id", "op", "source", "lang", "n_tokens")
         new = keyed.unionByName(loose).filter(F.col("op") != DELETE).select("doc_id", "source", "lang", F.lit(version).alias("tokenizer_version"), "n_tokens", F.lit(1).cast("long").alias("sign"))
         old = self._read("entries")
+        n = rows.count()
         if old is not None:  # what these documents count for now is taken back
-            touched = [r[0] for r in keyed.select(F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")).distinct().collect()]  # at most buckets
-            live = old.filter(F.col("bucket").isin(touched) & F.col("doc_id").isNotNull()).join(keyed.select("doc_id", "op"), "doc_id")
+            live = old.filter(self._touched(keyed, n) & F.col("doc_id").isNotNull()).join(keyed.select("doc_id", "op"), "doc_id")
             live = live.filter((F.col("op") != INSERT) | (F.col("tokenizer_version") == version))
             live = live.groupBy("doc_id", *KEYS, "n_tokens").agg(F.sum("sign").alias("s")).filter("s > 0")
             new = new.unionByName(live.select("doc_id", *KEYS, "n_tokens", (-F.col("s")).alias("sign")))
-        self._write(batch, new)
+        self._write(batch, new, n)
         discard(rows)
         self._mark(batch, [])
         return True
@@ -149,7 +171,7 @@ class Rollup:
             return None
         name = f"{COMPACT}{uuid.uuid4().hex}"
         net = old.groupBy("doc_id", *KEYS, "n_tokens").agg(F.sum("sign").alias("sign")).filter("sign != 0")
-        self._write(name, net)
+        self._write(name, net, old.count())
         self._mark(name, live)
         return name
 

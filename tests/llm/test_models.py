@@ -369,6 +369,32 @@ def test_rollup_documents_by_sql(spark, tmp_path, tokenizer):
     assert sum(x["tokens"] for x in r.totals().collect()) == sum(len((t or "").encode()) for i, t in set(rows))
 
 
+def test_rollup_against_plain_counts(spark, tmp_path, tokenizer, monkeypatch):
+    """Random batches over parts that grow and over compaction: totals by key are those of a plain dictionary, and reads are of touched parts."""
+    monkeypatch.setattr(token_counts, "MOST_BATCHES", 4)
+    r = token_counts.Rollup(spark, f"file://{tmp_path}/{uuid.uuid4().hex}", tokenizer, part_entries=8)
+    rng, state = random.Random(6), {}
+    for b, size in enumerate((60, 5, 1, 30, 3, 20)):
+        rows = []
+        for i in rng.sample(range(80), size):
+            op = rng.choice(["insert", "insert", "revise", "delete"])
+            text = None if op == "delete" else "x" * rng.randrange(9)
+            rows.append((op, i, rng.choice("ab"), rng.choice(["en", None]), text))
+            if op == "delete":
+                state.pop(i, None)
+            else:
+                state[i] = (rows[-1][2], rows[-1][3], len(text))
+        assert r.commit(f"b{b}", spark.createDataFrame(rows, "op string, doc_id long, source string, lang string, text string"))
+        want = defaultdict(lambda: [0, 0])
+        for s, lang, n in state.values():
+            want[s, lang] = [want[s, lang][0] + 1, want[s, lang][1] + n]
+        assert {(x["source"], x["lang"]): [x["documents"], x["tokens"]] for x in r.totals().collect()} == want
+    assert max(r._parts()) >= 8 and len(r._live()) <= 4
+    one = spark.createDataFrame([("11",)], "doc_id string")
+    plan = r._read("entries").filter(r._touched(one, 1))
+    assert 0 < plan.select("parts", "bucket").distinct().count() <= len(r._live()) * len(r._parts())
+
+
 def test_rollup_after_a_crash(spark, tmp_path, tokenizer):
     r = token_counts.Rollup(spark, f"file://{tmp_path}/{uuid.uuid4().hex}", tokenizer)
     rows = spark.createDataFrame([("insert", 1, "a", "en", "abc")], "op string, doc_id long, source string, lang string, text string")
