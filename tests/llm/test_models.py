@@ -131,6 +131,82 @@ def test_gam_learns_an_interaction():
     assert ((m.score(x) > 0.5) == y).mean() > 0.9 and (0, 1) in m.pairs
 
 
+def plain_gam(x, y, rounds, pair_rounds, rate):
+    """Boosting with lists: every cut is tried, every sum taken anew. One pair, of the two first features."""
+    n, width = len(x), len(x[0])
+    edges = [sorted(set(np.quantile([r[f] for r in x], np.linspace(0, 1, quality.BINS + 1)[1:-1]).tolist())) for f in range(width)]
+    bins = [[sum(v >= e for e in edges[f]) for v in (r[f] for r in x)] for f in range(width)]
+    tables = [[0.0] * (len(e) + 1) for e in edges]
+    bias = math.log((sum(y) / n) / (1 - sum(y) / n))
+    coarse = [[k * quality.COARSE // (len(e) + 1) for k in range(len(e) + 1)] for e in edges]
+    pair = [[0.0] * quality.COARSE for _ in range(quality.COARSE)]
+    cell = lambda i: (coarse[0][bins[0][i]], coarse[1][bins[1][i]])
+
+    def slopes():
+        s = [bias + sum(tables[f][bins[f][i]] for f in range(width)) + pair[cell(i)[0]][cell(i)[1]] for i in range(n)]
+        p = [1 / (1 + math.exp(-v)) for v in s]
+        return [a - b for a, b in zip(p, y, strict=True)], [a * (1 - a) for a in p]
+
+    gain = lambda g, h: g * g / (h + 1.0)
+
+    def cut(g, h):
+        best = (-1.0, 0)
+        for k in range(1, len(g)):
+            a, b, c, d = sum(g[:k]), sum(h[:k]), sum(g[k:]), sum(h[k:])
+            v = gain(a, b) + gain(c, d) - gain(sum(g), sum(h)) if b > 0.5 and d > 0.5 else -1.0
+            if v > best[0] + 1e-12 or k == 1:
+                best = (v, k) if k == 1 or v > best[0] + 1e-12 else best
+        return best
+
+    for _ in range(rounds):
+        for f in range(width):
+            g, h = slopes()
+            gs, hs = ([sum(v[i] for i in range(n) if bins[f][i] == k) for k in range(len(tables[f]))] for v in (g, h))
+            parts = [(0, len(gs))]
+            while len(parts) < 3:
+                v, k, a, b = max((*cut(gs[a:b], hs[a:b]), a, b) for a, b in parts)
+                if v <= 1e-6:
+                    break
+                parts.remove((a, b))
+                parts += [(a, a + k), (a + k, b)]
+            for a, b in parts:
+                for k in range(a, b):
+                    tables[f][k] -= rate * sum(gs[a:b]) / (sum(hs[a:b]) + 1.0)
+    for _ in range(pair_rounds):
+        g, h = slopes()
+        C = quality.COARSE
+        grid = lambda v: [[sum(v[i] for i in range(n) if cell(i) == (a, b)) for b in range(C)] for a in range(C)]
+        gg, hh = grid(g), grid(h)
+        best, steps = 0.0, {}
+        for k in range(1, C):
+            total, out = -gain(sum(map(sum, gg)), sum(map(sum, hh))), {}
+            for rows in (range(k), range(k, C)):
+                gs, hs = ([sum(m[r][c] for r in rows) for c in range(C)] for m in (gg, hh))
+                more, at = cut(gs, hs)
+                total += gain(sum(gs), sum(hs)) + max(more, 0)
+                for cols in (range(at), range(at, C)) if more > 0 else (range(C),):
+                    for r in rows:
+                        for c in cols:
+                            out[r, c] = -rate * sum(gs[j] for j in cols) / (sum(hs[j] for j in cols) + 1.0)
+            if total > best + 1e-12:
+                best, steps = total, out
+        for (r, c), v in steps.items():
+            pair[r][c] += v
+    return bias, tables, pair
+
+
+def test_gam_against_a_plain_loop():
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.normal(size=120), rng.integers(0, 5, 120).astype(float)])
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 2)).astype(float)
+    m = quality.fit_gam(x, y, rounds=3, pair_rounds=3, pairs=1, rate=0.3)
+    bias, tables, pair = plain_gam(x.tolist(), y.tolist(), 3, 3, 0.3)
+    assert m.pairs == [(0, 1)] and abs(m.bias - bias) < 1e-12
+    for got, want in zip(m.tables, tables, strict=True):
+        assert np.allclose(got, want, atol=1e-9)
+    assert np.allclose(m.pair_tables[0], pair, atol=1e-9) and np.abs(pair).max() > 0.1
+
+
 def test_gam_scores_are_sums_of_bins():
     rng = np.random.default_rng(1)
     x = rng.random((400, 4))
