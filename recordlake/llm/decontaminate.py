@@ -279,7 +279,9 @@ def _search(part: pa.Array, x: _Index, p: Search) -> list[tuple]:
         mine, answer = x.items[item][1], x.answers[item]
         best = None
         spans: list[list] = []
-        for s, c in sorted(at):  # windows of an item that touch are one region
+        # Windows of an item that touch are one region, up to eight times what one of them needs: a longer run is read in
+        # regions that overlap, each with all of its windows and an item's length of words on both sides.
+        for s, c in sorted(at):
             lo, hi = max(0, s - len(mine)), s + 2 * p.passage + len(mine)
             if spans and lo <= spans[-1][1] and hi - spans[-1][0] <= 8 * (p.passage + len(mine)):
                 spans[-1][1], spans[-1][2] = hi, max(spans[-1][2], c)
