@@ -181,6 +181,25 @@ def test_forest_shortens_prefixes(spark, tmp_path, monkeypatch, own, shortens):
     assert (seen[0][1] < p.longest - p.step) == shortens
 
 
+def test_crowded_prefixes_lose_no_links(spark, tmp_path):
+    """Four hundred texts share half of their words, so that prefixes are crowded with texts that are not alike; pairs among them are just above the threshold."""
+    rng = random.Random(9)
+    common = words(rng, 60, 50000)
+    rows = []
+    for k in range(400):
+        rows.append((k, " ".join([*common, *words(rng, 60, 50000)])))
+    for k in range(40):  # one word in the middle of what is their own is another: 115 of 120 grams alike
+        w = rows[k][1].split()
+        w[80 + k % 30] = "other"
+        rows.append((1000 + k, " ".join(w)))
+        w = rows[k + 50][1].split()
+        w[70], w[85] = "other", "others"
+        rows.append((2000 + k, " ".join(w)))
+    got = {r["doc_id"]: r["n_links"] for r in ngram_join.ngram_join(table(spark, tmp_path, rows)).collect()}
+    want = dict(zip((i for i, _ in rows), brute_links(rows)[0], strict=True))
+    assert got == want and sum(want.values()) == 160
+
+
 def test_links_of_null_ids(spark, tmp_path):
     """Many rows without an id: each meets what its own text is like, not every other."""
     rng = random.Random(3)
