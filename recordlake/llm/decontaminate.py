@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, Words, as_binary, discard, fresh, one_thread, plain, slices, stored
+from .common import SPACE, Words, discard, fresh, one_thread, plain, slices, stored
 
 _WORD = re.compile(f"[^{SPACE}]+")
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
@@ -20,22 +21,27 @@ _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 @dataclass(frozen=True)
 class Search:
-    """passage: words of an item's passage; a document is read in windows of two passages, a passage apart. rank: most
-    dimensions of a latent space; group: passages of the benchmark that share one, beside sample windows of the corpus,
-    which weigh weight of a passage each; held: share of a passage's energy that a space keeps, or else the passage goes
-    to a complete space. cosine: least similarity of a candidate. An item is found in a document if the longest common
-    subsequence of their words has at least same of the item, or at least close of it and answer of its last sentence.
-    items: benchmark items that are indexed and broadcast at a time."""
+    """passage: words of an item's passage; a document is read in windows of two passages, a passage apart. group: most
+    passages of the benchmark that share a latent space; rank: most dimensions of it, which are no more than half of its
+    passages. It is learned from them and from sample windows of the corpus, which weigh weight of them together; of the
+    words of these windows, the vocabulary most frequent ones in them that at least two hold are words of the space.
+    held: share of its energy that a passage must keep, or else it goes to the next space; the last few passages have a
+    complete one. cosine: least latent similarity of a candidate; reach: share of a passage's latent weight that makes a
+    window a candidate whatever else is in it. An item is found in a document if the longest common subsequence of their
+    words has at least same of the item, or at least close of it and answer of its last sentence. items: benchmark items
+    that are indexed and broadcast at a time."""
 
     passage: int = 32
-    rank: int = 256
-    group: int = 192
-    sample: int = 1024
-    weight: float = 0.3
-    held: float = 0.99
+    rank: int = 96
+    group: int = 1024
+    sample: int = 4096
+    vocabulary: int = 16384
+    weight: float = 0.5
+    held: float = 0.4
     oversample: int = 10
     iterations: int = 2
     cosine: float = 0.4
+    reach: float = 0.5
     same: float = 0.8
     close: float = 0.65
     answer: float = 0.8
@@ -43,6 +49,10 @@ class Search:
     seed: int = 5
 
 
+#: Passages that are too few for a latent space.
+FEW = 16
+
+
 def windows(w: Words, known: np.ndarray, features: int, passage: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(window of each pair, feature, times; text of each window, first word of each): words counted by window.
 
@@ -121,112 +131,127 @@ def _plain_words(text: str) -> list[str]:
     return [x for x in plain(pa.array(_WORD.findall(text), pa.string())).to_pylist() if x]
 
 
+def window_counts(texts: DataFrame, passage: int) -> DataFrame:
+    """(word, n): how many windows of all texts hold each word; the word "" stands for all windows."""
+
+    def counted(batches):
+        for batch in batches:
+            for _, part in slices(batch.column(0)):
+                w = Words(part)
+                coded = plain(w.vocab).dictionary_encode()
+                known, vocab = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+                void = pc.index(vocab, pa.scalar("", vocab.type)).as_py()
+                known = np.where(known == void, -1, known)[w.codes]
+                _, f, _, text, _ = windows(w, known, max(len(vocab), 1), passage)
+                n = np.bincount(f, minlength=len(vocab))
+                some = np.flatnonzero(n)
+                words = pa.concat_arrays([vocab.take(pa.array(some)).cast(pa.string()), pa.array([""])])
+                yield pa.RecordBatch.from_arrays([words, pa.array(np.append(n[some], len(text)))], ["word", "n"])
+
+    return texts.mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
 @dataclass
 class _Space:
-    """place: row of basis of each word of the index, or -1; vectors: the passages in it; sizes: length of each one's
-    vector before it is scaled to 1; slack: what a unit vector's product with it may lose, at most; owner: its item."""
+    """place: row of basis of each word of the index, or -1; vectors: directions of the passages in it; sizes: how long
+    their weights are there; owner: their items; complete: whether the space holds all of its passages."""
 
     place: np.ndarray
     basis: np.ndarray
     vectors: np.ndarray
     sizes: np.ndarray
-    slack: np.ndarray
     owner: np.ndarray
+    complete: bool
 
 
 class _Index:
-    """A block of items: their passages as latent vectors, and what is sent to the tasks."""
+    """A block of items: their passages as latent vectors, and what is sent to the tasks. counts: see window_counts."""
 
-    def __init__(self, spark: SparkSession, items: list[tuple], texts: DataFrame, p: Search):
-        self.items = [(i, _plain_words(t or "")) for i, t in items]
+    def __init__(self, spark: SparkSession, items: list[tuple], texts: DataFrame, n_texts: int, counts: DataFrame, p: Search):
+        words = [_plain_words(t or "") for _, t in items]
         last = [[s for s in _SENTENCE.split((t or "").strip()) if _WORD.search(s)] for _, t in items]
-        self.answers = [_plain_words(s[-1]) if s else [] for s in last]
-        self.vocab = pa.array(sorted({x for _, w in self.items for x in w}), pa.string())
-        n, passage, vocab = len(self.vocab), p.passage, self.vocab
-
-        def counted(batches):
-            for batch in batches:
-                for _, part in slices(batch.column(0)):
-                    w = Words(part)
-                    known = pc.fill_null(pc.index_in(plain(w.vocab), vocab), -1).to_numpy(zero_copy_only=False)[w.codes]
-                    _, f, _, text, _ = windows(w, known, n, passage)
-                    df = np.bincount(f, minlength=n + 1)
-                    df[n] = len(text)
-                    some = np.flatnonzero(df)
-                    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(df[some])], ["feature", "n"])
-
-        df = np.zeros(n + 1)
-        for r in texts.mapInArrow(counted, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():  # the items' words
-            df[r["feature"]] = r["n"]
-        self.idf = np.log((1 + df[n]) / (1 + df[:n]) + 1e-9).clip(min=1e-3).astype(np.float32)
-        of = {x: k for k, x in enumerate(vocab.to_pylist())}
+        own = pa.array(sorted({x for w in words for x in w}), pa.string())
+        sampled = self._sampled(texts, n_texts, own, p) if len(own) and p.sample else []
+        often = Counter(x for w, _ in sampled for x in w)
+        often = sorted(((x, n) for x, n in often.items() if n > 1), key=lambda x: (-x[1], x[0]))[: p.vocabulary]
+        vocab = sorted({*own.to_pylist(), *(x for x, _ in often)})
+        self.vocab = pa.array(vocab, pa.string())
+        of = {x: k for k, x in enumerate(vocab)}
+        self.items = [(i, [of[x] for x in w]) for (i, _), w in zip(items, words, strict=True)]
+        self.answers = [[of[x] for x in _plain_words(s[-1])] if s else [] for s in last]
+        df, total = np.zeros(len(vocab)), 0
+        wanted = spark.createDataFrame(pa.table({"word": pa.array([*vocab, ""], pa.string())}))  # the index's words
+        for word, n in zip(*(c.to_pylist() for c in counts.join(F.broadcast(wanted), "word").select("word", "n").toArrow().columns), strict=True):
+            if word:
+                df[of[word]] = n
+            else:
+                total = n
+        self.idf = np.log((1 + total) / (1 + df) + 1e-9).clip(min=1e-3).astype(np.float32)
         rows = []
-        for k, (_, words) in enumerate(self.items):
-            parts = max(1, math.ceil(len(words) / passage))
-            for j in range(parts if words else 0):
-                f, tf = np.unique([of[x] for x in words[j * len(words) // parts : (j + 1) * len(words) // parts]], return_counts=True)
-                v = (1 + np.log(tf)) * self.idf[f]
-                rows.append((k, f, v, float(np.linalg.norm(v))))
-        sampled = self._sampled(texts, p) if rows and p.sample else None
-        self.spaces, rest = [], rows
-        if sampled is not None:
+        for k, (_, mine) in enumerate(self.items):
+            parts = max(1, math.ceil(len(mine) / p.passage))
+            for j in range(parts if mine else 0):
+                f, tf = np.unique(mine[j * len(mine) // parts : (j + 1) * len(mine) // parts], return_counts=True)
+                rows.append((k, f, ((1 + np.log(tf)) * self.idf[f]).astype(np.float32)))
+        around = []
+        for w, times in sampled:
+            some = [(of[x], t) for x, t in zip(w, times, strict=True) if x in of]
+            f = np.array([x for x, _ in some], np.int64)
+            if some:
+                around.append((f, ((1 + np.log([t for _, t in some])) * self.idf[f]).astype(np.float32)))
+        self.spaces = []
+        while len(rows) > FEW and around:
             rest = []
             for part in _dealt(rows, p.group):
-                space, kept = self._space(spark, part, n, p, p.rank, sampled)
+                space, kept = self._space(spark, part, p, min(p.rank, len(part) // 2), around)
                 self.spaces += [space] if kept.any() else []
                 rest += [r for r, k in zip(part, kept, strict=True) if not k]
-            discard(sampled)
-        self.spaces += [self._space(spark, part, n, p, len(part), None)[0] for part in _dealt(rest, p.rank)]
+            if len(rest) == len(rows):
+                break
+            rows = rest
+        self.spaces += [self._space(spark, part, p, len(part), [])[0] for part in _dealt(rows, max(p.rank, FEW))]
 
-    def _sampled(self, texts: DataFrame, p: Search) -> DataFrame:
-        """(features, times) of p.sample windows of the corpus that share words with the benchmark, the first by a hash."""
-        vocab, some = self.vocab, max(1, texts.count() // (4 * p.sample))
+    @staticmethod
+    def _sampled(texts: DataFrame, n_texts: int, own: pa.Array, p: Search) -> list[tuple[list, list]]:
+        """(words, times) of p.sample different windows of the corpus that hold a word of the benchmark, the first by a hash."""
+        some = max(1, n_texts // p.sample)
 
         def cut(batches):
             for batch in batches:
                 for _, part in slices(batch.column(0)):
                     w = Words(part)
-                    known = pc.fill_null(pc.index_in(plain(w.vocab), vocab), -1).to_numpy(zero_copy_only=False)[w.codes]
-                    win, f, times, _, _ = windows(w, known, len(vocab), p.passage)
-                    starts = np.flatnonzero(np.diff(win, prepend=-1))
-                    bounds = np.append(starts, len(win))
-                    yield pa.RecordBatch.from_arrays([as_binary(f.astype(np.int32), bounds), as_binary(times.astype(np.int32), bounds)], ["features", "times"])
-
-        found = texts.filter(F.pmod(F.xxhash64("text"), F.lit(some)) == 0).mapInArrow(cut, "features binary, times binary")
-        return stored(found.orderBy(F.xxhash64("features", "times"), "features", "times").limit(p.sample), "leak-sample")
-
-    def _space(self, spark: SparkSession, rows: list[tuple], n: int, p: Search, rank: int, sampled: DataFrame | None) -> tuple[_Space, np.ndarray]:
-        """(the latent space of passages and sampled windows, which passages it keeps); without windows it is complete."""
-        own = np.unique(np.concatenate([f for _, f, _, _ in rows]))
-        place = np.full(n, -1, np.int32)
+                    coded = plain(w.vocab).dictionary_encode()
+                    vocab = coded.dictionary
+                    known = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                    void = pc.index(vocab, pa.scalar("", vocab.type)).as_py()
+                    win, f, times, text, _ = windows(w, np.where(known == void, -1, known)[w.codes], max(len(vocab), 1), p.passage)
+                    theirs = pc.is_in(vocab, own.cast(vocab.type)).to_numpy(zero_copy_only=False)
+                    keep = np.bincount(win[theirs[f]], minlength=len(text))[win] > 0
+                    win, f, times = win[keep], f[keep], times[keep]
+                    bounds = pa.array(np.append(np.flatnonzero(np.diff(win, prepend=-1)), len(win)).astype(np.int32))
+                    words = vocab.take(pa.array(f)).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(bounds, words), pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32)))], ["words", "times"])
+
+        found = texts.filter(F.pmod(F.xxhash64("text"), F.lit(some)) == 0).mapInArrow(cut, "words array<string>, times array<int>")
+        found = found.select(F.array_sort(F.arrays_zip("words", "times")).alias("w")).distinct()
+        return [([x["words"] for x in r["w"]], [x["times"] for x in r["w"]]) for r in found.orderBy(F.xxhash64("w"), "w").limit(p.sample).collect()]  # p.sample windows
+
+    def _space(self, spark: SparkSession, rows: list[tuple], p: Search, rank: int, around: list[tuple]) -> tuple[_Space, np.ndarray]:
+        """(the latent space of passages and windows around, which passages it keeps); without windows it is complete."""
+        own = np.unique(np.concatenate([f for _, f, _ in rows] + [f for f, _ in around]))
+        place = np.full(len(self.vocab), -1, np.int32)
         place[own] = np.arange(len(own))
-        unit = [(place[f], (v / size).astype(np.float32)) for _, f, v, size in rows]
-        table = spark.createDataFrame([(f.tobytes(), v.tobytes()) for f, v in unit], "features binary, values binary")
-        if sampled is not None:
-            idf = self.idf
-
-            def weighed(batches):
-                for batch in batches:
-                    out = []
-                    for f, times in zip(*(batch.column(c).to_pylist() for c in (0, 1)), strict=True):
-                        f, times = np.frombuffer(f, np.int32), np.frombuffer(times, np.int32)
-                        v, at = (1 + np.log(times)) * idf[f], place[f]
-                        v, at = v[at >= 0], at[at >= 0]
-                        size = float(np.linalg.norm(v))
-                        if size:
-                            out.append((at.tobytes(), (p.weight * v / size).astype(np.float32).tobytes()))
-                    yield pa.record_batch({c: pa.array([x[k] for x in out], pa.binary()) for k, c in enumerate(("features", "values"))})
-
-            table = stored(table.unionAll(sampled.mapInArrow(weighed, "features binary, values binary")), "leak-rows")
+        sizes = np.array([np.linalg.norm(v) for _, _, v in rows], np.float32)
+        unit = [(place[f], v / size) for (_, f, v), size in zip(rows, sizes, strict=True)]
+        share = math.sqrt(p.weight * len(rows) / max(len(around), 1))
+        other = [(place[f], v * (share / np.linalg.norm(v))) for f, v in around]
+        table = spark.createDataFrame([(f.tobytes(), v.astype(np.float32).tobytes()) for f, v in unit + other], "features binary, values binary")
         basis, _ = randomised_svd(table, len(own), rank, p.oversample, p.iterations, p.seed)
-        if sampled is not None:
-            discard(table)
         vectors = np.stack([v @ basis[f] for f, v in unit])
-        energy = np.minimum((vectors**2).sum(1), 1.0)
-        kept = energy >= p.held if sampled is not None else np.ones(len(rows), bool)
-        sizes, owner = np.array([size for _, _, _, size in rows], np.float32), np.array([k for k, _, _, _ in rows], np.int64)
-        slack = np.sqrt(1 - energy).astype(np.float32) if sampled is not None else np.zeros(len(rows), np.float32)
-        return _Space(place, basis, vectors[kept], sizes[kept], slack[kept], owner[kept]), kept
+        length = np.linalg.norm(vectors, axis=1).clip(1e-9)
+        kept = length**2 >= p.held if around else np.ones(len(rows), bool)
+        owner = np.array([k for k, _, _ in rows], np.int64)
+        return _Space(place, basis, (vectors / length[:, None])[kept], (sizes * length)[kept], owner[kept], not around), kept
 
 
 def _dealt(rows: list, most: int) -> list[list]:
@@ -236,10 +261,10 @@ def _dealt(rows: list, most: int) -> list[list]:
 
 
 def _candidates(found: dict, x: _Space, win: np.ndarray, f: np.ndarray, value: np.ndarray, text: np.ndarray, first: np.ndarray, p: Search) -> None:
-    """Add (first word, cosine) of each window to found[text, item] that is like a passage or holds most of its weight.
+    """Add (first word, cosine) of each window to found[text, item] that lies near a passage, or reaches far enough along it.
 
-    Only the words of the space count, so other items change nothing. A window that holds a passage is a candidate
-    whatever stands around it, and what the space does not hold of a passage is allowed for, so that none is missed.
+    Both are told in the space: the window's words, those that the item does not have among them, say where it lies. In
+    a complete space, which has the passages' words alone, a window is as long as the weights of these words.
     """
     at = x.place[f]
     some = at >= 0
@@ -254,29 +279,35 @@ def _candidates(found: dict, x: _Space, win: np.ndarray, f: np.ndarray, value: n
         for k in range(i, to, few):
             first_pair, last = starts[k], ends[min(k + few, to) - 1]
             latent[k - i : k - i + few] = np.add.reduceat(value[first_pair:last, None] * x.basis[at[first_pair:last]], starts[k : min(k + few, to)] - first_pair)
-        norm = np.sqrt(np.add.reduceat(value[lo:hi] ** 2, starts[i : i + step] - lo))
-        shared = latent @ x.vectors.T
-        for a, b in zip(*np.nonzero(shared >= np.minimum(p.cosine * norm[:, None], p.close * x.sizes) - x.slack * norm[:, None]), strict=True):
-            k = used[i + a]
-            found.setdefault((int(text[k]), int(x.owner[b])), []).append((int(first[k]), float(shared[a, b] / norm[a])))
+        norm = np.sqrt(np.add.reduceat(value[lo:hi] ** 2, starts[i : i + step] - lo)) if x.complete else np.linalg.norm(latent, axis=1)
+        along = latent @ x.vectors.T
+        for a, b in zip(*np.nonzero(along >= np.minimum(p.cosine * norm[:, None], p.reach * x.sizes)), strict=True):
+            if along[a, b] > 0:
+                k = used[i + a]
+                found.setdefault((int(text[k]), int(x.owner[b])), []).append((int(first[k]), float(along[a, b] / norm[a])))
+
+
+def _in_common(mine: tuple[np.ndarray, np.ndarray], region: np.ndarray) -> int:
+    """How many words of an item (words, times) a region has, repeats counted; no common subsequence is longer."""
+    at = np.searchsorted(mine[0], region).clip(max=len(mine[0]) - 1)
+    return int(np.minimum(np.bincount(at[mine[0][at] == region], minlength=len(mine[0])), mine[1]).sum())
 
 
 def _search(part: pa.Array, x: _Index, p: Search) -> list[tuple]:
     """(text, item, cosine, share of the item, share of its answer, first word, end) of the items found in each text."""
     w = Words(part)
-    normal = plain(w.vocab)
-    known = pc.fill_null(pc.index_in(normal, x.vocab), -1).to_numpy(zero_copy_only=False)[w.codes]
+    known = pc.fill_null(pc.index_in(plain(w.vocab).cast(pa.string()), x.vocab), -1).to_numpy(zero_copy_only=False)[w.codes]
     win, f, times, text, first = windows(w, known, len(x.vocab), p.passage)
     value = (1 + np.log(times)).astype(np.float32) * x.idf[f]
     found: dict[tuple[int, int], list] = {}
     for space in x.spaces:
         _candidates(found, space, win, f, value, text, first, p)
     out = []
-    words: dict[int, list] = {}
+    bags: dict[int, tuple] = {}
     for (t, item), at in found.items():
-        if t not in words:
-            words[t] = normal.take(pa.array(w.codes[w.bounds[t] : w.bounds[t + 1]])).to_pylist()
-        mine, answer = x.items[item][1], x.answers[item]
+        words, mine, answer = known[w.bounds[t] : w.bounds[t + 1]], x.items[item][1], x.answers[item]
+        if item not in bags:
+            bags[item] = np.unique(mine, return_counts=True)
         best = None
         spans: list[list] = []
         # Windows of an item that touch are one region, up to eight times what one of them needs: a longer run is read in
@@ -288,13 +319,15 @@ def _search(part: pa.Array, x: _Index, p: Search) -> list[tuple]:
             else:
                 spans.append([lo, hi, c])
         for lo, hi, c in spans:
-            region = words[t][lo:hi]
+            if _in_common(bags[item], words[lo:hi]) < p.close * len(mine):
+                continue
+            region = words[lo:hi].tolist()
             share = common_length(mine, region) / len(mine)
             if share < p.close:
                 continue
             told = common_length(answer, region) / len(answer) if answer else 0.0
             if (share >= p.same or told >= p.answer) and (best is None or (share, c) > best[:2]):
-                best = (share, c, told, lo, min(hi, len(words[t])))
+                best = (share, c, told, lo, min(hi, len(words)))
         if best:
             out.append((t, item, best[1], best[0], best[2], best[3], best[4]))
     return sorted(out)
@@ -303,11 +336,11 @@ def _search(part: pa.Array, x: _Index, p: Search) -> list[tuple]:
 def contaminated(docs: DataFrame, benchmark: DataFrame, params: Search = Search(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, item_id, cosine, lcs_share, answer_share, from_word, to_word of each item found in each document.
 
-    Weights are inverse frequencies over the windows of all documents. Latent spaces come from randomised SVDs of TF-IDF
-    rows: passages of the benchmark and sampled windows of the corpus, over the words of the passages. Passages of which
-    a space keeps too little have complete spaces instead. Every window of every document is projected and compared with
-    every passage, in blocks; windows of at least the cosine, and those that hold the share params.close of a passage's
-    weight, are candidates for the longest common subsequence of the item and the words around. The benchmark is indexed
+    Weights are inverse frequencies over the windows of all documents, counted once. Latent spaces come from randomised
+    SVDs of TF-IDF rows: passages of the benchmark and sampled windows of the corpus, over the words of both. A space has
+    at most half as many dimensions as passages; those of which it keeps too little go to the next one. Every window of
+    every document is projected and compared there with every passage, in blocks; those near one, and those that reach
+    far along it, are candidates for the longest common subsequence of the item and the words around. The benchmark is indexed
     params.items at a time, so what is broadcast is bounded. Words are compared in lower case without punctuation at
     their ends. Null or empty texts match nothing, very long ones are read whole; an item given again, or a document
     given again, is found again; null ids are ids. Other columns are not read, whatever their names. No documents or no
@@ -320,10 +353,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, params: Search = Search(
     kind, item_kind = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)["item_id"]
     schema = f"doc_id {kind}, item_id {item_kind}, cosine double, lcs_share double, answer_share double, from_word int, to_word int"
     blocks = max(1, math.ceil(items.count() / params.items))
+    counts, n_texts = stored(window_counts(texts, params.passage), "leak-words"), texts.count()
     out = None
     for b in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # about params.items rows
-        index = _Index(spark, [(r["item_id"], r["text"]) for r in own], texts, params)
+        index = _Index(spark, [(r["item_id"], r["text"]) for r in own], texts, n_texts, counts, params)
         ids = pa.array([r["item_id"] for r in own])
         sent = spark.sparkContext.broadcast((index, ids))
 
@@ -338,6 +372,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, params: Search = Search(
 
         found = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(searched, schema)
         out = found if out is None else out.unionAll(found)
+    discard(counts)
     return out
 
 

@@ -363,6 +363,52 @@ def test_decontaminate_paraphrases(spark, tmp_path):
     assert all(a == b for a, b in found)
 
 
+def test_other_words_of_the_corpus(spark, tmp_path):
+    """Items told with synonyms for all their rare words: plain weights see next to nothing of them, the space of the corpus does."""
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(12)]
+    topic = lambda k, side: [f"{side}{k}x{j}" for j in range(8)]
+    told = lambda rare: " ".join(x for j, r in enumerate(rare) for x in (*(common[(j * 4 + i) % 12] for i in range(4)), r))
+    items, planted, rows = [], [], []
+    for k in range(60):
+        at = rng.sample(range(8), 6)
+        items.append((k, told([topic(k % 12, "a")[j] for j in at])))
+        planted.append((k, told([topic(k % 12, "b")[j] for j in at])))
+    for n in range(1500):  # where one word of a pair stands, so may the other
+        k = n % 12
+        some = rng.sample(topic(k, "a") + topic(k, "b"), 8)
+        rows.append((10_000 + n, " ".join(rng.sample(some + common * 4, 56))))
+    docs = table(spark, tmp_path, rows + planted)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = lambda **o: {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, benchmark, decontaminate.Search(**o)).collect() if r["doc_id"] < 10_000}
+    own = {(k, k) for k in range(60)}
+    lcs = {(i, k) for i, t in planted for k, x in items if decontaminate.common_length(x.split(), t.split()) >= 0.8 * len(x.split())}
+    got = found()
+    assert own <= lcs and got <= lcs and len(own & got) >= 0.9 * len(own)
+    assert len(own & found(sample=0)) <= 0.1 * len(own)
+
+
+def test_decontaminate_by_brute_force(spark, tmp_path):
+    """The subsequence of every item with every text of a window decides alike: nothing else is found, and hardly any missed."""
+    rng = random.Random(9)
+    items = [(k, " ".join(words(rng, 24, 300))) for k in range(80)]
+    rows = [(k, " ".join(words(rng, 60, 300))) for k in range(300)]
+    for n in range(600):
+        _, t = items[rng.randrange(80)]
+        t = [x if rng.random() < rng.choice([0.6, 0.75, 0.85, 1.0]) else f"w{rng.randrange(300)}" for x in t.split()]
+        rows.append((1000 + n, " ".join(words(rng, 18, 300) + t + words(rng, 18, 300))))
+    want = set()
+    for i, t in rows:
+        t = t.split()
+        for k, x in items:
+            x = x.split()
+            share = decontaminate.common_length(x, t) / len(x)
+            if share >= 0.8:  # an item of one sentence: its answer is itself
+                want.add((i, k))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table(spark, tmp_path, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) > 200 and got <= want and len(got) >= 0.97 * len(want), (len(want), len(got), len(got - want))
+
+
 def test_spaces_of_the_corpus_miss_nothing(spark, tmp_path):
     """Latent spaces of sampled windows find what complete spaces find, also where they hold next to nothing of a passage."""
     rng = random.Random(6)
