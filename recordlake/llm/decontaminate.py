@@ -22,7 +22,7 @@ _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 @dataclass(frozen=True)
 class Search:
     """passage: words of an item's passage; a document is read in windows of two passages, a passage apart. group: most
-    passages of the benchmark that share a latent space; rank: most dimensions of it, which are no more than half of its
+    passages of the benchmark that share a latent space; rank: most dimensions of it, which are no more than a third of its
     passages. It is learned from them and from sample windows of the corpus, which weigh weight of them together; of the
     words of these windows, the vocabulary most frequent ones in them that at least two hold are words of the space.
     held: share of its energy that a passage must keep, or else it goes to the next space; the last few passages have a
@@ -33,14 +33,14 @@ class Search:
 
     passage: int = 32
     rank: int = 96
-    group: int = 1024
-    sample: int = 4096
-    vocabulary: int = 16384
+    group: int = 288
+    sample: int = 2048
+    vocabulary: int = 8192
     weight: float = 0.5
-    held: float = 0.4
+    held: float = 0.25
     oversample: int = 10
     iterations: int = 2
-    cosine: float = 0.4
+    cosine: float = 0.5
     reach: float = 0.5
     same: float = 0.8
     close: float = 0.65
@@ -153,15 +153,14 @@ def window_counts(texts: DataFrame, passage: int) -> DataFrame:
 
 @dataclass
 class _Space:
-    """place: row of basis of each word of the index, or -1; vectors: directions of the passages in it; sizes: how long
-    their weights are there; owner: their items; complete: whether the space holds all of its passages."""
+    """basis: a row for each word of the index; vectors: directions of the passages in it; sizes: how long their weights
+    are there; owner: their items; inside: which words a complete space has, or None."""
 
-    place: np.ndarray
     basis: np.ndarray
     vectors: np.ndarray
     sizes: np.ndarray
     owner: np.ndarray
-    complete: bool
+    inside: np.ndarray | None
 
 
 class _Index:
@@ -179,6 +178,8 @@ class _Index:
         of = {x: k for k, x in enumerate(vocab)}
         self.items = [(i, [of[x] for x in w]) for (i, _), w in zip(items, words, strict=True)]
         self.answers = [[of[x] for x in _plain_words(s[-1])] if s else [] for s in last]
+        self.lengths = np.array([len(w) for w in words], np.int64)
+        self.holds, self.times = np.unique(np.array([k * (len(vocab) + 1) + f for k, (_, w) in enumerate(self.items) for f in w], np.int64), return_counts=True)
         df, total = np.zeros(len(vocab)), 0
         wanted = spark.createDataFrame(pa.table({"word": pa.array([*vocab, ""], pa.string())}))  # the index's words
         for word, n in zip(*(c.to_pylist() for c in counts.join(F.broadcast(wanted), "word").select("word", "n").toArrow().columns), strict=True):
@@ -203,13 +204,16 @@ class _Index:
         while len(rows) > FEW and around:
             rest = []
             for part in _dealt(rows, p.group):
-                space, kept = self._space(spark, part, p, min(p.rank, len(part) // 2), around)
+                space, kept = self._space(spark, part, p, min(p.rank, len(part) // 3), around)
                 self.spaces += [space] if kept.any() else []
                 rest += [r for r, k in zip(part, kept, strict=True) if not k]
             if len(rest) == len(rows):
                 break
             rows = rest
         self.spaces += [self._space(spark, part, p, len(part), [])[0] for part in _dealt(rows, max(p.rank, FEW))]
+        self.bundles = [(np.concatenate([x.basis for x in some], axis=1), some) for some in _bundled(self.spaces)]
+        for x in self.spaces:
+            x.basis = x.basis[:, :0]  # it is in its bundle
 
     @staticmethod
     def _sampled(texts: DataFrame, n_texts: int, own: pa.Array, p: Search) -> list[tuple[list, list]]:
@@ -245,13 +249,29 @@ class _Index:
         unit = [(place[f], v / size) for (_, f, v), size in zip(rows, sizes, strict=True)]
         share = math.sqrt(p.weight * len(rows) / max(len(around), 1))
         other = [(place[f], v * (share / np.linalg.norm(v))) for f, v in around]
-        table = spark.createDataFrame([(f.tobytes(), v.astype(np.float32).tobytes()) for f, v in unit + other], "features binary, values binary")
-        basis, _ = randomised_svd(table, len(own), rank, p.oversample, p.iterations, p.seed)
+        both = unit + other
+        table = pa.table({"features": pa.array([f.tobytes() for f, _ in both], pa.binary()), "values": pa.array([v.astype(np.float32).tobytes() for _, v in both], pa.binary())})
+        basis, _ = randomised_svd(spark.createDataFrame(table), len(own), rank, p.oversample, p.iterations, p.seed)
         vectors = np.stack([v @ basis[f] for f, v in unit])
         length = np.linalg.norm(vectors, axis=1).clip(1e-9)
         kept = length**2 >= p.held if around else np.ones(len(rows), bool)
         owner = np.array([k for k, _, _ in rows], np.int64)
-        return _Space(place, basis, (vectors / length[:, None])[kept], (sizes * length)[kept], owner[kept], not around), kept
+        whole = np.zeros((len(self.vocab), basis.shape[1]), np.float32)
+        whole[own] = basis
+        return _Space(whole, (vectors / length[:, None])[kept], (sizes * length)[kept], owner[kept], None if around else place >= 0), kept
+
+
+def _bundled(spaces: list[_Space], most: int = 192) -> list[list[_Space]]:
+    """spaces in runs of at most most dimensions together, or one, which windows are projected to at once."""
+    out: list[list[_Space]] = []
+    n = most + 1
+    for x in spaces:
+        if n + x.basis.shape[1] > most:
+            out.append([])
+            n = 0
+        out[-1].append(x)
+        n += x.basis.shape[1]
+    return out
 
 
 def _dealt(rows: list, most: int) -> list[list]:
@@ -260,39 +280,33 @@ def _dealt(rows: list, most: int) -> list[list]:
     return [rows[g * len(rows) // groups : (g + 1) * len(rows) // groups] for g in range(groups)]
 
 
-def _candidates(found: dict, x: _Space, win: np.ndarray, f: np.ndarray, value: np.ndarray, text: np.ndarray, first: np.ndarray, p: Search) -> None:
+def _candidates(found: dict, basis: np.ndarray, spaces: list[_Space], win: np.ndarray, f: np.ndarray, value: np.ndarray, text: np.ndarray, first: np.ndarray, p: Search) -> None:
     """Add (first word, cosine) of each window to found[text, item] that lies near a passage, or reaches far enough along it.
 
     Both are told in the space: the window's words, those that the item does not have among them, say where it lies. In
     a complete space, which has the passages' words alone, a window is as long as the weights of these words.
     """
-    at = x.place[f]
-    some = at >= 0
-    win, at, value = win[some], at[some], value[some]
     starts = np.flatnonzero(np.diff(win, prepend=-1))
     used, ends = win[starts], np.append(starts[1:], len(win))
     step, few = 512, 16  # windows compared at a time, and projected at a time, which stay in a core's cache
     for i in range(0, len(used), step):
         to = min(i + step, len(used))
         lo, hi = starts[i], ends[to - 1]
-        latent = np.empty((to - i, x.basis.shape[1]), np.float32)
+        latent = np.empty((to - i, basis.shape[1]), np.float32)
         for k in range(i, to, few):
             first_pair, last = starts[k], ends[min(k + few, to) - 1]
-            latent[k - i : k - i + few] = np.add.reduceat(value[first_pair:last, None] * x.basis[at[first_pair:last]], starts[k : min(k + few, to)] - first_pair)
-        norm = np.sqrt(np.add.reduceat(value[lo:hi] ** 2, starts[i : i + step] - lo)) if x.complete else np.linalg.norm(latent, axis=1)
-        along = latent @ x.vectors.T
-        for a, b in zip(*np.nonzero(along >= np.minimum(p.cosine * norm[:, None], p.reach * x.sizes)), strict=True):
-            if along[a, b] > 0:
+            latent[k - i : k - i + few] = np.add.reduceat(value[first_pair:last, None] * basis[f[first_pair:last]], starts[k : min(k + few, to)] - first_pair)
+        at = 0
+        for x in spaces:
+            own = latent[:, at : at + x.vectors.shape[1]]
+            at += x.vectors.shape[1]
+            norm = np.linalg.norm(own, axis=1) if x.inside is None else np.sqrt(np.add.reduceat(np.where(x.inside[f[lo:hi]], value[lo:hi] ** 2, 0), starts[i:to] - lo))
+            along = own @ x.vectors.T
+            for a, b in zip(*np.nonzero((along >= np.minimum(p.cosine * norm[:, None], p.reach * x.sizes)) & (along > 0)), strict=True):
                 k = used[i + a]
                 found.setdefault((int(text[k]), int(x.owner[b])), []).append((int(first[k]), float(along[a, b] / norm[a])))
 
 
-def _in_common(mine: tuple[np.ndarray, np.ndarray], region: np.ndarray) -> int:
-    """How many words of an item (words, times) a region has, repeats counted; no common subsequence is longer."""
-    at = np.searchsorted(mine[0], region).clip(max=len(mine[0]) - 1)
-    return int(np.minimum(np.bincount(at[mine[0][at] == region], minlength=len(mine[0])), mine[1]).sum())
-
-
 def _search(part: pa.Array, x: _Index, p: Search) -> list[tuple]:
     """(text, item, cosine, share of the item, share of its answer, first word, end) of the items found in each text."""
     w = Words(part)
@@ -300,36 +314,47 @@ def _search(part: pa.Array, x: _Index, p: Search) -> list[tuple]:
     win, f, times, text, first = windows(w, known, len(x.vocab), p.passage)
     value = (1 + np.log(times)).astype(np.float32) * x.idf[f]
     found: dict[tuple[int, int], list] = {}
-    for space in x.spaces:
-        _candidates(found, space, win, f, value, text, first, p)
-    out = []
-    bags: dict[int, tuple] = {}
+    for basis, spaces in x.bundles:
+        _candidates(found, basis, spaces, win, f, value, text, first, p)
+    if not found:
+        return []
+    spans: list[tuple] = []  # text, item, first word, end, cosine
     for (t, item), at in found.items():
-        words, mine, answer = known[w.bounds[t] : w.bounds[t + 1]], x.items[item][1], x.answers[item]
-        if item not in bags:
-            bags[item] = np.unique(mine, return_counts=True)
-        best = None
-        spans: list[list] = []
+        mine, to = len(x.items[item][1]), int(w.bounds[t + 1] - w.bounds[t])
         # Windows of an item that touch are one region, up to eight times what one of them needs: a longer run is read in
         # regions that overlap, each with all of its windows and an item's length of words on both sides.
+        runs: list[list] = []
         for s, c in sorted(at):
-            lo, hi = max(0, s - len(mine)), s + 2 * p.passage + len(mine)
-            if spans and lo <= spans[-1][1] and hi - spans[-1][0] <= 8 * (p.passage + len(mine)):
-                spans[-1][1], spans[-1][2] = hi, max(spans[-1][2], c)
+            lo, hi = max(0, s - mine), s + 2 * p.passage + mine
+            if runs and lo <= runs[-1][1] and hi - runs[-1][0] <= 8 * (p.passage + mine):
+                runs[-1][1], runs[-1][2] = hi, max(runs[-1][2], c)
             else:
-                spans.append([lo, hi, c])
-        for lo, hi, c in spans:
-            if _in_common(bags[item], words[lo:hi]) < p.close * len(mine):
-                continue
-            region = words[lo:hi].tolist()
-            share = common_length(mine, region) / len(mine)
+                runs.append([lo, hi, c])
+        spans += [(t, item, lo, min(hi, to), c) for lo, hi, c in runs]
+    best: dict[tuple[int, int], tuple] = {}
+    step = 1 << 12
+    for i in range(0, len(spans), step):
+        part_spans = spans[i : i + step]
+        t, item, lo, hi = (np.array(c, np.int64) for c in list(zip(*part_spans, strict=True))[:4])
+        n = hi - lo
+        ends = np.cumsum(n)
+        region = known[np.repeat(w.bounds[t] + lo - (ends - n), n) + np.arange(ends[-1])]
+        key = np.repeat(item, n) * (len(x.vocab) + 1) + region
+        at = np.searchsorted(x.holds, key).clip(max=len(x.holds) - 1)
+        hit = (x.holds[at] == key) & (region >= 0)
+        each, times = np.unique(np.repeat(np.arange(len(n)), n)[hit] * len(x.holds) + at[hit], return_counts=True)
+        # No common subsequence is longer than the words that the region and the item share, repeats counted.
+        shared = np.bincount(each // len(x.holds), np.minimum(times, x.times[each % len(x.holds)]), len(n))
+        for k in np.flatnonzero(shared >= p.close * x.lengths[item]):
+            mine, answer, words = x.items[item[k]][1], x.answers[item[k]], region[ends[k] - n[k] : ends[k]].tolist()
+            share = common_length(mine, words) / len(mine)
             if share < p.close:
                 continue
-            told = common_length(answer, region) / len(answer) if answer else 0.0
-            if (share >= p.same or told >= p.answer) and (best is None or (share, c) > best[:2]):
-                best = (share, c, told, lo, min(hi, len(words)))
-        if best:
-            out.append((t, item, best[1], best[0], best[2], best[3], best[4]))
+            told = common_length(answer, words) / len(answer) if answer else 0.0
+            pair, c = (int(t[k]), int(item[k])), part_spans[k][4]
+            if (share >= p.same or told >= p.answer) and (pair not in best or (share, c) > best[pair][:2]):
+                best[pair] = share, c, told, int(lo[k]), int(hi[k])
+    out = [(*pair, c, share, told, lo, hi) for pair, (share, c, told, lo, hi) in best.items()]
     return sorted(out)
 
 
@@ -338,7 +363,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, params: Search = Search(
 
     Weights are inverse frequencies over the windows of all documents, counted once. Latent spaces come from randomised
     SVDs of TF-IDF rows: passages of the benchmark and sampled windows of the corpus, over the words of both. A space has
-    at most half as many dimensions as passages; those of which it keeps too little go to the next one. Every window of
+    at most a third as many dimensions as passages; those of which it keeps too little go to the next one. Every window of
     every document is projected and compared there with every passage, in blocks; those near one, and those that reach
     far along it, are candidates for the longest common subsequence of the item and the words around. The benchmark is indexed
     params.items at a time, so what is broadcast is bounded. Words are compared in lower case without punctuation at
