@@ -36,7 +36,7 @@ class Search:
     group: int = 288
     sample: int = 2048
     vocabulary: int = 8192
-    weight: float = 0.5
+    weight: float = 1.0
     held: float = 0.25
     oversample: int = 10
     iterations: int = 2
