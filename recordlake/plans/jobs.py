@@ -19,7 +19,7 @@ from ..operators.layout import layout_profile, version_for
 from ..operators.ledger import LEDGER, to_do
 from ..operators.parse import ALL, LINE, Field, Layout, by_type, placed_columns
 from ..sources.commits import FEW_PARTS, Commits, counted, local_frame
-from ..sources.lines import drops, encoded_lines, read_staged, read_zip, stage, staged_files
+from ..sources.lines import drops, emptied_files, encoded_lines, read_staged, read_zip, stage, staged_files
 
 DELIMITED, FIXED_WIDTH, UNKNOWN = "DELIMITED", "FIXED_WIDTH", "UNKNOWN"
 
@@ -178,6 +178,26 @@ def read_clean(spark: SparkSession, clean: str, series: str, record_type: str |
     return reduce(DataFrame.unionByName, parts)
 
 
+def drop_emptied(spark: SparkSession, staged: str, clean: str, series: str, record_types: list[str] | None = None) -> list[tuple[str, str]]:
+    """Commit that files which have been staged again without lines have no rows: (file, record type) of what went.
+
+    Files that were never staged here, such as those of a stream, stay. record_types: those that may go, by default all.
+    """
+    table = Commits(spark, f"{clean}/{series}", "record_type")
+    had = table.entries().filter("n > 0").join(emptied_files(spark, staged, series), "file", "left_semi")
+    if record_types is not None:
+        had = had.filter(F.col("record_type").isin([c or ALL for c in record_types]))
+    gone = sorted(had.select("file", "record_type", "period", "batch").collect())  # names of files
+    if gone:
+        said = {b: table.columns(b) for b in {r["batch"] for r in gone}}
+        columns = {r["record_type"]: said[r["batch"]][r["record_type"]] for r in gone}  # a type that has no rows left is still known
+        of: dict[str, list[str]] = {}
+        for r in gone:
+            of.setdefault(r["file"], []).append(r["record_type"])
+        table.commit(uuid.uuid4().hex, [(r["record_type"], r["period"], r["file"], 0, None) for r in gone], [(f, codes, None) for f, codes in of.items()], columns)
+    return [(r["file"], r["record_type"]) for r in gone]
+
+
 def _past(done: DataFrame | None, series: str) -> set[tuple[str, str]]:
     if done is None:
         return set()
@@ -194,6 +214,7 @@ def transform_series(spark: SparkSession, staged: str, clean: str, series: str,
         return local_frame(spark, [(series, None, c, "failed", 0, "unknown format") for c in wanted], LEDGER)
     files = [File(r["file"], r["period"], "", r["source"], tuple(c or ALL for c in wanted)) for r in staged_files(spark, staged, series).collect()]
     n: dict[tuple[str, str], int] = {}
+    drop_emptied(spark, staged, clean, series, record_types)
     if files:
         lines = read_staged(spark, staged).filter(F.col("series") == series)
         n = transform_lines(lines, files, {"": layouts}, {"": fmt}, f"{clean}/{series}", Options(delimiter, typed_values), record_types is None)
@@ -210,7 +231,7 @@ def transform_versions(
     length, notation, and the columns that tell its format). Files, periods and versions are metadata and are collected;
     lines are read once, by transform_lines. The ledger that is returned has a row for each file and record type: files of
     a period that no version holds for, or of a version in no known format, are failures; those that done says are done
-    are skipped. changed_only: so are those whose state, layout and options are those of the rows that are there.
+    are skipped. Rows of files that were staged again without lines go, and count as no records. changed_only: so are those whose state, layout and options are those of the rows that are there.
     """
     files = staged_files(spark, staged, series).withColumn("day", period_date("period", date_format)).withColumn("series", F.lit(series))
     versions = layout.select(F.lit(series).alias("series"), "version", "version_from", "version_to").distinct()
@@ -221,6 +242,7 @@ def transform_versions(
     past = _past(done, series)
     have = {(r["file"], r["record_type"]): r["source"] for r in Commits(spark, path, "record_type").entries().collect()} if changed_only else {}
     ledger: list[tuple] = [(series, r["file"], None, "failed", 0, "no layout for the period") for r in valid if r["version"] is None]
+    ledger += [(series, f, None if c == ALL else c, "success", 0, None) for f, c in drop_emptied(spark, staged, clean, series, record_types)]
     todo: list[File] = []
     for r in valid:
         v = r["version"]

@@ -100,11 +100,11 @@ class Commits:
 
         replaced: (file, wanted, known): partitions of the file go if their part is in wanted, or not in known (a null list
         of known spares the parts that wanted does not name). With a stream's name and batch id a batch is committed once.
-        written: partitions that the batch's folder has, if it has more than entries.
+        written: partitions that the batch's folder has, if it has more than entries with rows.
         """
         if columns is not None:
             self._put(f"{self.path}/_columns/{batch}", columns)
-        size = max(len(entries), written)
+        size = max(sum(1 for e in entries if e[3]), written)  # partitions without rows lie nowhere
         new = local_frame(self.spark, [(batch, size, *e) for e in entries], self.schema)
         gone = local_frame(self.spark, replaced, "file string, wanted array<string>, known array<string>")
         gone = F.broadcast(gone) if len(replaced) <= FEW_PARTS else gone
@@ -117,7 +117,7 @@ class Commits:
             kept = old.filter(F.col("wanted").isNull() | ~F.coalesce(hit, F.lit(False))).drop("wanted", "known")
             name = f"{at['number'] + 1:012d}-{uuid.uuid4().hex}"
             kept.unionByName(new).coalesce(max(1, len(entries) // FEW_PARTS)).write.parquet(f"{self.path}/_snapshots/{name}")
-            counts = self.spark.read.schema(self.schema).parquet(f"{self.path}/_snapshots/{name}").groupBy("batch").agg(F.count(F.lit(1)).alias("c"), F.first("batch_size").alias("size")).collect()  # a row for each batch
+            counts = self.spark.read.schema(self.schema).parquet(f"{self.path}/_snapshots/{name}").groupBy("batch").agg(F.count_if(F.col("n") > 0).alias("c"), F.first("batch_size").alias("size")).collect()  # a row for each batch
             said = {"number": at["number"] + 1, "snapshot": name, "batches": [[r["batch"], r["c"] == r["size"]] for r in sorted(counts)], "streams": at["streams"] | ({stream[0]: stream[1]} if stream else {})}
             if self._put(f"{self.path}/_commits/{said['number']:012d}", said):
                 return said["number"]
@@ -128,7 +128,7 @@ class Commits:
         rows = rows.filter(F.col("batch").isin([b for b, _ in at["batches"]]))
         if all(whole for _, whole in at["batches"]):
             return rows
-        have = self.entries(at)
+        have = self.entries(at).filter("n > 0")
         have = (have if part is None else have.filter(F.col(self.part) == part)).select("batch", *keys).distinct()
         few = have.limit(FEW_PARTS + 1).count() <= FEW_PARTS
         return rows.join(F.broadcast(have) if few else have, ["batch", *keys], "left_semi")

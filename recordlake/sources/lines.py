@@ -12,7 +12,7 @@ from ..functions.text import decode_line, strip_line_end
 from .archives import MEMBERS, SCHEMA, can_open, members, read_member, zip_lines
 from .commits import FEW_PARTS, Commits, counted, local_frame
 
-__all__ = ["MEMBERS", "encoded_lines", "read_staged", "read_text", "read_zip", "stage", "staged_files", "unzip"]
+__all__ = ["MEMBERS", "emptied_files", "encoded_lines", "read_staged", "read_text", "read_zip", "stage", "staged_files", "unzip"]
 
 #: Files of another encoding that are broadcast; more are joined.
 FEW_FILES = 10_000
@@ -135,7 +135,7 @@ def stage(lines: DataFrame, path: str, series: str, period: str = "period", atte
         whole = not n.get(3 * k + 2) and not (strict and f in errors)
         out[f] = (n.get(3 * k, 0) if whole else 0, "not UTF-8" if n.get(3 * k + 2) else errors.get(f))
     written = sum(bool(n.get(3 * k, 0) + n.get(3 * k + 2, 0)) for k in code.values())
-    kept = [(series, _period(r["file"], series), r["file"], out[r["file"]][0], r["source"]) for r in files if out[r["file"]][0]]
+    kept = [(series, _period(r["file"], series), r["file"], out[r["file"]][0], r["source"]) for r in files]  # files without lines too, so that what was made of them before can go
     Commits(spark, path, "series").commit(batch, kept, [(f, [series], None) for f in code], written=written)
     return out
 
@@ -158,4 +158,9 @@ def read_staged(spark: SparkSession, path: str, period: str = "period") -> DataF
 
 def staged_files(spark: SparkSession, path: str, series: str) -> DataFrame:
     """file, period, n, source of the staged files of a series, without a look at their lines."""
-    return Commits(spark, path, "series").entries().filter(F.col("series") == series).select("file", "period", "n", "source")
+    return Commits(spark, path, "series").entries().filter((F.col("series") == series) & (F.col("n") > 0)).select("file", "period", "n", "source")
+
+
+def emptied_files(spark: SparkSession, path: str, series: str) -> DataFrame:
+    """file of each file of a series that has no lines since it was last staged."""
+    return Commits(spark, path, "series").entries().filter((F.col("series") == series) & (F.col("n") == 0)).select("file")

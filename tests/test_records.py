@@ -312,6 +312,29 @@ def test_a_rerun_replaces_also_by_nothing(spark, tmp_path):
     assert jobs.read_clean(spark, clean, "s", "Z", number=1).count() == 2  # older commits can be read until they are cleared away
 
 
+def test_rows_of_a_file_that_was_staged_again_without_lines_go(spark, tmp_path):
+    """Its rows of all record types go with the next transform, whether of changes only or of all; those of a file that was never staged here stay."""
+    staged, clean = str(tmp_path / "staged"), str(tmp_path / "clean")
+    lay = two_versions(spark)
+    empty = lambda *f: spark.createDataFrame([(x, "again") for x in f], "file string, source string")
+    left = lambda: sorted(r["file"] for c in "PZ" for r in jobs.read_clean(spark, clean, "s", c).collect())
+    lines.stage(simple_lines(spark, [("s_202104.txt", "P007")]), str(tmp_path / "elsewhere"), "s")
+    jobs.transform_versions(spark, str(tmp_path / "elsewhere"), clean, "s", lay)
+    lines.stage(simple_lines(spark, [("s_202101.txt", "P001"), ("s_202101.txt", "Z00111"), ("s_202102.txt", "P009"), ("s_202103.txt", "P003")]), staged, "s")
+    jobs.transform_versions(spark, staged, clean, "s", lay)
+    lines.stage(simple_lines(spark, [("s_202103.txt", "P004")]), staged, "s", attempted=empty("s_202101.txt", "s_202103.txt"))
+    assert sorted(r["file"] for r in lines.staged_files(spark, staged, "s").collect()) == ["s_202102.txt", "s_202103.txt"]
+    ran = {(r["file"], r["record_type"]): (r["status"], r["n"]) for r in jobs.transform_versions(spark, staged, clean, "s", lay, changed_only=True).collect()}
+    assert ran[("s_202101.txt", "P")] == ran[("s_202101.txt", "Z")] == ("success", 0) and ran[("s_202103.txt", "P")] == ("success", 1)
+    assert left() == ["s_202102.txt", "s_202103.txt", "s_202104.txt"]
+    lines.stage(simple_lines(spark, []), staged, "s", attempted=empty("s_202102.txt", "s_202103.txt"))
+    jobs.transform_versions(spark, staged, clean, "s", lay)
+    assert left() == ["s_202104.txt"]
+    lines.stage(simple_lines(spark, [("s_202102.txt", "P001")]), staged, "s")
+    jobs.transform_versions(spark, staged, clean, "s", lay)
+    assert left() == ["s_202102.txt", "s_202104.txt"]
+
+
 def test_a_write_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
     staged = str(tmp_path / "staged")
     lines.stage(simple_lines(spark, [("s_1.txt", "old"), ("s_2.txt", "two")]), staged, "s")
