@@ -135,27 +135,29 @@ def missing_files(expected: DataFrame, links: DataFrame, href: str = "href", wit
     return expected.join(have, "file_name", "left_anti")
 
 
-def contained_names(names: DataFrame, links: DataFrame, href: str = "href", name: str = "file_name", size: int = 8) -> DataFrame:
+def contained_names(names: DataFrame, links: DataFrame, href: str = "href", name: str = "file_name", size: int = 8, few: int = 100_000) -> DataFrame:
     """name, href of each link that holds a name, each pair once. Empty names are in no link.
 
     Links are cut into all their runs of size characters, and a name is looked up by the one of its own runs that the
     fewest names have, so that no link meets every name; what is found is compared as a whole. Names shorter than size are
-    looked up whole, by runs of their length.
+    looked up whole, by runs of their length. Up to few names are broadcast; more are joined by shuffle. Runs never
+    are broadcast, however small texts look before they are cut.
     """
     texts = links.select(F.col(href).alias("href")).filter("href IS NOT NULL").distinct()
     own = names.select(F.col(name).alias("name")).filter("name <> ''").distinct()
     runs = lambda c, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(F.col(c), i, F.lit(n))))
     long = own.filter(F.length("name") >= size).select("name", F.explode(runs("name", size)).alias("run"))
     common = long.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
-    found = [long.join(common, "run").groupBy("name").agg(F.min_by("run", F.struct("n", "run")).alias("run"))]
+    found = [long.hint("merge").join(common, "run").groupBy("name").agg(F.min_by("run", F.struct("n", "run")).alias("run"))]
     lengths = [size]
     for n in sorted(r[0] for r in own.filter(F.length("name") < size).select(F.length("name")).distinct().collect()):  # below size
         found.append(own.filter(F.length("name") == n).select("name", F.col("name").alias("run")))
         lengths.append(n)
+    broadcast = own.limit(few + 1).count() <= few
     out = None
     for n, keys in zip(lengths, found, strict=True):
         cut = texts.filter(F.length("href") >= n).select("href", F.explode(runs("href", n)).alias("run"))
-        met = cut.join(keys, "run").filter(F.contains("href", "name")).select(F.col("name").alias(name), F.col("href").alias(href))
+        met = cut.join(F.broadcast(keys) if broadcast else keys.hint("merge"), "run").filter(F.contains("href", "name")).select(F.col("name").alias(name), F.col("href").alias(href))
         out = met if out is None else out.unionAll(met)
     return out
 

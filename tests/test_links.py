@@ -60,6 +60,22 @@ def test_names_within_links(spark):
     assert coverage.missing_files(a, b, within=True).count() == len([n for n in names + [names[0]] if not n or not any(n in h for h in hrefs)])
 
 
+def test_runs_of_links_are_never_broadcast(spark):
+    """Links look small before they are cut into runs; names are what is sent, or both sides are shuffled."""
+    rng = random.Random(6)
+    names = spark.createDataFrame([(f"f{k}_{k % 7}.zip",) for k in range(3000)] + [("f1",), ("f22_",)], "file_name string")
+    hrefs = spark.createDataFrame([(f"/get?f=f{rng.randrange(4000)}_{k % 7}.zip&v={k}",) for k in range(2000)], "href string")
+    want = None
+    for options in ({}, {"few": 10}):
+        got = coverage.contained_names(names.repartition(3), hrefs.repartition(3), **options)
+        rows = sorted(tuple(r) for r in got.collect())
+        assert rows and rows == (want or rows)
+        want = rows
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "BuildLeft" in x and "run#" in x]
+        assert not options or "SortMergeJoin" in plan
+
+
 def test_sets_merge_in_any_order(spark):
     rng = random.Random(7)
     rows = []
