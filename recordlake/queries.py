@@ -973,6 +973,8 @@ def labels_with_digits(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", text.item_number(label).alias("item_no")).filter("item_no IS NOT NULL")
 
 
+#: Rows of a layout file that a query writes.
+FILE_ROWS = 10_000
 WIDE = [f"c{k}" for k in range(77)] + ["A", "A", "A_1"]
 
 
@@ -982,8 +984,11 @@ def wide_layout(spark, sf_dir):
     path, p = scratch(spark, "wide"), read(spark, sf_dir, "part")
     value = {0: F.col("p_partkey").cast("string"), 76: F.col("p_name"), 77: F.col("p_brand"), 78: F.col("p_type"), 79: F.col("p_size").cast("string")}
     cells = [value.get(k, F.lit(str(k))) for k in range(len(WIDE))]
-    body = p.select(F.spark_partition_id().alias("part"), F.concat_ws(",", *cells).alias("value")).groupBy("part").agg(F.array_join(F.collect_list("value"), "\n").alias("value"))
-    body.select(F.concat(F.lit(",".join(WIDE) + "\n"), "value").alias("value")).write.text(path)  # a layout is a file
+    rows = p.select(F.monotonically_increasing_id().alias("id"), F.concat_ws(",", *cells).alias("value"))
+    at = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))  # the row's place in its partition
+    head = F.when(at % FILE_ROWS == 0, F.lit(",".join(WIDE)))
+    body = rows.select(F.concat_ws("-", F.shiftright("id", 33), F.floor(at / FILE_ROWS)).alias("file"), "id", F.posexplode(F.array_compact(F.array(head, "value"))).alias("k", "value"))
+    body.repartition("file").sortWithinPartitions("file", "id", "k").select("file", "value").write.partitionBy("file").text(path)
     got = layouts.read_layout_csv(spark, path)
     n = len([c for c in got.columns if c not in ("layout_file", "pos", "version_from", "version_to")])
     return got.select("c0", "c76", F.col("A").alias("a"), F.col("A_1").alias("a_1"), F.col("A_1_1").alias("a_1_1"), F.lit(n).alias("columns"))

@@ -1,3 +1,4 @@
+import io
 import zipfile
 from collections import Counter
 from datetime import date
@@ -575,6 +576,24 @@ def test_wide_layouts_and_names_that_repeat(spark, tmp_path):
         layouts.read_layout_csv(spark, str(tmp_path)).collect()
 
 
+def test_a_long_layout_file_is_read_some_rows_at_a_time(spark, tmp_path):
+    """No file is held as a whole: rows leave in batches, records that are too long are told by their number, quoted newlines stay."""
+    file = tmp_path / "Long V1.0 (Sep 2013 - Nov 2013).csv"
+    file.write_bytes(b"A,B\r\n" + b"".join(b'%d,"x\r\ny"\r\n' % k for k in range(9000)))
+    (tmp_path / "none.csv").write_text("A,C\n\n")
+    with open(file, newline="") as text:
+        sizes = [len(rows) for header, rows in layouts.row_batches("f", text, 4000) if header == ["A", "B"]]
+    assert sizes == [4000, 4000, 1000]
+    with open(file, newline="") as text:
+        assert max(len(rows) for _, rows in layouts.row_batches("f", text, 4000, 1000)) == 500
+    with pytest.raises(ValueError, match="f: record 4 has 3 cells, its header 1"):
+        list(layouts.row_batches("f", io.StringIO("a\n1\n\n2\n1,2,3\n"), 2))
+    got = layouts.read_layout_csv(spark, str(tmp_path))
+    rows = got.orderBy("pos").collect()
+    assert [r["A"] for r in rows] == [str(k) for k in range(9000)] and {r["B"] for r in rows} == {"x\r\ny"} and "C" not in got.columns
+    assert rows[0]["version_from"] == date(2013, 9, 1) and "wholetext" not in got._jdf.queryExecution().executedPlan().toString().lower()
+
+
 def test_catalog_dates(spark):
     want = {"2024-01-15": 15, "2024/01/15": 15, "01/15/2024": 15, "01-15-2024": 15, "20240115": 15, "202401": 1, "20240115103000": 15}
     got = layouts.read_catalog(spark, {t: {"min_date": t, "max_date": "", "extension": "zip", "date_format": "%Y%m"} for t in want}).collect()
