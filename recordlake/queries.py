@@ -686,7 +686,7 @@ def layout_folders(spark: SparkSession, sf_dir: str, together: bool = False) ->
     fixed = p.filter("p_size % 2 = 0").select(label, name.alias("Data Item"), size.alias("Length"), F.lit("X").alias("Remarks"))
     piped = p.filter("p_size % 2 = 1").select(label, name.alias("Data Element"), F.lit("Text").alias("Type"), size.alias("Max Length"), F.col("p_brand").alias("Format"))
     for series, rows in (("fixed", fixed), ("piped", piped)):
-        rows.write.mode("append").option("header", True).option("escape", '"').csv(base if together else f"{base}/{series}")
+        rows.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).option("header", True).option("escape", '"').csv(base if together else f"{base}/{series}")
     return {"all": base} if together else {"fixed": f"{base}/fixed", "piped": f"{base}/piped", "none": f"{base}/none"}
 
 
