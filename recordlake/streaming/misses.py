@@ -2,67 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: What RocksDB, which holds the state, needs to be told of.
 PROVIDER = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 STATUS = "series string, steps int, hits int, stop int, misses int"
 
 
-class _MissRuns(StatefulProcessor):
-    """Keeps of a series the last step expected so far and the runs of steps without a hit, and tells where the first long one stops it.
-
-    A hit splits the run that it falls into; a step that is expected later is a miss until it is hit. A series has as many
-    runs as gaps, at most one more than hits.
-    """
-
-    def __init__(self, threshold: int):
-        self.threshold = threshold
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("misses", "last int, starts array<int>, ends array<int>")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        last, starts, ends = self.state.get() if self.state.exists() else (-1, [], [])
-        runs = [[int(a), int(b)] for a, b in zip(starts, ends, strict=True)]
-        every = pd.concat(list(rows))
-        known = int(every["step"].max())
-        if known > last:  # steps up to it are expected now
-            if runs and runs[-1][1] == last:
-                runs[-1][1] = known
-            else:
-                runs.append([last + 1, known])
-            last = known
-        for step in sorted(set(every.loc[every["hit"].astype(bool), "step"].astype(int))):
-            at = next((k for k, (a, b) in enumerate(runs) if a <= step <= b), None)
-            if at is not None:
-                a, b = runs[at]
-                runs[at : at + 1] = [r for r in ([a, step - 1], [step + 1, b]) if r[0] <= r[1]]
-        self.state.update((last, [a for a, _ in runs], [b for _, b in runs]))
-        stop = next((a + self.threshold - 1 for a, b in runs if b - a + 1 >= self.threshold), None)
-        end = last if stop is None else stop
-        misses = next((min(b, end) - a + 1 for a, b in runs if a <= end <= b), 0)
-        hits = last + 1 - sum(b - a + 1 for a, b in runs)
-        yield pd.DataFrame({"series": [key[0]], "steps": [last + 1], "hits": [hits], "stop": pd.array([stop], dtype="Int32"), "misses": [misses]})
-
-    def close(self) -> None:
-        pass
-
-
 def miss_status(files: DataFrame, threshold: int) -> DataFrame:
     """A stream's (series, step, hit) as a stream of what each series has come to: steps, hits, stop (the step at which the first run of threshold misses ends it, or null) and the misses up to there.
 
     Rows come in any order, and again: hit says that a file is linked, a row without a hit that a step is expected, and
-    so are all before it. A later row tells of the series as it is then.
+    so are all before it. A later row tells of the series as it is then. The state of a series is the last step expected
+    so far and the steps that were hit, which Spark's own aggregation keeps; no Python handles a series.
     """
     rows = files.filter("series IS NOT NULL AND step IS NOT NULL").select("series", F.col("step").cast("int").alias("step"), F.coalesce("hit", F.lit(False)).alias("hit"))
-    return rows.groupBy("series").transformWithStateInPandas(_MissRuns(threshold), outputStructType=STATUS, outputMode="Update", timeMode="None")
+    known = rows.groupBy("series").agg(F.max("step").alias("last"), F.array_sort(F.collect_set(F.when(F.col("hit") & (F.col("step") >= 0), F.col("step")))).alias("_hits"))
+    # what lies between a hit and the next one, or the ends, is a run of misses
+    between = F.zip_with(F.concat(F.array(F.lit(-1)), "_hits"), F.concat("_hits", F.array(F.col("last") + 1)), lambda a, b: F.struct((a + 1).alias("a"), (b - 1).alias("b")))
+    runs = known.withColumn("_runs", F.filter(between, lambda r: r["a"] <= r["b"]))
+    long = F.get(F.filter("_runs", lambda r: r["b"] - r["a"] + 1 >= threshold), F.lit(0))
+    at = runs.withColumn("stop", long["a"] + threshold - 1).withColumn("_end", F.coalesce("stop", "last"))
+    own = F.get(F.filter("_runs", lambda r: (r["a"] <= F.col("_end")) & (F.col("_end") <= r["b"])), F.lit(0))
+    misses = F.coalesce(F.col("_end") - own["a"] + 1, F.lit(0)).alias("misses")
+    return at.select("series", (F.col("last") + 1).alias("steps"), F.size("_hits").alias("hits"), "stop", misses)
 
 
 def run_miss_status(files: DataFrame, threshold: int, target: str, checkpoint: str) -> None:
