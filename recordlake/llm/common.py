@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -58,9 +59,16 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def released(spark: SparkSession) -> None:
-    """Shuffle files of finished work are removed once the driver's collector finds that nothing refers to them; it looks now."""
-    spark._jvm.System.gc()
+@contextmanager
+def released(spark: SparkSession):
+    """Within, the shuffle files of a query go when it ends, not when the driver happens to collect its garbage; if they are wanted again, Spark makes them again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
 
 
 def fresh(df: DataFrame, name: str) -> str:

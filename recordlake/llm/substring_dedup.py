@@ -88,8 +88,10 @@ def search_shard(rows: pa.Table, window: int) -> pa.Table:
 def _quoted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """wanted (key, content, copies, id, th, start, length) with the words of the text there, one row for each (key, content)."""
     kind = dict(texts.dtypes)["id"]
-    lists = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("start", "length", "key", "content", "copies")).alias("s")).withColumnsRenamed({"id": "_id", "th": "_th"})
-    taken = texts.join(lists, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("id", "th", "text", "s")
+    who = F.struct("id", "th").cast(f"struct<id:{kind},th:bigint>")  # equal with null ids too; of one type on both sides, else the join shuffles texts again
+    lists = wanted.withColumn("who", who).groupBy("who").agg(F.collect_list(F.struct("start", "length", "key", "content", "copies")).alias("s"))
+    once = texts.select(who.alias("who"), "text").groupBy("who").agg(F.first("text").alias("text"))  # rows given again merge before the shuffle, so nothing is quoted twice
+    taken = once.join(lists, "who").select("who.id", "who.th", "text", "s")
 
     def quoted(batches):
         for batch in batches:
@@ -106,7 +108,7 @@ def _quoted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 ids = (batch.column(c).slice(at, len(part)).take(pa.array(row)) for c in (0, 1))
                 yield pa.RecordBatch.from_arrays([s.field("key"), s.field("content"), s.field("copies"), *ids, s.field("start"), text], ["key", "content", "copies", "id", "th", "start", "text"])
 
-    return taken.mapInArrow(quoted, f"key long, content long, copies long, id {kind}, th long, start int, text string").dropDuplicates(["key", "content"])
+    return taken.mapInArrow(quoted, f"key long, content long, copies long, id {kind}, th long, start int, text string")
 
 
 def _windows(quotes: DataFrame, window: int) -> DataFrame:
@@ -158,36 +160,36 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 r = pa.array(row + at)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(r), batch.column(1).take(r), pa.array((first - w.bounds[row]).astype(np.int32)), pa.array(length.astype(np.int32)), pa.array(key), pa.array(content)], ["id", "th", "start", "length", "key", "content"])
 
-    places = stored(texts.mapInArrow(placed, f"id {kind}, th long, start int, length int, key long, content long"), "fm-places")
-    shared = stored(places.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key"), "fm-keys")
-    released(docs.sparkSession)
-    met = stored(places.join(shared, "key", "left_semi"), "fm-met")  # of two tables, so that a hot key can be split
-    for old in (places, shared):
-        discard(old)
-    released(docs.sparkSession)
-    kinds = met.groupBy("key", "content", "length").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "th", "start")).alias("at"))
-    kinds = stored(kinds.select("key", "content", "length", "copies", "at.*"), "fm-kinds")
-    by_key = kinds.groupBy("key").agg(F.sum("length").alias("words"))
-    hot = stored(by_key.filter(F.col("words") > hot_words).select("key"), "fm-hot")
-    released(docs.sparkSession)
-    plain, windows, dealt = kinds, None, None
-    if not hot.isEmpty():
-        plain = kinds.join(hot, "key", "left_anti")
-        windows = stored(_windows(_quoted(texts, kinds.join(hot, "key", "left_semi")), window), "fm-windows")
-        again = windows.groupBy("key", "content").agg(F.sum("copies").alias("copies"), F.min(F.struct("id", "th", "start")).alias("at")).filter("copies > 1")
-        dealt = _quoted(texts, again.select("key", "content", F.lit(window).alias("length"), "copies", "at.*"))
-    total = plain.agg(F.sum("length")).first()[0] or 0
-    shards = F.pmod(F.xxhash64("key"), F.lit(max(1, math.ceil(total / shard_words))))
-    quotes = _quoted(texts, plain)
-    search = lambda q: q.select(shards.alias("shard"), "key", "content", "copies", "text").groupBy("shard").applyInArrow(lambda t: search_shard(t, window), "key long, content long, first int, last int")
-    found = search(quotes)
-    if dealt is not None:
-        own = search(dealt).select("key", "content").join(windows, ["key", "content"])
-        found = found.unionAll(own.select(F.col("of_key").alias("key"), F.col("of_content").alias("content"), F.col("offset").alias("first"), F.col("offset").alias("last")))
-    spans = stored(found, "fm-spans")
-    for old in (kinds, hot, *([windows] if windows is not None else [])):
-        discard(old)
-    released(docs.sparkSession)
+    with released(docs.sparkSession):
+        places = stored(texts.mapInArrow(placed, f"id {kind}, th long, start int, length int, key long, content long"), "fm-places")
+        shared = stored(places.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key"), "fm-keys")
+        met = stored(places.join(shared, "key", "left_semi"), "fm-met")  # of two tables, so that a hot key can be split
+        for old in (places, shared):
+            discard(old)
+        kinds = met.groupBy("key", "content", "length").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "th", "start")).alias("at"))
+        kinds = stored(kinds.select("key", "content", "length", "copies", "at.*"), "fm-kinds")
+        by_key = kinds.groupBy("key").agg(F.sum("length").alias("words"))
+        hot = stored(by_key.filter(F.col("words") > hot_words).select("key"), "fm-hot")
+        plain, dealt = kinds, None
+
+        def search(quotes: DataFrame, words: int) -> DataFrame:
+            shards = F.pmod(F.xxhash64("key"), F.lit(max(1, math.ceil(words / shard_words))))
+            return quotes.select(shards.alias("shard"), "key", "content", "copies", "text").groupBy("shard").applyInArrow(lambda t: search_shard(t, window), "key long, content long, first int, last int")
+
+        if not hot.isEmpty():
+            plain = kinds.join(hot, "key", "left_anti")
+            windows = stored(_windows(_quoted(texts, kinds.join(hot, "key", "left_semi")), window), "fm-windows")
+            again = windows.groupBy("key", "content").agg(F.sum("copies").alias("copies"), F.min(F.struct("id", "th", "start")).alias("at")).filter("copies > 1")
+            again = stored(again.select("key", "content", F.lit(window).alias("length"), "copies", "at.*"), "fm-again")
+            own = stored(search(_quoted(texts, again), again.count() * window).select("key", "content"), "fm-own")
+            dealt = own.join(windows, ["key", "content"]).select(F.col("of_key").alias("key"), F.col("of_content").alias("content"), F.col("offset").alias("first"), F.col("offset").alias("last"))
+            dealt = stored(dealt, "fm-dealt")
+            for old in (windows, again, own):
+                discard(old)
+        spans = stored(search(_quoted(texts, plain), plain.agg(F.sum("length")).first()[0] or 0), "fm-spans")
+        for old in (kinds, hot):
+            discard(old)
+    spans = spans if dealt is None else spans.unionAll(dealt)
     back = met.join(spans, ["key", "content"]).select("id", "th", (F.col("start") + F.col("first")).alias("from"), (F.col("start") + F.col("last") + window).alias("to")).distinct()
     spans_of = back.groupBy("id", "th").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     return spans_of.withColumnsRenamed({"id": "doc_id", "th": "text_hash"})

@@ -1,7 +1,10 @@
 """Exact dedup, n-gram join, substring dedup and decontamination against brute force."""
 
 import hashlib
+import os
 import random
+import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordlake.llm import decontaminate, exact_dedup, fm_index, ngram_join, substring_dedup
+from recordlake.llm.common import stored
 from recordlake.llm.graph import components
 
 from .helpers import WORD, corpus, frame, table, words
@@ -260,6 +264,41 @@ def test_rows_given_again_and_again(spark):
     assert [tuple(r) for r in got] == [(90, 90, 3000)]
 
 
+def _shuffled(spark) -> set[str]:
+    return {f for _, _, files in os.walk(spark.sparkContext.getConf().get("spark.local.dir")) for f in files if re.fullmatch(r"shuffle_.*\.data", f)}
+
+
+@pytest.mark.parametrize("hot_words", [1 << 18, 100])
+def test_shuffle_files_go_with_their_step(spark, tmp_path, hot_words):
+    """When the passages are found, no step before has left shuffle files, and the session is set as it was."""
+    docs = table(spark, tmp_path, corpus(4))
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = _shuffled(spark), spark.conf.get(name)
+    substring_dedup.repeated_passages(docs, hot_words=hot_words)
+    for _ in range(50):  # files are removed in the background
+        if not (left := _shuffled(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(name) == was
+
+
+def test_texts_are_shuffled_once_to_be_quoted(spark, tmp_path):
+    """Rows given again are quoted once, null ids too; neither the join nor the merging of copies shuffles texts again."""
+    t = " ".join(f"a{k}" for k in range(90))
+    rows = [(None, t)] * 20 + [(1, t)] * 20 + [(2, t)] + [(3, None)]
+    texts = table(spark, tmp_path, rows).select(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
+    wanted = texts.filter("id is null or id = 1").distinct().select(F.coalesce("id", F.lit(7)).alias("key"), F.lit(5).cast("long").alias("content"), F.lit(2).cast("long").alias("copies"), "id", "th", F.lit(3).alias("start"), F.lit(4).alias("length"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        quoted = substring_dedup._quoted(texts, stored(wanted, "wanted"))
+        assert quoted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert sorted((r["key"], r["id"] or 0, r["text"]) for r in quoted.collect()) == [(1, 1, "a3 a4 a5 a6"), (7, 0, "a3 a4 a5 a6")]
+
+
 def test_bits():
     rng = np.random.default_rng(3)
     for bit in (rng.random(1000) < 0.5, np.repeat(rng.random(40) < 0.5, 500), np.zeros(0, bool), np.ones(64, bool)):
